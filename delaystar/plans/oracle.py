@@ -9,11 +9,45 @@ Averages are rounded in integers exactly like the Spark side
 
 from __future__ import annotations
 
-LOCAL = "((({ts}) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Budapest')"
+LOCAL = "((({ts}) AT TIME ZONE 'UTC') AT TIME ZONE '{zone}')"
 
 
-def local(ts: str) -> str:
-    return LOCAL.format(ts=ts)
+def local(ts: str, zone: str = "Europe/Budapest") -> str:
+    return LOCAL.format(ts=ts, zone=zone)
+
+
+def fact_sql(source: str, zone: str = "Europe/Budapest") -> str:
+    """Body of the fact build over an observation CTE, local clock in ``zone``."""
+    return f"""
+  SELECT o.observation_id AS source_observation_id,
+         CAST(year(lt) * 10000 + month(lt) * 100 + day(lt) AS BIGINT) AS date_key,
+         r.route_key, s.stop_key, o.collection_run_id, o.trip_id, o.headsign, o.direction_id,
+         CAST(o.stop_sequence AS BIGINT) AS stop_sequence, o.created_at AS observed_at,
+         o.scheduled_departure, o.predicted_departure,
+         CAST(o.delay_seconds AS BIGINT) AS delay_seconds,
+         CAST(o.delay_seconds AS DOUBLE) / 60.0 AS delay_minutes,
+         CASE WHEN o.delay_seconds <= 60 THEN 'on time' WHEN o.delay_seconds <= 180 THEN 'minor delay'
+              WHEN o.delay_seconds <= 300 THEN 'significant delay' ELSE 'severe delay' END AS delay_category,
+         o.delay_category AS source_delay_category,
+         CASE WHEN hour(lt) BETWEEN 6 AND 9 THEN 'morning peak'
+              WHEN hour(lt) BETWEEN 15 AND 18 THEN 'afternoon peak' ELSE 'other period' END AS time_period,
+         CAST(1 AS BIGINT) AS observation_count
+  FROM (SELECT *, {local('created_at', zone)} AS lt FROM {source}
+        WHERE created_at IS NOT NULL AND delay_seconds IS NOT NULL AND delay_seconds >= 0) AS o
+  JOIN dim_route AS r ON r.source_route_id = o.route_id
+  JOIN dim_stop AS s ON s.source_stop_id = o.stop_id"""
+
+
+def dim_date_sql(source: str) -> str:
+    return f"""
+  SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, d AS calendar_date,
+         CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+         monthname(d) AS month_name, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week_number,
+         CASE WHEN dayofweek(d) IN (0, 6) THEN 'weekend' ELSE 'weekday' END AS day_type
+  FROM (SELECT CAST(unnest(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS DATE) AS d
+        FROM (SELECT CAST({local('min(created_at)')} AS DATE) AS start_date,
+                     CAST({local('max(created_at)')} AS DATE) AS end_date FROM {source}) AS b
+        WHERE start_date IS NOT NULL) AS days"""
 
 
 def rmean(s: str, n: str, d: int = 60) -> str:
@@ -75,35 +109,9 @@ dim_route AS (
 dim_stop AS (
   SELECT id AS stop_key, id AS source_stop_id, name AS stop_name, lat, lon FROM stops
 ),
-date_bounds AS (
-  SELECT CAST(@LMIN@ AS DATE) AS start_date, CAST(@LMAX@ AS DATE) AS end_date FROM obs
+dim_date AS (@DIMDATE@
 ),
-dim_date AS (
-  SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_key, d AS calendar_date,
-         CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
-         monthname(d) AS month_name, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week_number,
-         CASE WHEN dayofweek(d) IN (0, 6) THEN 'weekend' ELSE 'weekday' END AS day_type
-  FROM (SELECT CAST(unnest(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS DATE) AS d
-        FROM date_bounds WHERE start_date IS NOT NULL) AS days
-),
-fact AS (
-  SELECT o.observation_id AS source_observation_id,
-         CAST(year(lt) * 10000 + month(lt) * 100 + day(lt) AS BIGINT) AS date_key,
-         r.route_key, s.stop_key, o.collection_run_id, o.trip_id, o.headsign, o.direction_id,
-         CAST(o.stop_sequence AS BIGINT) AS stop_sequence, o.created_at AS observed_at,
-         o.scheduled_departure, o.predicted_departure,
-         CAST(o.delay_seconds AS BIGINT) AS delay_seconds,
-         CAST(o.delay_seconds AS DOUBLE) / 60.0 AS delay_minutes,
-         CASE WHEN o.delay_seconds <= 60 THEN 'on time' WHEN o.delay_seconds <= 180 THEN 'minor delay'
-              WHEN o.delay_seconds <= 300 THEN 'significant delay' ELSE 'severe delay' END AS delay_category,
-         o.delay_category AS source_delay_category,
-         CASE WHEN hour(lt) BETWEEN 6 AND 9 THEN 'morning peak'
-              WHEN hour(lt) BETWEEN 15 AND 18 THEN 'afternoon peak' ELSE 'other period' END AS time_period,
-         CAST(1 AS BIGINT) AS observation_count
-  FROM (SELECT *, @LCREATED@ AS lt FROM obs
-        WHERE created_at IS NOT NULL AND delay_seconds IS NOT NULL AND delay_seconds >= 0) AS o
-  JOIN dim_route AS r ON r.source_route_id = o.route_id
-  JOIN dim_stop AS s ON s.source_stop_id = o.stop_id
+fact AS (@FACT@
 ),
 v AS (
   SELECT d.calendar_date, d.year, d.month, d.month_name, d.day_of_week_number, d.day_type,
@@ -124,9 +132,8 @@ v AS (
 )
 """
 for _ph, _expr in {
-    "@LMIN@": local("min(created_at)"),
-    "@LMAX@": local("max(created_at)"),
-    "@LCREATED@": local("created_at"),
+    "@DIMDATE@": dim_date_sql("obs"),
+    "@FACT@": fact_sql("obs"),
     "@LOBSERVED@": local("f.observed_at"),
 }.items():
     FIXTURE = FIXTURE.replace(_ph, _expr)
@@ -164,3 +171,218 @@ SELECT coalesce({rmean('sum(delay_seconds)', 'count(delay_seconds)')}, 0.0) AS a
        CAST(coalesce(sum(significant_or_severe_count), 0) AS BIGINT) AS significant_or_severe_count
 FROM v""",
 )
+
+MIN = rmean("sum(delay_seconds)", "count(delay_seconds)")
+
+register(
+    "stop_delay_ranking",
+    f"""
+SELECT stop_name, headsign, {rmean('s', 'n')} AS avg_delay_minutes,
+       significant_or_severe_count, observation_count
+FROM (SELECT stop_name, coalesce(nullif(headsign, ''), 'unknown') AS headsign,
+             sum(delay_seconds) AS s, count(delay_seconds) AS n,
+             CAST(sum(significant_or_severe_count) AS BIGINT) AS significant_or_severe_count,
+             CAST(sum(observation_count) AS BIGINT) AS observation_count
+      FROM v GROUP BY 1, 2) AS g
+ORDER BY avg_delay_minutes DESC, significant_or_severe_count DESC, stop_name, headsign
+LIMIT 15""",
+)
+
+register(
+    "daily_delay_trend",
+    f"""
+SELECT calendar_date, route_number, {MIN} AS avg_delay_minutes,
+       CAST(sum(observation_count) AS BIGINT) AS observation_count
+FROM v GROUP BY calendar_date, route_number ORDER BY calendar_date, route_number""",
+)
+
+HOURLY = f"""
+SELECT CAST(h.i AS INTEGER) AS observed_hour,
+       coalesce(a.avg_delay_minutes, 0.0) AS avg_delay_minutes,
+       CAST(coalesce(a.observation_count, 0) AS BIGINT) AS observation_count
+FROM range(24) AS h(i)
+LEFT JOIN (SELECT observed_hour, {MIN} AS avg_delay_minutes, sum(observation_count) AS observation_count
+           FROM v GROUP BY observed_hour) AS a ON a.observed_hour = h.i
+ORDER BY observed_hour"""
+register("hourly_delay_trend", HOURLY)
+
+register(
+    "delay_category_breakdown",
+    """
+SELECT delay_category, CAST(sum(observation_count) AS BIGINT) AS observation_count
+FROM v GROUP BY delay_category
+ORDER BY CASE delay_category WHEN 'on time' THEN 1 WHEN 'minor delay' THEN 2
+         WHEN 'significant delay' THEN 3 WHEN 'severe delay' THEN 4 ELSE 5 END, delay_category""",
+)
+
+MATRIX = f"""
+SELECT route_number, time_period, {MIN} AS avg_delay_minutes,
+       CAST(sum(observation_count) AS BIGINT) AS observation_count
+FROM v GROUP BY route_number, time_period"""
+register("time_period_delay_matrix", MATRIX + " ORDER BY route_number, time_period")
+
+register(
+    "time_period_pivot",
+    """
+SELECT route_number,
+       max(CASE WHEN time_period = 'morning peak' THEN avg_delay_minutes END) AS morning_peak_avg_delay_minutes,
+       CAST(max(CASE WHEN time_period = 'morning peak' THEN observation_count END) AS BIGINT)
+         AS morning_peak_observation_count,
+       max(CASE WHEN time_period = 'afternoon peak' THEN avg_delay_minutes END) AS afternoon_peak_avg_delay_minutes,
+       CAST(max(CASE WHEN time_period = 'afternoon peak' THEN observation_count END) AS BIGINT)
+         AS afternoon_peak_observation_count,
+       max(CASE WHEN time_period = 'other period' THEN avg_delay_minutes END) AS other_period_avg_delay_minutes,
+       CAST(max(CASE WHEN time_period = 'other period' THEN observation_count END) AS BIGINT)
+         AS other_period_observation_count
+FROM m GROUP BY route_number ORDER BY route_number""",
+    extra_ctes=f"m AS ({MATRIX})",
+)
+
+register(
+    "hourly_merge",
+    f"""
+SELECT CAST(h.i AS INTEGER) AS observed_hour,
+       coalesce({rmean('g.w', 'g.n', 100)}, 0.0) AS avg_delay_minutes,
+       CAST(coalesce(g.n, 0) AS BIGINT) AS observation_count
+FROM range(24) AS h(i)
+LEFT JOIN (SELECT least(greatest(observed_hour, 0), 23) AS hr,
+                  sum(CAST(round(avg_delay_minutes * 100) AS BIGINT) * greatest(observation_count, 0)) AS w,
+                  sum(greatest(observation_count, 0)) AS n
+           FROM parts GROUP BY 1) AS g ON g.hr = h.i
+WHERE EXISTS (SELECT 1 FROM parts)
+ORDER BY observed_hour""",
+    extra_ctes=f"""parts AS (
+  SELECT observed_hour, route_number, {MIN} AS avg_delay_minutes,
+         CAST(sum(observation_count) AS BIGINT) AS observation_count
+  FROM v GROUP BY observed_hour, route_number)""",
+)
+
+register(
+    "relative_bar",
+    """
+SELECT d.*, CASE WHEN m.top > 0 THEN d.avg_delay_minutes / m.top * 100.0 ELSE 0.0 END AS bar_percent
+FROM daily AS d, (SELECT max(avg_delay_minutes) AS top FROM daily) AS m""",
+    extra_ctes=f"""daily AS (
+  SELECT calendar_date, route_number, {MIN} AS avg_delay_minutes,
+         CAST(sum(observation_count) AS BIGINT) AS observation_count
+  FROM v GROUP BY calendar_date, route_number)""",
+)
+
+register(
+    "conditional_sum",
+    """
+SELECT route_number, CAST(sum(delayed_count) AS BIGINT) AS delayed_count,
+       CAST(sum(significant_or_severe_count) AS BIGINT) AS significant_or_severe_count,
+       CAST(sum(observation_count) AS BIGINT) AS observation_count
+FROM v GROUP BY route_number""",
+)
+
+register(
+    "looker_metrics",
+    f"""
+SELECT route_number, stop_name, calendar_date, observed_hour, delay_category,
+       {MIN} AS avg_delay_minutes, {rmean('max(delay_seconds)', '1')} AS max_delay_minutes,
+       CAST(sum(observation_count) AS BIGINT) AS observation_count,
+       CAST(sum(delayed_count) AS DOUBLE) / nullif(sum(observation_count), 0) AS delayed_share
+FROM v GROUP BY route_number, stop_name, calendar_date, observed_hour, delay_category""",
+)
+
+# ---------------------------------------------------------------- source audit
+register(
+    "table_row_counts",
+    """
+SELECT 'collection_runs' AS table_name, CAST(count(DISTINCT collection_run_id) AS BIGINT) AS row_count FROM obs
+UNION ALL SELECT 'delay_observations', CAST(count(*) AS BIGINT) FROM obs
+UNION ALL SELECT 'routes', CAST(count(*) AS BIGINT) FROM routes
+UNION ALL SELECT 'stops', CAST(count(*) AS BIGINT) FROM stops
+ORDER BY table_name""",
+)
+
+register(
+    "source_distribution",
+    f"""
+SELECT CAST(count(*) AS BIGINT) AS observations, min(created_at) AS first_observed_at,
+       max(created_at) AS last_observed_at, CAST(min(delay_seconds) AS BIGINT) AS min_delay_seconds,
+       CAST(max(delay_seconds) AS BIGINT) AS max_delay_seconds,
+       {rmean('sum(delay_seconds)', 'count(delay_seconds)', 1)} AS avg_delay_seconds
+FROM obs""",
+)
+
+register(
+    "mandatory_field_audit",
+    """
+SELECT CAST(count(*) FILTER (WHERE observation_id IS NULL) AS BIGINT) AS missing_id,
+       CAST(count(*) FILTER (WHERE route_id IS NULL OR route_id = '') AS BIGINT) AS missing_route_id,
+       CAST(count(*) FILTER (WHERE stop_id IS NULL OR stop_id = '') AS BIGINT) AS missing_stop_id,
+       CAST(count(*) FILTER (WHERE direction_id IS NULL OR direction_id = '') AS BIGINT) AS missing_direction_id,
+       CAST(count(*) FILTER (WHERE created_at IS NULL) AS BIGINT) AS missing_created_at,
+       CAST(count(*) FILTER (WHERE scheduled_departure IS NULL) AS BIGINT) AS missing_scheduled_departure,
+       CAST(count(*) FILTER (WHERE predicted_departure IS NULL) AS BIGINT) AS missing_predicted_departure,
+       CAST(count(*) FILTER (WHERE delay_seconds IS NULL) AS BIGINT) AS missing_delay_seconds,
+       CAST(count(*) FILTER (WHERE delay_seconds < 0) AS BIGINT) AS negative_delay_seconds
+FROM obs""",
+)
+
+register(
+    "join_coverage",
+    """
+SELECT CAST(count(*) FILTER (WHERE r.id IS NULL) AS BIGINT) AS observations_without_route,
+       CAST(count(*) FILTER (WHERE s.id IS NULL) AS BIGINT) AS observations_without_stop
+FROM obs AS o LEFT JOIN routes AS r ON r.id = o.route_id LEFT JOIN stops AS s ON s.id = o.stop_id""",
+)
+
+register(
+    "audit_preview",
+    """
+SELECT observation_id, route_id, stop_id, direction_id, headsign, stop_sequence, created_at AS observed_at,
+       scheduled_departure, predicted_departure, delay_seconds, delay_category
+FROM obs ORDER BY created_at DESC NULLS LAST, observation_id LIMIT 20""",
+)
+
+# ---------------------------------------------------------------- warehouse checks
+register(
+    "reconcile_counts",
+    """
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM obs
+        WHERE created_at IS NOT NULL AND delay_seconds IS NOT NULL AND delay_seconds >= 0) AS usable_raw_rows,
+       (SELECT CAST(count(*) AS BIGINT) FROM fact) AS fact_rows""",
+)
+
+DUPES = """
+SELECT 'duplicate_fact_ids' AS issue, CAST(count(*) AS BIGINT) AS issue_count
+FROM (SELECT source_observation_id FROM {fact} GROUP BY 1 HAVING count(*) > 1) AS a
+UNION ALL SELECT 'duplicate_route_keys', CAST(count(*) AS BIGINT)
+FROM (SELECT route_key FROM dim_route GROUP BY 1 HAVING count(*) > 1) AS b
+UNION ALL SELECT 'duplicate_stop_keys', CAST(count(*) AS BIGINT)
+FROM (SELECT stop_key FROM dim_stop GROUP BY 1 HAVING count(*) > 1) AS c
+UNION ALL SELECT 'duplicate_date_keys', CAST(count(*) AS BIGINT)
+FROM (SELECT date_key FROM {dim_date} GROUP BY 1 HAVING count(*) > 1) AS d"""
+register(
+    "duplicate_key_report",
+    DUPES.format(fact="fact_all", dim_date="dim_date_all"),
+    extra_ctes=f"fact_all AS ({fact_sql('raw_obs')}),\ndim_date_all AS ({dim_date_sql('raw_obs')})",
+)
+
+ISSUES = f"""
+SELECT CAST(count(*) FILTER (WHERE f.source_observation_id IS NULL) AS BIGINT) AS missing_observation_id,
+       CAST(count(*) FILTER (WHERE d.date_key IS NULL) AS BIGINT) AS unresolved_date,
+       CAST(count(*) FILTER (WHERE r.route_key IS NULL) AS BIGINT) AS unresolved_route,
+       CAST(count(*) FILTER (WHERE s.stop_key IS NULL) AS BIGINT) AS unresolved_stop,
+       CAST(count(*) FILTER (WHERE f.delay_seconds IS NULL OR f.delay_seconds < 0) AS BIGINT) AS invalid_delay,
+       CAST(count(*) FILTER (WHERE f.observed_at IS NULL) AS BIGINT) AS missing_observed_at,
+       CAST(count(*) FILTER (WHERE f.date_key != CAST(strftime(CAST({local('f.observed_at')} AS DATE), '%Y%m%d') AS BIGINT))
+            AS BIGINT) AS local_date_mismatch,
+       CAST(count(*) FILTER (WHERE f.time_period IS NULL OR f.time_period != CASE
+            WHEN hour({local('f.observed_at')}) BETWEEN 6 AND 9 THEN 'morning peak'
+            WHEN hour({local('f.observed_at')}) BETWEEN 15 AND 18 THEN 'afternoon peak'
+            ELSE 'other period' END) AS BIGINT) AS local_time_period_mismatch
+FROM {{fact}} AS f
+LEFT JOIN dim_date AS d ON d.date_key = f.date_key
+LEFT JOIN dim_route AS r ON r.route_key = f.route_key
+LEFT JOIN dim_stop AS s ON s.stop_key = f.stop_key"""
+register("warehouse_issue_row", ISSUES.format(fact="fact"))
+register(
+    "warehouse_issue_row_utc_build",
+    ISSUES.format(fact="fact_utc"),
+    extra_ctes=f"fact_utc AS ({fact_sql('obs', 'UTC')})",
+)

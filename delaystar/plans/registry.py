@@ -11,9 +11,10 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from delaystar import settings as S
-from delaystar.operators import dedup, reporting, warehouse
+from delaystar.operators import dedup, quality, reporting, warehouse
 from delaystar.session import ensure_checkpoint_dir
 from delaystar.sources import testdata
 
@@ -96,3 +97,122 @@ def _q_view(j: Job) -> DataFrame:
 @query("kpi_summary")
 def _q_kpi(j: Job) -> DataFrame:
     return reporting.kpi_summary(j.view)
+
+
+@query("stop_delay_ranking")
+def _q_ranking(j: Job) -> DataFrame:
+    return reporting.stop_delay_ranking(j.view)
+
+
+@query("daily_delay_trend")
+def _q_daily(j: Job) -> DataFrame:
+    return reporting.daily_delay_trend(j.view)
+
+
+@query("hourly_delay_trend")
+def _q_hourly(j: Job) -> DataFrame:
+    return reporting.hourly_delay_trend(j.view)
+
+
+@query("delay_category_breakdown")
+def _q_category(j: Job) -> DataFrame:
+    return reporting.delay_category_breakdown(j.view)
+
+
+@query("time_period_delay_matrix")
+def _q_matrix(j: Job) -> DataFrame:
+    return reporting.time_period_delay_matrix(j.view)
+
+
+@query("time_period_pivot")
+def _q_pivot(j: Job) -> DataFrame:
+    return reporting.time_period_pivot(reporting.time_period_delay_matrix(j.view))
+
+
+@query("hourly_merge")
+def _q_hourly_merge(j: Job) -> DataFrame:
+    """Partial rows per (hour, route) merged into 24 hourly rows."""
+    parts = reporting._finish_minutes(
+        j.view.groupBy("observed_hour", "route_number").agg(
+            *reporting._minutes_aggs(), F.sum("observation_count").alias("observation_count")
+        )
+    )
+    return reporting.hourly_merge(parts)
+
+
+@query("relative_bar")
+def _q_bar(j: Job) -> DataFrame:
+    return reporting.relative_bar(reporting.daily_delay_trend(j.view), "avg_delay_minutes")
+
+
+@query("conditional_sum")
+def _q_condsum(j: Job) -> DataFrame:
+    return reporting.conditional_sum(j.view)
+
+
+@query("looker_metrics")
+def _q_looker(j: Job) -> DataFrame:
+    return reporting.looker_metrics(j.view)
+
+
+# ---------------------------------------------------------------- source audit (C11)
+def _source_tables(j: Job) -> dict[str, DataFrame]:
+    return {
+        "collection_runs": testdata.collection_runs(j.observations),
+        "delay_observations": j.observations,
+        "routes": j.routes,
+        "stops": j.stops,
+    }
+
+
+@query("table_row_counts")
+def _q_counts(j: Job) -> DataFrame:
+    return quality.table_row_counts(_source_tables(j))
+
+
+@query("source_distribution")
+def _q_distribution(j: Job) -> DataFrame:
+    return quality.source_distribution(j.observations)
+
+
+@query("mandatory_field_audit")
+def _q_mandatory(j: Job) -> DataFrame:
+    return quality.mandatory_field_audit(j.observations)
+
+
+@query("join_coverage")
+def _q_coverage(j: Job) -> DataFrame:
+    return quality.join_coverage(j.observations, j.routes, j.stops)
+
+
+@query("audit_preview")
+def _q_preview(j: Job) -> DataFrame:
+    return quality.audit_preview(j.observations)
+
+
+@query("schema_audit")
+def _q_schema(j: Job) -> DataFrame:
+    return quality.schema_audit(_source_tables(j))
+
+
+# ---------------------------------------------------------------- warehouse checks
+@query("reconcile_counts")
+def _q_reconcile(j: Job) -> DataFrame:
+    return quality.reconcile_counts(j.spark, j.observations, j.wh.fact)
+
+
+@query("duplicate_key_report")
+def _q_dupes(j: Job) -> DataFrame:
+    """Run on a build from the undeduplicated history, so fact ids repeat."""
+    return quality.duplicate_key_report(warehouse.build_warehouse(j.raw, j.routes, j.stops, j.zone))
+
+
+@query("warehouse_issue_row")
+def _q_issues(j: Job) -> DataFrame:
+    return quality.warehouse_issue_row(j.wh)
+
+
+@query("warehouse_issue_row_utc_build")
+def _q_issues_utc(j: Job) -> DataFrame:
+    """A build that takes the local clock as UTC: the local-time checks must fire."""
+    return quality.warehouse_issue_row(warehouse.build_warehouse(j.observations, j.routes, j.stops, "UTC"))
