@@ -40,6 +40,8 @@ __all__ = [
     "day_of_week_sunday_first",
     "nonblank",
     "idiv",
+    "truncate_hour",
+    "ntz_literal",
 ]
 
 
@@ -200,6 +202,17 @@ def epoch_to_time(epoch: Column | str) -> Column:
     return F.timestamp_add("SECOND", _col(epoch), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+# Hour truncation that stays TIMESTAMP_NTZ (independent of the session zone)
+def truncate_hour(ts: Column | str) -> Column:
+    t = _col(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
+
+
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal parsed from text (no session-zone conversion)."""
+    return F.lit(value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)).cast("timestamp_ntz")
+
+
 # F27
 def safe_date(c: Column | str) -> Column:
     return F.try_to_date(F.substring(_col(c).cast("string"), 1, 10), F.lit("yyyy-MM-dd"))

@@ -89,3 +89,31 @@ def merge_by_id(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     t = target.select(*cols).withColumn("_src", F.lit(0))
     b = batch.select(*cols).withColumn("_src", F.lit(1))
     return keep_first(t.unionByName(b), [key], [F.col("_src").desc()]).select(*cols)
+
+
+def save_summary(flags: DataFrame, run: str = "collection_run_id") -> DataFrame:
+    """Per batch (run) what an insert would save and skip.
+
+    ``flags`` comes from :func:`insert_ignore_flags`.  Routes and stops saved
+    are the distinct entities of the batch (upserted, first seen wins).
+    """
+    g = flags.groupBy(run).agg(
+        F.countDistinct("route_id").alias("routes_saved"),
+        F.countDistinct("stop_id").alias("stops_saved"),
+        F.count_if("inserted").alias("delay_observations_saved"),
+        F.count_if(~F.col("inserted")).alias("duplicate_observations_skipped"),
+    )
+    return g.select(
+        run, "routes_saved", "stops_saved", F.lit(1).cast("bigint").alias("collection_runs_saved"),
+        "delay_observations_saved", "duplicate_observations_skipped",
+        (F.col("routes_saved") + F.col("stops_saved") + 1 + F.col("delay_observations_saved")).alias("total_saved"),
+    )
+
+
+def run_records_saved(runs: DataFrame, flags: DataFrame, run: str = "collection_run_id") -> DataFrame:
+    """``records_saved`` = inserted observations of each run (0 when none)."""
+    counts = flags.filter("inserted").groupBy(F.col(run).alias("id")).agg(F.count(F.lit(1)).alias("_n"))
+    return runs.drop("records_saved").join(counts, on="id", how="left").select(
+        "id", "started_at", "finished_at", "status",
+        F.coalesce("_n", F.lit(0)).cast("int").alias("records_saved"), "error_message",
+    )

@@ -386,3 +386,235 @@ register(
     ISSUES.format(fact="fact_utc"),
     extra_ctes=f"fact_utc AS ({fact_sql('obs', 'UTC')})",
 )
+
+# ---------------------------------------------------------------- snapshot statistics
+F9_DIGITS = "regexp_replace(trim(route_id), '[^0-9]', '', 'g')"
+F9 = (
+    f"(CASE WHEN {F9_DIGITS} IN ('3040', '4') OR suffix({F9_DIGITS}, '3040') THEN '4' "
+    f"WHEN {F9_DIGITS} IN ('3060', '6') OR suffix({F9_DIGITS}, '3060') THEN '6' "
+    "ELSE regexp_extract(trim(route_id), '(?:^|[^0-9])([46])$', 1) END)"
+)
+F8_NAME = "replace(lower(trim(delay_category)), '_', ' ')"
+F8 = (
+    f"(CASE WHEN {F8_NAME} IN ('on time', 'minor delay', 'significant delay', 'severe delay') THEN {F8_NAME} "
+    f"WHEN {F8_NAME} = 'major delay' THEN 'significant delay' "
+    "WHEN delay_seconds <= 60 THEN 'on time' WHEN delay_seconds <= 180 THEN 'minor delay' "
+    "WHEN delay_seconds <= 300 THEN 'significant delay' ELSE 'severe delay' END)"
+)
+F10 = (
+    "(CASE WHEN trim(coalesce(o.headsign, '')) = '' THEN 'unknown' "
+    "WHEN lower(strip_accents(trim(o.headsign))) IN ('ujbuda-kozpont m', 'moricz zsigmond korter m') "
+    "THEN 'Újbuda-központ M / Móricz Zsigmond körtér M' ELSE trim(o.headsign) END)"
+)
+
+
+def period_of(hour_expr: str) -> str:
+    return (f"(CASE WHEN {hour_expr} BETWEEN 6 AND 9 THEN 'morning peak' "
+            f"WHEN {hour_expr} BETWEEN 15 AND 18 THEN 'afternoon peak' ELSE 'other period' END)")
+
+
+SNAP = f"""snap AS (
+  SELECT o.stop_id, coalesce(s.name, o.stop_id) AS stop_name, {F10} AS headsign, o.rn AS route_number,
+         CAST(o.delay_seconds AS BIGINT) AS delay_seconds, o.delay_seconds > 60 AS is_delayed,
+         o.dc AS display_category, o.dc IN ('significant delay', 'severe delay') AS is_sig,
+         CAST(o.created_at AS DATE) AS created_date,
+         CAST(hour({local('o.created_at')}) AS INTEGER) AS observed_hour,
+         {period_of(f"hour({local('o.scheduled_departure')})")} AS time_period,
+         date_trunc('hour', o.scheduled_departure) AS period_start
+  FROM (SELECT *, {F9} AS rn, {F8} AS dc FROM raw_obs
+        WHERE created_at IS NOT NULL AND delay_seconds IS NOT NULL) AS o
+  LEFT JOIN stops AS s ON s.id = o.stop_id
+  WHERE o.rn IN ('4', '6')
+),
+stop_groups AS (
+  SELECT stop_id, stop_name, headsign, sum(delay_seconds) AS s, CAST(count(*) AS BIGINT) AS observation_count,
+         CAST(count_if(is_delayed) AS BIGINT) AS delayed, CAST(count_if(is_sig) AS BIGINT) AS sig
+  FROM snap GROUP BY stop_id, stop_name, headsign
+)"""
+
+SNAP_MIN = rmean("sum(delay_seconds)", "count(*)")
+
+register(
+    "snap_kpi",
+    f"""
+SELECT {SNAP_MIN} AS avg_delay_minutes, {rmean('max(delay_seconds)', '1')} AS max_delay_minutes,
+       CAST(count(*) AS BIGINT) AS observation_count,
+       CAST(count_if(is_delayed) AS DOUBLE) / count(*) AS delayed_ratio,
+       CAST(count_if(is_sig) AS BIGINT) AS significant_or_severe_count
+FROM snap HAVING count(*) > 0""",
+    extra_ctes=SNAP,
+)
+register(
+    "snap_stop_ranking",
+    f"""
+SELECT stop_name, headsign, avg_delay_minutes, significant_or_severe_count, observation_count
+FROM (SELECT stop_id, stop_name, headsign, {rmean('s', 'observation_count')} AS avg_delay_minutes,
+             sig AS significant_or_severe_count, observation_count FROM stop_groups) AS g
+ORDER BY avg_delay_minutes DESC, significant_or_severe_count DESC, stop_id, stop_name, headsign
+LIMIT 10""",
+    extra_ctes=SNAP,
+)
+register(
+    "snap_daily_trend",
+    f"""
+SELECT created_date AS calendar_date, route_number, {SNAP_MIN} AS avg_delay_minutes,
+       CAST(count(*) AS BIGINT) AS observation_count
+FROM snap GROUP BY created_date, route_number ORDER BY 1, 2""",
+    extra_ctes=SNAP,
+)
+register(
+    "snap_hourly_trend",
+    f"""
+SELECT CAST(h.i AS INTEGER) AS observed_hour, coalesce(a.avg_delay_minutes, 0.0) AS avg_delay_minutes,
+       CAST(coalesce(a.observation_count, 0) AS BIGINT) AS observation_count
+FROM range(24) AS h(i)
+LEFT JOIN (SELECT observed_hour, {SNAP_MIN} AS avg_delay_minutes, count(*) AS observation_count
+           FROM snap GROUP BY observed_hour) AS a ON a.observed_hour = h.i
+WHERE EXISTS (SELECT 1 FROM snap)
+ORDER BY 1""",
+    extra_ctes=SNAP,
+)
+register(
+    "snap_category_breakdown",
+    """
+SELECT display_category AS delay_category, CAST(count(*) AS BIGINT) AS observation_count
+FROM snap GROUP BY display_category""",
+    extra_ctes=SNAP,
+)
+register(
+    "snap_time_period_matrix",
+    f"""
+SELECT route_number, time_period, {SNAP_MIN} AS avg_delay_minutes, CAST(count(*) AS BIGINT) AS observation_count
+FROM snap GROUP BY route_number, time_period""",
+    extra_ctes=SNAP,
+)
+register(
+    "average_delay_by_stop",
+    """
+SELECT stop_id, stop_name, headsign, observation_count, s / observation_count AS average_delay_seconds
+FROM stop_groups""",
+    extra_ctes=SNAP,
+)
+register(
+    "delayed_ratio_by_period",
+    """
+SELECT period_start, CAST(count(*) AS BIGINT) AS observation_count, CAST(count_if(is_delayed) AS BIGINT) AS delayed_count,
+       count_if(is_delayed) / count(*) AS delayed_ratio, sum(delay_seconds) / count(*) AS average_delay_seconds
+FROM snap GROUP BY period_start""",
+    extra_ctes=SNAP,
+)
+register(
+    "most_problematic_stops",
+    """
+SELECT stop_id, stop_name, headsign, observation_count, s / observation_count AS average_delay_seconds,
+       delayed / observation_count AS delayed_ratio, sig AS major_delay_count
+FROM stop_groups""",
+    extra_ctes=SNAP,
+)
+
+# ---------------------------------------------------------------- dedup, sinks, merge
+register("dedup_first_by_key", "SELECT * FROM obs")
+register(
+    "dedup_latest_by_id",
+    """
+SELECT * FROM raw_obs
+QUALIFY row_number() OVER (PARTITION BY observation_id
+                           ORDER BY created_at DESC NULLS LAST, tie_1 DESC, tie_2 DESC, tie_3 DESC, tie_4 DESC) = 1""",
+)
+
+MERGE = f"""tgt AS (
+  SELECT * FROM obs WHERE CAST(substr(trip_id, 3) AS BIGINT) % 3 <> 0
+),
+bat AS (
+  SELECT * REPLACE (delay_seconds + 5 AS delay_seconds) FROM raw_obs
+  WHERE created_at >= TIMESTAMP '2024-06-28 00:00:00' AND created_at <= TIMESTAMP '2024-06-30 00:00:00'
+),
+bat_flags AS (
+  SELECT b.*, (b.first_in_batch AND t.duplicate_key IS NULL) AS inserted
+  FROM (SELECT *, row_number() OVER (PARTITION BY duplicate_key
+                  ORDER BY created_at ASC NULLS LAST, tie_1, tie_2, tie_3, tie_4) = 1 AS first_in_batch
+        FROM bat) AS b
+  LEFT JOIN (SELECT DISTINCT duplicate_key FROM tgt) AS t ON t.duplicate_key = b.duplicate_key
+),
+bat_latest AS (
+  SELECT * FROM bat
+  QUALIFY row_number() OVER (PARTITION BY observation_id
+                             ORDER BY created_at DESC NULLS LAST, tie_1 DESC, tie_2 DESC, tie_3 DESC, tie_4 DESC) = 1
+),
+raw_merged AS (
+  SELECT * EXCLUDE (src) FROM (SELECT *, 0 AS src FROM tgt UNION ALL SELECT *, 1 AS src FROM bat_latest) AS u
+  QUALIFY row_number() OVER (PARTITION BY observation_id ORDER BY src DESC) = 1
+),
+dim_date_tgt AS ({dim_date_sql('tgt')}
+),
+fact_tgt AS ({fact_sql('tgt')}
+),
+fact_bat AS ({fact_sql('bat_latest')}
+),
+fact_merged AS (
+  SELECT * EXCLUDE (src) FROM (SELECT *, 0 AS src FROM fact_tgt UNION ALL SELECT *, 1 AS src FROM fact_bat) AS u
+  QUALIFY row_number() OVER (PARTITION BY source_observation_id ORDER BY src DESC) = 1
+)"""
+
+register(
+    "insert_ignore",
+    "SELECT * EXCLUDE (first_in_batch, inserted) FROM bat_flags WHERE inserted",
+    extra_ctes=MERGE,
+)
+register(
+    "save_summary",
+    """
+SELECT collection_run_id, CAST(count(DISTINCT route_id) AS BIGINT) AS routes_saved,
+       CAST(count(DISTINCT stop_id) AS BIGINT) AS stops_saved, CAST(1 AS BIGINT) AS collection_runs_saved,
+       CAST(count_if(inserted) AS BIGINT) AS delay_observations_saved,
+       CAST(count_if(NOT inserted) AS BIGINT) AS duplicate_observations_skipped,
+       CAST(count(DISTINCT route_id) + count(DISTINCT stop_id) + 1 + count_if(inserted) AS BIGINT) AS total_saved
+FROM bat_flags GROUP BY collection_run_id""",
+    extra_ctes=MERGE,
+)
+register(
+    "run_records_saved",
+    """
+SELECT r.id, r.started_at, r.finished_at, 'success' AS status,
+       CAST(coalesce(a.n, 0) AS INTEGER) AS records_saved, '' AS error_message
+FROM (SELECT collection_run_id AS id, min(created_at) AS started_at, max(created_at) AS finished_at
+      FROM bat GROUP BY collection_run_id) AS r
+LEFT JOIN (SELECT collection_run_id, count(*) AS n FROM bat_flags WHERE inserted GROUP BY 1) AS a
+  ON a.collection_run_id = r.id""",
+    extra_ctes=MERGE,
+)
+register(
+    "overlap_extract",
+    """
+SELECT * FROM raw_obs
+WHERE created_at >= TIMESTAMP '2024-06-28 00:00:00' AND created_at <= TIMESTAMP '2024-06-30 00:00:00'""",
+)
+register("batch_dedup", "SELECT * FROM bat_latest", extra_ctes=MERGE)
+register("merge_raw", "SELECT * FROM raw_merged", extra_ctes=MERGE)
+register(
+    "extend_dim_date",
+    f"""
+SELECT * FROM dim_date_tgt
+UNION ALL
+SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT), d, CAST(year(d) AS INTEGER), CAST(month(d) AS INTEGER), monthname(d),
+       CAST(dayofweek(d) + 1 AS INTEGER), CASE WHEN dayofweek(d) IN (0, 6) THEN 'weekend' ELSE 'weekday' END
+FROM (SELECT DISTINCT CAST({local('created_at')} AS DATE) AS d FROM bat_latest WHERE created_at IS NOT NULL) AS n
+WHERE d NOT IN (SELECT calendar_date FROM dim_date_tgt)""",
+    extra_ctes=MERGE,
+)
+register("merge_fact", "SELECT * FROM fact_merged", extra_ctes=MERGE)
+register(
+    "rerun_idempotence",
+    """
+SELECT CAST((SELECT count(*) FROM (SELECT * FROM fact_merged EXCEPT ALL SELECT * FROM fact_again) AS a)
+          + (SELECT count(*) FROM (SELECT * FROM fact_again EXCEPT ALL SELECT * FROM fact_merged) AS b) AS BIGINT)
+         AS differing_rows,
+       (SELECT CAST(count(*) AS BIGINT) FROM fact_again) AS fact_rows,
+       (SELECT CAST(count(*) AS BIGINT) FROM (SELECT source_observation_id FROM fact_again GROUP BY 1
+                                              HAVING count(*) > 1) AS c) AS duplicate_ids""",
+    extra_ctes=MERGE + """,
+fact_again AS (
+  SELECT * EXCLUDE (src) FROM (SELECT *, 0 AS src FROM fact_merged UNION ALL SELECT *, 1 AS src FROM fact_bat) AS u
+  QUALIFY row_number() OVER (PARTITION BY source_observation_id ORDER BY src DESC) = 1
+)""",
+)

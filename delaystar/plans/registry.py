@@ -7,6 +7,7 @@ name lives in :mod:`delaystar.plans.oracle`.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaystar import settings as S
-from delaystar.operators import dedup, quality, reporting, warehouse
+from delaystar.operators import dedup, incremental, quality, reporting, snapshot, warehouse
 from delaystar.session import ensure_checkpoint_dir
 from delaystar.sources import testdata
 
@@ -216,3 +217,104 @@ def _q_issues(j: Job) -> DataFrame:
 def _q_issues_utc(j: Job) -> DataFrame:
     """A build that takes the local clock as UTC: the local-time checks must fire."""
     return quality.warehouse_issue_row(warehouse.build_warehouse(j.observations, j.routes, j.stops, "UTC"))
+
+
+# ---------------------------------------------------------------- snapshot statistics
+def _snap(j: Job) -> DataFrame:
+    return snapshot.snapshot_input(j.raw, j.stops, j.zone)
+
+
+for _name, _fn in {
+    "snap_kpi": snapshot.snap_kpi,
+    "snap_stop_ranking": snapshot.snap_stop_ranking,
+    "snap_daily_trend": snapshot.snap_daily_trend,
+    "snap_hourly_trend": snapshot.snap_hourly_trend,
+    "snap_category_breakdown": snapshot.snap_category_breakdown,
+    "snap_time_period_matrix": snapshot.snap_time_period_matrix,
+    "average_delay_by_stop": snapshot.average_delay_by_stop,
+    "delayed_ratio_by_period": snapshot.delayed_ratio_by_period,
+    "most_problematic_stops": snapshot.most_problematic_stops,
+}.items():
+    query(_name)(lambda j, _f=_fn: _f(_snap(j)))
+
+
+# ---------------------------------------------------------------- dedup, sinks, merge
+AS_OF = dt.datetime(2024, 6, 30)
+
+
+def _merge_target(j: Job) -> DataFrame:
+    """History kept in the store: trips whose number is not divisible by 3."""
+    return j.observations.filter(F.substring("trip_id", 3, 64).cast("bigint") % 3 != 0)
+
+
+def _merge_batch(j: Job) -> DataFrame:
+    """The overlap window before AS_OF, re-delivered with corrected delays (+5 s)."""
+    return incremental.overlap_extract(j.raw, AS_OF).withColumn("delay_seconds", F.col("delay_seconds") + 5)
+
+
+@query("dedup_first_by_key")
+def _q_first(j: Job) -> DataFrame:
+    return j.observations
+
+
+@query("dedup_latest_by_id")
+def _q_latest(j: Job) -> DataFrame:
+    return dedup.dedup_latest_by_id(j.raw)
+
+
+@query("insert_ignore")
+def _q_insert_ignore(j: Job) -> DataFrame:
+    return dedup.insert_ignore(_merge_target(j), _merge_batch(j)).select(*j.raw.columns)
+
+
+def _flags(j: Job) -> DataFrame:
+    return dedup.insert_ignore_flags(_merge_target(j), _merge_batch(j))
+
+
+@query("save_summary")
+def _q_save_summary(j: Job) -> DataFrame:
+    return dedup.save_summary(_flags(j))
+
+
+@query("run_records_saved")
+def _q_records_saved(j: Job) -> DataFrame:
+    batch = _merge_batch(j)
+    return dedup.run_records_saved(testdata.collection_runs(batch), _flags(j))
+
+
+@query("overlap_extract")
+def _q_overlap(j: Job) -> DataFrame:
+    return incremental.overlap_extract(j.raw, AS_OF)
+
+
+@query("batch_dedup")
+def _q_batch_dedup(j: Job) -> DataFrame:
+    return incremental.batch_dedup(_merge_batch(j))
+
+
+@query("merge_raw")
+def _q_merge_raw(j: Job) -> DataFrame:
+    return incremental.merge_raw(_merge_target(j), _merge_batch(j))
+
+
+def _cycle(j: Job) -> incremental.CycleResult:
+    target = _merge_target(j)
+    wh = warehouse.build_warehouse(target, j.routes, j.stops, j.zone)
+    return incremental.incremental_cycle(wh, target, _merge_batch(j), j.routes, j.stops)
+
+
+@query("extend_dim_date")
+def _q_extend_dates(j: Job) -> DataFrame:
+    return _cycle(j).dim_date
+
+
+@query("merge_fact")
+def _q_merge_fact(j: Job) -> DataFrame:
+    return _cycle(j).fact
+
+
+@query("rerun_idempotence")
+def _q_rerun(j: Job) -> DataFrame:
+    first = _cycle(j)
+    second = incremental.incremental_cycle(first.wh, first.raw, _merge_batch(j), j.routes, j.stops)
+    return incremental.rerun_differences(first.fact, second.fact, "source_observation_id")
