@@ -30,9 +30,18 @@ def duplicate_key(trip_id: Column, stop_id: Column, scheduled: Column) -> Column
     return F.concat_ws(S.KEY_SEPARATOR, trip_id, stop_id, iso_utc(scheduled))
 
 
+def name_digest(name: Column, namespace_hex: str = S.UUID_NAMESPACE_URL_HEX) -> Column:
+    """SHA-1 hex of namespace bytes + UTF-8 name (the hash behind a v5 UUID)."""
+    return F.sha1(F.concat(F.unhex(F.lit(namespace_hex)), F.encode(name, "UTF-8")))
+
+
 def uuid5(name: Column, namespace_hex: str = S.UUID_NAMESPACE_URL_HEX) -> Column:
     """RFC 4122 version-5 UUID text of ``name`` (UTF-8) in ``namespace_hex``."""
-    h = F.sha1(F.concat(F.unhex(F.lit(namespace_hex)), F.encode(name, "UTF-8")))
+    return uuid_from_digest(name_digest(name, namespace_hex))
+
+
+def uuid_from_digest(h: Column) -> Column:
+    """Format a SHA-1 hex digest as a version-5 UUID (version nibble 5, RFC variant)."""
     variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
     return F.concat_ws(
         "-",

@@ -618,3 +618,158 @@ fact_again AS (
   QUALIFY row_number() OVER (PARTITION BY source_observation_id ORDER BY src DESC) = 1
 )""",
 )
+
+# ---------------------------------------------------------------- landed payloads
+UUID = (
+    "(substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || "
+    "translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 3) || '-' || "
+    "substr(h, 21, 12))"
+)
+F4 = ("(CASE WHEN {d} < -60 THEN 'early' WHEN {d} <= 60 THEN 'on_time' WHEN {d} <= 180 THEN 'minor_delay' "
+      "WHEN {d} <= 360 THEN 'medium_delay' WHEN {d} > 360 THEN 'major_delay' END)")
+
+PAYLOADS = f"""pl AS (
+  SELECT r.*, CAST(substr(trip_id, 3) AS BIGINT) AS ord, concat(collection_run_id, '/', trip_id) AS payload_id,
+         max(created_at) OVER (PARTITION BY collection_run_id, trip_id) AS fetched_at,
+         row_number() OVER (PARTITION BY collection_run_id, trip_id
+                            ORDER BY stop_sequence, tie_1, tie_2, tie_3, tie_4) AS item_no
+  FROM raw_obs AS r
+),
+scanned AS (
+  SELECT payload_id, collection_run_id, trip_id, stop_id, fetched_at,
+         CASE WHEN ord % 101 = 7 THEN NULL WHEN ord % 103 = 5 THEN 'ERROR' ELSE 'OK' END AS status,
+         (ord % 101 <> 7 AND ord % 103 <> 5) AS accepted,
+         CASE WHEN ord % 101 = 7 THEN 'invalid JSON'
+              WHEN ord % 103 = 5 THEN 'status ERROR: upstream unavailable' END AS error_message
+  FROM pl WHERE item_no = 1
+),
+kept AS (
+  SELECT *, row_number() OVER (PARTITION BY payload_id ORDER BY item_no) - 1 AS position
+  FROM pl WHERE tie_1 % 97 <> 1 AND ord % 101 <> 7 AND ord % 103 <> 5
+),
+parsed AS (
+  SELECT *, {UUID} AS observation_id, {F4.format(d='delay')} AS delay_category
+  FROM (SELECT payload_id, payload_id AS collection_run_id, route_id, stop_id, trip_id,
+               coalesce(nullif(headsign, ''), '-') AS headsign,
+               CASE WHEN ord % 50 = 0 THEN '' ELSE CAST(ord % 2 AS VARCHAR) END AS direction_id,
+               CAST(stop_sequence AS BIGINT) AS stop_sequence, scheduled_departure,
+               CASE WHEN tie_1 % 89 = 2 THEN scheduled_departure ELSE predicted_departure END AS predicted_departure,
+               date_diff('second', scheduled_departure,
+                         CASE WHEN tie_1 % 89 = 2 THEN scheduled_departure ELSE predicted_departure END) AS delay,
+               fetched_at AS created_at, duplicate_key, CAST(position AS INTEGER) AS position,
+               sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(duplicate_key)) AS h,
+               collection_run_id AS collection
+        FROM kept WHERE position < 4) AS k
+),
+flags AS (
+  SELECT p.*, (p.first_in AND t.duplicate_key IS NULL) AS inserted
+  FROM (SELECT *, row_number() OVER (PARTITION BY duplicate_key
+                  ORDER BY created_at ASC NULLS LAST, payload_id, position) = 1 AS first_in FROM parsed) AS p
+  LEFT JOIN (SELECT DISTINCT duplicate_key FROM obs WHERE CAST(substr(trip_id, 3) AS BIGINT) % 3 <> 0) AS t
+    ON t.duplicate_key = p.duplicate_key
+),
+ent_stops AS (
+  SELECT e.payload_id, e.fetched_at,
+         CAST(row_number() OVER (PARTITION BY e.payload_id ORDER BY e.first_pos) - 1 AS INTEGER) AS position,
+         e.id, coalesce(s.name, e.id) AS name, s.lat, s.lon
+  FROM (SELECT payload_id, created_at AS fetched_at, stop_id AS id, min(position) AS first_pos
+        FROM parsed GROUP BY ALL) AS e
+  LEFT JOIN stops AS s ON s.id = e.id
+),
+ent_routes AS (
+  SELECT e.payload_id, e.fetched_at,
+         CAST(row_number() OVER (PARTITION BY e.payload_id ORDER BY e.first_pos) - 1 AS INTEGER) AS position,
+         e.id, coalesce(r.short_name, e.id) AS short_name, coalesce(r.route_type, '') AS route_type
+  FROM (SELECT payload_id, created_at AS fetched_at, route_id AS id, min(position) AS first_pos
+        FROM parsed GROUP BY ALL) AS e
+  LEFT JOIN routes AS r ON r.id = e.id
+)"""
+
+OBS_COLS = ("observation_id, collection_run_id, route_id, stop_id, trip_id, headsign, direction_id, stop_sequence, "
+            "scheduled_departure, predicted_departure, delay AS delay_seconds, delay_category, created_at, "
+            "duplicate_key")
+
+register(
+    "scan_payloads",
+    "SELECT payload_id, collection_run_id, trip_id, stop_id, fetched_at, status, accepted, error_message FROM scanned",
+    extra_ctes=PAYLOADS,
+)
+register("parse_departures", f"SELECT payload_id, {OBS_COLS}, position FROM parsed", extra_ctes=PAYLOADS)
+register("first_seen_entities", "SELECT * FROM ent_stops", extra_ctes=PAYLOADS)
+register("first_seen_routes", "SELECT * FROM ent_routes", extra_ctes=PAYLOADS)
+register("collect_batch", f"SELECT payload_id, {OBS_COLS}, position FROM flags WHERE inserted", extra_ctes=PAYLOADS)
+register(
+    "collection_summary",
+    """
+SELECT c.collection_run_id, c.stops_requested, c.api_calls_succeeded, c.api_calls_failed,
+       CAST(coalesce(g.generated, 0) AS BIGINT) AS observations_generated,
+       CAST(coalesce(g.saved, 0) AS BIGINT) AS observations_saved,
+       CAST(coalesce(g.generated, 0) - coalesce(g.saved, 0) AS BIGINT) AS duplicate_observations_skipped,
+       CASE WHEN c.api_calls_failed > 0 AND c.api_calls_succeeded > 0 THEN 'partial_success'
+            WHEN c.api_calls_failed > 0 THEN 'failed' ELSE 'success' END AS status
+FROM (SELECT collection_run_id, CAST(count(*) AS BIGINT) AS stops_requested,
+             CAST(count_if(accepted) AS BIGINT) AS api_calls_succeeded,
+             CAST(count_if(NOT accepted) AS BIGINT) AS api_calls_failed
+      FROM scanned GROUP BY 1) AS c
+LEFT JOIN (SELECT collection AS collection_run_id, count(*) AS generated, count_if(inserted) AS saved
+           FROM flags GROUP BY 1) AS g ON g.collection_run_id = c.collection_run_id""",
+    extra_ctes=PAYLOADS,
+)
+register(
+    "collection_errors",
+    "SELECT collection_run_id, payload_id, stop_id, error_message AS message FROM scanned WHERE NOT accepted",
+    extra_ctes=PAYLOADS,
+)
+register(
+    "sink_upsert_routes",
+    """
+SELECT id, short_name, route_type FROM (
+  SELECT id, short_name, route_type, 0 AS src, NULL::TIMESTAMP AS fetched_at, '' AS payload_id FROM routes
+  UNION ALL SELECT id, short_name, route_type, 1, fetched_at, payload_id FROM ent_routes) AS u
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY src DESC, fetched_at DESC NULLS FIRST, payload_id DESC) = 1""",
+    extra_ctes=PAYLOADS,
+)
+register(
+    "sink_upsert_stops",
+    """
+SELECT id, name, lat, lon FROM (
+  SELECT id, name, lat, lon, 0 AS src, NULL::TIMESTAMP AS fetched_at, '' AS payload_id FROM stops
+  UNION ALL SELECT id, name, lat, lon, 1, fetched_at, payload_id FROM ent_stops) AS u
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY src DESC, fetched_at DESC NULLS FIRST, payload_id DESC) = 1""",
+    extra_ctes=PAYLOADS,
+)
+register(
+    "sink_upsert_runs",
+    """
+SELECT s.payload_id AS id, s.fetched_at AS started_at, s.fetched_at AS finished_at, 'success' AS status,
+       CAST(coalesce(n.saved, 0) AS INTEGER) AS records_saved, '' AS error_message
+FROM scanned AS s
+LEFT JOIN (SELECT payload_id, count(*) AS saved FROM flags WHERE inserted GROUP BY 1) AS n
+  ON n.payload_id = s.payload_id
+WHERE s.accepted""",
+    extra_ctes=PAYLOADS,
+)
+
+SEARCH = """srch AS (
+  SELECT r.*, CAST(substr(trip_id, 3) AS BIGINT) AS ord, concat(collection_run_id, '/', trip_id) AS payload_id,
+         row_number() OVER (PARTITION BY collection_run_id, trip_id
+                            ORDER BY stop_sequence, tie_1, tie_2, tie_3, tie_4) AS item_no
+  FROM raw_obs AS r
+),
+srch_first AS (
+  SELECT payload_id, ord, stop_id, min(item_no) AS first_no,
+         CASE ord % 5 WHEN 0 THEN 'R_3040' WHEN 1 THEN 'R_3060' WHEN 2 THEN 'R_0070'
+              WHEN 3 THEN 'R_1050' ELSE 'R_5100' END AS trip_route
+  FROM srch GROUP BY ALL
+)"""
+register(
+    "search_stations",
+    """
+SELECT f.payload_id, CAST(f.position AS INTEGER) AS position, f.stop_id, s.name, s.id AS code, '' AS direction,
+       s.lat, s.lon, f.trip_route AS route_ids_text, r.short_name AS route_number
+FROM (SELECT *, row_number() OVER (PARTITION BY payload_id ORDER BY first_no) - 1 AS position FROM srch_first) AS f
+JOIN stops AS s ON s.id = f.stop_id
+JOIN routes AS r ON r.id = f.trip_route
+WHERE f.position < 3 AND f.ord % 10 <> 0""",
+    extra_ctes=SEARCH,
+)

@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaystar import settings as S
-from delaystar.operators import dedup, incremental, quality, reporting, snapshot, warehouse
+from delaystar.operators import dedup, incremental, ingest, quality, reporting, snapshot, warehouse
 from delaystar.session import ensure_checkpoint_dir
-from delaystar.sources import testdata
+from delaystar.sources import payloads, testdata
 
 
 class Job:
@@ -318,3 +318,81 @@ def _q_rerun(j: Job) -> DataFrame:
     first = _cycle(j)
     second = incremental.incremental_cycle(first.wh, first.raw, _merge_batch(j), j.routes, j.stops)
     return incremental.rerun_differences(first.fact, second.fact, "source_observation_id")
+
+
+# ---------------------------------------------------------------- landed payloads (S1, C1..C3)
+def _scanned(j: Job) -> DataFrame:
+    return ingest.scan_payloads(payloads.departure_payloads(j.raw, j.routes, j.stops))
+
+
+def _parsed(j: Job) -> DataFrame:
+    return ingest.parse_departures(_scanned(j), S.COLLECTOR_DEPARTURE_LIMIT)
+
+
+def _collect_flags(j: Job) -> DataFrame:
+    return ingest.collect_flags(_merge_target(j), ingest.parsed_observations(_parsed(j)))
+
+
+@query("scan_payloads")
+def _q_scan(j: Job) -> DataFrame:
+    return _scanned(j).select("payload_id", "collection_run_id", "trip_id", "stop_id", "fetched_at", "status",
+                              "accepted", "error_message")
+
+
+@query("parse_departures")
+def _q_parse(j: Job) -> DataFrame:
+    return ingest.parsed_observations(_parsed(j))
+
+
+@query("first_seen_entities")
+def _q_first_seen_stops(j: Job) -> DataFrame:
+    return ingest.parsed_stops(_parsed(j))
+
+
+@query("first_seen_routes")
+def _q_first_seen_routes(j: Job) -> DataFrame:
+    return ingest.parsed_routes(_parsed(j))
+
+
+@query("search_stations")
+def _q_search(j: Job) -> DataFrame:
+    return ingest.search_stations(payloads.search_payloads(j.raw, j.routes, j.stops), S.PARSE_LIMIT)
+
+
+@query("collect_batch")
+def _q_collect(j: Job) -> DataFrame:
+    return _collect_flags(j).filter("inserted").drop("inserted")
+
+
+@query("collection_summary")
+def _q_collection_summary(j: Job) -> DataFrame:
+    flags = _collect_flags(j).join(
+        _scanned(j).select("payload_id", "collection_run_id").withColumnRenamed("collection_run_id", "_collection"),
+        "payload_id")
+    return ingest.collection_summary(_scanned(j), _parsed(j), flags.withColumn("collection_run_id", F.col("_collection")))
+
+
+@query("collection_errors")
+def _q_collection_errors(j: Job) -> DataFrame:
+    return ingest.collection_errors(_scanned(j))
+
+
+@query("sink_upsert_routes")
+def _q_upsert_routes(j: Job) -> DataFrame:
+    return ingest.upsert_entities(j.routes, ingest.parsed_routes(_parsed(j)))
+
+
+@query("sink_upsert_stops")
+def _q_upsert_stops(j: Job) -> DataFrame:
+    return ingest.upsert_entities(j.stops, ingest.parsed_stops(_parsed(j)))
+
+
+@query("sink_upsert_runs")
+def _q_upsert_runs(j: Job) -> DataFrame:
+    """Runs are inserted with records_saved 0, then upserted with the inserted count (S7 + S9)."""
+    parsed = _parsed(j)
+    started = ingest.parsed_runs(parsed)
+    final = dedup.run_records_saved(started, _collect_flags(j), run="collection_run_id")
+    batch = final.join(parsed.select(F.col("payload_id").alias("id"), "fetched_at", "payload_id"), "id") \
+        .withColumn("position", F.lit(0))
+    return ingest.upsert_entities(started, batch)
