@@ -773,3 +773,28 @@ JOIN routes AS r ON r.id = f.trip_route
 WHERE f.position < 3 AND f.ord % 10 <> 0""",
     extra_ctes=SEARCH,
 )
+
+# ---------------------------------------------------------------- extraction and sinks
+register(
+    "extract_observations",
+    """
+SELECT observation_id, collection_run_id, route_id, stop_id, trip_id, headsign, direction_id,
+       CAST(stop_sequence AS BIGINT) AS stop_sequence, created_at, scheduled_departure, predicted_departure,
+       CAST(delay_seconds AS BIGINT) AS delay_seconds, delay_category, duplicate_key
+FROM obs""",
+)
+register("sink_replace", "SELECT * FROM fact")
+register(
+    "landing_replace",
+    """
+SELECT * FROM raw_obs
+WHERE created_at >= TIMESTAMP '2024-06-28 00:00:00' AND created_at <= TIMESTAMP '2024-06-30 00:00:00'""",
+)
+register("sink_fact_partitioned", "SELECT *, CAST(observed_at AS DATE) AS observed_date FROM fact")
+register(
+    "fact_local_date_range",
+    f"""
+SELECT *, CAST(observed_at AS DATE) AS observed_date FROM fact
+WHERE CAST({local('observed_at')} AS DATE) BETWEEN DATE '2024-03-30' AND DATE '2024-04-01'""",
+)
+register("stream_collect", "SELECT * FROM obs")

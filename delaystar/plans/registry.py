@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from delaystar import settings as S
 from delaystar.operators import dedup, incremental, ingest, quality, reporting, snapshot, warehouse
-from delaystar.session import ensure_checkpoint_dir
-from delaystar.sources import payloads, testdata
+from delaystar.session import ensure_checkpoint_dir, scratch_path
+from delaystar.sources import extract, payloads, sinks, testdata
+from delaystar.streaming import collector
 
 
 class Job:
@@ -396,3 +397,67 @@ def _q_upsert_runs(j: Job) -> DataFrame:
     batch = final.join(parsed.select(F.col("payload_id").alias("id"), "fetched_at", "payload_id"), "id") \
         .withColumn("position", F.lit(0))
     return ingest.upsert_entities(started, batch)
+
+
+# ---------------------------------------------------------------- extraction and sinks
+@query("extract_observations")
+def _q_extract(j: Job) -> DataFrame:
+    return extract.extract_observations(extract.operational_observations(j.observations))
+
+
+@query("sink_replace")
+def _q_sink_replace(j: Job) -> DataFrame:
+    root = scratch_path(j.spark, "fact-replace")
+    sinks.replace_table(j.wh.fact, root)
+    return sinks.read_current(j.spark, root)
+
+
+@query("landing_replace")
+def _q_landing(j: Job) -> DataFrame:
+    root = scratch_path(j.spark, "landing")
+    sinks.replace_table(incremental.overlap_extract(j.raw, AS_OF), root)
+    return sinks.read_current(j.spark, root)
+
+
+def _written_fact(j: Job) -> DataFrame:
+    path = scratch_path(j.spark, "fact")
+    sinks.write_fact_partitioned(j.wh.fact, path)
+    return sinks.read_fact(j.spark, path)
+
+
+@query("sink_fact_partitioned")
+def _q_fact_partitioned(j: Job) -> DataFrame:
+    return _written_fact(j)
+
+
+@query("fact_local_date_range")
+def _q_fact_dates(j: Job) -> DataFrame:
+    """Local dates around the spring DST change, read with UTC-date partition pruning."""
+    return sinks.fact_for_local_dates(_written_fact(j), "2024-03-30", "2024-04-01", j.zone)
+
+
+@query("etl_control_log")
+def _q_control(j: Job) -> DataFrame:
+    issues = quality.warehouse_issue_row(j.wh)
+    return sinks.log_cycle(issues, j.wh.fact, scratch_path(j.spark, "etl_control"))
+
+
+# ---------------------------------------------------------------- streaming
+def _landed(j: Job) -> str:
+    landing = scratch_path(j.spark, "landing-files")
+    collector.land_observation_files(j.raw, landing)
+    return landing
+
+
+@query("stream_collect")
+def _q_stream_collect(j: Job) -> DataFrame:
+    landing = _landed(j)
+    return collector.stream_collect(
+        j.spark, f"{landing}/*", j.raw.schema, scratch_path(j.spark, "store"), scratch_path(j.spark, "ckpt-collect"))
+
+
+@query("stream_dedup_overlap")
+def _q_stream_overlap(j: Job) -> DataFrame:
+    landing = _landed(j)
+    return collector.stream_dedup_overlap(
+        j.spark, f"{landing}/*", j.raw.schema, scratch_path(j.spark, "dedup-out"), scratch_path(j.spark, "ckpt-dedup"))
