@@ -798,3 +798,8 @@ SELECT *, CAST(observed_at AS DATE) AS observed_date FROM fact
 WHERE CAST({local('observed_at')} AS DATE) BETWEEN DATE '2024-03-30' AND DATE '2024-04-01'""",
 )
 register("stream_collect", "SELECT * FROM obs")
+register(
+    "merge_fact_in_place",
+    "SELECT *, CAST(observed_at AS DATE) AS observed_date FROM fact_merged",
+    extra_ctes=MERGE,
+)

@@ -461,3 +461,15 @@ def _q_stream_overlap(j: Job) -> DataFrame:
     landing = _landed(j)
     return collector.stream_dedup_overlap(
         j.spark, f"{landing}/*", j.raw.schema, scratch_path(j.spark, "dedup-out"), scratch_path(j.spark, "ckpt-dedup"))
+
+
+@query("merge_fact_in_place")
+def _q_merge_in_place(j: Job) -> DataFrame:
+    """I4 on the stored, date-partitioned fact: only the batch's dates are rewritten."""
+    target = _merge_target(j)
+    wh = warehouse.build_warehouse(target, j.routes, j.stops, j.zone)
+    path = scratch_path(j.spark, "fact-merge")
+    sinks.write_fact_partitioned(wh.fact, path)
+    batch_fact = warehouse.build_fact(incremental.batch_dedup(_merge_batch(j)), wh.dim_route, wh.dim_stop, j.zone)
+    incremental.merge_fact_partitions(path, batch_fact)
+    return sinks.read_fact(j.spark, path)

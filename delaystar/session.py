@@ -46,14 +46,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for written tables."""
+    """A fresh, not yet existing path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     if "://" in base:
         import uuid
 
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}/t"
     os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    return os.path.join(tempfile.mkdtemp(prefix=f"{name}-", dir=base), "t")
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -54,13 +54,14 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
 def write_fact_partitioned(fact: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
     """Range-partition on (date, route, stop) so every task writes few date folders
     with rows clustered by route/stop (parquet min/max skipping), and one hot
-    date is split across tasks instead of landing in one."""
-    spark = fact.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = fact.withColumn("observed_date", F.to_date("observed_at"))
+    date is split across tasks instead of landing in one.  Without an explicit
+    ``partitions`` AQE sizes the write tasks from the shuffle statistics, so the
+    file count follows the data volume."""
+    out = fact.withColumn("observed_date", F.to_date("observed_at")) if "observed_date" not in fact.columns else fact
+    keys = ("observed_date", "route_key", "stop_key")
+    ranged = out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys)
     (
-        out.repartitionByRange(n, "observed_date", "route_key", "stop_key")
-        .sortWithinPartitions("observed_date", "route_key", "stop_key")
+        ranged.sortWithinPartitions(*keys)
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("observed_date")
