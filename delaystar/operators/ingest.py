@@ -168,7 +168,8 @@ def parse_departures(scanned: DataFrame, limit: int = S.PARSE_LIMIT) -> DataFram
     for name, path in (("_stops", "$.data.references.stops"), ("_routes", "$.data.references.routes"),
                        ("_trips", "$.data.references.trips")):
         base = with_reference_map(base, v, path, name)
-    return _parse_kept(base).select("payload_id", "collection_run_id", "stop_id", "fetched_at", "parsed")
+    return _parse_kept(base).select("payload_id", F.col("collection_run_id").alias("collection_id"), "stop_id",
+                                    "fetched_at", "parsed")
 
 
 OBSERVATION_FIELDS = (
@@ -191,8 +192,8 @@ def _rows(df: DataFrame, arr: str, *keep: str, pos: str | None = None, name: str
 
 def parsed_observations(parsed: DataFrame) -> DataFrame:
     o = F.col("o")
-    return _rows(parsed, "parsed", "payload_id").select(
-        "payload_id", *[o[f].alias(f) for f in OBSERVATION_FIELDS], o["position"].alias("position"))
+    return _rows(parsed, "parsed", "payload_id", "collection_id").select(
+        "payload_id", *[o[f].alias(f) for f in OBSERVATION_FIELDS], o["position"].alias("position"), "collection_id")
 
 
 # Entities of a payload, first occurrence wins
@@ -246,14 +247,15 @@ def collect_flags(target: DataFrame, observations: DataFrame) -> DataFrame:
 
 
 # Per collection; failures are counted here and listed by collection_errors
-def collection_summary(scanned: DataFrame, parsed: DataFrame, flags: DataFrame,
-                       collection: str = "collection_run_id") -> DataFrame:
+def collection_summary(scanned: DataFrame, flags: DataFrame, collection: str = "collection_run_id") -> DataFrame:
+    """``scanned`` carries the collection in ``collection_run_id``; ``flags`` (parsed
+    observations with ``inserted``) carry it in ``collection_id``."""
     calls = scanned.groupBy(collection).agg(
         F.count(F.lit(1)).alias("stops_requested"),
         F.count_if("accepted").alias("api_calls_succeeded"),
         F.count_if(~F.col("accepted")).alias("api_calls_failed"),
     )
-    saved = flags.groupBy(collection).agg(
+    saved = flags.groupBy(F.col("collection_id").alias(collection)).agg(
         F.count(F.lit(1)).alias("observations_generated"),
         F.count_if("inserted").alias("observations_saved"),
     )

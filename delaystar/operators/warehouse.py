@@ -148,12 +148,19 @@ class Warehouse:
     zone: str = S.LOCAL_ZONE
 
 
-def build_warehouse(raw: DataFrame, routes: DataFrame, stops: DataFrame, zone: str = S.LOCAL_ZONE) -> Warehouse:
-    """Dimensions are materialized once (checkpoint) and broadcast when small."""
+def build_warehouse(raw: DataFrame, routes: DataFrame, stops: DataFrame, zone: str = S.LOCAL_ZONE,
+                    fact_zone: str | None = None) -> Warehouse:
+    """Dimensions are materialized once (checkpoint) and broadcast when small.
+
+    ``fact_zone`` is the clock the fact recipe reads date/hour from; it defaults
+    to ``zone``.  Setting it to UTC reproduces a recipe that skipped the zone
+    conversion (the date dimension is always built in ``zone``), which the
+    local-time checks must catch.
+    """
     dim_route = dimension(build_dim_route(routes))
     dim_stop = dimension(build_dim_stop(stops))
     dim_date = dimension(build_dim_date(raw, zone))
-    fact = build_fact(raw, dim_route, dim_stop, zone)
+    fact = build_fact(raw, dim_route, dim_stop, fact_zone or zone)
     return Warehouse(dim_date, dim_route, dim_stop, fact, zone)
 
 

@@ -217,7 +217,8 @@ def _q_issues(j: Job) -> DataFrame:
 @query("warehouse_issue_row_utc_build")
 def _q_issues_utc(j: Job) -> DataFrame:
     """A build that takes the local clock as UTC: the local-time checks must fire."""
-    return quality.warehouse_issue_row(warehouse.build_warehouse(j.observations, j.routes, j.stops, "UTC"))
+    return quality.warehouse_issue_row(
+        warehouse.build_warehouse(j.observations, j.routes, j.stops, j.zone, fact_zone="UTC"))
 
 
 # ---------------------------------------------------------------- snapshot statistics
@@ -342,7 +343,7 @@ def _q_scan(j: Job) -> DataFrame:
 
 @query("parse_departures")
 def _q_parse(j: Job) -> DataFrame:
-    return ingest.parsed_observations(_parsed(j))
+    return ingest.parsed_observations(_parsed(j)).drop("collection_id")
 
 
 @query("first_seen_entities")
@@ -362,15 +363,12 @@ def _q_search(j: Job) -> DataFrame:
 
 @query("collect_batch")
 def _q_collect(j: Job) -> DataFrame:
-    return _collect_flags(j).filter("inserted").drop("inserted")
+    return _collect_flags(j).filter("inserted").drop("inserted", "collection_id")
 
 
 @query("collection_summary")
 def _q_collection_summary(j: Job) -> DataFrame:
-    flags = _collect_flags(j).join(
-        _scanned(j).select("payload_id", "collection_run_id").withColumnRenamed("collection_run_id", "_collection"),
-        "payload_id")
-    return ingest.collection_summary(_scanned(j), _parsed(j), flags.withColumn("collection_run_id", F.col("_collection")))
+    return ingest.collection_summary(_scanned(j), _collect_flags(j))
 
 
 @query("collection_errors")
