@@ -215,7 +215,7 @@ def ntz_literal(value) -> Column:
 
 # F27
 def safe_date(c: Column | str) -> Column:
-    return F.try_to_date(F.substring(_col(c).cast("string"), 1, 10), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring(_col(c).cast("string"), 1, 10), "yyyy-MM-dd")
 
 
 # F15 day of week with Sunday = 1

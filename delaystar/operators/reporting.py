@@ -236,3 +236,24 @@ def kpi_display(kpi: DataFrame) -> DataFrame:
         C.kpi_target_flag("avg_delay_minutes").alias("target_flag"),
         C.minutes_text("avg_delay_minutes").alias("avg_delay_text"),
     )
+
+
+# Latest observations with stop and route names, page-formatted
+def recent_history(observations: DataFrame, stops: DataFrame, routes: DataFrame,
+                   limit: int = S.HISTORY_LIMIT, zone: str = S.LOCAL_ZONE) -> DataFrame:
+    """Top-``limit`` by creation time (missing times last, id breaks ties); the
+    inner joins are against the small stop/route tables, the limit is a
+    per-partition top-k merged once (no global sort)."""
+    s = stops.select(F.col("id").alias("stop_id"), F.col("name").alias("_station"))
+    r = routes.select(F.col("id").alias("route_id"), F.col("short_name").alias("_route"))
+    joined = observations.join(s, "stop_id", "inner").join(r, "route_id", "inner")
+    top = joined.orderBy(F.col("created_at").desc_nulls_last(), F.col("observation_id").asc()).limit(limit)
+    return top.select(
+        "observation_id",
+        C.history_text("_station").alias("station_name"),
+        C.history_text("_route").alias("route_short_name"),
+        C.history_text("headsign").alias("destination_name"),
+        C.local_clock("scheduled_departure", zone).alias("expected_departure"),
+        C.local_clock("predicted_departure", zone).alias("realtime_departure"),
+        F.coalesce(F.col("delay_seconds"), F.lit(0)).cast("string").alias("delay_seconds"),
+    )

@@ -620,11 +620,16 @@ fact_again AS (
 )
 
 # ---------------------------------------------------------------- landed payloads
-UUID = (
-    "(substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || "
-    "translate(substr(h, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h, 18, 3) || '-' || "
-    "substr(h, 21, 12))"
-)
+def uuid_sql(h: str) -> str:
+    """Version-5 UUID text from a SHA-1 hex column ``h``."""
+    return (
+        f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-5' || substr({h}, 14, 3) || '-' || "
+        f"translate(substr({h}, 17, 1), '0123456789abcdef', '89ab89ab89ab89ab') || substr({h}, 18, 3) || '-' || "
+        f"substr({h}, 21, 12))"
+    )
+
+
+UUID = uuid_sql("h")
 F4 = ("(CASE WHEN {d} < -60 THEN 'early' WHEN {d} <= 60 THEN 'on_time' WHEN {d} <= 180 THEN 'minor_delay' "
       "WHEN {d} <= 360 THEN 'medium_delay' WHEN {d} > 360 THEN 'major_delay' END)")
 
@@ -803,3 +808,83 @@ register(
     "SELECT *, CAST(observed_at AS DATE) AS observed_date FROM fact_merged",
     extra_ctes=MERGE,
 )
+
+# ---------------------------------------------------------------- history, rules, intermediate steps
+register(
+    "recent_history",
+    f"""
+SELECT o.observation_id, coalesce(nullif(s.name, ''), '-') AS station_name,
+       coalesce(nullif(r.short_name, ''), '-') AS route_short_name,
+       coalesce(nullif(o.headsign, ''), '-') AS destination_name,
+       coalesce(strftime({local('o.scheduled_departure')}, '%H:%M'), '-') AS expected_departure,
+       coalesce(strftime({local('o.predicted_departure')}, '%H:%M'), '-') AS realtime_departure,
+       CAST(coalesce(o.delay_seconds, 0) AS VARCHAR) AS delay_seconds
+FROM obs AS o JOIN stops AS s ON s.id = o.stop_id JOIN routes AS r ON r.id = o.route_id
+ORDER BY o.created_at DESC NULLS LAST, o.observation_id
+LIMIT 50""",
+)
+
+F8_O = F8.replace("delay_category", "o.delay_category").replace("delay_seconds", "o.delay_seconds")
+F9_O = F9.replace("route_id", "o.route_id")
+LT = local("o.created_at")
+register(
+    "scalar_rules",
+    f"""
+SELECT o.observation_id,
+       CAST(year({LT}) * 10000 + month({LT}) * 100 + day({LT}) AS BIGINT) AS date_key,
+       CAST(o.delay_seconds AS DOUBLE) / 60.0 AS delay_minutes,
+       CASE WHEN o.delay_seconds <= 60 THEN 'on time' WHEN o.delay_seconds <= 180 THEN 'minor delay'
+            WHEN o.delay_seconds <= 300 THEN 'significant delay' ELSE 'severe delay' END AS warehouse_category,
+       {F4.format(d='o.delay_seconds')} AS operational_category,
+       {period_of(f'hour({LT})')} AS time_period,
+       date_diff('second', o.scheduled_departure, o.predicted_departure) AS recomputed_delay,
+       {F8_O} AS display_category,
+       {F9_O} AS route_number,
+       {F10} AS normalized_headsign,
+       coalesce(nullif(o.headsign, ''), 'unknown') AS clean_headsign,
+       concat(o.trip_id, '|', o.stop_id, '|', strftime(o.scheduled_departure, '%Y-%m-%dT%H:%M:%S'), '+00:00')
+         AS natural_key,
+       {uuid_sql('o.hh')} AS stable_id,
+       {LT} AS local_observed_at,
+       CAST(hour({LT}) AS INTEGER) AS local_hour,
+       CAST(dayofweek(CAST({LT} AS DATE)) + 1 AS INTEGER) AS local_day_of_week,
+       coalesce(strftime({local('o.scheduled_departure')}, '%H:%M'), '-') AS scheduled_clock,
+       date_diff('second', TIMESTAMP '1970-01-01 00:00:00', o.scheduled_departure) AS scheduled_epoch,
+       o.scheduled_departure AS scheduled_from_epoch,
+       CAST(o.created_at AS DATE) AS created_date,
+       CASE WHEN CAST(o.delay_seconds AS DOUBLE) / 60.0 < 3.0 THEN 'target-ok' ELSE 'target-warning' END AS target_flag
+FROM (SELECT *, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(duplicate_key)) AS hh FROM obs) AS o""",
+)
+
+USABLE = "SELECT * FROM obs WHERE created_at IS NOT NULL AND delay_seconds IS NOT NULL AND delay_seconds >= 0"
+register("usable_filter", USABLE)
+DERIVE = f"""
+SELECT observation_id AS source_observation_id,
+       CAST(year(lt) * 10000 + month(lt) * 100 + day(lt) AS BIGINT) AS date_key,
+       route_id, stop_id, collection_run_id, trip_id, headsign, direction_id,
+       CAST(stop_sequence AS BIGINT) AS stop_sequence, created_at AS observed_at,
+       scheduled_departure, predicted_departure, CAST(delay_seconds AS BIGINT) AS delay_seconds,
+       CAST(delay_seconds AS DOUBLE) / 60.0 AS delay_minutes,
+       CASE WHEN delay_seconds <= 60 THEN 'on time' WHEN delay_seconds <= 180 THEN 'minor delay'
+            WHEN delay_seconds <= 300 THEN 'significant delay' ELSE 'severe delay' END AS delay_category,
+       delay_category AS source_delay_category,
+       {period_of('hour(lt)')} AS time_period,
+       CAST(1 AS BIGINT) AS observation_count
+FROM (SELECT *, {local('created_at')} AS lt FROM ({USABLE}) AS u) AS d"""
+register("fact_derive", DERIVE)
+register(
+    "join_fact_route",
+    "SELECT d.*, r.route_key FROM derived AS d JOIN dim_route AS r ON r.source_route_id = d.route_id",
+    extra_ctes=f"derived AS ({DERIVE})",
+)
+register(
+    "star_join",
+    "SELECT * FROM v_all",
+    extra_ctes="v_all AS (" + FIXTURE[FIXTURE.index("v AS (") + len("v AS ("):].rsplit(")", 1)[0]
+    .replace("WHERE r.route_number IN ('4', '6')", "") + ")",
+)
+register(
+    "tram_scope_from_id",
+    "SELECT * FROM snap",
+    extra_ctes=SNAP.split(",\nstop_groups AS")[0],
+)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaystar import settings as S
-from delaystar.operators import dedup, incremental, ingest, quality, reporting, snapshot, warehouse
+from delaystar.operators import dedup, incremental, ingest, quality, reporting, rules, snapshot, warehouse
 from delaystar.session import ensure_checkpoint_dir, scratch_path
 from delaystar.sources import extract, payloads, sinks, testdata
 from delaystar.streaming import collector
@@ -471,3 +471,41 @@ def _q_merge_in_place(j: Job) -> DataFrame:
     batch_fact = warehouse.build_fact(incremental.batch_dedup(_merge_batch(j)), wh.dim_route, wh.dim_stop, j.zone)
     incremental.merge_fact_partitions(path, batch_fact)
     return sinks.read_fact(j.spark, path)
+
+
+# ---------------------------------------------------------------- history, rules, intermediate steps
+@query("recent_history")
+def _q_history(j: Job) -> DataFrame:
+    return reporting.recent_history(j.observations, j.stops, j.routes, S.HISTORY_LIMIT, j.zone)
+
+
+@query("scalar_rules")
+def _q_rules(j: Job) -> DataFrame:
+    return rules.scalar_rules(j.observations, j.zone)
+
+
+@query("usable_filter")
+def _q_usable(j: Job) -> DataFrame:
+    return warehouse.usable_filter(j.observations)
+
+
+@query("fact_derive")
+def _q_derive(j: Job) -> DataFrame:
+    return warehouse.fact_derive(warehouse.usable_filter(j.observations), j.zone)
+
+
+@query("join_fact_route")
+def _q_join_route(j: Job) -> DataFrame:
+    derived = warehouse.fact_derive(warehouse.usable_filter(j.observations), j.zone)
+    return warehouse.join_fact_route(derived, j.wh.dim_route)
+
+
+@query("star_join")
+def _q_star(j: Job) -> DataFrame:
+    """J3 without the route scope: every route of the fact."""
+    return warehouse.dashboard_view(j.wh, route_numbers=None)
+
+
+@query("tram_scope_from_id")
+def _q_tram_scope(j: Job) -> DataFrame:
+    return snapshot.snapshot_input(j.raw, j.stops, j.zone)
