@@ -55,20 +55,6 @@ def insert_ignore(
     return first.join(target.select(key), on=key, how="left_anti")
 
 
-def insert_ignore_flags(
-    target: DataFrame, batch: DataFrame, key: str = "duplicate_key", order: Sequence[Column] | None = None
-) -> DataFrame:
-    """Every batch row with ``inserted`` true/false (accepted vs skipped)."""
-    w = Window.partitionBy(key).orderBy(*(order or arrival_order()))
-    ranked = batch.withColumn("_first", F.row_number().over(w) == 1)
-    known = target.select(key).distinct().withColumn("_known", F.lit(True))
-    return (
-        ranked.join(known, on=key, how="left")
-        .withColumn("inserted", F.col("_first") & F.col("_known").isNull())
-        .drop("_first", "_known")
-    )
-
-
 def upsert_last_wins(target: DataFrame, batch: DataFrame, key: str = "id") -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO UPDATE`` all non-key columns.
 
@@ -91,28 +77,31 @@ def merge_by_id(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return keep_first(t.unionByName(b), [key], [F.col("_src").desc()]).select(*cols)
 
 
-def save_summary(flags: DataFrame, run: str = "collection_run_id") -> DataFrame:
-    """Per batch (run) what an insert would save and skip.
+def save_summary(batch: DataFrame, accepted: DataFrame, run: str = "collection_run_id") -> DataFrame:
+    """Per batch (run) what an insert saves and skips.
 
-    ``flags`` comes from :func:`insert_ignore_flags`.  Routes and stops saved
-    are the distinct entities of the batch (upserted, first seen wins).
+    ``accepted`` comes from :func:`insert_ignore`.  Only counts are combined
+    (partial aggregation on both sides), so a hot key never lands in one task.
+    Routes and stops saved are the distinct entities of the batch.
     """
-    g = flags.groupBy(run).agg(
+    totals = batch.groupBy(run).agg(
         F.countDistinct("route_id").alias("routes_saved"),
         F.countDistinct("stop_id").alias("stops_saved"),
-        F.count_if("inserted").alias("delay_observations_saved"),
-        F.count_if(~F.col("inserted")).alias("duplicate_observations_skipped"),
+        F.count(F.lit(1)).alias("_rows"),
     )
-    return g.select(
+    saved = accepted.groupBy(run).agg(F.count(F.lit(1)).alias("_saved"))
+    j = totals.join(saved, run, "left").withColumn("_saved", F.coalesce("_saved", F.lit(0)))
+    return j.select(
         run, "routes_saved", "stops_saved", F.lit(1).cast("bigint").alias("collection_runs_saved"),
-        "delay_observations_saved", "duplicate_observations_skipped",
-        (F.col("routes_saved") + F.col("stops_saved") + 1 + F.col("delay_observations_saved")).alias("total_saved"),
+        F.col("_saved").alias("delay_observations_saved"),
+        (F.col("_rows") - F.col("_saved")).alias("duplicate_observations_skipped"),
+        (F.col("routes_saved") + F.col("stops_saved") + 1 + F.col("_saved")).alias("total_saved"),
     )
 
 
-def run_records_saved(runs: DataFrame, flags: DataFrame, run: str = "collection_run_id") -> DataFrame:
+def run_records_saved(runs: DataFrame, accepted: DataFrame, run: str = "collection_run_id") -> DataFrame:
     """``records_saved`` = inserted observations of each run (0 when none)."""
-    counts = flags.filter("inserted").groupBy(F.col(run).alias("id")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = accepted.groupBy(F.col(run).alias("id")).agg(F.count(F.lit(1)).alias("_n"))
     return runs.drop("records_saved").join(counts, on="id", how="left").select(
         "id", "started_at", "finished_at", "status",
         F.coalesce("_n", F.lit(0)).cast("int").alias("records_saved"), "error_message",

@@ -241,25 +241,27 @@ def upsert_entities(target: DataFrame, entities: DataFrame, key: str = "id") ->
 
 
 # Collected observations accepted by a first-wins insert into the store
-def collect_flags(target: DataFrame, observations: DataFrame) -> DataFrame:
+def collect_accepted(target: DataFrame, observations: DataFrame) -> DataFrame:
     order = [F.col("created_at").asc_nulls_last(), F.col("payload_id").asc(), F.col("position").asc()]
-    return dedup.insert_ignore_flags(target, observations, "duplicate_key", order)
+    return dedup.insert_ignore(target, observations, "duplicate_key", order)
 
 
 # Per collection; failures are counted here and listed by collection_errors
-def collection_summary(scanned: DataFrame, flags: DataFrame, collection: str = "collection_run_id") -> DataFrame:
-    """``scanned`` carries the collection in ``collection_run_id``; ``flags`` (parsed
-    observations with ``inserted``) carry it in ``collection_id``."""
+def collection_summary(scanned: DataFrame, observations: DataFrame, accepted: DataFrame,
+                       collection: str = "collection_run_id") -> DataFrame:
+    """``scanned`` carries the collection in ``collection_run_id``; parsed
+    ``observations`` and the ``accepted`` ones carry it in ``collection_id``.
+    Only per-collection counts are joined (partial aggregation everywhere)."""
     calls = scanned.groupBy(collection).agg(
         F.count(F.lit(1)).alias("stops_requested"),
         F.count_if("accepted").alias("api_calls_succeeded"),
         F.count_if(~F.col("accepted")).alias("api_calls_failed"),
     )
-    saved = flags.groupBy(F.col("collection_id").alias(collection)).agg(
-        F.count(F.lit(1)).alias("observations_generated"),
-        F.count_if("inserted").alias("observations_saved"),
-    )
-    j = calls.join(saved, collection, "left").select(
+    generated = observations.groupBy(F.col("collection_id").alias(collection)).agg(
+        F.count(F.lit(1)).alias("observations_generated"))
+    saved = accepted.groupBy(F.col("collection_id").alias(collection)).agg(
+        F.count(F.lit(1)).alias("observations_saved"))
+    j = calls.join(generated, collection, "left").join(saved, collection, "left").select(
         collection, "stops_requested", "api_calls_succeeded", "api_calls_failed",
         F.coalesce("observations_generated", F.lit(0)).cast("bigint").alias("observations_generated"),
         F.coalesce("observations_saved", F.lit(0)).cast("bigint").alias("observations_saved"),

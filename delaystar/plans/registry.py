@@ -269,19 +269,19 @@ def _q_insert_ignore(j: Job) -> DataFrame:
     return dedup.insert_ignore(_merge_target(j), _merge_batch(j)).select(*j.raw.columns)
 
 
-def _flags(j: Job) -> DataFrame:
-    return dedup.insert_ignore_flags(_merge_target(j), _merge_batch(j))
+def _accepted(j: Job) -> DataFrame:
+    return dedup.insert_ignore(_merge_target(j), _merge_batch(j))
 
 
 @query("save_summary")
 def _q_save_summary(j: Job) -> DataFrame:
-    return dedup.save_summary(_flags(j))
+    return dedup.save_summary(_merge_batch(j), _accepted(j))
 
 
 @query("run_records_saved")
 def _q_records_saved(j: Job) -> DataFrame:
     batch = _merge_batch(j)
-    return dedup.run_records_saved(testdata.collection_runs(batch), _flags(j))
+    return dedup.run_records_saved(testdata.collection_runs(batch), _accepted(j))
 
 
 @query("overlap_extract")
@@ -331,8 +331,12 @@ def _parsed(j: Job) -> DataFrame:
     return ingest.parse_departures(_scanned(j), S.COLLECTOR_DEPARTURE_LIMIT)
 
 
-def _collect_flags(j: Job) -> DataFrame:
-    return ingest.collect_flags(_merge_target(j), ingest.parsed_observations(_parsed(j)))
+def _collected(j: Job) -> DataFrame:
+    return ingest.parsed_observations(_parsed(j))
+
+
+def _collect_accepted(j: Job) -> DataFrame:
+    return ingest.collect_accepted(_merge_target(j), _collected(j))
 
 
 @query("scan_payloads")
@@ -363,12 +367,12 @@ def _q_search(j: Job) -> DataFrame:
 
 @query("collect_batch")
 def _q_collect(j: Job) -> DataFrame:
-    return _collect_flags(j).filter("inserted").drop("inserted", "collection_id")
+    return _collect_accepted(j).drop("collection_id")
 
 
 @query("collection_summary")
 def _q_collection_summary(j: Job) -> DataFrame:
-    return ingest.collection_summary(_scanned(j), _collect_flags(j))
+    return ingest.collection_summary(_scanned(j), _collected(j), _collect_accepted(j))
 
 
 @query("collection_errors")
@@ -391,7 +395,7 @@ def _q_upsert_runs(j: Job) -> DataFrame:
     """Runs are inserted with records_saved 0, then upserted with the inserted count (S7 + S9)."""
     parsed = _parsed(j)
     started = ingest.parsed_runs(parsed)
-    final = dedup.run_records_saved(started, _collect_flags(j), run="collection_run_id")
+    final = dedup.run_records_saved(started, _collect_accepted(j), run="collection_run_id")
     batch = final.join(parsed.select(F.col("payload_id").alias("id"), "fetched_at", "payload_id"), "id") \
         .withColumn("position", F.lit(0))
     return ingest.upsert_entities(started, batch)

@@ -57,3 +57,12 @@ def extract_observations(source: DataFrame) -> DataFrame:
 # Plain copies of the small tables
 def extract_table(spark: SparkSession, reader: Reader, table: str) -> DataFrame:
     return reader(spark, table)
+
+
+# The collector's monitored stops as a small literal dimension
+def monitored_stops(spark: SparkSession) -> DataFrame:
+    from delaystar import settings
+
+    rows = [(sid, name, list(routes), direction) for sid, name, routes, direction in settings.MONITORED_STOPS]
+    return spark.createDataFrame(
+        rows, "stop_id string, stop_name string, route_short_names array<string>, direction_label string")

@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delaystar.session import sized_broadcast
 from delaystar.sources.testdata import ROUTE_BY_ORDER_MOD5
 
 EPOCH = "1970-01-01 00:00:00"
@@ -55,13 +56,13 @@ def _refs_json(refs: Column, object_form: Column) -> Column:
 
 
 def _items(raw: DataFrame, routes: DataFrame, stops: DataFrame) -> DataFrame:
-    """Observation rows with their reference objects attached (small tables broadcast)."""
-    stop_ref = F.broadcast(stops.select(
+    """Observation rows with their reference objects attached (small tables broadcast after a size check)."""
+    stop_ref = sized_broadcast(stops.select(
         F.col("id").alias("stop_id"),
         F.struct(F.col("id"), F.col("name"), F.col("lat"), F.col("lon"),
                  F.col("id").alias("code")).alias("stop_ref"),
     ))
-    route_ref = F.broadcast(routes.select(
+    route_ref = sized_broadcast(routes.select(
         F.col("id").alias("route_id"),
         F.struct(F.col("id"), F.col("short_name").alias("shortName"), F.col("route_type").alias("type"))
         .alias("route_ref"),

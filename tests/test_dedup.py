@@ -17,7 +17,7 @@ def test_insert_ignore_skips_stored_key(spark):
     target = _df(spark, [("o1", "K", t, 1, 1, 1.0, 1.0, 10, "R", "r", "s")])
     batch = _df(spark, [("o2", "K", t, 2, 1, 1.0, 1.0, 20, "R", "r", "s")])
     assert dedup.insert_ignore(target, batch).count() == 0
-    s = dedup.save_summary(dedup.insert_ignore_flags(target, batch)).first()
+    s = dedup.save_summary(batch, dedup.insert_ignore(target, batch)).first()
     assert (s.delay_observations_saved, s.duplicate_observations_skipped) == (0, 1)
 
 

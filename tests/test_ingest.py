@@ -103,8 +103,8 @@ def test_collection_summary_partial_success(spark):
     parsed = ingest.parse_departures(scanned, limit=4)
     obs = ingest.parsed_observations(parsed)
     target = obs.limit(0).select("duplicate_key")
-    flags = ingest.collect_flags(target, obs)
-    s = ingest.collection_summary(scanned, flags).first()
+    accepted = ingest.collect_accepted(target, obs)
+    s = ingest.collection_summary(scanned, obs, accepted).first()
     assert (s.api_calls_succeeded, s.api_calls_failed, s.status) == (1, 1, "partial_success")
     assert s.observations_generated == 3 and s.observations_saved == 3
     errors = ingest.collection_errors(scanned).collect()
