@@ -185,7 +185,8 @@ def history_text(c: Column | str) -> Column:
 
 def local_clock(ts: Column | str, zone: str = S.LOCAL_ZONE) -> Column:
     """HH:mm of a UTC instant in the local zone; '-' when missing."""
-    return F.coalesce(F.date_format(local_time(ts, zone), "HH:mm"), F.lit(S.MISSING_TEXT))
+    # text of the NTZ value, not date_format (which shifts times in the session zone's DST gap)
+    return F.coalesce(F.substring(local_time(ts, zone).cast("string"), 12, 5), F.lit(S.MISSING_TEXT))
 
 
 # F21 lenient numbers from text or variant

@@ -14,13 +14,24 @@ from pyspark.sql import functions as F
 from delaystar import settings as S
 
 
+def micros_of_second(ts: Column) -> Column:
+    """Microseconds within the second of an NTZ value (no session-zone conversion)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.pmod(F.timestamp_diff("MICROSECOND", epoch, ts), F.lit(1_000_000))
+
+
 def iso_utc(ts: Column) -> Column:
-    """ISO-8601 text of a UTC NTZ instant with an explicit +00:00 offset."""
-    base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    micros = F.date_format(ts, "SSSSSS")
+    """ISO-8601 text of a UTC NTZ instant with an explicit +00:00 offset.
+
+    Built from ``cast(ts as string)`` rather than ``date_format``: the latter
+    goes through the session zone and shifts wall-clock times that fall into
+    that zone's daylight-saving gap.
+    """
+    base = F.translate(F.substring(ts.cast("string"), 1, 19), " ", "T")
+    micros = micros_of_second(ts)
     return F.concat(
         base,
-        F.when(micros != "000000", F.concat(F.lit("."), micros)).otherwise(F.lit("")),
+        F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(F.lit("")),
         F.lit(S.UTC_OFFSET_TEXT),
     )
 

@@ -64,7 +64,7 @@ def build_dim_stop(stops: DataFrame) -> DataFrame:
 def calendar_attributes(d: str = "calendar_date") -> list:
     dow = C.day_of_week_sunday_first(d)
     return [
-        F.date_format(d, "yyyyMMdd").cast("bigint").alias("date_key"),
+        (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("bigint").alias("date_key"),
         F.col(d).alias("calendar_date"),
         F.year(d).alias("year"),
         F.month(d).alias("month"),

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaystar import settings as S
+from delaystar.functions import identity
 from delaystar.operators import dedup
 
 SCHEDULED_DATE = "scheduled_date"
@@ -30,12 +31,12 @@ SCHEDULED_DATE = "scheduled_date"
 def land_observation_files(raw: DataFrame, landing: str) -> list[str]:
     """Test helper: write observations as one folder per creation month, in time order
     (missing creation times last), so a file stream replays the collection order."""
-    months = raw.select(F.date_format("created_at", "yyyy-MM").alias("m")).distinct()
-    keys = sorted((r["m"] for r in months.collect()), key=lambda m: (m is None, m or ""))
+    month = F.year("created_at") * 100 + F.month("created_at")
+    months = raw.select(month.alias("m")).distinct()
+    keys = sorted((r["m"] for r in months.collect()), key=lambda m: (m is None, m or 0))
     paths = []
     for i, m in enumerate(keys):
-        part = raw.filter(F.col("created_at").isNull()) if m is None else raw.filter(
-            F.date_format("created_at", "yyyy-MM") == m)
+        part = raw.filter(F.col("created_at").isNull()) if m is None else raw.filter(month == m)
         path = f"{landing.rstrip('/')}/batch-{i:04d}"
         part.coalesce(1).write.mode("errorifexists").parquet(path)
         paths.append(path)
@@ -85,7 +86,7 @@ def event_time(ts_ntz: str) -> F.Column:
     """TIMESTAMP (instant) from a UTC TIMESTAMP_NTZ column, independent of the session
     zone; watermarks require this type."""
     t = F.col(ts_ntz)
-    secs = F.second(t) + F.date_format(t, "SSSSSS").cast("decimal(8,6)") / 1_000_000
+    secs = F.second(t) + identity.micros_of_second(t).cast("decimal(8,6)") / 1_000_000
     return F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
                             secs.cast("decimal(8,6)"), F.lit("UTC"))
 

@@ -90,3 +90,23 @@ def test_results_do_not_depend_on_session_zone(spark):
         assert [tuple(r) for r in j2.wh.dim_date.orderBy("date_key").collect()] == dates
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_text_of_times_in_a_dst_gap_of_the_session_zone(spark):
+    """2024-03-10 02:30 does not exist in New York; UTC texts must not shift."""
+    import datetime as dt
+
+    from delaystar.functions import columns as C
+    from delaystar.functions import identity
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 0),), (dt.datetime(2024, 3, 10, 2, 30, 0, 5000),)],
+                                   "ts timestamp_ntz")
+        keys = [r[0] for r in df.select(identity.iso_utc(F.col("ts"))).collect()]
+        assert keys == ["2024-03-10T02:30:00+00:00", "2024-03-10T02:30:00.005000+00:00"]
+        clocks = [r[0] for r in df.select(C.local_clock("ts", "UTC")).collect()]
+        assert clocks == ["02:30", "02:30"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
