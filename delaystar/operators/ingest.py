@@ -10,7 +10,7 @@ upserts, per-collection summary) shuffle, on their keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaystar import settings as S
@@ -75,88 +75,32 @@ def _first_seen(arr: Column, key: str) -> Column:
     return F.filter(arr, lambda x, i: ~F.exists(F.slice(arr, 1, i), lambda y: y[key] == x[key]))
 
 
-def _extend(arr: str, keep: tuple[str, ...], new) -> Column:
-    """transform(arr, x -> struct(x.keep..., new(x)...)): one cheap stage of the parse.
+def _stop_time_reads(st: Column, requested: Column) -> list[Column]:
+    """F21/F26 lenient reads of one stop time (row or lambda context)."""
+    return [
+        _vget(st, "$.departureTime", "bigint").alias("dep"),
+        _vget(st, "$.predictedDepartureTime", "bigint").alias("pred"),
+        F.coalesce(_text(st, "$.stopId"), requested).alias("stop_id"),
+        F.coalesce(_text(st, "$.tripId"), F.lit("")).alias("trip_id"),
+        _text(st, "$.routeId").alias("route_id_st"),
+        _text(st, "$.routeShortName").alias("short_st"),
+        _text(st, "$.stopHeadsign").alias("headsign_st"),
+    ]
+
+
+def _route_id0(route_id_st: Column, trip_ref: Column) -> Column:
+    """Route of a stop time: its own routeId, else its trip's routeId, else ''."""
+    return F.coalesce(route_id_st, _text(trip_ref, "$.routeId"), F.lit(""))
 
-    Each stage only reads struct fields of the previous stage, so no expression
-    is copied into a lambda twice (lambdas get no common-subexpression reuse).
-    """
-    return F.transform(arr, lambda x: F.struct(*[x[k].alias(k) for k in keep], *new(x)))
-
-
-def _stage(df: DataFrame, arr: str, keep: tuple[str, ...], new) -> DataFrame:
-    return df.withColumn(arr, _extend(arr, keep, new))
-
-
-def _parse_kept(df: DataFrame) -> DataFrame:
-    """``_p``: kept stop times (array<variant>) -> observation structs (J8, F6, F7, F21..F26)."""
-    # 1. lenient field reads
-    df = df.withColumn("_p", F.transform("_kept", lambda e, i: F.struct(
-        i.alias("position"),
-        _vget(e, "$.departureTime", "bigint").alias("dep"),
-        _vget(e, "$.predictedDepartureTime", "bigint").alias("pred"),
-        F.coalesce(_text(e, "$.stopId"), F.col("stop_id")).alias("stop_id"),
-        F.coalesce(_text(e, "$.tripId"), F.lit("")).alias("trip_id"),
-        _text(e, "$.routeId").alias("route_id_st"),
-        _text(e, "$.routeShortName").alias("short_st"),
-        _text(e, "$.stopHeadsign").alias("headsign_st"),
-        F.coalesce(_vget(e, "$.stopSequence", "bigint"), F.lit(0).cast("bigint")).alias("stop_sequence"),
-    )))
-    k1 = ("position", "dep", "pred", "stop_id", "trip_id", "route_id_st", "short_st", "headsign_st", "stop_sequence")
-    # 2. stop and trip lookups
-    df = _stage(df, "_p", k1, lambda x: [
-        F.try_element_at(F.col("_stops"), x["stop_id"]).alias("stop_ref"),
-        F.try_element_at(F.col("_trips"), x["trip_id"]).alias("trip_ref"),
-    ])
-    k2 = k1 + ("stop_ref", "trip_ref")
-    # 3. route through the stop time or its trip; times from epoch seconds
-    df = _stage(df, "_p", k2, lambda x: [
-        F.coalesce(x["route_id_st"], _text(x["trip_ref"], "$.routeId"), F.lit("")).alias("route_id0"),
-        C.epoch_to_time(x["dep"]).alias("scheduled_departure"),
-        C.epoch_to_time(C.prediction_fallback(x["pred"], x["dep"])).alias("predicted_departure"),
-    ])
-    k3 = k2 + ("route_id0", "scheduled_departure", "predicted_departure")
-    df = _stage(df, "_p", k3, lambda x: [
-        F.try_element_at(F.col("_routes"), x["route_id0"]).alias("route_ref"),
-        C.delay_seconds_between(x["scheduled_departure"], x["predicted_departure"]).alias("delay_seconds"),
-        identity.duplicate_key(x["trip_id"], x["stop_id"], x["scheduled_departure"]).alias("duplicate_key"),
-    ])
-    k4 = k3 + ("route_ref", "delay_seconds", "duplicate_key")
-    df = _stage(df, "_p", k4, lambda x: [
-        F.coalesce(x["short_st"], _text(x["route_ref"], "$.shortName"), C.nonblank(x["route_id0"]),
-                   F.lit(S.MISSING_TEXT)).alias("route_short_name"),
-        identity.name_digest(x["duplicate_key"]).alias("_h"),
-    ])
-    k5 = k4 + ("route_short_name", "_h")
-    # 4. final observation struct
-    return df.withColumn("parsed", F.transform("_p", lambda x: F.struct(
-        identity.uuid_from_digest(x["_h"]).alias("observation_id"),
-        F.col("payload_id").alias("collection_run_id"),
-        F.coalesce(C.nonblank(x["route_id0"]), x["route_short_name"]).alias("route_id"),
-        x["stop_id"].alias("stop_id"),
-        x["trip_id"].alias("trip_id"),
-        F.coalesce(x["headsign_st"], _text(x["trip_ref"], "$.tripHeadsign"), _text(x["trip_ref"], "$.headsign"),
-                   F.lit(S.MISSING_TEXT)).alias("headsign"),
-        F.coalesce(_text(x["trip_ref"], "$.directionId"), F.lit("")).alias("direction_id"),
-        x["stop_sequence"].alias("stop_sequence"),
-        x["scheduled_departure"].alias("scheduled_departure"),
-        x["predicted_departure"].alias("predicted_departure"),
-        x["delay_seconds"].alias("delay_seconds"),
-        C.operational_category(x["delay_seconds"]).alias("delay_category"),
-        F.col("fetched_at").alias("created_at"),
-        x["duplicate_key"].alias("duplicate_key"),
-        x["position"].alias("position"),
-        x["route_short_name"].alias("route_short_name"),
-        F.coalesce(_text(x["route_ref"], "$.type"), F.lit("")).alias("route_type"),
-        F.coalesce(_text(x["stop_ref"], "$.name"), x["stop_id"]).alias("stop_name"),
-        _vget(x["stop_ref"], "$.lat", "double").alias("lat"),
-        _vget(x["stop_ref"], "$.lon", "double").alias("lon"),
-    )))
+
+def _short_name(short_st: Column, route_ref: Column, route_id0: Column) -> Column:
+    return F.coalesce(short_st, _text(route_ref, "$.shortName"), C.nonblank(route_id0), F.lit(S.MISSING_TEXT))
 
 
 # Per payload, the first `limit` stop times that carry a departure time
 def parse_departures(scanned: DataFrame, limit: int = S.PARSE_LIMIT) -> DataFrame:
-    """Accepted payloads -> one row per payload with ``parsed`` (array of observation structs)."""
+    """Accepted payloads -> one row per payload with its reference maps and the kept
+    stop times (``_kept``: the first ``limit`` objects that carry a departure time)."""
     v = F.col("v")
     stop_times = F.filter(
         F.coalesce(_vget(v, "$.data.entry.stopTimes", "array<variant>"), F.array().cast("array<variant>")),
@@ -164,12 +108,12 @@ def parse_departures(scanned: DataFrame, limit: int = S.PARSE_LIMIT) -> DataFram
     )
     usable = F.filter(stop_times, lambda e: _vget(e, "$.departureTime", "bigint").isNotNull())
     base = scanned.filter("accepted").select(
-        "payload_id", "collection_run_id", "stop_id", "fetched_at", "v", F.slice(usable, 1, limit).alias("_kept"))
+        "payload_id", F.col("collection_run_id").alias("collection_id"), F.col("stop_id").alias("_requested"),
+        "fetched_at", "v", F.slice(usable, 1, limit).alias("_kept"))
     for name, path in (("_stops", "$.data.references.stops"), ("_routes", "$.data.references.routes"),
                        ("_trips", "$.data.references.trips")):
         base = with_reference_map(base, v, path, name)
-    return _parse_kept(base).select("payload_id", F.col("collection_run_id").alias("collection_id"), "stop_id",
-                                    "fetched_at", "parsed")
+    return base.drop("v")
 
 
 OBSERVATION_FIELDS = (
@@ -191,25 +135,75 @@ def _rows(df: DataFrame, arr: str, *keep: str, pos: str | None = None, name: str
 
 
 def parsed_observations(parsed: DataFrame) -> DataFrame:
-    o = F.col("o")
-    return _rows(parsed, "parsed", "payload_id", "collection_id").select(
-        "payload_id", *[o[f].alias(f) for f in OBSERVATION_FIELDS], o["position"].alias("position"), "collection_id")
+    """J8, F6, F7, F12, F13, F21..F26 at row level (whole-stage codegen, shared subexpressions)."""
+    rows = _rows(parsed, "_kept", "payload_id", "collection_id", "_requested", "fetched_at", "_stops", "_routes",
+                 "_trips", pos="position", name="st")
+    st = F.col("st")
+    rows = rows.select("*", *_stop_time_reads(st, F.col("_requested")),
+                       F.coalesce(_vget(st, "$.stopSequence", "bigint"), F.lit(0).cast("bigint")).alias("stop_sequence"))
+    rows = rows.select("*", F.try_element_at("_stops", F.col("stop_id")).alias("stop_ref"),
+                       F.try_element_at("_trips", F.col("trip_id")).alias("trip_ref"))
+    rows = rows.select(
+        "*",
+        _route_id0(F.col("route_id_st"), F.col("trip_ref")).alias("route_id0"),
+        C.epoch_to_time("dep").alias("scheduled_departure"),
+        C.epoch_to_time(C.prediction_fallback("pred", "dep")).alias("predicted_departure"),
+    )
+    rows = rows.select("*", F.try_element_at("_routes", F.col("route_id0")).alias("route_ref"))
+    short = _short_name(F.col("short_st"), F.col("route_ref"), F.col("route_id0"))
+    delay = C.delay_seconds_between("scheduled_departure", "predicted_departure")
+    dkey = identity.duplicate_key(F.col("trip_id"), F.col("stop_id"), F.col("scheduled_departure"))
+    trip_ref = F.col("trip_ref")
+    return rows.select(
+        "payload_id",
+        identity.uuid5(dkey).alias("observation_id"),
+        F.col("payload_id").alias("collection_run_id"),
+        F.coalesce(C.nonblank(F.col("route_id0")), short).alias("route_id"),
+        "stop_id",
+        "trip_id",
+        F.coalesce(F.col("headsign_st"), _text(trip_ref, "$.tripHeadsign"), _text(trip_ref, "$.headsign"),
+                   F.lit(S.MISSING_TEXT)).alias("headsign"),
+        F.coalesce(_text(trip_ref, "$.directionId"), F.lit("")).alias("direction_id"),
+        "stop_sequence",
+        "scheduled_departure",
+        "predicted_departure",
+        delay.alias("delay_seconds"),
+        C.operational_category(delay).alias("delay_category"),
+        F.col("fetched_at").alias("created_at"),
+        dkey.alias("duplicate_key"),
+        "position",
+        "collection_id",
+    )
 
 
-# Entities of a payload, first occurrence wins
+# Entities of a payload, first occurrence wins (array level: stays inside the payload row)
 def parsed_routes(parsed: DataFrame) -> DataFrame:
-    ents = parsed.withColumn("_e", F.transform("parsed", lambda o: F.struct(
-        o["route_id"].alias("id"), o["route_short_name"].alias("short_name"), o["route_type"].alias("route_type"))))
-    ents = ents.withColumn("_e", _first_seen(F.col("_e"), "id"))
-    return _rows(ents, "_e", "payload_id", "fetched_at", pos="position", name="r").select(
+    df = parsed.withColumn("_e", F.transform("_kept", lambda e: F.struct(*_stop_time_reads(e, F.col("_requested")))))
+    df = df.withColumn("_e", F.transform("_e", lambda x: F.struct(
+        _route_id0(x["route_id_st"], F.try_element_at(F.col("_trips"), x["trip_id"])).alias("route_id0"),
+        x["short_st"].alias("short_st"))))
+    df = df.withColumn("_e", F.transform("_e", lambda x: F.struct(
+        x["route_id0"].alias("route_id0"), x["short_st"].alias("short_st"),
+        F.try_element_at(F.col("_routes"), x["route_id0"]).alias("ref"))))
+    df = df.withColumn("_e", F.transform("_e", lambda x: F.struct(
+        F.coalesce(C.nonblank(x["route_id0"]), _short_name(x["short_st"], x["ref"], x["route_id0"])).alias("id"),
+        _short_name(x["short_st"], x["ref"], x["route_id0"]).alias("short_name"),
+        F.coalesce(_text(x["ref"], "$.type"), F.lit("")).alias("route_type"))))
+    df = df.withColumn("_e", _first_seen(F.col("_e"), "id"))
+    return _rows(df, "_e", "payload_id", "fetched_at", pos="position", name="r").select(
         "payload_id", "fetched_at", "position", "r.id", "r.short_name", "r.route_type")
 
 
 def parsed_stops(parsed: DataFrame) -> DataFrame:
-    ents = parsed.withColumn("_e", F.transform("parsed", lambda o: F.struct(
-        o["stop_id"].alias("id"), o["stop_name"].alias("name"), o["lat"].alias("lat"), o["lon"].alias("lon"))))
-    ents = ents.withColumn("_e", _first_seen(F.col("_e"), "id"))
-    return _rows(ents, "_e", "payload_id", "fetched_at", pos="position", name="s").select(
+    df = parsed.withColumn("_e", F.transform(
+        "_kept", lambda e: F.coalesce(_text(e, "$.stopId"), F.col("_requested"))))
+    df = df.withColumn("_e", _first_seen_text(F.col("_e")))
+    df = df.withColumn("_e", F.transform("_e", lambda i: F.struct(
+        i.alias("id"), F.try_element_at(F.col("_stops"), i).alias("ref"))))
+    df = df.withColumn("_e", F.transform("_e", lambda x: F.struct(
+        x["id"].alias("id"), F.coalesce(_text(x["ref"], "$.name"), x["id"]).alias("name"),
+        _vget(x["ref"], "$.lat", "double").alias("lat"), _vget(x["ref"], "$.lon", "double").alias("lon"))))
+    return _rows(df, "_e", "payload_id", "fetched_at", pos="position", name="s").select(
         "payload_id", "fetched_at", "position", "s.id", "s.name", "s.lat", "s.lon")
 
 
@@ -225,10 +219,6 @@ def parsed_runs(parsed: DataFrame) -> DataFrame:
     )
 
 
-def _payload_order(prefix_cols: tuple[str, ...] = ()) -> list[Column]:
-    return [F.col("fetched_at").asc_nulls_last(), F.col("payload_id").asc(), F.col("position").asc()]
-
-
 # Upsert of entity rows, the last payload's version wins
 def upsert_entities(target: DataFrame, entities: DataFrame, key: str = "id") -> DataFrame:
     cols = target.columns
