@@ -155,3 +155,17 @@ def warehouse_issue_row(wh: Warehouse, zone: str = S.LOCAL_ZONE) -> DataFrame:
         _count_if(F.col("time_period").isNull() | (F.col("time_period") != C.time_period(local_hour)))
         .alias("local_time_period_mismatch"),
     )
+
+
+# Per fact row, which dimension keys resolve (left joins on the key names)
+def dim_resolution(wh: Warehouse) -> DataFrame:
+    d = wh.dim_date.select("date_key", F.lit(True).alias("_d"))
+    r = wh.dim_route.select("route_key", F.lit(True).alias("_r"))
+    s = wh.dim_stop.select("stop_key", F.lit(True).alias("_s"))
+    f = wh.fact.select("source_observation_id", "date_key", "route_key", "stop_key")
+    return f.join(d, "date_key", "left").join(r, "route_key", "left").join(s, "stop_key", "left").select(
+        "source_observation_id", "date_key", "route_key", "stop_key",
+        F.col("_d").isNotNull().alias("date_resolved"),
+        F.col("_r").isNotNull().alias("route_resolved"),
+        F.col("_s").isNotNull().alias("stop_resolved"),
+    )

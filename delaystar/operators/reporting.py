@@ -244,11 +244,21 @@ def recent_history(observations: DataFrame, stops: DataFrame, routes: DataFrame,
     """Top-``limit`` by creation time (missing times last, id breaks ties); the
     inner joins are against the small stop/route tables, the limit is a
     per-partition top-k merged once (no global sort)."""
+    top = history_join(observations, stops, routes).orderBy(
+        F.col("created_at").desc_nulls_last(), F.col("observation_id").asc()).limit(limit)
+    return history_format(top, zone)
+
+
+# Observations with their stop and route names (inner joins on the ids)
+def history_join(observations: DataFrame, stops: DataFrame, routes: DataFrame) -> DataFrame:
     s = stops.select(F.col("id").alias("stop_id"), F.col("name").alias("_station"))
     r = routes.select(F.col("id").alias("route_id"), F.col("short_name").alias("_route"))
-    joined = observations.join(s, "stop_id", "inner").join(r, "route_id", "inner")
-    top = joined.orderBy(F.col("created_at").desc_nulls_last(), F.col("observation_id").asc()).limit(limit)
-    return top.select(
+    return observations.join(s, "stop_id", "inner").join(r, "route_id", "inner")
+
+
+# page texts of history rows
+def history_format(joined: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
+    return joined.select(
         "observation_id",
         C.history_text("_station").alias("station_name"),
         C.history_text("_route").alias("route_short_name"),

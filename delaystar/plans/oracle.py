@@ -888,3 +888,29 @@ register(
     "SELECT * FROM snap",
     extra_ctes=SNAP.split(",\nstop_groups AS")[0],
 )
+
+register(
+    "join_fact_stop",
+    """
+SELECT d.*, r.route_key, s.stop_key FROM derived AS d
+JOIN dim_route AS r ON r.source_route_id = d.route_id JOIN dim_stop AS s ON s.source_stop_id = d.stop_id""",
+    extra_ctes=f"derived AS ({DERIVE})",
+)
+HISTORY = f"""
+SELECT o.observation_id, coalesce(nullif(s.name, ''), '-') AS station_name,
+       coalesce(nullif(r.short_name, ''), '-') AS route_short_name,
+       coalesce(nullif(o.headsign, ''), '-') AS destination_name,
+       coalesce(strftime({local('o.scheduled_departure')}, '%H:%M'), '-') AS expected_departure,
+       coalesce(strftime({local('o.predicted_departure')}, '%H:%M'), '-') AS realtime_departure,
+       CAST(coalesce(o.delay_seconds, 0) AS VARCHAR) AS delay_seconds
+FROM obs AS o JOIN stops AS s ON s.id = o.stop_id JOIN routes AS r ON r.id = o.route_id"""
+register("history_join", HISTORY)
+register(
+    "dim_resolution",
+    """
+SELECT f.source_observation_id, f.date_key, f.route_key, f.stop_key,
+       d.date_key IS NOT NULL AS date_resolved, r.route_key IS NOT NULL AS route_resolved,
+       s.stop_key IS NOT NULL AS stop_resolved
+FROM fact AS f LEFT JOIN dim_date AS d ON d.date_key = f.date_key
+LEFT JOIN dim_route AS r ON r.route_key = f.route_key LEFT JOIN dim_stop AS s ON s.stop_key = f.stop_key""",
+)

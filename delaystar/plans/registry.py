@@ -513,3 +513,21 @@ def _q_star(j: Job) -> DataFrame:
 @query("tram_scope_from_id")
 def _q_tram_scope(j: Job) -> DataFrame:
     return snapshot.snapshot_input(j.raw, j.stops, j.zone)
+
+
+@query("join_fact_stop")
+def _q_join_stop(j: Job) -> DataFrame:
+    """J1 + J2 before the final keep list: the helper ids are still there."""
+    derived = warehouse.fact_derive(warehouse.usable_filter(j.observations), j.zone)
+    return warehouse.join_fact_stop(warehouse.join_fact_route(derived, j.wh.dim_route), j.wh.dim_stop)
+
+
+@query("history_join")
+def _q_history_join(j: Job) -> DataFrame:
+    """J7 + F19 over the whole history (the page keeps the latest 50)."""
+    return reporting.history_format(reporting.history_join(j.observations, j.stops, j.routes), j.zone)
+
+
+@query("dim_resolution")
+def _q_dim_resolution(j: Job) -> DataFrame:
+    return quality.dim_resolution(j.wh)
