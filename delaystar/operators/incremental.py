@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from delaystar import settings as S
 from delaystar.functions import columns as C
 from delaystar.operators import dedup, warehouse
+from delaystar.session import dimension
 
 
 def overlap_extract(raw: DataFrame, as_of: dt.datetime, days: int = S.OVERLAP_DAYS) -> DataFrame:
@@ -98,8 +99,8 @@ def incremental_cycle(
     unique_batch = batch_dedup(batch)
     raw = merge_raw(raw_target, unique_batch)
     dim_date = extend_dim_date(wh.dim_date, unique_batch, wh.zone)
-    dim_route = warehouse.build_dim_route(routes)
-    dim_stop = warehouse.build_dim_stop(stops)
+    dim_route = dimension(warehouse.build_dim_route(routes))
+    dim_stop = dimension(warehouse.build_dim_stop(stops))
     batch_fact = warehouse.build_fact(unique_batch, dim_route, dim_stop, wh.zone)
     fact = merge_fact(wh.fact, batch_fact)
     return CycleResult(raw, dim_date, fact, warehouse.Warehouse(dim_date, dim_route, dim_stop, fact, wh.zone))

@@ -16,6 +16,7 @@ be admitted again, which is why I8 (exact, all history) is the store's path.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,12 +56,17 @@ def insert_ignore_batch(batch: DataFrame, store: str) -> None:
     """foreachBatch body of I8: first-wins insert of one micro-batch into the store."""
     spark = batch.sparkSession
     first = dedup.dedup_first_by_key(batch).withColumn(SCHEDULED_DATE, F.to_date("scheduled_departure"))
-    bounds = first.agg(F.min(SCHEDULED_DATE).alias("lo"), F.max(SCHEDULED_DATE).alias("hi")).first()
-    if bounds["lo"] is None:
-        return
-    known = _store_slice(spark, store, bounds["lo"], bounds["hi"])
-    accepted = first if known is None else first.join(known, "duplicate_key", "left_anti")
-    accepted.write.mode("append").partitionBy(SCHEDULED_DATE).parquet(store)
+    # used twice (date bounds, then the insert); a lost block is recomputed from the batch's files
+    first.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        bounds = first.agg(F.min(SCHEDULED_DATE).alias("lo"), F.max(SCHEDULED_DATE).alias("hi")).first()
+        if bounds["lo"] is None:
+            return
+        known = _store_slice(spark, store, bounds["lo"], bounds["hi"])
+        accepted = first if known is None else first.join(known, "duplicate_key", "left_anti")
+        accepted.write.mode("append").partitionBy(SCHEDULED_DATE).parquet(store)
+    finally:
+        first.unpersist()
 
 
 def stream_collect(spark: SparkSession, landing_glob: str, schema: T.StructType, store: str,
