@@ -267,3 +267,20 @@ def history_format(joined: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
         C.local_clock("predicted_departure", zone).alias("realtime_departure"),
         F.coalesce(F.col("delay_seconds"), F.lit(0)).cast("string").alias("delay_seconds"),
     )
+
+
+# C8 gate: does the page have anything to show?
+def statistics_gate(stats: dict[str, DataFrame], legacy: dict[str, DataFrame] | None = None) -> DataFrame:
+    """One row: ``has_dashboard_statistics`` (KPI with observations or any non-empty
+    list among the six) and ``has_legacy_statistics`` (any non-empty snapshot list).
+    Each part is an EXISTS subquery; nothing is collected."""
+    spark = stats["kpi_summary"].sparkSession
+    dashboard = stats["kpi_summary"].filter(F.col("observation_count") > 0).exists()
+    for name in ("stop_delay_ranking", "daily_delay_trend", "hourly_delay_trend", "delay_category_breakdown",
+                 "time_period_delay_matrix"):
+        dashboard = dashboard | stats[name].exists()
+    legacy_flag = F.lit(False)
+    for df in (legacy or {}).values():
+        legacy_flag = legacy_flag | df.exists()
+    return spark.range(1).select(dashboard.alias("has_dashboard_statistics"),
+                                 legacy_flag.alias("has_legacy_statistics"))

@@ -914,3 +914,10 @@ SELECT f.source_observation_id, f.date_key, f.route_key, f.stop_key,
 FROM fact AS f LEFT JOIN dim_date AS d ON d.date_key = f.date_key
 LEFT JOIN dim_route AS r ON r.route_key = f.route_key LEFT JOIN dim_stop AS s ON s.stop_key = f.stop_key""",
 )
+register(
+    "statistics_gate",
+    """
+SELECT (EXISTS (SELECT 1 FROM v) OR EXISTS (SELECT 1 FROM range(24))) AS has_dashboard_statistics,
+       EXISTS (SELECT 1 FROM snap) AS has_legacy_statistics""",
+    extra_ctes=SNAP,
+)

@@ -531,3 +531,14 @@ def _q_history_join(j: Job) -> DataFrame:
 @query("dim_resolution")
 def _q_dim_resolution(j: Job) -> DataFrame:
     return quality.dim_resolution(j.wh)
+
+
+@query("statistics_gate")
+def _q_gate(j: Job) -> DataFrame:
+    snap = snapshot.snapshot_input(j.raw, j.stops, j.zone)
+    legacy = {
+        "average_delay_by_stop": snapshot.average_delay_by_stop(snap),
+        "delayed_ratio_by_period": snapshot.delayed_ratio_by_period(snap),
+        "most_problematic_stops": snapshot.most_problematic_stops(snap),
+    }
+    return reporting.statistics_gate(reporting.load_statistics(j.view), legacy)
