@@ -120,4 +120,7 @@ MONITORED_STOPS = (
 # --- job defaults (not fixed by the source system) --------------------------
 
 # Largest dimension (rows) that may be broadcast; bigger ones shuffle-join.
-MAX_BROADCAST_ROWS = 1_000_000
+# A dimension row is ~100 bytes, so the bound keeps a broadcast near 20 MB per
+# executor (a city network has thousands of stops, hundreds of routes; the
+# date dimension has one row per day).
+MAX_BROADCAST_ROWS = 200_000

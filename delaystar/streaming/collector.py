@@ -92,26 +92,39 @@ def event_time(ts_ntz: str) -> F.Column:
     """TIMESTAMP (instant) from a UTC TIMESTAMP_NTZ column, independent of the session
     zone; watermarks require this type."""
     t = F.col(ts_ntz)
-    secs = F.second(t) + identity.micros_of_second(t).cast("decimal(8,6)") / 1_000_000
+    fraction = (identity.micros_of_second(t).cast("decimal(7,0)") / F.lit(1_000_000)).cast("decimal(8,6)")
+    secs = F.second(t).cast("decimal(8,6)") + fraction
     return F.make_timestamp(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t),
                             secs.cast("decimal(8,6)"), F.lit("UTC"))
 
 
+def dedup_within_watermark(stream: DataFrame, keys: list[str], ts_ntz: str, delay: str) -> DataFrame:
+    """Streaming dedup on ``keys`` with state bounded by an event-time watermark.
+
+    Rows whose event time is older than the watermark are late and dropped; this
+    is why an overlap window needs a backfill after a longer outage.
+    """
+    return (
+        stream.withColumn("_event_time", event_time(ts_ntz))
+        .withWatermark("_event_time", delay)
+        .dropDuplicatesWithinWatermark(keys)
+        .drop("_event_time")
+    )
+
+
 def stream_dedup_overlap(spark: SparkSession, landing_glob: str, schema: T.StructType, out: str,
-                         checkpoint: str, overlap_days: int = S.OVERLAP_DAYS) -> DataFrame:
-    """Bounded-state dedup on duplicate_key within an overlap watermark."""
+                         checkpoint: str, overlap_days: int = S.OVERLAP_DAYS, keys: tuple[str, ...] = ("duplicate_key",),
+                         ts_ntz: str = "created_at") -> DataFrame:
+    """Bounded-state dedup within an overlap watermark, file stream -> parquet."""
     stream = (
         spark.readStream.schema(schema)
         .option("maxFilesPerTrigger", 1)
         .option("pathGlobFilter", "*.parquet")
         .parquet(landing_glob)
-        .withColumn("event_time", event_time("created_at"))
-        .withWatermark("event_time", f"{overlap_days} days")
-        .dropDuplicatesWithinWatermark(["duplicate_key"])
-        .drop("event_time")
     )
+    deduped = dedup_within_watermark(stream, list(keys), ts_ntz, f"{overlap_days} days")
     q = (
-        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+        deduped.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         .outputMode("append").trigger(availableNow=True).start()
     )
     q.awaitTermination()

@@ -110,3 +110,49 @@ def test_text_of_times_in_a_dst_gap_of_the_session_zone(spark):
         assert clocks == ["02:30", "02:30"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_watermark_drops_late_rows_and_duplicates_on_events(spark):
+    """events: January 2024, ts never goes back in event_id order.  Late rows are
+    made by splitting the file: a few early events arrive only in a later delivery.
+    Spark filters late rows against the watermark of the batch before, so the late
+    delivery is the third micro-batch."""
+    from .conftest import SMALL_SF
+
+    events = spark.read.parquet(f"{SMALL_SF}/events.parquet")
+
+    def at(text):
+        return F.lit(text).cast("timestamp_ntz")
+
+    held_back = (F.col("ts") < at("2024-01-05 00:00:00")) & (F.col("event_id") % 7 == 0)
+    resent = (F.col("ts") >= at("2024-01-19 12:00:00")) & (F.col("ts") < at("2024-01-20 00:00:00"))
+    landing = scratch_path(spark, "events")
+    deliveries = [
+        events.filter((F.col("ts") < at("2024-01-10 00:00:00")) & ~held_back),
+        events.filter((F.col("ts") >= at("2024-01-10 00:00:00")) & (F.col("ts") < at("2024-01-20 00:00:00"))),
+        events.filter(F.col("ts") >= at("2024-01-20 00:00:00")).unionByName(events.filter(held_back))
+        .unionByName(events.filter(resent)),
+    ]
+    for i, part in enumerate(deliveries):
+        part.coalesce(1).write.parquet(f"{landing}/batch-{i:04d}")
+    out = collector.stream_dedup_overlap(spark, f"{landing}/*", events.schema, scratch_path(spark, "out"),
+                                         scratch_path(spark, "ckpt"), keys=("event_id",), ts_ntz="ts")
+    late_ids = {r[0] for r in events.filter(held_back).select("event_id").collect()}
+    got = out.select("event_id")
+    assert events.filter(resent).count() > 0
+    assert got.groupBy("event_id").count().filter("count > 1").count() == 0  # re-sent rows deduplicated
+    assert late_ids and not ({r[0] for r in got.collect()} & late_ids)       # late rows dropped
+    assert got.count() == events.count() - len(late_ids)
+
+
+def test_event_time_keeps_microseconds_in_any_session_zone(spark):
+    import datetime as dt
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 59, 738090),)], "ts timestamp_ntz")
+        got = df.select(F.unix_micros(collector.event_time("ts"))).first()[0]
+        assert got == int(dt.datetime(2024, 3, 10, 2, 30, 59, 738090, tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
