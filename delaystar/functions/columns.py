@@ -30,6 +30,7 @@ __all__ = [
     "lenient_int",
     "lenient_float",
     "epoch_to_time",
+    "epoch_seconds",
     "safe_date",
     "kpi_target_flag",
     "percent_text",
@@ -198,7 +199,11 @@ def lenient_float(c: Column | str) -> Column:
     return F.expr(f"try_cast({c} AS DOUBLE)") if isinstance(c, str) else c.try_cast("double")
 
 
-# F22 epoch seconds -> UTC instant (NTZ)
+# F22 epoch seconds <-> UTC instant (NTZ)
+def epoch_seconds(ts: Column | str) -> Column:
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _col(ts))
+
+
 def epoch_to_time(epoch: Column | str) -> Column:
     return F.timestamp_add("SECOND", _col(epoch), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 

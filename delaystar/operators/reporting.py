@@ -15,7 +15,7 @@ from delaystar import settings as S
 from delaystar.functions import columns as C
 
 
-def _minutes_aggs(prefix: str = "") -> list:
+def _minutes_aggs() -> list:
     return [
         F.sum("delay_seconds").alias("_sum_s"),
         F.count(F.col("delay_seconds")).alias("_n_s"),
@@ -144,6 +144,12 @@ def time_period_pivot(matrix: DataFrame) -> DataFrame:
     return p.select(*out).orderBy("route_number")
 
 
+def hourly_partials(view: DataFrame, by: str = "route_number") -> DataFrame:
+    """Rounded hourly averages per (hour, ``by``): the kind of partial rows A12 merges."""
+    return _finish_minutes(view.groupBy("observed_hour", by).agg(
+        *_minutes_aggs(), F.sum("observation_count").alias("observation_count")))
+
+
 # Merge partial hourly rows (count-weighted mean, clamped hour, 24 rows)
 def hourly_merge(rows: DataFrame) -> DataFrame:
     """Input: (observed_hour, avg_delay_minutes, observation_count) rows, possibly

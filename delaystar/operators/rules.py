@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 from delaystar import settings as S
 from delaystar.functions import columns as C
 from delaystar.functions import identity
-from delaystar.sources.payloads import _epoch_seconds
 
 
 def scalar_rules(observations: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
     local = C.local_time("created_at", zone)
     minutes = C.delay_minutes("delay_seconds")
-    epoch = _epoch_seconds(F.col("scheduled_departure"))
+    epoch = C.epoch_seconds("scheduled_departure")
     return observations.select(
         "observation_id",
         C.date_key("created_at", zone).alias("date_key"),                                   # F1

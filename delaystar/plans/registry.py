@@ -134,12 +134,7 @@ def _q_pivot(j: Job) -> DataFrame:
 @query("hourly_merge")
 def _q_hourly_merge(j: Job) -> DataFrame:
     """Partial rows per (hour, route) merged into 24 hourly rows."""
-    parts = reporting._finish_minutes(
-        j.view.groupBy("observed_hour", "route_number").agg(
-            *reporting._minutes_aggs(), F.sum("observation_count").alias("observation_count")
-        )
-    )
-    return reporting.hourly_merge(parts)
+    return reporting.hourly_merge(reporting.hourly_partials(j.view))
 
 
 @query("relative_bar")

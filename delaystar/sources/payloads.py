@@ -24,16 +24,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delaystar.functions import columns as C
 from delaystar.session import sized_broadcast
 from delaystar.sources.testdata import ROUTE_BY_ORDER_MOD5
 
-EPOCH = "1970-01-01 00:00:00"
-
-
-def _epoch_seconds(ts: Column) -> Column:
-    return F.timestamp_diff("SECOND", F.lit(EPOCH).cast("timestamp_ntz"), ts)
-
-
 def order_number(trip_id: str = "trip_id") -> Column:
     return F.substring(F.col(trip_id), 3, 64).cast("bigint")
 
@@ -84,9 +78,9 @@ def departure_payloads(raw: DataFrame, routes: DataFrame, stops: DataFrame) -> D
     part = F.col("tie_1")
     stop_time = F.struct(
         F.col("stop_id").alias("stopId"),
-        F.when(part % 97 == 1, F.lit(None)).otherwise(_epoch_seconds(F.col("scheduled_departure")))
+        F.when(part % 97 == 1, F.lit(None)).otherwise(C.epoch_seconds(F.col("scheduled_departure")))
         .alias("departureTime"),
-        F.when(part % 89 == 2, F.lit(None)).otherwise(_epoch_seconds(F.col("predicted_departure")))
+        F.when(part % 89 == 2, F.lit(None)).otherwise(C.epoch_seconds(F.col("predicted_departure")))
         .alias("predictedDepartureTime"),
         F.when(F.col("route_ref").isNull(), F.col("route_id")).alias("routeId"),
         F.when(part % 2 == 0, F.col("headsign")).alias("stopHeadsign"),

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.compare_oracle import TABLES, norm, table_hash
+from tools.compare_oracle import TABLES, table_hash
 
 from .conftest import SMALL_SF
 
