@@ -169,3 +169,30 @@ def dim_resolution(wh: Warehouse) -> DataFrame:
         F.col("_r").isNotNull().alias("route_resolved"),
         F.col("_s").isNotNull().alias("stop_resolved"),
     )
+
+
+# C11: the source audit as one row (one aggregate pass + the join-coverage subquery)
+def source_audit(observations: DataFrame, routes: DataFrame, stops: DataFrame) -> DataFrame:
+    dist = source_distribution(observations)
+    counters = mandatory_field_audit(observations)
+    coverage = join_coverage(observations, routes, stops)
+    out = dist.select(
+        "*",
+        *[counters.select(c).scalar().alias(c) for c in counters.columns],
+        *[coverage.select(c).scalar().alias(c) for c in coverage.columns],
+    )
+    return out
+
+
+# Every warehouse check as one row (Q1, Q2..Q8 in one pass, Q9 per table)
+def warehouse_checks(spark: SparkSession, raw: DataFrame, wh: Warehouse) -> DataFrame:
+    issues = warehouse_issue_row(wh)
+    counts = reconcile_counts(spark, raw, wh.fact)
+    dupes = duplicate_key_report(wh)
+    return issues.select(
+        counts.select("usable_raw_rows").scalar().alias("usable_raw_rows"),
+        counts.select("fact_rows").scalar().alias("fact_rows"),
+        *[dupes.filter(F.col("issue") == name).select("issue_count").scalar().alias(name)
+          for name in ("duplicate_fact_ids", "duplicate_route_keys", "duplicate_stop_keys", "duplicate_date_keys")],
+        *issues.columns,
+    )

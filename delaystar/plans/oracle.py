@@ -340,13 +340,11 @@ FROM obs ORDER BY created_at DESC NULLS LAST, observation_id LIMIT 20""",
 )
 
 # ---------------------------------------------------------------- warehouse checks
-register(
-    "reconcile_counts",
-    """
+RECONCILE = """
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM obs
         WHERE created_at IS NOT NULL AND delay_seconds IS NOT NULL AND delay_seconds >= 0) AS usable_raw_rows,
-       (SELECT CAST(count(*) AS BIGINT) FROM fact) AS fact_rows""",
-)
+       (SELECT CAST(count(*) AS BIGINT) FROM fact) AS fact_rows"""
+register("reconcile_counts", RECONCILE)
 
 DUPES = """
 SELECT 'duplicate_fact_ids' AS issue, CAST(count(*) AS BIGINT) AS issue_count
@@ -725,24 +723,18 @@ register(
     "SELECT collection_run_id, payload_id, stop_id, error_message AS message FROM scanned WHERE NOT accepted",
     extra_ctes=PAYLOADS,
 )
-register(
-    "sink_upsert_routes",
-    """
+UPSERT_ROUTES = """
 SELECT id, short_name, route_type FROM (
   SELECT id, short_name, route_type, 0 AS src, NULL::TIMESTAMP AS fetched_at, '' AS payload_id FROM routes
   UNION ALL SELECT id, short_name, route_type, 1, fetched_at, payload_id FROM ent_routes) AS u
-QUALIFY row_number() OVER (PARTITION BY id ORDER BY src DESC, fetched_at DESC NULLS FIRST, payload_id DESC) = 1""",
-    extra_ctes=PAYLOADS,
-)
-register(
-    "sink_upsert_stops",
-    """
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY src DESC, fetched_at DESC NULLS FIRST, payload_id DESC) = 1"""
+register("sink_upsert_routes", UPSERT_ROUTES, extra_ctes=PAYLOADS)
+UPSERT_STOPS = """
 SELECT id, name, lat, lon FROM (
   SELECT id, name, lat, lon, 0 AS src, NULL::TIMESTAMP AS fetched_at, '' AS payload_id FROM stops
   UNION ALL SELECT id, name, lat, lon, 1, fetched_at, payload_id FROM ent_stops) AS u
-QUALIFY row_number() OVER (PARTITION BY id ORDER BY src DESC, fetched_at DESC NULLS FIRST, payload_id DESC) = 1""",
-    extra_ctes=PAYLOADS,
-)
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY src DESC, fetched_at DESC NULLS FIRST, payload_id DESC) = 1"""
+register("sink_upsert_stops", UPSERT_STOPS, extra_ctes=PAYLOADS)
 register(
     "sink_upsert_runs",
     """
@@ -921,3 +913,45 @@ SELECT (EXISTS (SELECT 1 FROM v) OR EXISTS (SELECT 1 FROM range(24))) AS has_das
        EXISTS (SELECT 1 FROM snap) AS has_legacy_statistics""",
     extra_ctes=SNAP,
 )
+
+register(
+    "source_audit",
+    f"""
+SELECT CAST(count(*) AS BIGINT) AS observations, min(created_at) AS first_observed_at,
+       max(created_at) AS last_observed_at, CAST(min(delay_seconds) AS BIGINT) AS min_delay_seconds,
+       CAST(max(delay_seconds) AS BIGINT) AS max_delay_seconds,
+       {rmean('sum(delay_seconds)', 'count(delay_seconds)', 1)} AS avg_delay_seconds,
+       CAST(count(*) FILTER (WHERE observation_id IS NULL) AS BIGINT) AS missing_id,
+       CAST(count(*) FILTER (WHERE route_id IS NULL OR route_id = '') AS BIGINT) AS missing_route_id,
+       CAST(count(*) FILTER (WHERE stop_id IS NULL OR stop_id = '') AS BIGINT) AS missing_stop_id,
+       CAST(count(*) FILTER (WHERE direction_id IS NULL OR direction_id = '') AS BIGINT) AS missing_direction_id,
+       CAST(count(*) FILTER (WHERE created_at IS NULL) AS BIGINT) AS missing_created_at,
+       CAST(count(*) FILTER (WHERE scheduled_departure IS NULL) AS BIGINT) AS missing_scheduled_departure,
+       CAST(count(*) FILTER (WHERE predicted_departure IS NULL) AS BIGINT) AS missing_predicted_departure,
+       CAST(count(*) FILTER (WHERE delay_seconds IS NULL) AS BIGINT) AS missing_delay_seconds,
+       CAST(count(*) FILTER (WHERE delay_seconds < 0) AS BIGINT) AS negative_delay_seconds,
+       (SELECT CAST(count(*) AS BIGINT) FROM obs AS o WHERE o.route_id NOT IN (SELECT id FROM routes)
+           OR o.route_id IS NULL) AS observations_without_route,
+       (SELECT CAST(count(*) AS BIGINT) FROM obs AS o WHERE o.stop_id NOT IN (SELECT id FROM stops)
+           OR o.stop_id IS NULL) AS observations_without_stop
+FROM obs""",
+)
+register(
+    "warehouse_checks",
+    """
+SELECT (SELECT usable_raw_rows FROM rc) AS usable_raw_rows, (SELECT fact_rows FROM rc) AS fact_rows,
+       (SELECT issue_count FROM dk WHERE issue = 'duplicate_fact_ids') AS duplicate_fact_ids,
+       (SELECT issue_count FROM dk WHERE issue = 'duplicate_route_keys') AS duplicate_route_keys,
+       (SELECT issue_count FROM dk WHERE issue = 'duplicate_stop_keys') AS duplicate_stop_keys,
+       (SELECT issue_count FROM dk WHERE issue = 'duplicate_date_keys') AS duplicate_date_keys,
+       wi.*
+FROM wi""",
+    extra_ctes=(
+        "rc AS (" + RECONCILE + "),\n"
+        "dk AS (" + DUPES.format(fact="fact", dim_date="dim_date") + "),\n"
+        "wi AS (" + ISSUES.format(fact="fact") + ")"
+    ),
+)
+# A copy of what the collector's upserts left in the store
+register("extract_routes", UPSERT_ROUTES, extra_ctes=PAYLOADS)
+register("extract_stops", UPSERT_STOPS, extra_ctes=PAYLOADS)

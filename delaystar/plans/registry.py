@@ -537,3 +537,32 @@ def _q_gate(j: Job) -> DataFrame:
         "most_problematic_stops": snapshot.most_problematic_stops(snap),
     }
     return reporting.statistics_gate(reporting.load_statistics(j.view), legacy)
+
+
+@query("source_audit")
+def _q_source_audit(j: Job) -> DataFrame:
+    return quality.source_audit(j.observations, j.routes, j.stops)
+
+
+@query("warehouse_checks")
+def _q_warehouse_checks(j: Job) -> DataFrame:
+    return quality.warehouse_checks(j.spark, j.observations, j.wh)
+
+
+def _operational_store(j: Job) -> str:
+    """Routes and stops as the collector leaves them (payload upserts), written as the store."""
+    root = scratch_path(j.spark, "transit_data")
+    parsed = _parsed(j)
+    ingest.upsert_entities(j.routes, ingest.parsed_routes(parsed)).write.parquet(f"{root}/routes")
+    ingest.upsert_entities(j.stops, ingest.parsed_stops(parsed)).write.parquet(f"{root}/stops")
+    return root
+
+
+@query("extract_routes")
+def _q_extract_routes(j: Job) -> DataFrame:
+    return extract.extract_table(j.spark, extract.parquet_reader(_operational_store(j)), "routes")
+
+
+@query("extract_stops")
+def _q_extract_stops(j: Job) -> DataFrame:
+    return extract.extract_table(j.spark, extract.parquet_reader(_operational_store(j)), "stops")
