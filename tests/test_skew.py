@@ -52,3 +52,20 @@ def test_insert_ignore_counts_with_a_hot_key(spark):
     accepted = dedup.insert_ignore(df.limit(0), df)
     s = dedup.save_summary(df, accepted).first()
     assert (s.delay_observations_saved, s.duplicate_observations_skipped) == (2001, 999)
+
+
+def test_sized_broadcast_falls_back_above_the_bound(spark):
+    from delaystar.session import sized_broadcast
+
+    small = spark.range(5).withColumnRenamed("id", "k")
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = big.join(sized_broadcast(small, max_rows=10), "k")
+        plain = big.join(sized_broadcast(small, max_rows=2), "k")
+        assert "BroadcastHashJoin" in _plan(hinted)
+        assert "BroadcastHashJoin" not in _plan(plain) and "SortMergeJoin" in _plan(plain)
+        assert hinted.count() == plain.count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
