@@ -98,7 +98,7 @@ def main() -> None:
         "value": round(sum(medians.values()), 3),
         "unit": "sec",
         "queries": medians,
-        "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""),
+        "sf": _sf_value(SF_DIR),
         "runs": RUNS,
         "cpus": CPUS,
         "spark": pyspark.__version__,
@@ -107,6 +107,14 @@ def main() -> None:
     spark.stop()
 
 
+def _sf_value(path: str):
+    name = os.path.basename(path.rstrip("/")).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def F_plus5():
     from pyspark.sql import functions as F
 
