@@ -101,3 +101,10 @@ def test_rounded_mean_half_up_in_integers(spark):
 def test_percent_text(spark):
     got = one(spark, C.percent_text("a", "b"), [(4, 5), (1, 8), (0, 0)], "a bigint, b bigint")
     assert got == ["80.0%", "12.5%", None]
+
+
+def test_minutes_text_and_target_flag(spark):
+    rows = [(2.25,), (3.0,), (0.0,)]
+    got = spark.createDataFrame(rows, "m double").select(C.minutes_text("m"), C.kpi_target_flag("m")).collect()
+    assert [tuple(r) for r in got] == [("2.25 min", "target-ok"), ("3.00 min", "target-warning"),
+                                       ("0.00 min", "target-ok")]
