@@ -152,11 +152,11 @@ def is_significant_or_severe(category: Column) -> Column:
 def route_number_from_id(route_id: Column | str) -> Column:
     rid = F.trim(_col(route_id))
     digits = F.regexp_replace(rid, r"[^0-9]", "")
-    return (
-        F.when(digits.isin("3040", "4") | digits.endswith("3040"), F.lit("4"))
-        .when(digits.isin("3060", "6") | digits.endswith("3060"), F.lit("6"))
-        .otherwise(F.regexp_extract(rid, r"(?:^|[^0-9])([46])$", 1))
-    )
+    expr = None
+    for number, exact, suffix in S.ROUTE_NUMBER_CODES:
+        cond = digits.isin(*exact) | digits.endswith(suffix)
+        expr = F.when(cond, F.lit(number)) if expr is None else expr.when(cond, F.lit(number))
+    return expr.otherwise(F.regexp_extract(rid, S.TRAILING_ROUTE_NUMBER_PATTERN, 1))
 
 
 # F10 normalized headsign (trim, empty -> unknown, accent/case-insensitive merge)

@@ -13,6 +13,11 @@ LOCAL_ZONE = "Europe/Budapest"
 # Route numbers in scope of the reporting view.
 REPORT_ROUTE_NUMBERS = ("4", "6")
 
+# Route number from a route id (snapshot scope): the digits of the id equal or
+# end with these codes, else a trailing 4 or 6 not preceded by a digit.
+ROUTE_NUMBER_CODES = (("4", ("3040", "4"), "3040"), ("6", ("3060", "6"), "3060"))
+TRAILING_ROUTE_NUMBER_PATTERN = r"(?:^|[^0-9])([46])$"
+
 # Warehouse delay categories: upper bound in seconds (inclusive), then label.
 WAREHOUSE_ON_TIME_MAX = 60
 WAREHOUSE_MINOR_MAX = 180
