@@ -25,10 +25,6 @@ def _vget(v: Column, path: str, typ: str = "string") -> Column:
     return F.try_variant_get(v, path, typ)
 
 
-def _is_object(v: Column) -> Column:
-    return F.schema_of_variant(v).startswith("OBJECT")
-
-
 def _text(v: Column, path: str) -> Column:
     """Field as text; NULL when missing or empty (Python falsy text)."""
     return C.nonblank(_vget(v, path, "string"))
@@ -53,18 +49,21 @@ def scan_payloads(payloads: DataFrame) -> DataFrame:
 def with_reference_map(df: DataFrame, v: Column, path: str, name: str) -> DataFrame:
     """Add column ``name``: map id -> reference object.
 
-    Object form: keyed by the object key (non-objects dropped).  Array form:
-    objects with a non-empty ``id``; a later duplicate id wins.
+    Object form: keyed by the object key.  Array form: objects with a
+    non-empty ``id``; a later duplicate id wins.  No explicit object test is
+    needed: a field read of a non-object is NULL, so an array item without an
+    id is dropped, and a non-object value behaves like a missing reference
+    (every field NULL, so the same fallbacks apply).
     """
     items = F.filter(
         F.transform(_vget(v, path, "array<variant>"), lambda e: F.struct(_vget(e, "$.id").alias("id"), e.alias("val"))),
-        lambda x: _is_object(x["val"]) & C.nonblank(x["id"]).isNotNull(),
+        lambda x: C.nonblank(x["id"]).isNotNull(),
     )
     df = df.withColumn(f"{name}_items", items)
     arr = F.col(f"{name}_items")
     last = F.filter(arr, lambda x, i: ~F.exists(F.slice(arr, i + 2, F.greatest(F.size(arr) - i - 1, F.lit(1))),
                                                   lambda y: y["id"] == x["id"]))
-    as_object = F.map_filter(_vget(v, path, "map<string,variant>"), lambda k, e: _is_object(e))
+    as_object = _vget(v, path, "map<string,variant>")
     return df.withColumn(
         name, F.coalesce(as_object, F.map_from_entries(last), F.create_map().cast("map<string,variant>"))
     ).drop(f"{name}_items")
@@ -102,10 +101,8 @@ def parse_departures(scanned: DataFrame, limit: int = S.PARSE_LIMIT) -> DataFram
     """Accepted payloads -> one row per payload with its reference maps and the kept
     stop times (``_kept``: the first ``limit`` objects that carry a departure time)."""
     v = F.col("v")
-    stop_times = F.filter(
-        F.coalesce(_vget(v, "$.data.entry.stopTimes", "array<variant>"), F.array().cast("array<variant>")),
-        lambda e: _is_object(e),
-    )
+    # objects only, with a departure time (a field read of a non-object is NULL)
+    stop_times = F.coalesce(_vget(v, "$.data.entry.stopTimes", "array<variant>"), F.array().cast("array<variant>"))
     usable = F.filter(stop_times, lambda e: _vget(e, "$.departureTime", "bigint").isNotNull())
     base = scanned.filter("accepted").select(
         "payload_id", F.col("collection_run_id").alias("collection_id"), F.col("stop_id").alias("_requested"),
