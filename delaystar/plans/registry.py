@@ -1,8 +1,10 @@
 """Registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Each query reads the shared test tables and builds only what it needs through a
-per-call :class:`Job` (lazy; nothing is collected).  The DuckDB twin of each
-name lives in :mod:`delaystar.plans.oracle`.
+per-call :class:`Job`.  Queries are lazy, except that dimensions are checkpointed
+and size-checked, and the sink/stream queries write below the checkpoint folder
+and return what they wrote, read back.  Nothing is collected to the driver.
+The DuckDB twin of each name lives in :mod:`delaystar.plans.oracle`.
 """
 
 from __future__ import annotations
