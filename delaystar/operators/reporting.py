@@ -129,16 +129,27 @@ def time_period_delay_matrix(view: DataFrame) -> DataFrame:
         .orderBy("route_number", "time_period")
 
 
-PIVOT_COLUMNS = tuple(p.replace(" ", "_") for p in S.PERIOD_ORDER)
+def _column_name(period: str) -> str:
+    return "".join(ch if ch.isalnum() else "_" for ch in period.strip().lower()) or "unknown"
 
 
-# rows = routes, columns = periods in display order; absent cell NULL
+# rows = routes; columns = known periods in display order, then any other
+# period names alphabetically; an absent cell is NULL
 def time_period_pivot(matrix: DataFrame) -> DataFrame:
-    p = matrix.groupBy("route_number").pivot("time_period", list(S.PERIOD_ORDER)).agg(
+    """The column list is data-dependent only for unexpected period names; they are
+    found the way ``pivot`` itself finds values (a bounded distinct of the small
+    aggregated matrix)."""
+    others = sorted(
+        r[0] for r in matrix.select("time_period").distinct().filter(
+            F.col("time_period").isNotNull() & ~F.col("time_period").isin(*S.PERIOD_ORDER)).collect()
+    )
+    periods = list(S.PERIOD_ORDER) + others
+    p = matrix.groupBy("route_number").pivot("time_period", periods).agg(
         F.first("avg_delay_minutes").alias("avg"), F.first("observation_count").alias("n")
     )
     out = [F.col("route_number")]
-    for name, short in zip(S.PERIOD_ORDER, PIVOT_COLUMNS):
+    for name in periods:
+        short = _column_name(name)
         out.append(F.col(f"`{name}_avg`").alias(f"{short}_avg_delay_minutes"))
         out.append(F.col(f"`{name}_n`").cast("bigint").alias(f"{short}_observation_count"))
     return p.select(*out).orderBy("route_number")
