@@ -179,10 +179,17 @@ VIEW_COLUMNS = (
 # The shared reporting contract
 def dashboard_view(wh: Warehouse, route_numbers: tuple[str, ...] | None = S.REPORT_ROUTE_NUMBERS) -> DataFrame:
     routes = wh.dim_route
+    fact = wh.fact
     if route_numbers is not None:
         routes = routes.filter(F.col("route_number").isin(*route_numbers))
+        # P6 as a literal key list on the fact: reaches the parquet scan, where the
+        # route-clustered files let min/max statistics skip row groups.  The list is
+        # read from the (materialized, small) dimension only when it is short.
+        keys = [r[0] for r in routes.select("route_key").limit(S.MAX_SCOPE_KEYS + 1).collect()]
+        if len(keys) <= S.MAX_SCOPE_KEYS:
+            fact = fact.filter(F.col("route_key").isin(*keys))
     joined = (
-        wh.fact.join(wh.dim_date, on="date_key", how="inner")
+        fact.join(wh.dim_date, on="date_key", how="inner")
         .join(routes, on="route_key", how="inner")
         .join(wh.dim_stop, on="stop_key", how="inner")
     )

@@ -129,3 +129,6 @@ MONITORED_STOPS = (
 # executor (a city network has thousands of stops, hundreds of routes; the
 # date dimension has one row per day).
 MAX_BROADCAST_ROWS = 200_000
+
+# Largest route scope turned into a literal key filter on the fact scan.
+MAX_SCOPE_KEYS = 1_000
