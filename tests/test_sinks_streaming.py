@@ -198,3 +198,13 @@ def test_collector_replay_inserts_nothing_twice(spark):
     # a lost checkpoint replays every file against the same store
     again = collector.stream_collect(spark, f"{landing}/*", j.raw.schema, store, scratch_path(spark, "ckpt"))
     assert again.count() == n == j.observations.count()
+
+
+def test_monitored_stops_literal(spark):
+    from delaystar.sources import extract
+
+    df = extract.monitored_stops(spark)
+    rows = df.collect()
+    assert len(rows) == 20
+    assert sum(1 for r in rows if r.stop_name == "Harminckettesek tere ") == 2  # trailing space kept
+    assert all(r.route_short_names == ["4", "6"] for r in rows)
