@@ -164,6 +164,24 @@ def build_warehouse(raw: DataFrame, routes: DataFrame, stops: DataFrame, zone: s
     return Warehouse(dim_date, dim_route, dim_stop, fact, zone)
 
 
+def _date_key_of(day: str) -> int:
+    return int(day.replace("-", "")[:8])
+
+
+def _local_date_range(fact: DataFrame, date_from: str | None, date_to: str | None):
+    cond = F.lit(True)
+    if date_from is not None:
+        cond = cond & (F.col("date_key") >= _date_key_of(date_from))
+    if date_to is not None:
+        cond = cond & (F.col("date_key") <= _date_key_of(date_to))
+    if "observed_date" in fact.columns:  # stored fact: prune UTC-date partitions
+        if date_from is not None:
+            cond = cond & (F.col("observed_date") >= F.date_sub(F.lit(date_from).cast("date"), 1))
+        if date_to is not None:
+            cond = cond & (F.col("observed_date") <= F.date_add(F.lit(date_to).cast("date"), 1))
+    return cond
+
+
 VIEW_COLUMNS = (
     "calendar_date", "year", "month", "month_name", "day_of_week_number", "day_type",
     "route_number", "route_name", "route_type",
@@ -177,9 +195,15 @@ VIEW_COLUMNS = (
 
 
 # The shared reporting contract
-def dashboard_view(wh: Warehouse, route_numbers: tuple[str, ...] | None = S.REPORT_ROUTE_NUMBERS) -> DataFrame:
+def dashboard_view(wh: Warehouse, route_numbers: tuple[str, ...] | None = S.REPORT_ROUTE_NUMBERS,
+                   date_from: str | None = None, date_to: str | None = None) -> DataFrame:
+    """The reporting view; an optional local date range (inclusive) is applied on the
+    fact: ``date_key`` bounds reach the scan, and on a stored fact the one-day-widened
+    ``observed_date`` bounds prune UTC-date partitions."""
     routes = wh.dim_route
     fact = wh.fact
+    if date_from is not None or date_to is not None:
+        fact = fact.filter(_local_date_range(fact, date_from, date_to))
     if route_numbers is not None:
         routes = routes.filter(F.col("route_number").isin(*route_numbers))
         # P6 as a literal key list on the fact: reaches the parquet scan, where the

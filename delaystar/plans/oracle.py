@@ -955,3 +955,13 @@ FROM wi""",
 # A copy of what the collector's upserts left in the store
 register("extract_routes", UPSERT_ROUTES, extra_ctes=PAYLOADS)
 register("extract_stops", UPSERT_STOPS, extra_ctes=PAYLOADS)
+register(
+    "looker_metrics_date_range",
+    f"""
+SELECT route_number, calendar_date, delay_category,
+       {MIN} AS avg_delay_minutes, {rmean('max(delay_seconds)', '1')} AS max_delay_minutes,
+       CAST(sum(observation_count) AS BIGINT) AS observation_count,
+       CAST(sum(delayed_count) AS DOUBLE) / nullif(sum(observation_count), 0) AS delayed_share
+FROM v WHERE calendar_date BETWEEN DATE '2024-03-25' AND DATE '2024-04-07'
+GROUP BY route_number, calendar_date, delay_category""",
+)

@@ -568,3 +568,13 @@ def _q_extract_routes(j: Job) -> DataFrame:
 @query("extract_stops")
 def _q_extract_stops(j: Job) -> DataFrame:
     return extract.extract_table(j.spark, extract.parquet_reader(_operational_store(j)), "stops")
+
+
+@query("looker_metrics_date_range")
+def _q_looker_dates(j: Job) -> DataFrame:
+    """C14 with a date filter over the stored, date-partitioned fact (partition pruning)."""
+    path = scratch_path(j.spark, "fact-looker")
+    sinks.write_fact_partitioned(j.wh.fact, path)
+    stored = warehouse.Warehouse(j.wh.dim_date, j.wh.dim_route, j.wh.dim_stop, sinks.read_fact(j.spark, path), j.zone)
+    view = warehouse.dashboard_view(stored, date_from="2024-03-25", date_to="2024-04-07")
+    return reporting.looker_metrics(view, by=("route_number", "calendar_date", "delay_category"))
