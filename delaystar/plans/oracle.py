@@ -174,9 +174,7 @@ FROM v""",
 
 MIN = rmean("sum(delay_seconds)", "count(delay_seconds)")
 
-register(
-    "stop_delay_ranking",
-    f"""
+RANKING = f"""
 SELECT stop_name, headsign, {rmean('s', 'n')} AS avg_delay_minutes,
        significant_or_severe_count, observation_count
 FROM (SELECT stop_name, coalesce(nullif(headsign, ''), 'unknown') AS headsign,
@@ -185,8 +183,8 @@ FROM (SELECT stop_name, coalesce(nullif(headsign, ''), 'unknown') AS headsign,
              CAST(sum(observation_count) AS BIGINT) AS observation_count
       FROM v GROUP BY 1, 2) AS g
 ORDER BY avg_delay_minutes DESC, significant_or_severe_count DESC, stop_name, headsign
-LIMIT 15""",
-)
+LIMIT 15"""
+register("stop_delay_ranking", RANKING)
 
 register(
     "daily_delay_trend",
@@ -965,3 +963,28 @@ SELECT route_number, calendar_date, delay_category,
 FROM v WHERE calendar_date BETWEEN DATE '2024-03-25' AND DATE '2024-04-07'
 GROUP BY route_number, calendar_date, delay_category""",
 )
+
+
+def bar_sql(source_cte: str, value: str) -> str:
+    return (f"SELECT d.*, CASE WHEN m.top > 0 THEN d.{value} / m.top * 100.0 ELSE 0.0 END AS bar_percent "
+            f"FROM {source_cte} AS d, (SELECT max({value}) AS top FROM {source_cte}) AS m")
+
+
+register("relative_bar_ranking", bar_sql("ranked", "avg_delay_minutes"), extra_ctes=f"ranked AS ({RANKING})")
+register(
+    "relative_bar_hourly",
+    bar_sql("hourly", "avg_delay_minutes"),
+    extra_ctes=f"""hourly AS (
+  SELECT h.observed_hour, coalesce({rmean('g.w', 'g.n', 100)}, 0.0) AS avg_delay_minutes,
+         CAST(coalesce(g.n, 0) AS BIGINT) AS observation_count
+  FROM (SELECT CAST(i AS INTEGER) AS observed_hour FROM range(24) AS q(i)) AS h
+  LEFT JOIN (SELECT observed_hour AS hr, sum(CAST(round(avg_delay_minutes * 100) AS BIGINT) * observation_count) AS w,
+                    sum(observation_count) AS n
+             FROM ({HOURLY}) AS p GROUP BY 1) AS g ON g.hr = h.observed_hour)""",
+)
+register(
+    "relative_bar_category",
+    bar_sql("cats", "observation_count"),
+    extra_ctes="""cats AS (
+  SELECT delay_category, CAST(sum(observation_count) AS BIGINT) AS observation_count FROM v GROUP BY delay_category)""",
+)

@@ -578,3 +578,18 @@ def _q_looker_dates(j: Job) -> DataFrame:
     stored = warehouse.Warehouse(j.wh.dim_date, j.wh.dim_route, j.wh.dim_stop, sinks.read_fact(j.spark, path), j.zone)
     view = warehouse.dashboard_view(stored, date_from="2024-03-25", date_to="2024-04-07")
     return reporting.looker_metrics(view, by=("route_number", "calendar_date", "delay_category"))
+
+
+@query("relative_bar_ranking")
+def _q_bar_ranking(j: Job) -> DataFrame:
+    return reporting.relative_bar(reporting.stop_delay_ranking(j.view), "avg_delay_minutes")
+
+
+@query("relative_bar_hourly")
+def _q_bar_hourly(j: Job) -> DataFrame:
+    return reporting.relative_bar(reporting.hourly_merge(reporting.hourly_delay_trend(j.view)), "avg_delay_minutes")
+
+
+@query("relative_bar_category")
+def _q_bar_category(j: Job) -> DataFrame:
+    return reporting.relative_bar(reporting.delay_category_breakdown(j.view), "observation_count")
