@@ -52,13 +52,15 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
 
 # Fact partitioned by UTC date, clustered by route and stop inside files
 def write_fact_partitioned(fact: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
-    """Range-partition on (date, route, stop) so every task writes few date folders
+    """Range-partition on (date, route, stop, id) so every task writes few date folders
     with rows clustered by route/stop (parquet min/max skipping), and one hot
     date is split across tasks instead of landing in one.  Without an explicit
     ``partitions`` AQE sizes the write tasks from the shuffle statistics, so the
     file count follows the data volume."""
     out = fact.withColumn("observed_date", F.to_date("observed_at")) if "observed_date" not in fact.columns else fact
-    keys = ("observed_date", "route_key", "stop_key")
+    # the unique id as last key lets the range partitioner split even one hot
+    # (date, route, stop) value across tasks, without losing the clustering
+    keys = ("observed_date", "route_key", "stop_key", "source_observation_id")
     ranged = out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys)
     (
         ranged.sortWithinPartitions(*keys)

@@ -69,3 +69,21 @@ def test_sized_broadcast_falls_back_above_the_bound(spark):
         assert hinted.count() == plain.count() == 5
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_fact_write_splits_one_hot_date_route_stop(spark):
+    import glob
+
+    from delaystar.session import scratch_path
+    from delaystar.sources import sinks
+
+    t = dt.datetime(2024, 5, 1, 12, 0)
+    fact = spark.range(4000).select(
+        F.concat(F.lit("o"), F.col("id").cast("string")).alias("source_observation_id"),
+        F.lit("R").alias("route_key"), F.lit("S").alias("stop_key"),
+        F.lit(t).cast("timestamp_ntz").alias("observed_at"),
+    )
+    path = scratch_path(spark, "hot-fact")
+    sinks.write_fact_partitioned(fact, path, partitions=4)
+    assert len(glob.glob(f"{path}/observed_date=*/*.parquet")) == 4  # one value, four writer tasks
+    assert spark.read.parquet(path).count() == 4000
