@@ -84,3 +84,19 @@ def test_time_period_pivot_orders_known_then_other_periods(spark):
     rows = {r.route_number: r for r in out.collect()}
     assert rows["4"].morning_peak_avg_delay_minutes is None and rows["4"].night_observation_count == 1
     assert rows["6"].morning_peak_observation_count == 5
+
+
+def test_empty_scope_gives_zero_kpi_and_dense_hours(spark):
+    from delaystar.operators import warehouse
+    from delaystar.plans.registry import Job
+
+    from .conftest import SMALL_SF
+
+    j = Job(spark, SMALL_SF)
+    view = warehouse.dashboard_view(j.wh, route_numbers=("99",))
+    assert view.count() == 0
+    assert tuple(reporting.kpi_summary(view).first()) == (0.0, 0.0, 0, 0.0, 0)
+    hours = reporting.hourly_delay_trend(view).collect()
+    assert len(hours) == 24 and all(h.observation_count == 0 for h in hours)
+    assert reporting.stop_delay_ranking(view).count() == 0
+    assert reporting.hourly_merge(reporting.hourly_partials(view)).count() == 0  # empty in, empty out
