@@ -43,16 +43,27 @@ def dedup_latest_by_id(observations: DataFrame, key: str = "observation_id") ->
 
 
 def insert_ignore(
-    target: DataFrame, batch: DataFrame, key: str = "duplicate_key", order: Sequence[Column] | None = None
+    target: DataFrame, batch: DataFrame, key: str = "duplicate_key", order: Sequence[Column] | None = None,
+    key_time: str | None = "scheduled_departure",
 ) -> DataFrame:
     """Rows of ``batch`` that a unique-key insert would accept.
 
     In-batch duplicates: the first by arrival order wins.  Keys already in
-    ``target`` are skipped (left anti join on the key only, so just the key
-    column of the target is read).
+    ``target`` are skipped (left anti join reading only the key column).  The
+    natural key embeds ``key_time`` (the scheduled departure), so only target rows
+    inside the batch's ``key_time`` range can match: the target is filtered on
+    that range (bounds are scalar subqueries, evaluated at run time), which lets
+    a store partitioned or clustered by that time skip everything else.
     """
     first = keep_first(batch, [key], order or arrival_order())
-    return first.join(target.select(key), on=key, how="left_anti")
+    known = target
+    if key_time and key_time in target.columns and key_time in batch.columns:
+        lo = batch.select(F.min(key_time)).scalar()
+        hi = batch.select(F.max(key_time)).scalar()
+        known = target.filter(F.col(key_time).between(lo, hi))
+        if "scheduled_date" in target.columns:  # store layout: prune partitions at run time
+            known = known.filter(F.col("scheduled_date").between(F.to_date(lo), F.to_date(hi)))
+    return first.join(known.select(key), on=key, how="left_anti")
 
 
 def upsert_last_wins(target: DataFrame, batch: DataFrame, key: str = "id") -> DataFrame:

@@ -87,3 +87,21 @@ def test_fact_write_splits_one_hot_date_route_stop(spark):
     sinks.write_fact_partitioned(fact, path, partitions=4)
     assert len(glob.glob(f"{path}/observed_date=*/*.parquet")) == 4  # one value, four writer tasks
     assert spark.read.parquet(path).count() == 4000
+
+
+def test_insert_ignore_prunes_store_partitions_to_the_batch_range(spark):
+    from delaystar.plans.registry import Job
+    from delaystar.session import scratch_path
+
+    from .conftest import SMALL_SF
+
+    j = Job(spark, SMALL_SF)
+    store = scratch_path(spark, "store")
+    j.observations.withColumn("scheduled_date", F.to_date("scheduled_departure")) \
+        .write.partitionBy("scheduled_date").parquet(store)
+    target = spark.read.parquet(store)
+    batch = j.raw.filter(F.col("scheduled_departure") < F.lit("2024-01-05").cast("timestamp_ntz"))
+    out = dedup.insert_ignore(target, batch)
+    assert out.count() == 0  # everything in the batch is already stored
+    plan = _plan(out)
+    assert "PartitionFilters: [isnotnull(scheduled_date" in plan and "Subquery" in plan
