@@ -58,25 +58,28 @@ def merge_fact(fact: DataFrame, batch_fact: DataFrame) -> DataFrame:
     return dedup.merge_by_id(fact, batch_fact, "source_observation_id")
 
 
-def merge_fact_partitions(fact_path: str, batch_fact: DataFrame) -> None:
-    """I4 on the stored fact: rewrite only the UTC-date partitions the batch touches.
-
-    A re-delivered observation keeps its ``created_at`` (raw staging never
-    changes it), so its current fact row sits in the batch's date range; the
-    duplicate-id check (Q9) would show a violation of that assumption.  The
-    merged slice is checkpointed before the dynamic partition overwrite, so the
-    job does not overwrite files it is still reading.
+def merge_fact_partitions(fact_path: str, batch_fact: DataFrame, key: str = "source_observation_id") -> None:
+    """I4 on the stored fact: rewrite only the UTC-date partitions the merge touches.
+
+    Touched partitions are the batch's dates plus every date that currently
+    holds one of the batch's ids (found with a semi join on a two-column scan),
+    so a re-delivered row whose day changed leaves no stale copy behind.  They
+    are selected with a semi join on the partition column (dynamic partition
+    pruning).  The merged slice is checkpointed before the dynamic partition
+    overwrite, so the job never overwrites files it is still reading.
     """
-    from delaystar.session import materialize
+    from delaystar.session import materialize, sized_broadcast
     from delaystar.sources import sinks
 
     spark = batch_fact.sparkSession
     batch = materialize(batch_fact.withColumn("observed_date", F.to_date("observed_at")))
-    bounds = batch.agg(F.min("observed_date").alias("lo"), F.max("observed_date").alias("hi")).first()
-    if bounds["lo"] is None:
+    if batch.isEmpty():
         return
-    target = spark.read.parquet(fact_path).filter(F.col("observed_date").between(bounds["lo"], bounds["hi"]))
-    merged = materialize(dedup.merge_by_id(target, batch.select(*target.columns), "source_observation_id"))
+    stored = spark.read.parquet(fact_path)
+    holding = stored.select(key, "observed_date").join(batch.select(key), key, "left_semi").select("observed_date")
+    dates = materialize(holding.unionByName(batch.select("observed_date")).distinct())
+    target = stored.join(sized_broadcast(dates), "observed_date", "left_semi")
+    merged = materialize(dedup.merge_by_id(target, batch.select(*target.columns), key))
     sinks.write_fact_partitioned(merged, fact_path, mode="overwrite")
 
 

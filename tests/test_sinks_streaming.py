@@ -208,3 +208,31 @@ def test_monitored_stops_literal(spark):
     assert len(rows) == 20
     assert sum(1 for r in rows if r.stop_name == "Harminckettesek tere ") == 2  # trailing space kept
     assert all(r.route_short_names == ["4", "6"] for r in rows)
+
+
+def test_in_place_merge_moves_a_row_to_another_day_without_a_stale_copy(spark):
+    import datetime as dt
+
+    from delaystar.operators import incremental
+    from delaystar.operators.warehouse import FACT_COLUMNS
+
+    cols = ("source_observation_id string, date_key bigint, route_key string, stop_key string, "
+            "collection_run_id string, trip_id string, headsign string, direction_id string, stop_sequence bigint, "
+            "observed_at timestamp_ntz, scheduled_departure timestamp_ntz, predicted_departure timestamp_ntz, "
+            "delay_seconds bigint, delay_minutes double, delay_category string, source_delay_category string, "
+            "time_period string, observation_count bigint")
+
+    def row(i, day, delay):
+        t = dt.datetime(2024, 6, day, 23, 50)
+        return (f"o{i}", 20240600 + day, "R", "S", "r", "t", "h", "0", 1, t, t, t, delay, delay / 60.0,
+                "on time", "on_time", "other period", 1)
+
+    stored = spark.createDataFrame([row(1, 27, 10), row(2, 27, 20), row(3, 29, 30)], cols)
+    path = scratch_path(spark, "fact")
+    sinks.write_fact_partitioned(stored, path)
+    # o1 is re-delivered with a later copy on the 28th; o4 is new
+    batch = spark.createDataFrame([row(1, 28, 99), row(4, 28, 40)], cols).select(*FACT_COLUMNS)
+    incremental.merge_fact_partitions(path, batch)
+    got = {r.source_observation_id: (str(r.observed_date), r.delay_seconds) for r in sinks.read_fact(spark, path).collect()}
+    assert got == {"o1": ("2024-06-28", 99), "o2": ("2024-06-27", 20), "o3": ("2024-06-29", 30),
+                   "o4": ("2024-06-28", 40)}
