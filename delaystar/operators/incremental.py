@@ -73,11 +73,10 @@ def merge_fact_partitions(fact_path: str, batch_fact: DataFrame, key: str = "sou
 
     spark = batch_fact.sparkSession
     batch = materialize(batch_fact.withColumn("observed_date", F.to_date("observed_at")))
-    if batch.isEmpty():
-        return
     stored = spark.read.parquet(fact_path)
     holding = stored.select(key, "observed_date").join(batch.select(key), key, "left_semi").select("observed_date")
-    dates = materialize(holding.unionByName(batch.select("observed_date")).distinct())
+    dates = holding.unionByName(batch.select("observed_date")).distinct()
+    # an empty batch touches no date: the overwrite below then writes nothing
     target = stored.join(sized_broadcast(dates), "observed_date", "left_semi")
     merged = materialize(dedup.merge_by_id(target, batch.select(*target.columns), key))
     sinks.write_fact_partitioned(merged, fact_path, mode="overwrite")
