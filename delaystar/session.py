@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,13 +32,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    The cluster's ``spark.checkpoint.dir`` is used as is; only when it is unset
-    (a laptop or a test) a scratch folder is created and registered.
+    The cluster's ``spark.checkpoint.dir`` is used as is.  Where it is unset, a
+    local master (a laptop or a test) gets a scratch folder; any other master
+    raises, because executors do not see the driver's own folders.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master}")
     folder = tempfile.mkdtemp(prefix="delaystar-ckpt-")
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
@@ -47,13 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, not yet existing path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if "://" in base:
-        import uuid
-
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}/t"
-    os.makedirs(base, exist_ok=True)
-    return os.path.join(tempfile.mkdtemp(prefix=f"{name}-", dir=base), "t")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}/t"
 
 
 def materialize(df: DataFrame) -> DataFrame:
