@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaystar.llm import chat, mixing, urls, warc
+from delaystar.llm import bpe, byte_cnn, chat, lang_kernel, mixing, quality_rules, urls, warc
 from delaystar.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,20 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(read_table(spark, sf_dir, "documents"))
+
+
+def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return byte_cnn.score_documents(documents, byte_cnn.train(documents, read_table(spark, sf_dir, "labels")))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return lang_kernel.predict_languages(documents, lang_kernel.train(documents))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, sf_dir, "pages"))
 
@@ -28,6 +42,13 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(spark, read_table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_warc, op2_mixing, op7_url_filter, op9_chat_format)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    return quality_rules.judge_documents(documents, quality_rules.train(documents, read_table(spark, sf_dir, "labels")))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_warc, op2_mixing, op3_bpe, op4_byte_cnn, op6_language_id, op7_url_filter, op9_chat_format, op10_quality_rules,
+)}
 
 SQL: dict[str, str] = {"op1_warc": warc.oracle(), "op2_mixing": mixing.oracle(), "op7_url_filter": urls.oracle()}
