@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaystar.llm import bpe, byte_cnn, chat, lang_kernel, mixing, quality_rules, urls, warc
+from delaystar.llm import bpe, byte_cnn, chat, fingerprints, lang_kernel, mixing, quality_rules, urls, warc
 from delaystar.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_cnn.score_documents(documents, byte_cnn.train(documents, read_table(spark, sf_dir, "labels")))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read_table(spark, sf_dir, "documents")
     return lang_kernel.predict_languages(documents, lang_kernel.train(documents))
@@ -48,7 +52,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_warc, op2_mixing, op3_bpe, op4_byte_cnn, op6_language_id, op7_url_filter, op9_chat_format, op10_quality_rules,
+    op1_warc, op2_mixing, op3_bpe, op4_byte_cnn, op5_fingerprints, op6_language_id, op7_url_filter, op9_chat_format, op10_quality_rules,
 )}
 
 SQL: dict[str, str] = {"op1_warc": warc.oracle(), "op2_mixing": mixing.oracle(), "op7_url_filter": urls.oracle()}
