@@ -22,6 +22,8 @@ follow each other; a single row is followed by itself; other columns are dropped
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,11 +46,6 @@ COARSE, BUCKET_ROWS = 128, 2000
 _FINE = 1 << 32
 
 
-def _signed(v: int) -> int:
-    v &= (1 << 64) - 1
-    return v - (1 << 64) if v >> 63 else v
-
-
 def cycle(i: int) -> tuple[int, int]:
     """Start and odd stride of bin ``i``'s cycle through all bins, from a fixed mixer."""
     z = (i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
@@ -57,12 +54,10 @@ def cycle(i: int) -> tuple[int, int]:
     return z >> 8 & BINS - 1, (z >> 24 | 1) & BINS - 1
 
 
-def _longs(values: list[int]) -> Column:
-    return F.array(*(F.lit(v).cast("bigint") for v in values))
-
-
-def _ints(values: list[int]) -> Column:
-    return F.array(*(F.lit(v) for v in values))
+def _literals(values: Iterable, suffix: str = "") -> Column:
+    """An array literal; one parsed expression instead of a column object per value."""
+    shown = (f"-{-v}{suffix}" if v < 0 else f"{v}{suffix}" for v in values)
+    return F.expr(f"array({', '.join(shown)})")
 
 
 def words(text: Column) -> Column:
@@ -88,7 +83,7 @@ def bin_minima(hashes: Column) -> Column:
     One marker per bin, the largest value that the bin can hold, joins the hashes;
     after sorting, the first entry of each bin is its minimum or the marker.
     """
-    markers = _longs([_signed((j - BINS // 2 << _SHIFT) | _LOW) for j in range(BINS)])
+    markers = _literals(((j - BINS // 2 << _SHIFT) | _LOW for j in range(BINS)), "L")
     bin_of = lambda h: F.shiftright(h, _SHIFT)
     firsts = let(
         F.sort_array(F.concat(hashes, markers)),
@@ -100,14 +95,18 @@ def bin_minima(hashes: Column) -> Column:
 def densify(minima: Column) -> Column:
     """Every bin with a value: its own, or that of the first non-empty bin on its cycle."""
     starts, strides = zip(*(cycle(i) for i in range(BINS)), strict=True)
-    inverse = [pow(s, -1, BINS) for s in strides]
-    visits = _ints([(starts[i] + t * strides[i]) % BINS for i in range(BINS) for t in range(TRIES)])
-    first, back = _ints(list(starts)), _ints(inverse)
+    tables = F.struct(
+        _literals(starts).alias("start"),
+        _literals(strides).alias("stride"),
+        _literals(pow(s, -1, BINS) for s in strides).alias("back"),
+    )
+    wrap = lambda n: n.bitwiseAND(F.lit(BINS - 1))
 
-    def filled(m: Column, full: Column) -> Column:
+    def filled(m: Column, full: Column, t: Column) -> Column:
         def value(x: Column, i: Column) -> Column:
-            tried = [F.get(m, F.get(visits, i * TRIES + t)) for t in range(TRIES)]
-            step = lambda p: ((p["bin"] - F.get(first, i) + BINS) * F.get(back, i)).bitwiseAND(F.lit(BINS - 1))
+            start, stride = F.get(t["start"], i), F.get(t["stride"], i)
+            tried = [F.get(m, wrap(start + k * stride)) for k in range(TRIES)]
+            step = lambda p: wrap((p["bin"] - start + BINS) * F.get(t["back"], i))
             ranked = F.array_min(F.transform(full, lambda p: F.struct(step(p).alias("step"), p["value"].alias("value"))))
             return F.coalesce(x, *tried, ranked["value"])  # evaluated from left to right, as far as needed
 
@@ -115,7 +114,8 @@ def densify(minima: Column) -> Column:
 
     def with_full(m: Column) -> Column:
         pairs = F.transform(m, lambda x, i: F.struct(i.alias("bin"), x.alias("value")))
-        return let(F.filter(pairs, lambda p: p["value"].isNotNull()), lambda full: filled(m, full))
+        full = F.filter(pairs, lambda p: p["value"].isNotNull())
+        return let(full, lambda f: let(tables, lambda t: filled(m, f, t)))
 
     return let(minima, with_full)
 
@@ -175,10 +175,10 @@ def bucket_column(documents: DataFrame) -> Column:
     cells = max(1, found["n"] // (COARSE * BUCKET_ROWS))
     bounds = sorted({found["lo"], *found["cuts"]})
     ends = [*bounds[1:], found["hi"] + 1]
-    at = F.size(F.filter(_longs(bounds), lambda b: b <= F.col("doc_id"))) - 1
+    at = F.size(F.filter(_literals(bounds, "L"), lambda b: b <= F.col("doc_id"))) - 1
     low = [float(b) for b in bounds]
     width = [max(float(e) - float(b), 1.0) for b, e in zip(bounds, ends, strict=True)]
-    inside = (F.col("doc_id").cast("double") - F.get(F.array(*map(F.lit, low)), at)) / F.get(F.array(*map(F.lit, width)), at)
+    inside = (F.col("doc_id").cast("double") - F.get(_literals(low, "D"), at)) / F.get(_literals(width, "D"), at)
     cell = F.least(F.greatest(F.floor(inside * cells), F.lit(0)), F.lit(cells - 1))
     return F.when(F.col("doc_id").isNull(), F.lit(-1).cast("bigint")).otherwise(at * F.lit(_FINE).cast("bigint") + cell)
 

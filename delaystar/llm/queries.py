@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from delaystar.llm import bpe, byte_cnn, chat, fingerprints, lang_kernel, mixing, quality_rules, urls, warc
+from delaystar.llm import bpe, byte_cnn, chat, fingerprints, jaccard, lang_kernel, mixing, quality_rules, urls, warc
 from delaystar.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read_table(spark, sf_dir, "pages"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(spark, read_table(spark, sf_dir, "conversations"))
 
@@ -52,7 +56,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_warc, op2_mixing, op3_bpe, op4_byte_cnn, op5_fingerprints, op6_language_id, op7_url_filter, op9_chat_format, op10_quality_rules,
+    op1_warc, op2_mixing, op3_bpe, op4_byte_cnn, op5_fingerprints, op6_language_id, op7_url_filter, op8_jaccard_join, op9_chat_format, op10_quality_rules,
 )}
 
 SQL: dict[str, str] = {"op1_warc": warc.oracle(), "op2_mixing": mixing.oracle(), "op7_url_filter": urls.oracle()}
