@@ -37,12 +37,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaystar.llm.tables import arrow_schema, stored, to_batch
+from delaystar.llm.tables import arrow_schema, fresh_name, stored, to_batch
 
 #: Shingle width and similarity of the judged query, and of near-duplicate stages elsewhere.
 WIDTH, SIMILARITY = 4, (85, 100)
@@ -351,8 +352,6 @@ def keep_one_per_group(
     share a doc_id (or have none) are told apart by their text's class; of those with
     one id and class, one stays.
     """
-    from delaystar.llm.tables import fresh_name
-
     members = stored(memberships(documents, width), "members")
     named = stored(_named(members, class_components(documents, members, width, Similarity(*similarity))), "named")
     many = named.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1 OR doc_id IS NULL")
@@ -378,8 +377,6 @@ def _orderable(documents: DataFrame) -> list[Column]:
 
 
 def _class_keys(width: int):
-    import pandas as pd
-
     def keys(texts: pd.Series) -> pd.Series:
         sets = [shingle_set(t, width) for t in texts.tolist()]
         return pd.Series([class_key(s) if len(s) else None for s in sets], dtype="Int64")

@@ -23,6 +23,7 @@ import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,14 +167,13 @@ def predict_languages(documents: DataFrame, model: KernelModel) -> DataFrame:
 
 def keep_languages(documents: DataFrame, model: KernelModel) -> DataFrame:
     """Rows whose text is of a learned language with a score of ``MIN_SCORE`` at least; all columns as they are."""
-    accepted = F.pandas_udf(lambda texts: _accepted(texts, model), "boolean")
+
+    def accept(texts: pd.Series) -> pd.Series:
+        names, scores = model.predict(texts.tolist())
+        return pd.Series([n != UNKNOWN and s >= MIN_SCORE for n, s in zip(names, scores, strict=True)], dtype=bool)
+
+    accepted = F.pandas_udf(accept, "boolean")
     name = fresh_name(documents, "accepted")
     columns = [F.col(f"`{c}`") for c in documents.columns]
     return documents.withColumn(name, accepted("text")).where(F.col(name)).select(*columns)
 
-
-def _accepted(texts, model: KernelModel):
-    import pandas as pd
-
-    names, scores = model.predict(texts.tolist())
-    return pd.Series([n != UNKNOWN and s >= MIN_SCORE for n, s in zip(names, scores, strict=True)])

@@ -16,6 +16,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -224,13 +225,12 @@ def judge_documents(documents: DataFrame, forest: Forest) -> DataFrame:
 
 def keep_documents(documents: DataFrame, forest: Forest) -> DataFrame:
     """The rows of ``documents`` that are kept, all columns as they are."""
-    verdict = F.pandas_udf(lambda texts: _kept(texts, forest), "boolean")
+
+    def kept(texts: pd.Series) -> pd.Series:
+        return pd.Series(judge(texts.tolist(), forest)["kept"], dtype=bool)
+
+    verdict = F.pandas_udf(kept, "boolean")
     name = fresh_name(documents, "kept")
     columns = [F.col(f"`{c}`") for c in documents.columns]
     return documents.withColumn(name, verdict("text")).where(F.col(name)).select(*columns)
 
-
-def _kept(texts, forest: Forest):
-    import pandas as pd
-
-    return pd.Series(judge(texts.tolist(), forest)["kept"])

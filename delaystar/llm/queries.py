@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from delaystar.llm import bpe, byte_cnn, chat, fingerprints, jaccard, lang_kernel, mixing, quality_rules, urls, warc
 from delaystar.llm.tables import read_table
 
@@ -59,4 +60,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_warc, op2_mixing, op3_bpe, op4_byte_cnn, op5_fingerprints, op6_language_id, op7_url_filter, op8_jaccard_join, op9_chat_format, op10_quality_rules,
 )}
 
+QUERIES["pipeline"] = corpus_pipeline.run
+
 SQL: dict[str, str] = {"op1_warc": warc.oracle(), "op2_mixing": mixing.oracle(), "op7_url_filter": urls.oracle()}
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
