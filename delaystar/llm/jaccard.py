@@ -196,7 +196,8 @@ def ranked_sets(documents: DataFrame, survivors: DataFrame, width: int, sim: Sim
     ``m`` counts the elements that some other class has; classes where it is too
     small for any partner drop out.
     """
-    texts = documents.select("doc_id", "text").join(survivors, "doc_id").select("text", "k")
+    # A merge join at every size: the survivors are a share of the documents, not a small table.
+    texts = documents.select("doc_id", "text").join(survivors.hint("merge"), "doc_id").select("text", "k")
     rows = _elements(texts, width, lambda n: n, "element bigint, k bigint, n bigint", wanted=True)
     frequency = F.count("*").over(Window.partitionBy("element")).cast("int")
     counted = shared_only(rows.withColumn("df", frequency))
