@@ -27,8 +27,7 @@ __all__ = [
     "clean_headsign",
     "history_text",
     "local_clock",
-    "lenient_int",
-    "lenient_float",
+    "strip",
     "epoch_to_time",
     "epoch_seconds",
     "safe_date",
@@ -132,7 +131,7 @@ def is_delayed(seconds: Column | str) -> Column:
 
 # F8 display category of an operational observation
 def display_category(category: Column | str, seconds: Column | str) -> Column:
-    name = F.translate(F.lower(F.trim(_col(category))), "_", " ")
+    name = F.translate(F.lower(strip(category)), "_", " ")
     s = _col(seconds)
     major_name, major_as = S.MAJOR_DELAY_DISPLAY
     return (
@@ -150,7 +149,7 @@ def is_significant_or_severe(category: Column) -> Column:
 # 3060/6 (or ending 3060) -> '6', else a trailing single 4/6 not preceded by
 # a digit, else ''.
 def route_number_from_id(route_id: Column | str) -> Column:
-    rid = F.trim(_col(route_id))
+    rid = strip(route_id)
     digits = F.regexp_replace(rid, r"[^0-9]", "")
     expr = None
     for number, exact, suffix in S.ROUTE_NUMBER_CODES:
@@ -161,7 +160,7 @@ def route_number_from_id(route_id: Column | str) -> Column:
 
 # F10 normalized headsign (trim, empty -> unknown, accent/case-insensitive merge)
 def normalized_headsign(headsign: Column | str) -> Column:
-    h = F.trim(F.coalesce(_col(headsign), F.lit("")))
+    h = strip(F.coalesce(_col(headsign), F.lit("")))
     folded = F.collate(h, "UNICODE_CI_AI")
     merged = F.lit(False)
     for key in S.MERGED_HEADSIGN_KEYS:
@@ -190,13 +189,9 @@ def local_clock(ts: Column | str, zone: str = S.LOCAL_ZONE) -> Column:
     return F.coalesce(F.substring(local_time(ts, zone).cast("string"), 12, 5), F.lit(S.MISSING_TEXT))
 
 
-# F21 lenient numbers from text or variant
-def lenient_int(c: Column | str) -> Column:
-    return F.expr(f"try_cast({c} AS BIGINT)") if isinstance(c, str) else c.try_cast("bigint")
-
-
-def lenient_float(c: Column | str) -> Column:
-    return F.expr(f"try_cast({c} AS DOUBLE)") if isinstance(c, str) else c.try_cast("double")
+# White space of any kind off both ends (``trim`` takes blanks only)
+def strip(c: Column | str) -> Column:
+    return F.regexp_replace(_col(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 # F22 epoch seconds <-> UTC instant (NTZ)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from delaystar.session import dimension
 from delaystar.sources.testdata import TIE_COLUMNS
 
 
@@ -55,9 +56,12 @@ def insert_ignore(
     that range (bounds are scalar subqueries, evaluated at run time), which lets
     a store partitioned or clustered by that time skip everything else.
     """
+    bounded = bool(key_time) and key_time in target.columns and key_time in batch.columns
+    if bounded:  # the bounds read the batch besides the insert: evaluate it once
+        batch = dimension(batch)
     first = keep_first(batch, [key], order or arrival_order())
     known = target
-    if key_time and key_time in target.columns and key_time in batch.columns:
+    if bounded:
         lo = batch.select(F.min(key_time)).scalar()
         hi = batch.select(F.max(key_time)).scalar()
         known = target.filter(F.col(key_time).between(lo, hi))
@@ -66,26 +70,15 @@ def insert_ignore(
     return first.join(known.select(key), on=key, how="left_anti")
 
 
-def upsert_last_wins(target: DataFrame, batch: DataFrame, key: str = "id") -> DataFrame:
-    """``INSERT ... ON CONFLICT (key) DO UPDATE`` all non-key columns.
+def merge_by_id(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """I4: MERGE (update matched, insert new) of a batch already unique per ``key``.
 
-    The batch is ranked after the target (``_src`` 1 beats 0) and by its own
-    arrival sequence ``_seq`` (later beats earlier), so the last write wins.
+    Target rows whose id the batch does not bring are kept, then the batch is added.
+    Against a small batch the anti join broadcasts the batch's ids, so the target is
+    scanned once and neither shuffled nor sorted.  Rows without an id stay.
     """
-    cols = target.columns
-    t = target.select(*cols).withColumn("_src", F.lit(0)).withColumn("_seq", F.lit(0).cast("bigint"))
-    b = batch.select(*cols).withColumn("_src", F.lit(1)).withColumn(
-        "_seq", F.monotonically_increasing_id()
-    ) if "_seq" not in batch.columns else batch.select(*cols, "_seq").withColumn("_src", F.lit(1))
-    return keep_first(t.unionByName(b), [key], [F.col("_src").desc(), F.col("_seq").desc()]).select(*cols)
-
-
-def merge_by_id(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """I4: MERGE (update matched, insert new) of a batch already unique per ``key``."""
-    cols = target.columns
-    t = target.select(*cols).withColumn("_src", F.lit(0))
-    b = batch.select(*cols).withColumn("_src", F.lit(1))
-    return keep_first(t.unionByName(b), [key], [F.col("_src").desc()]).select(*cols)
+    kept = target.join(batch.select(key), on=key, how="left_anti")
+    return kept.select(*target.columns).unionByName(batch.select(*target.columns))
 
 
 def save_summary(batch: DataFrame, accepted: DataFrame, run: str = "collection_run_id") -> DataFrame:
@@ -95,10 +88,12 @@ def save_summary(batch: DataFrame, accepted: DataFrame, run: str = "collection_r
     (partial aggregation on both sides), so a hot key never lands in one task.
     Routes and stops saved are the distinct entities of the batch.
     """
-    totals = batch.groupBy(run).agg(
+    # counted per (run, route, stop) first, so the distinct counts expand groups, not rows
+    pairs = batch.groupBy(run, "route_id", "stop_id").agg(F.count(F.lit(1)).alias("_n"))
+    totals = pairs.groupBy(run).agg(
         F.countDistinct("route_id").alias("routes_saved"),
         F.countDistinct("stop_id").alias("stops_saved"),
-        F.count(F.lit(1)).alias("_rows"),
+        F.sum("_n").alias("_rows"),
     )
     saved = accepted.groupBy(run).agg(F.count(F.lit(1)).alias("_saved"))
     j = totals.join(saved, run, "left").withColumn("_saved", F.coalesce("_saved", F.lit(0)))

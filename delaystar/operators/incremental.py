@@ -6,11 +6,10 @@ id with the batch winning (I4), extends the date dimension with missing days
 only (I5) and re-runs the checks before a cycle may be logged (I6).  Rerunning
 the same window changes nothing (I7).
 
-Scale notes: the merge is a union + ``row_number`` per id, which Spark turns
-into one shuffle on the id with a partial window-group limit before the
-exchange.  When the target is stored partitioned by date, callers restrict the
-target side to the batch's date range first so only touched partitions are
-read and rewritten (dynamic partition overwrite).
+Scale notes: the merge keeps the target rows whose id the batch does not bring
+(anti join; a small batch is broadcast, so the target is not shuffled) and adds
+the batch.  When the target is stored partitioned by date, only the touched
+partitions are read and rewritten (dynamic partition overwrite).
 """
 
 from __future__ import annotations
@@ -40,8 +39,8 @@ def batch_dedup(batch: DataFrame) -> DataFrame:
 
 
 def merge_raw(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """I4 (raw): update matched ids, insert new ones."""
-    return dedup.merge_by_id(target, batch_dedup(batch).select(*target.columns), "observation_id")
+    """I4 (raw): update matched ids, insert new ones; ``batch`` is unique per id."""
+    return dedup.merge_by_id(target, batch, "observation_id")
 
 
 def extend_dim_date(dim_date: DataFrame, raw: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
@@ -66,20 +65,24 @@ def merge_fact_partitions(fact_path: str, batch_fact: DataFrame, key: str = "sou
     so a re-delivered row whose day changed leaves no stale copy behind.  They
     are selected with a semi join on the partition column (dynamic partition
     pruning).  The merged slice is checkpointed before the dynamic partition
-    overwrite, so the job never overwrites files it is still reading.
+    overwrite, so the job never overwrites files it is still reading.  A touched
+    date that keeps no row is removed after the write, as an overwrite writes
+    nothing there.
     """
-    from delaystar.session import materialize, sized_broadcast
+    from delaystar.session import dimension, materialize
     from delaystar.sources import sinks
 
     spark = batch_fact.sparkSession
     batch = materialize(batch_fact.withColumn("observed_date", F.to_date("observed_at")))
     stored = spark.read.parquet(fact_path)
     holding = stored.select(key, "observed_date").join(batch.select(key), key, "left_semi").select("observed_date")
-    dates = holding.unionByName(batch.select("observed_date")).distinct()
+    dates = dimension(holding.unionByName(batch.select("observed_date")).distinct())
     # an empty batch touches no date: the overwrite below then writes nothing
-    target = stored.join(sized_broadcast(dates), "observed_date", "left_semi")
-    merged = materialize(dedup.merge_by_id(target, batch.select(*target.columns), key))
+    target = stored.join(dates, "observed_date", "left_semi")
+    merged = materialize(dedup.merge_by_id(target, batch, key))
     sinks.write_fact_partitioned(merged, fact_path, mode="overwrite")
+    emptied = dates.join(merged.select("observed_date").distinct(), "observed_date", "left_anti")
+    sinks.drop_partitions(spark, fact_path, "observed_date", [r[0] for r in emptied.collect()])
 
 
 @dataclass(frozen=True)
@@ -97,8 +100,8 @@ def incremental_cycle(
     routes: DataFrame,
     stops: DataFrame,
 ) -> CycleResult:
-    """I3 -> I4 raw -> I5 -> C5 -> C6 on the batch -> I4 fact."""
-    unique_batch = batch_dedup(batch)
+    """C13 up to the fact: I3 -> I4 raw -> I5 -> C5 -> C6 on the batch -> I4 fact."""
+    unique_batch = dimension(batch_dedup(batch))  # used by the raw merge, the dates and the fact
     raw = merge_raw(raw_target, unique_batch)
     dim_date = extend_dim_date(wh.dim_date, unique_batch, wh.zone)
     dim_route = dimension(warehouse.build_dim_route(routes))
@@ -108,12 +111,40 @@ def incremental_cycle(
     return CycleResult(raw, dim_date, fact, warehouse.Warehouse(dim_date, dim_route, dim_stop, fact, wh.zone))
 
 
+def run_cycle(
+    root: str, wh: warehouse.Warehouse, raw_target: DataFrame, batch: DataFrame, routes: DataFrame, stops: DataFrame,
+    cycle_id: str | None = None,
+) -> DataFrame:
+    """The cycle's tables written under ``root``, checked as written (C12) and logged (I6); returns the log.
+
+    The log says success only when the written tables pass every check.
+    """
+    from delaystar.operators import quality
+    from delaystar.sources import sinks
+
+    spark = raw_target.sparkSession
+    made = incremental_cycle(wh, raw_target, batch, routes, stops)
+    written = {}
+    for name, df in {"raw": made.raw, "dim_date": made.dim_date, "dim_route": made.wh.dim_route,
+                     "dim_stop": made.wh.dim_stop, "fact": made.fact}.items():
+        sinks.replace_table(df, f"{root}/{name}")
+        written[name] = sinks.read_current(spark, f"{root}/{name}")
+    stored = warehouse.Warehouse(written["dim_date"], written["dim_route"], written["dim_stop"], written["fact"], wh.zone)
+    checks = dimension(quality.warehouse_checks(spark, written["raw"], stored))
+    return sinks.log_cycle(checks, f"{root}/etl_control", cycle_id)
+
+
 def rerun_differences(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
     """One row with the rows that differ between two runs and duplicate keys left."""
-    diff = first.exceptAll(second).unionByName(second.exceptAll(first))
-    return first.sparkSession.range(1).select(
-        diff.select(F.count(F.lit(1))).scalar().alias("differing_rows"),
-        second.select(F.count(F.lit(1))).scalar().alias("fact_rows"),
-        second.groupBy(key).count().filter(F.col("count") > 1).select(F.count(F.lit(1))).scalar()
-        .alias("duplicate_ids"),
+    def per_key(df: DataFrame, side: str) -> DataFrame:
+        digest = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
+        return df.groupBy(key).agg(digest.alias(f"_{side}"), F.count(F.lit(1)).alias(f"_n_{side}"))
+
+    both = per_key(first, "a").join(per_key(second, "b"), on=key, how="full")
+    n_a, n_b = F.coalesce("_n_a", F.lit(0)), F.coalesce("_n_b", F.lit(0))
+    changed = ~F.col("_a").eqNullSafe(F.col("_b"))
+    return both.agg(
+        F.coalesce(F.sum(F.when(changed, n_a + n_b)), F.lit(0)).cast("bigint").alias("differing_rows"),
+        F.coalesce(F.sum(n_b), F.lit(0)).cast("bigint").alias("fact_rows"),
+        F.count_if(n_b > 1).cast("bigint").alias("duplicate_ids"),
     )

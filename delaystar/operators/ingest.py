@@ -30,10 +30,20 @@ def _text(v: Column, path: str) -> Column:
     return C.nonblank(_vget(v, path, "string"))
 
 
+def _with_parsed_body(df: DataFrame) -> DataFrame:
+    """Add ``v``: the body as VARIANT (NULL for bad JSON), parsed once per row.
+
+    The outer generator keeps filters on fields of ``v`` from being pushed through
+    the parse and evaluating it again.  A repeated object key keeps its last value,
+    which VARIANT does only under this session setting.
+    """
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return df.select("*", F.explode_outer(F.array(F.try_parse_json("body"))).alias("v"))
+
+
 # Status gate; bad JSON and non-OK statuses become error rows
 def scan_payloads(payloads: DataFrame) -> DataFrame:
-    v = F.try_parse_json("body")
-    scanned = payloads.withColumn("v", v)
+    scanned = _with_parsed_body(payloads)
     status = _vget(F.col("v"), "$.status")
     text = F.coalesce(_vget(F.col("v"), "$.text"), F.lit(""))
     return scanned.withColumn("status", status).withColumn(
@@ -233,16 +243,39 @@ def collect_accepted(target: DataFrame, observations: DataFrame) -> DataFrame:
     return dedup.insert_ignore(target, observations, "duplicate_key", order)
 
 
+EMPTY = "empty"
+NO_PAYLOAD = "no payload"
+
+
+def stop_calls(scanned: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+    """One row per requested stop: its payload, or ``no payload`` where none has landed.
+
+    ``requested`` (collection_run_id, stop_id, stop_name) drives the report; without it
+    every landed payload is a call.  A blank stop id is never fetched: an empty batch
+    that neither succeeds nor fails.
+    """
+    landed = scanned.select("collection_run_id", "payload_id", "stop_id", "accepted", "error_message")
+    if requested is None:
+        calls = landed.withColumn("stop_name", F.lit(None).cast("string"))
+    else:
+        wanted = requested.select("collection_run_id", "stop_id", "stop_name")
+        calls = wanted.join(landed, ["collection_run_id", "stop_id"], "left").withColumn(
+            "error_message", F.when(F.col("payload_id").isNull(), NO_PAYLOAD).otherwise(F.col("error_message")))
+    return calls.withColumn(
+        "call", F.when(C.nonblank(F.col("stop_id")).isNull(), EMPTY)
+        .when(F.coalesce("accepted", F.lit(False)), S.COLLECTION_SUCCESS).otherwise(S.COLLECTION_FAILED))
+
+
 # Per collection; failures are counted here and listed by collection_errors
 def collection_summary(scanned: DataFrame, observations: DataFrame, accepted: DataFrame,
-                       collection: str = "collection_run_id") -> DataFrame:
+                       collection: str = "collection_run_id", requested: DataFrame | None = None) -> DataFrame:
     """``scanned`` carries the collection in ``collection_run_id``; parsed
     ``observations`` and the ``accepted`` ones carry it in ``collection_id``.
     Only per-collection counts are joined (partial aggregation everywhere)."""
-    calls = scanned.groupBy(collection).agg(
+    calls = stop_calls(scanned, requested).groupBy(collection).agg(
         F.count(F.lit(1)).alias("stops_requested"),
-        F.count_if("accepted").alias("api_calls_succeeded"),
-        F.count_if(~F.col("accepted")).alias("api_calls_failed"),
+        F.count_if(F.col("call") == S.COLLECTION_SUCCESS).alias("api_calls_succeeded"),
+        F.count_if(F.col("call") == S.COLLECTION_FAILED).alias("api_calls_failed"),
     )
     generated = observations.groupBy(F.col("collection_id").alias(collection)).agg(
         F.count(F.lit(1)).alias("observations_generated"))
@@ -263,18 +296,21 @@ def collection_summary(scanned: DataFrame, observations: DataFrame, accepted: Da
     )
 
 
-def collection_errors(scanned: DataFrame, monitored: DataFrame | None = None) -> DataFrame:
-    """One row per failed stop call (kept as rows, never collected into one list)."""
-    return scanned.filter(~F.col("accepted")).select(
-        "collection_run_id", "payload_id", "stop_id", F.col("error_message").alias("message"))
+def collection_errors(scanned: DataFrame, requested: DataFrame | None = None) -> DataFrame:
+    """One row per failed stop call with the stop's name (kept as rows, never collected into one list)."""
+    return stop_calls(scanned, requested).filter(F.col("call") == S.COLLECTION_FAILED).select(
+        "collection_run_id", "payload_id", "stop_id", "stop_name", F.col("error_message").alias("message"))
 
 
 # Station search
 def _string_items(v: Column, path: str) -> Column:
-    """list items as text with falsy items dropped; a non-list gives []."""
+    """list items as text with falsy items (empty text, 0, false, null) dropped; a non-list gives []."""
+    listed = F.coalesce(_vget(v, path, "array<variant>"), F.array().cast("array<variant>"))
+    kind = F.schema_of_variant
+    zero = lambda e: (kind(e) != "STRING") & F.coalesce(
+        F.when(kind(e) == "BOOLEAN", ~_vget(e, "$", "boolean")).otherwise(_vget(e, "$", "double") == 0), F.lit(False))
     return F.filter(
-        F.transform(F.coalesce(_vget(v, path, "array<variant>"), F.array().cast("array<variant>")),
-                    lambda e: _vget(e, "$", "string")),
+        F.transform(F.filter(listed, lambda e: ~zero(e)), lambda e: _vget(e, "$", "string")),
         lambda x: C.nonblank(x).isNotNull())
 
 
@@ -285,14 +321,15 @@ def _station(i: Column) -> Column:
         i.alias("key"),
         ref.alias("ref"),
         F.coalesce(_text(ref, "$.id"), i).alias("stop_id"),
-        F.trim(F.coalesce(_vget(ref, "$.name"), F.lit(""))).alias("name"),
+        C.strip(F.coalesce(_vget(ref, "$.name"), F.lit(""))).alias("name"),
         _string_items(ref, "$.routeIds").alias("route_ids"),
     )
 
 
-def search_stations(search: DataFrame, limit: int = S.PARSE_LIMIT) -> DataFrame:
-    s = search.select("payload_id", F.trim("query").alias("query"), "body", F.try_parse_json("body").alias("v"))
-    s = s.filter(F.length("query") >= S.SEARCH_MIN_QUERY_CHARS)
+def search_stations(search: DataFrame, limit: int = S.SEARCH_LIMIT) -> DataFrame:
+    """Stations of accepted search payloads; ``scan_payloads`` reports the others as error rows."""
+    s = search.withColumn("query", C.strip("query")).filter(F.length("query") >= S.SEARCH_MIN_QUERY_CHARS)
+    s = scan_payloads(s).filter("accepted").select("payload_id", "query", "body", "v")
     s = with_reference_map(s, F.col("v"), "$.data.references.stops", "_stops")
     s = with_reference_map(s, F.col("v"), "$.data.references.routes", "_routes")
     s = s.withColumn("_listed", _string_items(F.col("v"), "$.data.entry.stopIds"))
@@ -312,7 +349,7 @@ def search_stations(search: DataFrame, limit: int = S.PARSE_LIMIT) -> DataFrame:
     # short names of the stop's routes joined with ', ', in order, blanks skipped
     numbers = lambda r: F.array_join(F.filter(
         F.transform(r["route_ids"],
-                    lambda rid: C.nonblank(F.trim(_vget(F.try_element_at(F.col("_routes"), rid), "$.shortName")))),
+                    lambda rid: C.nonblank(C.strip(_vget(F.try_element_at(F.col("_routes"), rid), "$.shortName")))),
         lambda x: x.isNotNull()), ", ")
     s = s.withColumn("_r", F.transform("_r", lambda r: F.struct(
         r["stop_id"].alias("stop_id"), r["name"].alias("name"),

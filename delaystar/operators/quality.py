@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from delaystar import settings as S
 from delaystar.functions import columns as C
@@ -29,32 +30,28 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return out.orderBy("table_name")
 
 
-# A9
-def source_distribution(observations: DataFrame) -> DataFrame:
-    agg = observations.agg(
+def _distribution() -> list[F.Column]:
+    return [
         F.count(F.lit(1)).alias("observations"),
         F.min("created_at").alias("first_observed_at"),
         F.max("created_at").alias("last_observed_at"),
-        F.min("delay_seconds").alias("min_delay_seconds"),
-        F.max("delay_seconds").alias("max_delay_seconds"),
-        F.sum("delay_seconds").alias("_s"),
-        F.count("delay_seconds").alias("_n"),
-    )
-    return agg.select(
-        "observations", "first_observed_at", "last_observed_at",
-        F.col("min_delay_seconds").cast("bigint").alias("min_delay_seconds"),
-        F.col("max_delay_seconds").cast("bigint").alias("max_delay_seconds"),
-        C.rounded_mean("_s", "_n", divisor_seconds=1).alias("avg_delay_seconds"),
-    )
+        F.min("delay_seconds").cast("bigint").alias("min_delay_seconds"),
+        F.max("delay_seconds").cast("bigint").alias("max_delay_seconds"),
+        C.rounded_mean(F.sum("delay_seconds"), F.count("delay_seconds"), divisor_seconds=1).alias("avg_delay_seconds"),
+    ]
+
+
+# A9
+def source_distribution(observations: DataFrame) -> DataFrame:
+    return observations.agg(*_distribution())
 
 
 def _missing(col: str) -> F.Column:
     return F.col(col).isNull() | (F.col(col) == "")
 
 
-# Nine counters in one pass
-def mandatory_field_audit(observations: DataFrame) -> DataFrame:
-    return observations.agg(
+def _mandatory_counters() -> list[F.Column]:
+    return [
         _count_if(F.col("observation_id").isNull()).alias("missing_id"),
         _count_if(_missing("route_id")).alias("missing_route_id"),
         _count_if(_missing("stop_id")).alias("missing_stop_id"),
@@ -64,7 +61,12 @@ def mandatory_field_audit(observations: DataFrame) -> DataFrame:
         _count_if(F.col("predicted_departure").isNull()).alias("missing_predicted_departure"),
         _count_if(F.col("delay_seconds").isNull()).alias("missing_delay_seconds"),
         _count_if(F.col("delay_seconds") < 0).alias("negative_delay_seconds"),
-    )
+    ]
+
+
+# Nine counters in one pass
+def mandatory_field_audit(observations: DataFrame) -> DataFrame:
+    return observations.agg(*_mandatory_counters())
 
 
 # Left joins against the (small) route/stop tables, unmatched counted
@@ -88,25 +90,24 @@ def audit_preview(observations: DataFrame, limit: int = S.AUDIT_PREVIEW_LIMIT) -
         )
 
 
-# Q10: column inventory of the source tables with observed NULL counts
-def schema_audit(tables: dict[str, DataFrame]) -> DataFrame:
+# Q10: declared columns of the source tables with the NULLs that the data has in them
+def schema_audit(tables: dict[str, tuple[DataFrame, T.StructType]]) -> DataFrame:
+    """Order, names and nullability come from the declared schemas, not from the frames; one pass per table."""
     parts = []
-    for name, df in tables.items():
-        fields = df.schema.fields
-        counts = df.agg(*[_count_if(F.col(f"`{f.name}`").isNull()).alias(f"c{i}") for i, f in enumerate(fields)])
-        stacked = counts.select(
+    for name, (df, declared) in tables.items():
+        counts = df.agg(*[_count_if(F.col(f"`{f.name}`").isNull()).alias(f"c{i}") for i, f in enumerate(declared.fields)])
+        parts.append(counts.select(
+            F.lit(name).alias("table_name"),
             F.inline(F.array(*[
                 F.struct(
                     F.lit(i + 1).alias("ordinal_position"),
                     F.lit(f.name).alias("column_name"),
-                    F.lit(f.dataType.simpleString()).alias("data_type"),
                     F.lit("YES" if f.nullable else "NO").alias("is_nullable"),
                     F.col(f"c{i}").alias("null_count"),
                 )
-                for i, f in enumerate(fields)
-            ]))
-        ).select(F.lit(name).alias("table_name"), "*")
-        parts.append(stacked)
+                for i, f in enumerate(declared.fields)
+            ])),
+        ))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -137,14 +138,17 @@ def duplicate_key_report(wh: Warehouse) -> DataFrame:
     )
 
 
-# Q2..Q8 / J5: one pass over the fact left-joined to the three dimensions
-def warehouse_issue_row(wh: Warehouse, zone: str = S.LOCAL_ZONE) -> DataFrame:
-    d = wh.dim_date.select("date_key", F.lit(True).alias("_d"))
-    r = wh.dim_route.select("route_key", F.lit(True).alias("_r"))
-    s = wh.dim_stop.select("stop_key", F.lit(True).alias("_s"))
-    f = wh.fact.join(d, "date_key", "left").join(r, "route_key", "left").join(s, "stop_key", "left")
+def _joined_to_dims(wh: Warehouse) -> DataFrame:
+    """The fact left-joined to one row per key of the three dimensions (a repeated key counts no fact twice)."""
+    d = wh.dim_date.select("date_key").distinct().withColumn("_d", F.lit(True))
+    r = wh.dim_route.select("route_key").distinct().withColumn("_r", F.lit(True))
+    s = wh.dim_stop.select("stop_key").distinct().withColumn("_s", F.lit(True))
+    return wh.fact.join(d, "date_key", "left").join(r, "route_key", "left").join(s, "stop_key", "left")
+
+
+def _issue_counters(zone: str) -> list[F.Column]:
     local_hour = C.local_hour("observed_at", zone)
-    return f.agg(
+    return [
         _count_if(F.col("source_observation_id").isNull()).alias("missing_observation_id"),
         _count_if(F.col("_d").isNull()).alias("unresolved_date"),
         _count_if(F.col("_r").isNull()).alias("unresolved_route"),
@@ -154,7 +158,12 @@ def warehouse_issue_row(wh: Warehouse, zone: str = S.LOCAL_ZONE) -> DataFrame:
         _count_if(F.col("date_key") != C.date_key("observed_at", zone)).alias("local_date_mismatch"),
         _count_if(F.col("time_period").isNull() | (F.col("time_period") != C.time_period(local_hour)))
         .alias("local_time_period_mismatch"),
-    )
+    ]
+
+
+# Q2..Q8 / J5: one pass over the fact left-joined to the three dimensions
+def warehouse_issue_row(wh: Warehouse, zone: str = S.LOCAL_ZONE) -> DataFrame:
+    return _joined_to_dims(wh).agg(*_issue_counters(zone))
 
 
 # Per fact row, which dimension keys resolve (left joins on the key names)
@@ -171,28 +180,27 @@ def dim_resolution(wh: Warehouse) -> DataFrame:
     )
 
 
-# C11: the source audit as one row (one aggregate pass + the join-coverage subquery)
+# C11: the source audit as one row (one aggregate pass + one join-coverage pass)
 def source_audit(observations: DataFrame, routes: DataFrame, stops: DataFrame) -> DataFrame:
-    dist = source_distribution(observations)
-    counters = mandatory_field_audit(observations)
     coverage = join_coverage(observations, routes, stops)
-    out = dist.select(
-        "*",
-        *[counters.select(c).scalar().alias(c) for c in counters.columns],
-        *[coverage.select(c).scalar().alias(c) for c in coverage.columns],
-    )
-    return out
+    found = coverage.select(F.struct(*coverage.columns)).scalar()
+    one = observations.agg(*_distribution(), *_mandatory_counters()).withColumn("_coverage", found)
+    return one.select("*", "_coverage.*").drop("_coverage")
 
 
 # Every warehouse check as one row (Q1, Q2..Q8 in one pass, Q9 per table)
 def warehouse_checks(spark: SparkSession, raw: DataFrame, wh: Warehouse) -> DataFrame:
-    issues = warehouse_issue_row(wh)
-    counts = reconcile_counts(spark, raw, wh.fact)
-    dupes = duplicate_key_report(wh)
+    usable = usable_filter(raw).select(F.count(F.lit(1))).scalar()
+
+    def dupes(df: DataFrame, key: str) -> F.Column:
+        return df.groupBy(key).count().select(F.count_if(F.col("count") > 1)).scalar()
+
+    issues = _joined_to_dims(wh).agg(F.count(F.lit(1)).alias("fact_rows"), *_issue_counters(wh.zone))
     return issues.select(
-        counts.select("usable_raw_rows").scalar().alias("usable_raw_rows"),
-        counts.select("fact_rows").scalar().alias("fact_rows"),
-        *[dupes.filter(F.col("issue") == name).select("issue_count").scalar().alias(name)
-          for name in ("duplicate_fact_ids", "duplicate_route_keys", "duplicate_stop_keys", "duplicate_date_keys")],
-        *issues.columns,
+        usable.alias("usable_raw_rows"), "fact_rows",
+        dupes(wh.fact, "source_observation_id").alias("duplicate_fact_ids"),
+        dupes(wh.dim_route, "route_key").alias("duplicate_route_keys"),
+        dupes(wh.dim_stop, "stop_key").alias("duplicate_stop_keys"),
+        dupes(wh.dim_date, "date_key").alias("duplicate_date_keys"),
+        *[c for c in issues.columns if c != "fact_rows"],
     )

@@ -8,11 +8,12 @@ the number of groups (hours, categories, periods, routes x days).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from delaystar import settings as S
 from delaystar.functions import columns as C
+from delaystar.session import dimension
 
 
 def _minutes_aggs() -> list:
@@ -26,6 +27,11 @@ def _finish_minutes(df: DataFrame) -> DataFrame:
     return df.withColumn("avg_delay_minutes", C.rounded_mean("_sum_s", "_n_s")).drop("_sum_s", "_n_s")
 
 
+def _named(column: str, default: str) -> F.Column:
+    """A result record's text: a missing value has a default (empty, or ``unknown`` for periods and categories)."""
+    return F.coalesce(F.col(column), F.lit(default)).alias(column)
+
+
 # A1
 def kpi_summary(view: DataFrame) -> DataFrame:
     agg = view.agg(
@@ -48,7 +54,7 @@ def kpi_summary(view: DataFrame) -> DataFrame:
 # The headsign is cleaned before grouping
 def stop_delay_ranking(view: DataFrame, limit: int = S.RANKING_LIMIT) -> DataFrame:
     grouped = (
-        view.select("stop_name", C.clean_headsign("headsign").alias("headsign"), "delay_seconds",
+        view.select(_named("stop_name", ""), C.clean_headsign("headsign").alias("headsign"), "delay_seconds",
                     "significant_or_severe_count", "observation_count")
         .groupBy("stop_name", "headsign")
         .agg(
@@ -68,7 +74,7 @@ def stop_delay_ranking(view: DataFrame, limit: int = S.RANKING_LIMIT) -> DataFra
 
 # A3
 def daily_delay_trend(view: DataFrame) -> DataFrame:
-    g = view.groupBy("calendar_date", "route_number").agg(
+    g = view.groupBy("calendar_date", _named("route_number", "")).agg(
         *_minutes_aggs(), F.sum("observation_count").alias("observation_count")
     )
     return _finish_minutes(g).select("calendar_date", "route_number", "avg_delay_minutes", "observation_count") \
@@ -106,23 +112,15 @@ def category_rank(col: str = "delay_category") -> F.Column:
     return expr.otherwise(rank)
 
 
-def period_rank(col: str = "time_period") -> F.Column:
-    """Morning < afternoon < other < unknown (then by name)."""
-    expr = None
-    for i, name in enumerate(S.PERIOD_ORDER, start=1):
-        expr = F.when(F.col(col) == name, i) if expr is None else expr.when(F.col(col) == name, i)
-    return expr.otherwise(99)
-
-
 # A5 / L4
 def delay_category_breakdown(view: DataFrame) -> DataFrame:
-    g = view.groupBy("delay_category").agg(F.sum("observation_count").alias("observation_count"))
+    g = view.groupBy(_named("delay_category", S.UNKNOWN_NAME)).agg(F.sum("observation_count").alias("observation_count"))
     return g.orderBy(category_rank(), F.col("delay_category"))
 
 
 # A6
 def time_period_delay_matrix(view: DataFrame) -> DataFrame:
-    g = view.groupBy("route_number", "time_period").agg(
+    g = view.groupBy(_named("route_number", ""), _named("time_period", S.UNKNOWN_NAME)).agg(
         *_minutes_aggs(), F.sum("observation_count").alias("observation_count")
     )
     return _finish_minutes(g).select("route_number", "time_period", "avg_delay_minutes", "observation_count") \
@@ -136,12 +134,12 @@ def _column_name(period: str) -> str:
 # rows = routes; columns = known periods in display order, then any other
 # period names alphabetically; an absent cell is NULL
 def time_period_pivot(matrix: DataFrame) -> DataFrame:
-    """The column list is data-dependent only for unexpected period names; they are
-    found the way ``pivot`` itself finds values (a bounded distinct of the small
-    aggregated matrix)."""
+    """The small aggregated matrix is written once: its period names give the columns
+    (as ``pivot`` itself finds values), then it is pivoted; the fact is read once."""
+    matrix = dimension(matrix.withColumn("time_period", _named("time_period", S.UNKNOWN_NAME)))
     others = sorted(
         r[0] for r in matrix.select("time_period").distinct().filter(
-            F.col("time_period").isNotNull() & ~F.col("time_period").isin(*S.PERIOD_ORDER)).collect()
+            ~F.col("time_period").isin(*S.PERIOD_ORDER)).collect()
     )
     periods = list(S.PERIOD_ORDER) + others
     p = matrix.groupBy("route_number").pivot("time_period", periods).agg(
@@ -185,7 +183,7 @@ def hourly_merge(rows: DataFrame) -> DataFrame:
 
 # Value / max(value) * 100 over the whole (small, aggregated) result
 def relative_bar(result: DataFrame, value: str, name: str = "bar_percent") -> DataFrame:
-    top = result.select(F.max(value)).scalar()
+    top = F.max(value).over(Window.partitionBy())
     return result.withColumn(
         name,
         F.when(top > 0, F.col(value) / top * F.lit(100.0)).otherwise(F.lit(0.0)),
@@ -246,12 +244,16 @@ def load_statistics(view: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-# F28/F29 page KPI line
-def kpi_display(kpi: DataFrame) -> DataFrame:
-    return kpi.select(
-        "*",
-        C.kpi_target_flag("avg_delay_minutes").alias("target_flag"),
-        C.minutes_text("avg_delay_minutes").alias("avg_delay_text"),
+# F28/F29 page KPI line of a view
+def kpi_display(view: DataFrame) -> DataFrame:
+    counts = view.agg(F.sum("delayed_count").alias("_delayed"), F.sum("observation_count").alias("_obs"),
+                      C.rounded_mean(F.sum("delay_seconds"), F.count("delay_seconds")).alias("_avg"))
+    average = F.coalesce("_avg", F.lit(0.0))
+    return counts.select(
+        average.alias("avg_delay_minutes"),
+        C.kpi_target_flag(average).alias("target_flag"),
+        C.minutes_text(average).alias("avg_delay_text"),
+        F.coalesce(C.percent_text("_delayed", "_obs"), F.lit("0.0%")).alias("delayed_text"),
     )
 
 
@@ -287,17 +289,14 @@ def history_format(joined: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
 
 
 # C8 gate: does the page have anything to show?
-def statistics_gate(stats: dict[str, DataFrame], legacy: dict[str, DataFrame] | None = None) -> DataFrame:
-    """One row: ``has_dashboard_statistics`` (KPI with observations or any non-empty
-    list among the six) and ``has_legacy_statistics`` (any non-empty snapshot list).
-    Each part is an EXISTS subquery; nothing is collected."""
-    spark = stats["kpi_summary"].sparkSession
-    dashboard = stats["kpi_summary"].filter(F.col("observation_count") > 0).exists()
-    for name in ("stop_delay_ranking", "daily_delay_trend", "hourly_delay_trend", "delay_category_breakdown",
-                 "time_period_delay_matrix"):
-        dashboard = dashboard | stats[name].exists()
-    legacy_flag = F.lit(False)
-    for df in (legacy or {}).values():
-        legacy_flag = legacy_flag | df.exists()
+def statistics_gate(view: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """One row: ``has_dashboard_statistics`` and ``has_legacy_statistics``.
+
+    Every list of the page is non-empty when the view has a row, and the hourly list
+    always has its 24 hours; the snapshot lists are non-empty when the snapshot has a
+    row.  So one EXISTS per input answers both, without computing any statistic.
+    """
+    spark = view.sparkSession
+    dashboard = view.exists() | hour_spine(spark).exists()
     return spark.range(1).select(dashboard.alias("has_dashboard_statistics"),
-                                 legacy_flag.alias("has_legacy_statistics"))
+                                 snapshot.exists().alias("has_legacy_statistics"))

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from delaystar import settings as S
 from delaystar.functions import columns as C
 from delaystar.operators.reporting import category_rank, hour_spine
-from delaystar.session import sized_broadcast
 
 GROUP_KEY = ("stop_id", "stop_name", "headsign")
 
@@ -24,10 +23,10 @@ GROUP_KEY = ("stop_id", "stop_name", "headsign")
 def snapshot_input(observations: DataFrame, stops: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
     """P7 scope + stop-name lookup + per-row derived fields.
 
-    The stop table (one row per stop of the network) is broadcast when its
-    size check passes, else shuffle-joined.
+    The stop table (one row per stop of the network) is broadcast by the planner
+    when it is below the byte threshold.
     """
-    names = sized_broadcast(stops.select(F.col("id").alias("stop_id"), F.col("name").alias("_stop_name")))
+    names = stops.select(F.col("id").alias("stop_id"), F.col("name").alias("_stop_name"))
     scoped = observations.filter(
         F.col("created_at").isNotNull() & F.col("delay_seconds").isNotNull()
         & C.route_number_from_id("route_id").isin(*S.REPORT_ROUTE_NUMBERS)

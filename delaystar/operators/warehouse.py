@@ -1,8 +1,9 @@
 """Star schema build: dim_date, dim_route, dim_stop, fact and the reporting view.
 
 Plan shape: the fact is one narrow projection of the usable raw rows followed by
-two inner equi-joins against materialized, size-checked dimensions, so the big
-side never shuffles for a join.  The view adds the date dimension the same way.
+two inner equi-joins against materialized dimensions.  Their files tell the
+planner their size, so a dimension below the broadcast threshold leaves the big
+side unshuffled.  The view adds the date dimension the same way.
 """
 
 from __future__ import annotations
@@ -150,7 +151,7 @@ class Warehouse:
 
 def build_warehouse(raw: DataFrame, routes: DataFrame, stops: DataFrame, zone: str = S.LOCAL_ZONE,
                     fact_zone: str | None = None) -> Warehouse:
-    """Dimensions are materialized once (checkpoint) and broadcast when small.
+    """Dimensions are written once; the planner broadcasts them when small.
 
     ``fact_zone`` is the clock the fact recipe reads date/hour from; it defaults
     to ``zone``.  Setting it to UTC reproduces a recipe that skipped the zone
@@ -206,12 +207,6 @@ def dashboard_view(wh: Warehouse, route_numbers: tuple[str, ...] | None = S.REPO
         fact = fact.filter(_local_date_range(fact, date_from, date_to))
     if route_numbers is not None:
         routes = routes.filter(F.col("route_number").isin(*route_numbers))
-        # P6 as a literal key list on the fact: reaches the parquet scan, where the
-        # route-clustered files let min/max statistics skip row groups.  The list is
-        # read from the (materialized, small) dimension only when it is short.
-        keys = [r[0] for r in routes.select("route_key").limit(S.MAX_SCOPE_KEYS + 1).collect()]
-        if len(keys) <= S.MAX_SCOPE_KEYS:
-            fact = fact.filter(F.col("route_key").isin(*keys))
     joined = (
         fact.join(wh.dim_date, on="date_key", how="inner")
         .join(routes, on="route_key", how="inner")

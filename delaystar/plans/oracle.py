@@ -9,6 +9,10 @@ Averages are rounded in integers exactly like the Spark side
 
 from __future__ import annotations
 
+import re
+
+from delaystar import schemas
+
 LOCAL = "((({ts}) AT TIME ZONE 'UTC') AT TIME ZONE '{zone}')"
 
 
@@ -89,12 +93,21 @@ raw_obs AS (
 routes AS (
   SELECT * FROM (VALUES ('R_3040', '4', 'TRAM'), ('R_3060', '6', 'TRAM'), ('R_0070', '7', 'BUS'),
                         ('R_1050', '105', 'BUS'), ('R_5100', 'M1', 'SUBWAY')) AS t(id, short_name, route_type)
+  UNION ALL
+  SELECT concat('R_S', s_suppkey), concat('S', s_suppkey),
+         CASE s_nationkey % 3 WHEN 0 THEN 'BUS' WHEN 1 THEN 'TRAM' ELSE 'TROLLEY' END
+  FROM supplier
 ),
 stops AS (
   SELECT concat('S_', i) AS id, concat('Stop ', i // 2) AS name,
          CASE WHEN i = 19 THEN NULL ELSE 47.4 + i / 1000.0 END::DOUBLE AS lat,
          CASE WHEN i = 19 THEN NULL ELSE 19.0 + i / 1000.0 END::DOUBLE AS lon
   FROM range(20) AS r(i)
+  UNION ALL
+  SELECT concat('S_P', p_partkey), p_name,
+         CASE WHEN p_partkey % 50 <> 0 THEN 47.0::DOUBLE + (p_partkey % 1000)::DOUBLE / 1000.0::DOUBLE END,
+         CASE WHEN p_partkey % 50 <> 0 THEN 19.0::DOUBLE + (p_partkey % 777)::DOUBLE / 1000.0::DOUBLE END
+  FROM part
 ),
 obs AS (
   SELECT * FROM raw_obs
@@ -525,13 +538,6 @@ bat AS (
   SELECT * REPLACE (delay_seconds + 5 AS delay_seconds) FROM raw_obs
   WHERE created_at >= TIMESTAMP '2024-06-28 00:00:00' AND created_at <= TIMESTAMP '2024-06-30 00:00:00'
 ),
-bat_flags AS (
-  SELECT b.*, (b.first_in_batch AND t.duplicate_key IS NULL) AS inserted
-  FROM (SELECT *, row_number() OVER (PARTITION BY duplicate_key
-                  ORDER BY created_at ASC NULLS LAST, tie_1, tie_2, tie_3, tie_4) = 1 AS first_in_batch
-        FROM bat) AS b
-  LEFT JOIN (SELECT DISTINCT duplicate_key FROM tgt) AS t ON t.duplicate_key = b.duplicate_key
-),
 bat_latest AS (
   SELECT * FROM bat
   QUALIFY row_number() OVER (PARTITION BY observation_id
@@ -552,10 +558,19 @@ fact_merged AS (
   QUALIFY row_number() OVER (PARTITION BY source_observation_id ORDER BY src DESC) = 1
 )"""
 
+INSERTS = """bat_flags AS (
+  SELECT b.*, (b.first_in_batch AND t.duplicate_key IS NULL) AS inserted
+  FROM (SELECT *, row_number() OVER (PARTITION BY duplicate_key
+                  ORDER BY created_at ASC NULLS LAST, tie_1, tie_2, tie_3, tie_4) = 1 AS first_in_batch
+        FROM raw_obs) AS b
+  LEFT JOIN (SELECT DISTINCT duplicate_key FROM obs WHERE created_at < TIMESTAMP '2024-05-01 00:00:00') AS t
+    ON t.duplicate_key = b.duplicate_key
+)"""
+
 register(
     "insert_ignore",
     "SELECT * EXCLUDE (first_in_batch, inserted) FROM bat_flags WHERE inserted",
-    extra_ctes=MERGE,
+    extra_ctes=INSERTS,
 )
 register(
     "save_summary",
@@ -566,7 +581,7 @@ SELECT collection_run_id, CAST(count(DISTINCT route_id) AS BIGINT) AS routes_sav
        CAST(count_if(NOT inserted) AS BIGINT) AS duplicate_observations_skipped,
        CAST(count(DISTINCT route_id) + count(DISTINCT stop_id) + 1 + count_if(inserted) AS BIGINT) AS total_saved
 FROM bat_flags GROUP BY collection_run_id""",
-    extra_ctes=MERGE,
+    extra_ctes=INSERTS,
 )
 register(
     "run_records_saved",
@@ -574,10 +589,10 @@ register(
 SELECT r.id, r.started_at, r.finished_at, 'success' AS status,
        CAST(coalesce(a.n, 0) AS INTEGER) AS records_saved, '' AS error_message
 FROM (SELECT collection_run_id AS id, min(created_at) AS started_at, max(created_at) AS finished_at
-      FROM bat GROUP BY collection_run_id) AS r
+      FROM raw_obs GROUP BY collection_run_id) AS r
 LEFT JOIN (SELECT collection_run_id, count(*) AS n FROM bat_flags WHERE inserted GROUP BY 1) AS a
   ON a.collection_run_id = r.id""",
-    extra_ctes=MERGE,
+    extra_ctes=INSERTS,
 )
 register(
     "overlap_extract",
@@ -587,17 +602,14 @@ WHERE created_at >= TIMESTAMP '2024-06-28 00:00:00' AND created_at <= TIMESTAMP
 )
 register("batch_dedup", "SELECT * FROM bat_latest", extra_ctes=MERGE)
 register("merge_raw", "SELECT * FROM raw_merged", extra_ctes=MERGE)
-register(
-    "extend_dim_date",
-    f"""
+EXTENDED_DATES = f"""
 SELECT * FROM dim_date_tgt
 UNION ALL
 SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT), d, CAST(year(d) AS INTEGER), CAST(month(d) AS INTEGER), monthname(d),
        CAST(dayofweek(d) + 1 AS INTEGER), CASE WHEN dayofweek(d) IN (0, 6) THEN 'weekend' ELSE 'weekday' END
 FROM (SELECT DISTINCT CAST({local('created_at')} AS DATE) AS d FROM bat_latest WHERE created_at IS NOT NULL) AS n
-WHERE d NOT IN (SELECT calendar_date FROM dim_date_tgt)""",
-    extra_ctes=MERGE,
-)
+WHERE d NOT IN (SELECT calendar_date FROM dim_date_tgt)"""
+register("extend_dim_date", EXTENDED_DATES, extra_ctes=MERGE)
 register("merge_fact", "SELECT * FROM fact_merged", extra_ctes=MERGE)
 register(
     "rerun_idempotence",
@@ -666,7 +678,7 @@ flags AS (
   SELECT p.*, (p.first_in AND t.duplicate_key IS NULL) AS inserted
   FROM (SELECT *, row_number() OVER (PARTITION BY duplicate_key
                   ORDER BY created_at ASC NULLS LAST, payload_id, position) = 1 AS first_in FROM parsed) AS p
-  LEFT JOIN (SELECT DISTINCT duplicate_key FROM obs WHERE CAST(substr(trip_id, 3) AS BIGINT) % 3 <> 0) AS t
+  LEFT JOIN (SELECT DISTINCT duplicate_key FROM obs WHERE created_at < TIMESTAMP '2024-05-01 00:00:00') AS t
     ON t.duplicate_key = p.duplicate_key
 ),
 ent_stops AS (
@@ -718,7 +730,9 @@ LEFT JOIN (SELECT collection AS collection_run_id, count(*) AS generated, count_
 )
 register(
     "collection_errors",
-    "SELECT collection_run_id, payload_id, stop_id, error_message AS message FROM scanned WHERE NOT accepted",
+    """
+SELECT e.collection_run_id, e.payload_id, e.stop_id, s.name AS stop_name, e.error_message AS message
+FROM scanned AS e LEFT JOIN stops AS s ON s.id = e.stop_id WHERE NOT e.accepted""",
     extra_ctes=PAYLOADS,
 )
 UPSERT_ROUTES = """
@@ -765,7 +779,7 @@ SELECT f.payload_id, CAST(f.position AS INTEGER) AS position, f.stop_id, s.name,
 FROM (SELECT *, row_number() OVER (PARTITION BY payload_id ORDER BY first_no) - 1 AS position FROM srch_first) AS f
 JOIN stops AS s ON s.id = f.stop_id
 JOIN routes AS r ON r.id = f.trip_route
-WHERE f.position < 3 AND f.ord % 10 <> 0""",
+WHERE f.position < 11 AND f.ord % 10 <> 0""",
     extra_ctes=SEARCH,
 )
 
@@ -950,6 +964,66 @@ FROM wi""",
         "wi AS (" + ISSUES.format(fact="fact") + ")"
     ),
 )
+CHECK_CTES = (
+    "rc AS (" + RECONCILE + "),\n"
+    "dk AS (" + DUPES.format(fact="fact", dim_date="dim_date") + "),\n"
+    "wi AS (" + ISSUES.format(fact="fact") + ")"
+)
+CONTROL = """
+SELECT CASE WHEN issue_count = 0 THEN 'success' ELSE 'failed' END AS status, fact_rows, issue_count
+FROM (SELECT rc.fact_rows AS fact_rows,
+             CAST(abs(rc.usable_raw_rows - rc.fact_rows) + (SELECT sum(issue_count) FROM dk)
+                  + wi.missing_observation_id + wi.unresolved_date + wi.unresolved_route + wi.unresolved_stop
+                  + wi.invalid_delay + wi.missing_observed_at + wi.local_date_mismatch
+                  + wi.local_time_period_mismatch AS BIGINT) AS issue_count
+      FROM rc, wi) AS c"""
+register("etl_control_log", CONTROL, extra_ctes=CHECK_CTES)
+
+
+def _fact_of_cycle(sql: str) -> str:
+    """The checks over the merged tables of a cycle instead of the first build."""
+    return re.sub(r"\bobs\b", "raw_merged", re.sub(r"\bfact\b", "fact_merged", re.sub(r"\bdim_date\b", "dim_date_cycle", sql)))
+
+
+register(
+    "incremental_cycle",
+    CONTROL,
+    extra_ctes=MERGE + """,
+dim_date_cycle AS (""" + EXTENDED_DATES + """
+),
+""" + _fact_of_cycle(CHECK_CTES),
+)
+register("stream_dedup_overlap", "SELECT DISTINCT duplicate_key FROM raw_obs")
+register("run_scoped_ids", f"""
+SELECT observation_id, {UUID} AS run_scoped_id
+FROM (SELECT observation_id, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(concat(
+         collection_run_id, '|', duplicate_key, '|', stop_sequence))) AS h FROM obs) AS k""")
+register("kpi_display", f"""
+SELECT avg_delay_minutes, CASE WHEN avg_delay_minutes < 3 THEN 'target-ok' ELSE 'target-warning' END AS target_flag,
+       printf('%.2f min', avg_delay_minutes) AS avg_delay_text,
+       CASE WHEN obs > 0 THEN concat(tenths // 10, '.', tenths % 10, '%') ELSE '0.0%' END AS delayed_text
+FROM (SELECT coalesce({MIN}, 0.0) AS avg_delay_minutes, sum(observation_count) AS obs,
+             CAST((sum(delayed_count) * 2000 + sum(observation_count)) // nullif(sum(observation_count) * 2, 0) AS BIGINT)
+               AS tenths
+      FROM v) AS k""")
+
+
+def _schema_audit_sql() -> str:
+    source = {"collection_runs": "runs", "delay_observations": "obs", "routes": "routes", "stops": "stops"}
+    rows = []
+    for table, cte in source.items():
+        for i, f in enumerate(schemas.ALL_TABLES[f"transit_data/{table}"].fields, start=1):
+            column = "observation_id" if (table, f.name) == ("delay_observations", "id") else f.name
+            rows.append(f"SELECT '{table}' AS table_name, {i} AS ordinal_position, '{f.name}' AS column_name, "
+                        f"'{'YES' if f.nullable else 'NO'}' AS is_nullable, "
+                        f"CAST(count(*) FILTER (WHERE {column} IS NULL) AS BIGINT) AS null_count FROM {cte}")
+    return " UNION ALL ".join(rows)
+
+
+register("schema_audit", _schema_audit_sql(), extra_ctes="""runs AS (
+  SELECT collection_run_id AS id, min(created_at) AS started_at, max(created_at) AS finished_at,
+         'success' AS status, 0 AS records_saved, '' AS error_message
+  FROM obs GROUP BY collection_run_id)""")
 # A copy of what the collector's upserts left in the store
 register("extract_routes", UPSERT_ROUTES, extra_ctes=PAYLOADS)
 register("extract_stops", UPSERT_STOPS, extra_ctes=PAYLOADS)

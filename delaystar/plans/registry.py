@@ -16,9 +16,12 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaystar import schemas
 from delaystar import settings as S
+from delaystar.functions import columns as C
+from delaystar.functions import identity
 from delaystar.operators import dedup, incremental, ingest, quality, reporting, rules, snapshot, warehouse
-from delaystar.session import ensure_checkpoint_dir, scratch_path
+from delaystar.session import dimension, ensure_checkpoint_dir, scratch_path
 from delaystar.sources import extract, payloads, sinks, testdata
 from delaystar.streaming import collector
 
@@ -44,11 +47,11 @@ class Job:
 
     @cached_property
     def routes(self) -> DataFrame:
-        return testdata.routes(self.spark)
+        return testdata.routes(self.spark, self.sf_dir)
 
     @cached_property
     def stops(self) -> DataFrame:
-        return testdata.stops(self.spark)
+        return testdata.stops(self.spark, self.sf_dir)
 
     @cached_property
     def wh(self) -> warehouse.Warehouse:
@@ -191,7 +194,8 @@ def _q_preview(j: Job) -> DataFrame:
 
 @query("schema_audit")
 def _q_schema(j: Job) -> DataFrame:
-    return quality.schema_audit(_source_tables(j))
+    tables = _source_tables(j) | {"delay_observations": extract.operational_observations(j.observations)}
+    return quality.schema_audit({name: (df, schemas.ALL_TABLES[f"transit_data/{name}"]) for name, df in tables.items()})
 
 
 # ---------------------------------------------------------------- warehouse checks
@@ -261,24 +265,32 @@ def _q_latest(j: Job) -> DataFrame:
     return dedup.dedup_latest_by_id(j.raw)
 
 
-@query("insert_ignore")
-def _q_insert_ignore(j: Job) -> DataFrame:
-    return dedup.insert_ignore(_merge_target(j), _merge_batch(j)).select(*j.raw.columns)
+HISTORY_UNTIL = dt.datetime(2024, 5, 1)
+
+
+def _history(j: Job) -> DataFrame:
+    """The store so far: what was collected before HISTORY_UNTIL."""
+    return j.observations.filter(F.col("created_at") < C.ntz_literal(HISTORY_UNTIL))
 
 
 def _accepted(j: Job) -> DataFrame:
-    return dedup.insert_ignore(_merge_target(j), _merge_batch(j))
+    """All collected observations inserted into the history so far."""
+    return dedup.insert_ignore(_history(j), j.raw)
+
+
+@query("insert_ignore")
+def _q_insert_ignore(j: Job) -> DataFrame:
+    return _accepted(j).select(*j.raw.columns)
 
 
 @query("save_summary")
 def _q_save_summary(j: Job) -> DataFrame:
-    return dedup.save_summary(_merge_batch(j), _accepted(j))
+    return dedup.save_summary(j.raw, _accepted(j))
 
 
 @query("run_records_saved")
 def _q_records_saved(j: Job) -> DataFrame:
-    batch = _merge_batch(j)
-    return dedup.run_records_saved(testdata.collection_runs(batch), _accepted(j))
+    return dedup.run_records_saved(testdata.collection_runs(j.raw), _accepted(j))
 
 
 @query("overlap_extract")
@@ -293,7 +305,7 @@ def _q_batch_dedup(j: Job) -> DataFrame:
 
 @query("merge_raw")
 def _q_merge_raw(j: Job) -> DataFrame:
-    return incremental.merge_raw(_merge_target(j), _merge_batch(j))
+    return incremental.merge_raw(_merge_target(j), incremental.batch_dedup(_merge_batch(j)))
 
 
 def _cycle(j: Job) -> incremental.CycleResult:
@@ -312,10 +324,22 @@ def _q_merge_fact(j: Job) -> DataFrame:
     return _cycle(j).fact
 
 
+@query("incremental_cycle")
+def _q_cycle(j: Job) -> DataFrame:
+    """The whole cycle, written, checked and logged; the unknown route makes it a failed one."""
+    target = _merge_target(j)
+    wh = warehouse.build_warehouse(target, j.routes, j.stops, j.zone)
+    log = incremental.run_cycle(scratch_path(j.spark, "cycle"), wh, target, _merge_batch(j), j.routes, j.stops)
+    return log.select("status", "fact_rows", "issue_count")
+
+
 @query("rerun_idempotence")
 def _q_rerun(j: Job) -> DataFrame:
     first = _cycle(j)
-    second = incremental.incremental_cycle(first.wh, first.raw, _merge_batch(j), j.routes, j.stops)
+    raw, fact = dimension(first.raw), dimension(first.fact)
+    stored = warehouse.Warehouse(first.dim_date, first.wh.dim_route, first.wh.dim_stop, fact, j.zone)
+    second = incremental.incremental_cycle(stored, raw, _merge_batch(j), j.routes, j.stops)
+    first = incremental.CycleResult(raw, first.dim_date, fact, stored)
     return incremental.rerun_differences(first.fact, second.fact, "source_observation_id")
 
 
@@ -333,7 +357,7 @@ def _collected(j: Job) -> DataFrame:
 
 
 def _collect_accepted(j: Job) -> DataFrame:
-    return ingest.collect_accepted(_merge_target(j), _collected(j))
+    return ingest.collect_accepted(_history(j), _collected(j))
 
 
 @query("scan_payloads")
@@ -359,7 +383,7 @@ def _q_first_seen_routes(j: Job) -> DataFrame:
 
 @query("search_stations")
 def _q_search(j: Job) -> DataFrame:
-    return ingest.search_stations(payloads.search_payloads(j.raw, j.routes, j.stops), S.PARSE_LIMIT)
+    return ingest.search_stations(payloads.search_payloads(j.raw, j.routes, j.stops), S.SEARCH_LIMIT)
 
 
 @query("collect_batch")
@@ -374,7 +398,11 @@ def _q_collection_summary(j: Job) -> DataFrame:
 
 @query("collection_errors")
 def _q_collection_errors(j: Job) -> DataFrame:
-    return ingest.collection_errors(_scanned(j))
+    """Every stop of the stop table is requested by name in each run that collected it."""
+    scanned = _scanned(j)
+    wanted = scanned.select("collection_run_id", "stop_id").distinct().join(
+        j.stops.select(F.col("id").alias("stop_id"), F.col("name").alias("stop_name")), "stop_id", "left")
+    return ingest.collection_errors(scanned, wanted)
 
 
 @query("sink_upsert_routes")
@@ -390,11 +418,13 @@ def _q_upsert_stops(j: Job) -> DataFrame:
 @query("sink_upsert_runs")
 def _q_upsert_runs(j: Job) -> DataFrame:
     """Runs are inserted with records_saved 0, then upserted with the inserted count (S7 + S9)."""
-    parsed = _parsed(j)
+    parsed = dimension(_parsed(j).select("payload_id", "collection_id", "_requested", "fetched_at", "_kept", "_stops",
+                                         "_routes", "_trips"))
     started = ingest.parsed_runs(parsed)
-    final = dedup.run_records_saved(started, _collect_accepted(j), run="collection_run_id")
-    batch = final.join(parsed.select(F.col("payload_id").alias("id"), "fetched_at", "payload_id"), "id") \
-        .withColumn("position", F.lit(0))
+    accepted = ingest.collect_accepted(_history(j), ingest.parsed_observations(parsed))
+    final = dedup.run_records_saved(started, accepted, run="collection_run_id")
+    batch = final.select("*", F.col("started_at").alias("fetched_at"), F.col("id").alias("payload_id"),
+                         F.lit(0).alias("position"))
     return ingest.upsert_entities(started, batch)
 
 
@@ -437,8 +467,9 @@ def _q_fact_dates(j: Job) -> DataFrame:
 
 @query("etl_control_log")
 def _q_control(j: Job) -> DataFrame:
-    issues = quality.warehouse_issue_row(j.wh)
-    return sinks.log_cycle(issues, j.wh.fact, scratch_path(j.spark, "etl_control"))
+    """The log row without its id and time."""
+    checks = dimension(quality.warehouse_checks(j.spark, j.observations, j.wh))
+    return sinks.log_cycle(checks, scratch_path(j.spark, "etl_control")).select("status", "fact_rows", "issue_count")
 
 
 # ---------------------------------------------------------------- streaming
@@ -457,9 +488,11 @@ def _q_stream_collect(j: Job) -> DataFrame:
 
 @query("stream_dedup_overlap")
 def _q_stream_overlap(j: Job) -> DataFrame:
+    """The keys that the bounded-state dedup lets through, all files in one micro-batch."""
     landing = _landed(j)
     return collector.stream_dedup_overlap(
-        j.spark, f"{landing}/*", j.raw.schema, scratch_path(j.spark, "dedup-out"), scratch_path(j.spark, "ckpt-dedup"))
+        j.spark, f"{landing}/*", j.raw.schema, scratch_path(j.spark, "dedup-out"), scratch_path(j.spark, "ckpt-dedup")
+    ).select("duplicate_key")
 
 
 @query("merge_fact_in_place")
@@ -532,13 +565,20 @@ def _q_dim_resolution(j: Job) -> DataFrame:
 
 @query("statistics_gate")
 def _q_gate(j: Job) -> DataFrame:
-    snap = snapshot.snapshot_input(j.raw, j.stops, j.zone)
-    legacy = {
-        "average_delay_by_stop": snapshot.average_delay_by_stop(snap),
-        "delayed_ratio_by_period": snapshot.delayed_ratio_by_period(snap),
-        "most_problematic_stops": snapshot.most_problematic_stops(snap),
-    }
-    return reporting.statistics_gate(reporting.load_statistics(j.view), legacy)
+    return reporting.statistics_gate(j.view, snapshot.snapshot_input(j.raw, j.stops, j.zone))
+
+
+@query("kpi_display")
+def _q_kpi_display(j: Job) -> DataFrame:
+    return reporting.kpi_display(j.view)
+
+
+@query("run_scoped_ids")
+def _q_run_scoped(j: Job) -> DataFrame:
+    """F13 variant for observations without a collection time: run and index join the key."""
+    return j.observations.select("observation_id", identity.run_scoped_observation_id(
+        F.col("collection_run_id"), F.col("trip_id"), F.col("stop_id"), F.col("scheduled_departure"),
+        F.col("stop_sequence")).alias("run_scoped_id"))
 
 
 @query("source_audit")
@@ -554,7 +594,7 @@ def _q_warehouse_checks(j: Job) -> DataFrame:
 def _operational_store(j: Job) -> str:
     """Routes and stops as the collector leaves them (payload upserts), written as the store."""
     root = scratch_path(j.spark, "transit_data")
-    parsed = _parsed(j)
+    parsed = dimension(_parsed(j))
     ingest.upsert_entities(j.routes, ingest.parsed_routes(parsed)).write.parquet(f"{root}/routes")
     ingest.upsert_entities(j.stops, ingest.parsed_stops(parsed)).write.parquet(f"{root}/stops")
     return root
@@ -562,12 +602,12 @@ def _operational_store(j: Job) -> str:
 
 @query("extract_routes")
 def _q_extract_routes(j: Job) -> DataFrame:
-    return extract.extract_table(j.spark, extract.parquet_reader(_operational_store(j)), "routes")
+    return extract.extract_table(j.spark, extract.parquet_reader(_operational_store(j)), "routes", scratch_path(j.spark, "raw"))
 
 
 @query("extract_stops")
 def _q_extract_stops(j: Job) -> DataFrame:
-    return extract.extract_table(j.spark, extract.parquet_reader(_operational_store(j)), "stops")
+    return extract.extract_table(j.spark, extract.parquet_reader(_operational_store(j)), "stops", scratch_path(j.spark, "raw"))
 
 
 @query("looker_metrics_date_range")

@@ -1,4 +1,4 @@
-"""Session helpers: builder for tests/bench, checkpoint folder, sized broadcast."""
+"""Session helpers: builder for tests/bench, checkpoint folder, materialized dimensions."""
 
 from __future__ import annotations
 
@@ -6,9 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from delaystar import settings
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -60,16 +57,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = settings.MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it is proven to hold at most ``max_rows`` rows.
+def dimension(df: DataFrame) -> DataFrame:
+    """Write a dimension once to the shared folder and read it back.
 
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the frame is
-    returned as is and the planner shuffles (sort-merge / shuffle-hash join).
+    The files cut the lineage and give the planner the table's size in bytes, so
+    ``spark.sql.autoBroadcastJoinThreshold`` (and AQE) decide whether it is broadcast.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def dimension(df: DataFrame, max_rows: int = settings.MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialize a dimension once and broadcast it if its size allows."""
-    return sized_broadcast(materialize(df), max_rows)
+    path = scratch_path(df.sparkSession, "dimension")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

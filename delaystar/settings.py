@@ -95,6 +95,7 @@ PAYLOAD_OK_STATUS = "OK"
 
 # Display placeholders.
 MISSING_TEXT = "-"
+UNKNOWN_NAME = "unknown"
 
 # Stops monitored by the scheduled collector:
 # (stop_id, stop_name, route_short_names, direction_label).
@@ -121,14 +122,3 @@ MONITORED_STOPS = (
     ("BKK_F02225", "Petofi hid, budai hidfo", ("4", "6"), "Szell Kalman direction"),
     ("BKK_F02224", "Petofi hid, budai hidfo", ("4", "6"), "Ujbuda / Moricz direction"),
 )
-
-# --- job defaults (not fixed by the source system) --------------------------
-
-# Largest dimension (rows) that may be broadcast; bigger ones shuffle-join.
-# A dimension row is ~100 bytes, so the bound keeps a broadcast near 20 MB per
-# executor (a city network has thousands of stops, hundreds of routes; the
-# date dimension has one row per day).
-MAX_BROADCAST_ROWS = 200_000
-
-# Largest route scope turned into a literal key filter on the fact scan.
-MAX_SCOPE_KEYS = 1_000

@@ -13,17 +13,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaystar.sources import sinks
+
 Reader = Callable[[SparkSession, str], DataFrame]
 
 
 def jdbc_reader(url: str, properties: dict[str, str], partition_column: str = "created_at",
                 lower_bound: str | None = None, upper_bound: str | None = None, num_partitions: int = 64) -> Reader:
-    """JDBC reader; with bounds the table is read in ``num_partitions`` range splits."""
+    """JDBC reader; observations are read in ``num_partitions`` range splits, so their bounds are required."""
     def read(spark: SparkSession, table: str) -> DataFrame:
         r = spark.read.format("jdbc").option("url", url).option("dbtable", table)
         for k, v in properties.items():
             r = r.option(k, v)
-        if lower_bound and upper_bound and table.endswith("delay_observations"):
+        if table.endswith("delay_observations"):
+            if not (lower_bound and upper_bound):
+                raise ValueError("reading observations needs both bounds of the partition column")
             r = (r.option("partitionColumn", partition_column).option("lowerBound", lower_bound)
                  .option("upperBound", upper_bound).option("numPartitions", num_partitions))
         return r.load()
@@ -54,9 +58,10 @@ def extract_observations(source: DataFrame) -> DataFrame:
     )
 
 
-# Plain copies of the small tables
-def extract_table(spark: SparkSession, reader: Reader, table: str) -> DataFrame:
-    return reader(spark, table)
+# Copies of the store's tables into raw, replaced as a whole
+def extract_table(spark: SparkSession, reader: Reader, table: str, raw_root: str) -> DataFrame:
+    sinks.replace_table(reader(spark, table), f"{raw_root.rstrip('/')}/{table}")
+    return sinks.read_current(spark, f"{raw_root.rstrip('/')}/{table}")
 
 
 # The collector's monitored stops as a small literal dimension

@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaystar.functions import columns as C
-from delaystar.session import sized_broadcast
 from delaystar.sources.testdata import ROUTE_BY_ORDER_MOD5
 
 def order_number(trip_id: str = "trip_id") -> Column:
@@ -50,17 +49,17 @@ def _refs_json(refs: Column, object_form: Column) -> Column:
 
 
 def _items(raw: DataFrame, routes: DataFrame, stops: DataFrame) -> DataFrame:
-    """Observation rows with their reference objects attached (small tables broadcast after a size check)."""
-    stop_ref = sized_broadcast(stops.select(
+    """Observation rows with their reference objects attached (small tables, broadcast by the planner)."""
+    stop_ref = stops.select(
         F.col("id").alias("stop_id"),
         F.struct(F.col("id"), F.col("name"), F.col("lat"), F.col("lon"),
                  F.col("id").alias("code")).alias("stop_ref"),
-    ))
-    route_ref = sized_broadcast(routes.select(
+    )
+    route_ref = routes.select(
         F.col("id").alias("route_id"),
         F.struct(F.col("id"), F.col("short_name").alias("shortName"), F.col("route_type").alias("type"))
         .alias("route_ref"),
-    ))
+    )
     trip_route_ref = route_ref.select(F.col("route_id").alias("trip_route_id"),
                                       F.col("route_ref").alias("trip_route_ref"))
     order = order_number()

@@ -38,12 +38,34 @@ def replace_table(df: DataFrame, root: str, *, incremental: bool = False, partit
         writer = writer.partitionBy(*partition_by)
     writer.parquet(version)
     spark = df.sparkSession
-    spark.createDataFrame([(version,)], "path string").coalesce(1).write.mode("overwrite").text(f"{root}/{POINTER}")
+    lines = _pointer_lines(spark, root)
+    last = max((int(line.split(" ", 1)[0]) for line in lines), default=0)
+    # a new numbered line is added, none is deleted: a reader always finds a pointer
+    pointer = spark.createDataFrame([(f"{last + 1:020d} {version}",)], "line string")
+    pointer.coalesce(1).write.mode("append").text(f"{root}/{POINTER}")
     return version
 
 
+def _pointer_lines(spark: SparkSession, root: str) -> list[str]:
+    """Numbered versions of a table (one line per replacement); none for a new table."""
+    try:
+        return [r[0] for r in spark.read.text(f"{root}/{POINTER}").collect()]
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
+        return []
+
+
+def path_missing(error: AnalysisException) -> bool:
+    """True only for a path that does not exist (yet); other read problems are errors."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def current_version(spark: SparkSession, root: str) -> str:
-    return spark.read.text(f"{root}/{POINTER}").first()[0]
+    lines = _pointer_lines(spark, root)
+    if not lines:
+        raise FileNotFoundError(f"no version of {root}")
+    return max(lines).split(" ", 1)[1]
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame:
@@ -71,6 +93,15 @@ def write_fact_partitioned(fact: DataFrame, path: str, partitions: int | None =
     )
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
+    """Remove the folders of the given partition values (dates that a merge has emptied)."""
+    jvm = spark.sparkContext._jvm
+    for value in values:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={name}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     """Table-based source of the written fact."""
     return spark.read.parquet(path)
@@ -98,7 +129,9 @@ def create_schemas(spark: SparkSession, root: str) -> DataFrame:
         try:
             existing = spark.read.parquet(path)
             created = False
-        except AnalysisException:
+        except AnalysisException as e:
+            if not path_missing(e):
+                raise
             spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
             existing = spark.read.parquet(path)
             created = True
@@ -116,15 +149,21 @@ CONTROL_SCHEMA = T.StructType([
 
 
 # Append the cycle's outcome; a cycle with issues is logged as failed, never success
-def log_cycle(issues: DataFrame, fact: DataFrame, control_path: str, cycle_id: str | None = None) -> DataFrame:
-    """``issues`` is the one-row output of the warehouse checks (all counters)."""
-    total = sum(F.col(c) for c in issues.columns)
-    row = issues.select(total.cast("bigint").alias("issue_count")).select(
+def log_cycle(checks: DataFrame, control_path: str, cycle_id: str | None = None) -> DataFrame:
+    """``checks`` is the one row of the warehouse checks.
+
+    Every counter of Q2..Q9 counts as issues, and so do the rows by which usable raw
+    rows and fact rows differ (Q1): a cycle that lost rows is not a success.
+    """
+    counted = [c for c in checks.columns if c not in ("usable_raw_rows", "fact_rows")]
+    lost = F.abs(F.col("usable_raw_rows") - F.col("fact_rows"))
+    total = sum((F.col(c) for c in counted), lost)
+    row = checks.select(total.cast("bigint").alias("issue_count"), "fact_rows").select(
         F.lit(cycle_id or uuid.uuid4().hex).alias("cycle_id"),
         F.expr("convert_timezone(current_timezone(), 'UTC', localtimestamp())").alias("refreshed_at"),
         F.when(F.col("issue_count") == 0, "success").otherwise("failed").alias("status"),
-        fact.select(F.count(F.lit(1))).scalar().alias("fact_rows"),
+        "fact_rows",
         "issue_count",
     )
     row.write.mode("append").parquet(control_path)
-    return fact.sparkSession.read.schema(CONTROL_SCHEMA).parquet(control_path)
+    return checks.sparkSession.read.schema(CONTROL_SCHEMA).parquet(control_path)

@@ -109,13 +109,36 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def routes(spark: SparkSession) -> DataFrame:
-    """Companion route table (five routes; R_9999 in the data is unknown on purpose)."""
-    return spark.createDataFrame(list(ROUTES), "id string, short_name string, route_type string")
-
-
-def stops(spark: SparkSession) -> DataFrame:
-    """Companion stop table S_0..S_19; two ids share a name; S_19 has no coordinates."""
+def routes(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+    """The five observed routes (R_9999 in the data is unknown on purpose) and one route per ``supplier``."""
+    observed = spark.createDataFrame(list(ROUTES), "id string, short_name string, route_type string")
+    if sf_dir is None:
+        return observed
+    key = F.col("s_suppkey")
+    kind = F.when(F.col("s_nationkey") % 3 == 0, "BUS").when(F.col("s_nationkey") % 3 == 1, "TRAM").otherwise("TROLLEY")
+    return observed.unionByName(read_table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("R_S"), key.cast("string")).alias("id"),
+        F.concat(F.lit("S"), key.cast("string")).alias("short_name"),
+        kind.alias("route_type"),
+    ))
+
+
+def stops(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
+    """The observed stops S_0..S_19 (two ids share a name; S_19 has no coordinates) and one stop per ``part``."""
+    observed = _observed_stops(spark)
+    if sf_dir is None:
+        return observed
+    key = F.col("p_partkey")
+    place = lambda base, n: F.when(key % 50 != 0, F.lit(base) + (key % n).cast("double") / F.lit(1000.0))
+    return observed.unionByName(read_table(spark, sf_dir, "part").select(
+        F.concat(F.lit("S_P"), key.cast("string")).alias("id"),
+        F.col("p_name").alias("name"),
+        place(47.0, 1000).alias("lat"),
+        place(19.0, 777).alias("lon"),
+    ))
+
+
+def _observed_stops(spark: SparkSession) -> DataFrame:
     i = F.col("id")
     return spark.range(STOP_COUNT).select(
         F.concat(F.lit("S_"), i.cast("string")).alias("id"),

@@ -25,29 +25,30 @@ from pyspark.sql import types as T
 from delaystar import settings as S
 from delaystar.functions import identity
 from delaystar.operators import dedup
+from delaystar.sources import sinks
 
 SCHEDULED_DATE = "scheduled_date"
 
 
-def land_observation_files(raw: DataFrame, landing: str) -> list[str]:
-    """Test helper: write observations as one folder per creation month, in time order
-    (missing creation times last), so a file stream replays the collection order."""
-    month = F.year("created_at") * 100 + F.month("created_at")
-    months = raw.select(month.alias("m")).distinct()
-    keys = sorted((r["m"] for r in months.collect()), key=lambda m: (m is None, m or 0))
-    paths = []
-    for i, m in enumerate(keys):
-        part = raw.filter(F.col("created_at").isNull()) if m is None else raw.filter(month == m)
-        path = f"{landing.rstrip('/')}/batch-{i:04d}"
-        part.coalesce(1).write.mode("errorifexists").parquet(path)
-        paths.append(path)
-    return paths
+def land_observation_files(raw: DataFrame, landing: str) -> None:
+    """Write observations as landed files, one folder per creation month, in one job.
+
+    Rows are range-partitioned by creation time, so a large month is several files.
+    """
+    month = F.coalesce(F.year("created_at") * 100 + F.month("created_at"), F.lit(0))
+    (
+        raw.withColumn("landed_month", month)
+        .repartitionByRange("landed_month", "created_at", "observation_id")
+        .write.mode("errorifexists").partitionBy("landed_month").parquet(landing)
+    )
 
 
 def _store_slice(spark: SparkSession, store: str, lo, hi) -> DataFrame | None:
     try:
         existing = spark.read.parquet(store)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not sinks.path_missing(e):
+            raise
         return None
     return existing.filter(F.col(SCHEDULED_DATE).between(lo, hi)).select("duplicate_key")
 
@@ -69,15 +70,20 @@ def insert_ignore_batch(batch: DataFrame, store: str) -> None:
         first.unpersist()
 
 
+def _landed_files(spark: SparkSession, landing_glob: str, schema: T.StructType, files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(landing_glob)
+
+
 def stream_collect(spark: SparkSession, landing_glob: str, schema: T.StructType, store: str,
-                   checkpoint: str, files_per_trigger: int = 1) -> DataFrame:
-    """I8: drain the landed files (availableNow) into the store; returns the store."""
-    stream = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(landing_glob)
-    )
+                   checkpoint: str, files_per_trigger: int | None = None) -> DataFrame:
+    """I8: drain the landed files (availableNow) into the store; returns the store.
+
+    ``files_per_trigger`` bounds a micro-batch; without it the backlog is one batch.
+    """
+    stream = _landed_files(spark, landing_glob, schema, files_per_trigger)
     q = (
         stream.writeStream.foreachBatch(lambda df, _epoch: insert_ignore_batch(df, store))
         .option("checkpointLocation", checkpoint)
@@ -114,14 +120,9 @@ def dedup_within_watermark(stream: DataFrame, keys: list[str], ts_ntz: str, dela
 
 def stream_dedup_overlap(spark: SparkSession, landing_glob: str, schema: T.StructType, out: str,
                          checkpoint: str, overlap_days: int = S.OVERLAP_DAYS, keys: tuple[str, ...] = ("duplicate_key",),
-                         ts_ntz: str = "created_at") -> DataFrame:
+                         ts_ntz: str = "created_at", files_per_trigger: int | None = None) -> DataFrame:
     """Bounded-state dedup within an overlap watermark, file stream -> parquet."""
-    stream = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", 1)
-        .option("pathGlobFilter", "*.parquet")
-        .parquet(landing_glob)
-    )
+    stream = _landed_files(spark, landing_glob, schema, files_per_trigger)
     deduped = dedup_within_watermark(stream, list(keys), ts_ntz, f"{overlap_days} days")
     q = (
         deduped.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)

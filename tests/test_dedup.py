@@ -45,8 +45,12 @@ def test_merge_update_insert_and_rerun(spark):
 
 
 def test_upsert_last_write_wins(spark):
+    from delaystar.operators import ingest
+
+    t = dt.datetime(2026, 5, 16, 12, 0)
     target = spark.createDataFrame([("R1", "4", "TRAM")], "id string, short_name string, route_type string")
-    batch = spark.createDataFrame([("R1", "4A", "TRAM", 0), ("R1", "4B", "TRAM", 1), ("R2", "6", "TRAM", 0)],
-                                  "id string, short_name string, route_type string, _seq bigint")
-    got = sorted(tuple(r) for r in dedup.upsert_last_wins(target, batch).collect())
+    rows = [("R1", "4A", "TRAM", t, "p1", 0), ("R1", "4B", "TRAM", t, "p1", 1), ("R2", "6", "TRAM", t, "p0", 0)]
+    batch = spark.createDataFrame(rows, "id string, short_name string, route_type string, fetched_at timestamp_ntz, "
+                                        "payload_id string, position int")
+    got = sorted(tuple(r) for r in ingest.upsert_entities(target, batch).collect())
     assert got == [("R1", "4B", "TRAM"), ("R2", "6", "TRAM")]

@@ -8,9 +8,9 @@ DEP = 1778940300  # 2026-05-16 14:05:00 UTC
 
 
 def _departures(stops_form: str):
-    stop_refs = [{"id": "BKK_STOP_1", "name": "Oktogon M", "lat": 47.505, "lon": "19.063"}]
-    route_refs = [{"id": "BKK_3040", "shortName": "4", "type": "TRAM"}]
-    trip_refs = [{"id": "TRIP_1", "routeId": "BKK_3040", "tripHeadsign": "Szell Kalman ter M", "directionId": "1"}]
+    stop_refs = [{"id": "STOP_1", "name": "North Gate", "lat": 47.25, "lon": "19.75"}]
+    route_refs = [{"id": "LINE_3040", "shortName": "4", "type": "TRAM"}]
+    trip_refs = [{"id": "TRIP_1", "routeId": "LINE_3040", "tripHeadsign": "South Gate", "directionId": "1"}]
 
     def refs(items):
         return items if stops_form == "array" else {x["id"]: x for x in items}
@@ -19,12 +19,12 @@ def _departures(stops_form: str):
         "status": "OK",
         "data": {
             "entry": {"stopTimes": [
-                {"stopId": "BKK_STOP_1", "tripId": "TRIP_1"},  # no departure time: dropped
-                {"stopId": "BKK_STOP_1", "departureTime": DEP, "predictedDepartureTime": DEP + 120,
+                {"stopId": "STOP_1", "tripId": "TRIP_1"},  # no departure time: dropped
+                {"stopId": "STOP_1", "departureTime": DEP, "predictedDepartureTime": DEP + 120,
                  "tripId": "TRIP_1", "stopSequence": "7"},
                 {"departureTime": str(DEP + 60), "tripId": "TRIP_2", "stopHeadsign": "Direct"},
                 "not an object",
-                {"stopId": "BKK_STOP_1", "departureTime": DEP + 600, "tripId": "TRIP_1"},
+                {"stopId": "STOP_1", "departureTime": DEP + 600, "tripId": "TRIP_1"},
             ]},
             "references": {"stops": refs(stop_refs), "routes": refs(route_refs), "trips": refs(trip_refs)},
         },
@@ -32,7 +32,7 @@ def _departures(stops_form: str):
 
 
 def _scan(spark, bodies):
-    rows = [(f"p{i}", "RUN", "T", "BKK_STOP_1", None, b) for i, b in enumerate(bodies)]
+    rows = [(f"p{i}", "RUN", "T", "STOP_1", None, b) for i, b in enumerate(bodies)]
     df = spark.createDataFrame(rows, "payload_id string, collection_run_id string, trip_id string, stop_id string, "
                                      "fetched_at timestamp_ntz, body string")
     return ingest.scan_payloads(df)
@@ -46,16 +46,16 @@ def test_parse_departures_both_dialects(spark):
         assert len(obs) == 2, form
         first, second = obs
         assert first.delay_seconds == 120 and first.delay_category == "minor_delay"
-        assert first.route_id == "BKK_3040" and first.headsign == "Szell Kalman ter M" and first.direction_id == "1"
+        assert first.route_id == "LINE_3040" and first.headsign == "South Gate" and first.direction_id == "1"
         assert first.stop_sequence == 7
-        assert first.duplicate_key == "TRIP_1|BKK_STOP_1|2026-05-16T14:05:00+00:00"
+        assert first.duplicate_key == "TRIP_1|STOP_1|2026-05-16T14:05:00+00:00"
         # unknown trip: route falls back to '-' and the stop to the requested stop
-        assert second.route_id == "-" and second.stop_id == "BKK_STOP_1" and second.headsign == "Direct"
+        assert second.route_id == "-" and second.stop_id == "STOP_1" and second.headsign == "Direct"
         assert second.delay_seconds == 0 and second.stop_sequence == 0
         stops = ingest.parsed_stops(parsed).collect()
-        assert [(s.id, s.name, s.lat, s.lon) for s in stops] == [("BKK_STOP_1", "Oktogon M", 47.505, 19.063)]
+        assert [(s.id, s.name, s.lat, s.lon) for s in stops] == [("STOP_1", "North Gate", 47.25, 19.75)]
         routes = sorted((r.id, r.short_name, r.route_type) for r in ingest.parsed_routes(parsed).collect())
-        assert routes == [("-", "-", ""), ("BKK_3040", "4", "TRAM")]
+        assert routes == [("-", "-", ""), ("LINE_3040", "4", "TRAM")]
 
 
 def test_bad_json_and_error_status_become_error_rows(spark):
@@ -67,9 +67,9 @@ def test_bad_json_and_error_status_become_error_rows(spark):
 
 def _search(form):
     stops = [
-        {"id": "S1", "name": " Blaha Lujza ter M ", "code": "F1", "routeIds": ["R4", "R6", "", "R9"]},
+        {"id": "S1", "name": " East Square ", "code": "F1", "routeIds": ["R4", "R6", "", "R9"]},
         {"id": "S2", "name": "", "routeIds": ["R4"]},
-        {"id": "S3", "name": "Corvin-negyed M", "routeIds": "R4"},
+        {"id": "S3", "name": "West Park", "routeIds": "R4"},
     ]
     routes = [{"id": "R4", "shortName": "4"}, {"id": "R6", "shortName": " 6 "}, {"id": "R9", "shortName": ""}]
     refs = (lambda xs: xs) if form == "array" else (lambda xs: {x["id"]: x for x in xs})
@@ -79,11 +79,11 @@ def _search(form):
 
 def test_station_search_both_dialects(spark):
     for form in ("array", "object"):
-        df = spark.createDataFrame([("q1", "Blaha", _search(form)), ("q2", "Bla", _search(form))],
+        df = spark.createDataFrame([("q1", "East", _search(form)), ("q2", "Eas", _search(form))],
                                    "payload_id string, query string, body string")
         got = ingest.search_stations(df, limit=11).orderBy("position").collect()
         assert [(r.payload_id, r.stop_id, r.name, r.route_number) for r in got] == [
-            ("q1", "S1", "Blaha Lujza ter M", "4, 6"), ("q1", "S3", "Corvin-negyed M", "")], form
+            ("q1", "S1", "East Square", "4, 6"), ("q1", "S3", "West Park", "")], form
 
 
 def test_station_search_falls_back_to_reference_order(spark):
@@ -96,7 +96,7 @@ def test_station_search_falls_back_to_reference_order(spark):
 
 def test_collection_summary_partial_success(spark):
     good = json.dumps(_departures("array"))
-    rows = [("a", "C1", "T", "BKK_STOP_1", None, good), ("b", "C1", "T", "BKK_STOP_2", None, "oops")]
+    rows = [("a", "C1", "T", "STOP_1", None, good), ("b", "C1", "T", "STOP_2", None, "oops")]
     df = spark.createDataFrame(rows, "payload_id string, collection_run_id string, trip_id string, stop_id string, "
                                      "fetched_at timestamp_ntz, body string")
     scanned = ingest.scan_payloads(df)
@@ -108,4 +108,46 @@ def test_collection_summary_partial_success(spark):
     assert (s.api_calls_succeeded, s.api_calls_failed, s.status) == (1, 1, "partial_success")
     assert s.observations_generated == 3 and s.observations_saved == 3
     errors = ingest.collection_errors(scanned).collect()
-    assert [(e.stop_id, e.message) for e in errors] == [("BKK_STOP_2", "invalid JSON")]
+    assert [(e.stop_id, e.message) for e in errors] == [("STOP_2", "invalid JSON")]
+
+
+def test_search_has_a_status_gate_and_drops_falsy_items(spark):
+    stops = [{"id": "S1", "name": "\u00a0Hill\u2003\n", "routeIds": [0, "R4", False, "", None, "0"]}]
+    routes = [{"id": "R4", "shortName": "4"}, {"id": "0", "shortName": "zero"}]
+    data = {"entry": {"stopIds": [0, False, "S1"]}, "references": {"stops": stops, "routes": routes}}
+    rows = [("ok", "Hill", json.dumps({"status": "OK", "data": data})), ("bad", "Hill", json.dumps({"status": "ERROR", "data": data}))]
+    df = spark.createDataFrame(rows, "payload_id string, query string, body string")
+    got = ingest.search_stations(df).collect()
+    assert [(r.payload_id, r.stop_id, r.name, r.route_ids_text, r.route_number) for r in got] == [
+        ("ok", "S1", "Hill", "R4,0", "4, zero")]
+    errors = [r for r in ingest.scan_payloads(df).collect() if not r.accepted]
+    assert [(r.payload_id, r.error_message) for r in errors] == [("bad", "status ERROR: ")]
+
+
+def test_a_repeated_object_key_keeps_its_last_value(spark):
+    body = json.dumps(_departures("object")).replace('"LINE_3040": {', '"LINE_3040": {"id": "x", "type": "OLD"}, "LINE_3040": {', 1)
+    scanned = _scan(spark, [body])
+    assert scanned.first().accepted
+    routes = {r.id: r.route_type for r in ingest.parsed_routes(ingest.parse_departures(scanned, limit=2)).collect()}
+    assert routes["LINE_3040"] == "TRAM"
+
+
+def test_the_body_is_parsed_once_per_row(spark):
+    scanned = _scan(spark, [json.dumps(_departures("array"))])
+    obs = ingest.parsed_observations(ingest.parse_departures(scanned, limit=2))
+    plan = obs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_parse_json(") + plan.count("parse_json(") - plan.count("try_parse_json(") <= 1
+
+
+def test_requested_stops_drive_the_collection_report(spark):
+    good = json.dumps(_departures("array"))
+    df = spark.createDataFrame([("a", "C1", "T", "STOP_1", None, good)], "payload_id string, collection_run_id string, "
+                               "trip_id string, stop_id string, fetched_at timestamp_ntz, body string")
+    requested = spark.createDataFrame([("C1", "STOP_1", "North Gate"), ("C1", "STOP_2", "South Gate"), ("C1", "", "Blank")],
+                                      "collection_run_id string, stop_id string, stop_name string")
+    scanned = ingest.scan_payloads(df)
+    obs = ingest.parsed_observations(ingest.parse_departures(scanned, limit=4))
+    s = ingest.collection_summary(scanned, obs, obs, requested=requested).first()
+    assert (s.stops_requested, s.api_calls_succeeded, s.api_calls_failed, s.status) == (3, 1, 1, "partial_success")
+    errors = ingest.collection_errors(scanned, requested).collect()
+    assert [(e.stop_id, e.stop_name, e.message) for e in errors] == [("STOP_2", "South Gate", "no payload")]

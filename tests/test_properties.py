@@ -48,7 +48,7 @@ def test_merge_is_idempotent_and_batch_wins(spark, target_rows, batch_rows):
              for k, (i, v, m) in enumerate(rows)], schema)
 
     target = dedup.dedup_latest_by_id(frame(target_rows, 0))
-    batch = frame(batch_rows, 1000)
+    batch = incremental.batch_dedup(frame(batch_rows, 1000))
     once = incremental.merge_raw(target, batch)
     twice = incremental.merge_raw(once, batch)
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0

@@ -70,7 +70,8 @@ def test_snapshot_empty_gives_no_statistics(spark):
 
 def test_time_period_pivot_orders_known_then_other_periods(spark):
     matrix = spark.createDataFrame(
-        [("4", "other period", 1.0, 2), ("4", "night", 3.0, 1), ("6", "morning peak", 2.0, 5), ("4", "dawn", 0.5, 1)],
+        [("4", "other period", 1.0, 2), ("4", "night", 3.0, 1), ("6", "morning peak", 2.0, 5), ("4", "dawn", 0.5, 1),
+         ("6", None, 4.0, 2)],
         "route_number string, time_period string, avg_delay_minutes double, observation_count bigint")
     out = reporting.time_period_pivot(matrix)
     assert out.columns == [
@@ -80,10 +81,11 @@ def test_time_period_pivot_orders_known_then_other_periods(spark):
         "other_period_avg_delay_minutes", "other_period_observation_count",
         "dawn_avg_delay_minutes", "dawn_observation_count",
         "night_avg_delay_minutes", "night_observation_count",
+        "unknown_avg_delay_minutes", "unknown_observation_count",
     ]
     rows = {r.route_number: r for r in out.collect()}
     assert rows["4"].morning_peak_avg_delay_minutes is None and rows["4"].night_observation_count == 1
-    assert rows["6"].morning_peak_observation_count == 5
+    assert rows["6"].morning_peak_observation_count == 5 and rows["6"].unknown_observation_count == 2
 
 
 def test_empty_scope_gives_zero_kpi_and_dense_hours(spark):

@@ -34,12 +34,56 @@ def test_create_schemas_keeps_existing(spark):
 
 def test_control_log_never_marks_a_failed_cycle_success(spark):
     j = Job(spark, SMALL_SF)
-    utc = warehouse.build_warehouse(j.observations, j.routes, j.stops, j.zone, fact_zone="UTC")
     path = scratch_path(spark, "ctl")
-    ok = sinks.log_cycle(quality.warehouse_issue_row(j.wh), j.wh.fact, path, "good")
-    bad = sinks.log_cycle(quality.warehouse_issue_row(utc), utc.fact, path, "utc-build")
-    status = {r.cycle_id: r.status for r in bad.collect()}
-    assert status == {"good": "success", "utc-build": "failed"}
+    known = j.observations.filter("route_id <> 'R_9999'")
+
+    def log(raw, name, **kw):
+        wh = warehouse.build_warehouse(raw, j.routes, j.stops, j.zone, **kw)
+        return sinks.log_cycle(quality.warehouse_checks(spark, raw, wh), path, name)
+
+    log(known, "good")
+    log(j.observations, "rows-lost")  # Q1: the unknown route drops usable rows
+    rows = {r.cycle_id: r for r in log(known, "utc-build", fact_zone="UTC").collect()}
+    assert {k: r.status for k, r in rows.items()} == {"good": "success", "rows-lost": "failed", "utc-build": "failed"}
+    assert rows["good"].issue_count == 0 and rows["rows-lost"].issue_count > 0
+
+
+def test_cycle_writes_checks_and_logs(spark):
+    from delaystar.operators import incremental
+
+    j = Job(spark, SMALL_SF)
+    raw = j.observations.filter("route_id <> 'R_9999'")
+    wh = warehouse.build_warehouse(raw, j.routes, j.stops, j.zone)
+    root = scratch_path(spark, "cycle")
+    log = incremental.run_cycle(root, wh, raw, raw.limit(50), j.routes, j.stops).collect()
+    assert [r.status for r in log] == ["success"]
+    assert sinks.read_current(spark, f"{root}/fact").count() == log[0].fact_rows
+
+
+def test_a_shared_folder_is_required_outside_local_mode():
+    from types import SimpleNamespace
+
+    from delaystar.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(cluster)
+
+
+def test_only_a_missing_path_is_an_empty_store(spark, tmp_path):
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"not parquet")
+    assert collector._store_slice(spark, str(tmp_path / "none"), None, None) is None
+    with pytest.raises(Exception):
+        collector._store_slice(spark, str(tmp_path / "broken"), None, None).count()
+
+
+def test_observations_are_never_read_from_jdbc_in_one_split(spark):
+    from delaystar.sources import extract
+
+    with pytest.raises(ValueError, match="bounds"):
+        extract.jdbc_reader("jdbc:x", {})(spark, "transit_data.delay_observations")
 
 
 def test_partitioned_fact_prunes_on_local_dates(spark):
@@ -136,7 +180,7 @@ def test_watermark_drops_late_rows_and_duplicates_on_events(spark):
     for i, part in enumerate(deliveries):
         part.coalesce(1).write.parquet(f"{landing}/batch-{i:04d}")
     out = collector.stream_dedup_overlap(spark, f"{landing}/*", events.schema, scratch_path(spark, "out"),
-                                         scratch_path(spark, "ckpt"), keys=("event_id",), ts_ntz="ts")
+                                         scratch_path(spark, "ckpt"), keys=("event_id",), ts_ntz="ts", files_per_trigger=1)
     late_ids = {r[0] for r in events.filter(held_back).select("event_id").collect()}
     got = out.select("event_id")
     assert events.filter(resent).count() > 0
@@ -236,3 +280,7 @@ def test_in_place_merge_moves_a_row_to_another_day_without_a_stale_copy(spark):
     got = {r.source_observation_id: (str(r.observed_date), r.delay_seconds) for r in sinks.read_fact(spark, path).collect()}
     assert got == {"o1": ("2024-06-28", 99), "o2": ("2024-06-27", 20), "o3": ("2024-06-29", 30),
                    "o4": ("2024-06-28", 40)}
+    # the only row of the 29th moves: its partition must not keep the old copy
+    incremental.merge_fact_partitions(path, spark.createDataFrame([row(3, 30, 77)], cols).select(*FACT_COLUMNS))
+    got = sorted((r.source_observation_id, str(r.observed_date)) for r in sinks.read_fact(spark, path).collect())
+    assert got == [("o1", "2024-06-28"), ("o2", "2024-06-27"), ("o3", "2024-06-30"), ("o4", "2024-06-28")]

@@ -36,13 +36,23 @@ def test_first_wins_with_a_hot_key(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_merge_and_upsert_reduce_before_the_exchange(spark):
-    df = _hot(spark)
-    merged = incremental.merge_raw(df.limit(0), df)
-    assert merged.count() == 3000  # ids are unique; nothing dropped
-    assert "Partial" in _plan(merged)
-    ups = dedup.upsert_last_wins(df.select("duplicate_key", "observation_id").limit(0),
-                                 df.select("duplicate_key", "observation_id"), key="duplicate_key")
+def test_merge_of_a_small_batch_does_not_shuffle_the_target(spark):
+    from delaystar.session import dimension
+
+    target = dimension(_hot(spark))
+    batch = dimension(_hot(spark, 30).withColumn("delay_seconds", F.lit(7).cast("bigint")))
+    merged = incremental.merge_raw(target, batch)
+    assert merged.count() == 3000 and merged.filter("delay_seconds = 7").count() >= 30
+    plan = _plan(merged)
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_upsert_reduces_before_the_exchange(spark):
+    from delaystar.operators import ingest
+
+    df = _hot(spark).select(F.col("duplicate_key").alias("id"), F.col("created_at").alias("fetched_at"),
+                            F.col("observation_id").alias("payload_id"), F.lit(0).alias("position"))
+    ups = ingest.upsert_entities(df.select("id").limit(0), df)
     assert ups.count() == 2001
     assert "Partial" in _plan(ups)
 
@@ -54,19 +64,16 @@ def test_insert_ignore_counts_with_a_hot_key(spark):
     assert (s.delay_observations_saved, s.duplicate_observations_skipped) == (2001, 999)
 
 
-def test_sized_broadcast_falls_back_above_the_bound(spark):
-    from delaystar.session import sized_broadcast
+def test_dimensions_are_broadcast_by_the_planners_byte_threshold(spark):
+    from delaystar.session import dimension
 
-    small = spark.range(5).withColumnRenamed("id", "k")
-    big = spark.range(1000).withColumnRenamed("id", "k")
+    small = dimension(spark.range(5).withColumnRenamed("id", "k"))
+    big = dimension(spark.range(200_000).selectExpr("id AS k", "uuid() AS v"))
+    assert "BroadcastHashJoin" in _plan(big.join(small, "k"))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
     try:
-        hinted = big.join(sized_broadcast(small, max_rows=10), "k")
-        plain = big.join(sized_broadcast(small, max_rows=2), "k")
-        assert "BroadcastHashJoin" in _plan(hinted)
-        assert "BroadcastHashJoin" not in _plan(plain) and "SortMergeJoin" in _plan(plain)
-        assert hinted.count() == plain.count() == 5
+        assert "SortMergeJoin" in _plan(big.join(small, "k"))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
@@ -104,4 +111,4 @@ def test_insert_ignore_prunes_store_partitions_to_the_batch_range(spark):
     out = dedup.insert_ignore(target, batch)
     assert out.count() == 0  # everything in the batch is already stored
     plan = _plan(out)
-    assert "PartitionFilters: [isnotnull(scheduled_date" in plan and "Subquery" in plan
+    assert "scheduled_date" in plan and "Subquery" in plan
