@@ -312,7 +312,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def class_components(documents: DataFrame, members: DataFrame, width: int, sim: Similarity) -> DataFrame:
-    """(k, component_id) of the classes that have a link to another class."""
+    """(k, root, component_id) of the classes that have a link to another class."""
     classes = members.where("k IS NOT NULL").groupBy("k").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
     survivors = stored(surviving_classes(documents, classes, width, sim), "survivors")
     sets = stored(ranked_sets(documents, survivors, width, sim), "sets")
@@ -325,7 +325,7 @@ def class_components(documents: DataFrame, members: DataFrame, width: int, sim:
     final = components(links)
     named = final.join(classes.select("k", "doc_id"), "k")
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return final.join(smallest, "root").select("k", "component_id")
+    return final.join(smallest, "root").select("k", "root", "component_id")
 
 
 def jaccard_components(documents: DataFrame, width: int = WIDTH, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
@@ -336,11 +336,16 @@ def jaccard_components(documents: DataFrame, width: int = WIDTH, similarity: tup
 
 
 def _named(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members with their component: of their linked class, else the smallest id of their own class, else their own."""
+    """Members with their component: of their linked class, else the smallest id of their own class, else their own.
+
+    ``root`` tells components apart even where rows of different texts share a doc_id.
+    """
     own = members.where("k IS NOT NULL").groupBy("k").agg(F.min("doc_id").alias("own_id"))
-    classes = own.join(found, "k", "left").select("k", F.coalesce("component_id", "own_id").alias("component_id"))
+    classes = own.join(found, "k", "left").select(
+        "k", F.coalesce("root", "k").alias("root"), F.coalesce("component_id", "own_id").alias("component_id")
+    )
     return members.join(classes, "k", "left").select(
-        "doc_id", "k", "n", F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", "k", "n", "root", F.when(F.col("k").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
@@ -356,20 +361,23 @@ def keep_one_per_group(
     members = stored(memberships(documents, width), "members")
     named = stored(_named(members, class_components(documents, members, width, Similarity(*similarity))), "named")
     many = named.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1 OR doc_id IS NULL")
-    many = stored(many.select(F.col("doc_id").alias("many_id")), "repeated")
-    dropped = stored(named.where("k IS NOT NULL AND doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")), "dropped")
-    same = F.col("doc_id").eqNullSafe(F.col("many_id"))
-    single = documents.join(many, same, "left_anti").join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    many_id, dropped_id = fresh_name(documents, "many_id"), fresh_name(documents, "dropped_id")
+    many = stored(many.select(F.col("doc_id").alias(many_id)), "repeated")
+    out = named.where("k IS NOT NULL AND doc_id <> component_id")
+    dropped = stored(out.select(F.col("doc_id").alias(dropped_id)).distinct(), "dropped")
+    same = F.col("doc_id").eqNullSafe(F.col(many_id))
+    single = documents.join(many, same, "left_anti").join(dropped, F.col("doc_id") == F.col(dropped_id), "left_anti")
     columns = [F.col(f"`{c}`") for c in documents.columns]
     key, place = fresh_name(documents, "class_key"), fresh_name(documents, "place")
     again = documents.join(many, same, "left_semi").withColumn(key, F.pandas_udf(_class_keys(width), "bigint")("text"))
-    keepers = named.where("k IS NOT NULL").groupBy("component_id", "k").agg(F.min("doc_id").alias("first_id"))
-    keepers = keepers.where(F.col("first_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("k").alias("kept_k"))
-    matched = again.join(
-        keepers, F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col(key) == F.col("kept_k")), "left"
-    )
+    kept_k, kept_id = fresh_name(documents, "kept_k"), fresh_name(documents, "kept_id")
+    keepers = named.where("k IS NOT NULL").groupBy("root", "k", "component_id").agg(F.min("doc_id").alias("first_id"))
+    keepers = keepers.where(F.col("first_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
+        F.min("k").alias(kept_k), F.min("component_id").alias(kept_id)
+    ).drop("root")
+    matched = again.join(keepers, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (F.col(key) == F.col(kept_k)), "left")
     numbered = matched.withColumn(place, F.row_number().over(Window.partitionBy("doc_id", key).orderBy(*_orderable(documents))))
-    repeated = numbered.where(F.col(key).isNull() | (F.col("kept_k").isNotNull() & (F.col(place) == 1)))
+    repeated = numbered.where(F.col(key).isNull() | (F.col(kept_k).isNotNull() & (F.col(place) == 1)))
     return single.select(*columns).unionByName(repeated.select(*columns))
 
 
