@@ -49,6 +49,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 DATE = "2024-01-01T00:00:00Z"
 MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 32 << 20
+MAX_READ_TASKS = 100_000
 DICTIONARY_BYTES = 16 << 10
 SAMPLE_BYTES = 256 << 10
 LEVEL = 3
@@ -270,7 +271,12 @@ def _chain(head: bytes, rest: Iterator[bytes]) -> Iterator[bytes]:
 
 
 def read_archives(manifest: DataFrame) -> DataFrame:
-    """Records of every archive that the manifest names, one read task per few archives."""
+    """Records of every archive that the manifest names, about one read task per archive.
+
+    The number of tasks is given outright: the paths are few bytes, and a partition
+    size chosen by bytes would put them all in one task.
+    """
+    tasks = max(1, min(manifest.count(), MAX_READ_TASKS))
     schema = arrow_schema(RECORD_SCHEMA)
     names = [f.name for f in schema]
 
@@ -292,7 +298,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                 if seen != n:
                     raise ValueError(f"{path} holds {seen} records, the manifest says {n}")
 
-    return manifest.select("path", "records").repartition("path").mapInArrow(read, RECORD_SCHEMA)
+    return manifest.select("path", "records").repartition(tasks, "path").mapInArrow(read, RECORD_SCHEMA)
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
