@@ -95,12 +95,15 @@ def source_targets(sizes: DataFrame, schedules=SCHEDULES, max_repeat: int = MAX_
     )
 
 
-def plan_mix(documents: DataFrame, schedules=SCHEDULES, max_repeat: int = MAX_REPEAT) -> DataFrame:
+def plan_mix(
+    documents: DataFrame, schedules=SCHEDULES, max_repeat: int = MAX_REPEAT, carry: Sequence[str] | None = None
+) -> DataFrame:
     """Every document with size, source_size, target, taken and positions (one per copy that is taken, ascending).
 
-    Input columns pass through, but for any that have one of these five names.
+    Input columns pass through (only those in ``carry``, if given), but for any that
+    have one of these five names.
     """
-    kept = [c for c in documents.columns if c.lower() not in PLAN_COLUMNS]
+    kept = [c for c in (carry or documents.columns) if c.lower() not in PLAN_COLUMNS]
     own = F.struct(*(F.col(f"`{c}`") for c in kept)).alias("own")
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
     keyed = documents.select(
@@ -109,6 +112,8 @@ def plan_mix(documents: DataFrame, schedules=SCHEDULES, max_repeat: int = MAX_RE
         F.isnull("source").alias("no_source"),
         F.coalesce("source", F.lit("")).alias("source_key"),
         key.alias("order_key"),
+        F.col("doc_id").alias("tie_id"),
+        F.xxhash64("text").alias("tie_text"),
         F.substring(key, 1, BUCKET_DIGITS).alias("bucket"),
     )
     buckets = keyed.groupBy("no_source", "source_key", "bucket").agg(F.sum("size").alias("bucket_size"))
@@ -121,7 +126,7 @@ def plan_mix(documents: DataFrame, schedules=SCHEDULES, max_repeat: int = MAX_RE
     ).join(source_targets(sizes, schedules, max_repeat), ["no_source", "source_key"])
     before = (
         Window.partitionBy("no_source", "source_key", "bucket")
-        .orderBy("order_key", "own.doc_id", "size", F.xxhash64("own.text"))
+        .orderBy("order_key", "tie_id", "size", "tie_text")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = (
@@ -162,7 +167,7 @@ def training_order(planned: DataFrame) -> DataFrame:
 
 def mix_digest(documents: DataFrame) -> DataFrame:
     """The plan of every document, in training order of its first copy (documents that are not taken last)."""
-    planned = plan_mix(documents.select("doc_id", "text", "source"))
+    planned = plan_mix(documents, carry=["doc_id"])
     first = F.element_at(F.col("positions"), 1)
     return (
         planned.withColumn("first_position", F.when(F.size("positions") > 0, first))
