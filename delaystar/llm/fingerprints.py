@@ -42,7 +42,7 @@ TRIES = 12
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 #: Coarse bounds of the doc_id buckets, and the rows that a bucket is meant to hold.
-COARSE, BUCKET_ROWS = 128, 2000
+COARSE, BUCKET_ROWS = 16, 2000
 _FINE = 1 << 32
 
 
@@ -175,7 +175,8 @@ def bucket_column(documents: DataFrame) -> Column:
     cells = max(1, found["n"] // (COARSE * BUCKET_ROWS))
     bounds = sorted({found["lo"], *found["cuts"]})
     ends = [*bounds[1:], found["hi"] + 1]
-    at = F.size(F.filter(_literals(bounds, "L"), lambda b: b <= F.col("doc_id"))) - 1
+    # plain comparisons: the exchange on this number is then the same plan wherever it is used
+    at = F.expr(" + ".join(f"CAST(doc_id >= {b}L AS INT)" for b in bounds)) - 1
     low = [float(b) for b in bounds]
     width = [max(float(e) - float(b), 1.0) for b, e in zip(bounds, ends, strict=True)]
     inside = (F.col("doc_id").cast("double") - F.get(_literals(low, "D"), at)) / F.get(_literals(width, "D"), at)
@@ -201,23 +202,33 @@ def next_bucket(buckets: DataFrame) -> DataFrame:
     return chained.select("bucket", F.coalesce("inner", "over").alias("next"))
 
 
-def with_next(rows: DataFrame, bucket: Column, tie: list[Column], carried: list[str]) -> DataFrame:
-    """``rows`` (doc_id, ...) with a struct ``following`` of the ``carried`` columns of the next row by doc_id descending."""
-    dealt = rows.withColumn("bucket", bucket)
-    order = Window.partitionBy("bucket").orderBy(F.desc_nulls_last("doc_id"), *tie)
-    windowed = dealt.withColumn("following", F.lead(F.struct(*carried)).over(order)).withColumn(
-        "place", F.row_number().over(order)
+def with_next(rows: DataFrame, bucket: Column) -> DataFrame:
+    """Rows (doc_id, text) with their fingerprint ``own`` and the text and fingerprint of the next row (``following``).
+
+    The texts are shuffled once, by bucket; the three uses below share that exchange.
+    Rows inside a bucket look at the next row; only the first and the last row of each
+    bucket take part in the join across buckets.
+    """
+    # The filter holds for every row; the joins below ask for it, so all three uses must have it to share the exchange.
+    dealt = rows.withColumn("bucket", bucket).where(F.col("bucket").isNotNull()).repartition("bucket")
+    order = Window.partitionBy("bucket").orderBy(F.desc_nulls_last("doc_id"), F.xxhash64("text"), "text")
+    inside = (
+        dealt.withColumn("own", fingerprint(F.col("text")))
+        .withColumn("following", F.lead(F.struct("text", "own")).over(order))
+        .where(F.col("following").isNotNull())
+        .drop("bucket")
     )
+    placed = dealt.withColumn("place", F.row_number().over(order)).withColumn("more", F.lead(F.lit(1)).over(order))
+    edge = lambda frame: frame.withColumn("own", fingerprint(F.col("text")))
     chain = next_bucket(rows.select(bucket.alias("bucket")).distinct())
     heads = (
-        windowed.where("place = 1")
-        .select(F.col("bucket").alias("next"), F.struct(*carried).alias("head"))
+        edge(placed.where("place = 1"))
+        .select(F.col("bucket").alias("next"), F.struct("text", "own").alias("following"))
         .join(chain, "next")
-        .select("bucket", "head")
+        .drop("next")
     )
-    inside = windowed.where(F.col("following").isNotNull()).drop("place", "bucket")
-    last = windowed.where(F.col("following").isNull()).drop("following").join(heads, "bucket")
-    return inside.unionByName(last.withColumnRenamed("head", "following").drop("place", "bucket"))
+    last = edge(placed.where("more IS NULL")).drop("place", "more").join(heads, "bucket").drop("bucket")
+    return inside.unionByName(last)
 
 
 def edited_text(text: Column, following: Column) -> Column:
@@ -229,9 +240,7 @@ def edited_text(text: Column, following: Column) -> Column:
 def fingerprint_documents(documents: DataFrame) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, with their likenesses."""
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    bucket = bucket_column(rows)
-    own = rows.withColumn("own", fingerprint(F.col("text")))
-    paired = with_next(own, bucket, [F.xxhash64("text"), F.col("text")], ["text", "own"])
+    paired = with_next(rows, bucket_column(rows))
     edited = paired.select(
         "doc_id", "text", "own", F.col("following.own").alias("next"),
         edited_text(F.col("text"), F.col("following.text")).alias("edited"),
