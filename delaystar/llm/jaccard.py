@@ -165,6 +165,29 @@ def _elements(rows: DataFrame, width: int, take, ddl: str, wanted: bool) -> Data
     return rows.mapInArrow(run, ddl)
 
 
+def _keyed_texts(rows: DataFrame, width: int) -> DataFrame:
+    """(text, k) of the texts with words; a class once per task, so copies do not meet in one."""
+    schema = arrow_schema("text string, k bigint")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            texts, keys = [], []
+            for text in batch.column("text").to_pylist():
+                elements = shingle_set(text, width)
+                if not len(elements) or (key := class_key(elements)) in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(key)
+                texts.append(text)
+                keys.append(key)
+            if texts:
+                yield to_batch({"text": texts, "k": keys}, schema)
+
+    return rows.mapInArrow(run, "text string, k bigint")
+
+
 def _element_batch(parts: list, keys: list[int], sizes: list[int], schema: pa.Schema) -> pa.RecordBatch:
     lengths = [len(p) for p in parts]
     columns = {
@@ -198,6 +221,10 @@ def ranked_sets(documents: DataFrame, survivors: DataFrame, width: int, sim: Sim
     """
     # A merge join at every size: the survivors are a share of the documents, not a small table.
     texts = documents.select("doc_id", "text").join(survivors.hint("merge"), "doc_id").select("text", "k")
+    # A class without any doc_id has no id to be fetched by; its texts are named by their class instead.
+    nameless = _keyed_texts(documents.where("doc_id IS NULL").select("text"), width)
+    asked = survivors.where("doc_id IS NULL").select("k")
+    texts = texts.unionByName(nameless.join(asked.hint("merge"), "k").select("text", "k"))
     rows = _elements(texts, width, lambda n: n, "element bigint, k bigint, n bigint", wanted=True)
     frequency = F.count("*").over(Window.partitionBy("element")).cast("int")
     counted = shared_only(rows.withColumn("df", frequency))

@@ -60,6 +60,36 @@ def test_odd_rows(spark):
     assert got(jaccard.jaccard_components(docs)) == want(rows, 4, 85, 100)
 
 
+BASE = [f"w{i}" for i in range(100)]
+
+
+def edited(*at):
+    return " ".join("x" + w if i in at else w for i, w in enumerate(BASE))
+
+
+#: Near copies with null ids: as the only bridge between 1 and 2, of 3, and of each other.
+NULL_ID_NEAR_COPIES = [
+    (2, edited(0, 99)), (None, edited(50)), (None, edited(50)), (1, edited(25, 50)),
+    (3, "m " + " ".join(f"m{i}" for i in range(60))), (None, " ".join(f"m{i}" for i in range(60)) + " n"),
+    *((None, " ".join(f"z{i}" for i in range(k, 80))) for k in range(3)), (None, "nothing like any other text here"),
+]
+
+
+def test_near_copies_with_null_ids_link_and_bridge(spark):
+    rows = NULL_ID_NEAR_COPIES
+    num, den = 87, 100
+    without = want([r for r in rows if r[0] is not None], 4, num, den)
+    assert {r[2] for r in without if r[0] in (1, 2)} == {1, 2}  # linked through the null id only
+    assert {r[2] for r in want(rows, 4, num, den) if r[0] in (1, 2)} == {1}
+    assert got(jaccard.jaccard_components(documents(spark, rows), 4, (num, den))) == want(rows, 4, num, den)
+
+
+def test_stage_drops_near_copies_with_null_ids(spark):
+    kept = jaccard.keep_one_per_group(documents(spark, NULL_ID_NEAR_COPIES), 4, (87, 100)).collect()
+    assert sorted(r["doc_id"] for r in kept if r["doc_id"] is not None) == [1, 3]
+    assert sorted(r["text"][:1] for r in kept if r["doc_id"] is None) == ["n", "z"]
+
+
 def test_hub_group_far_larger_than_its_links_is_whole(spark):
     """A large group of near copies whose members differ by more and more words."""
     base = [f"b{i}" for i in range(120)]
