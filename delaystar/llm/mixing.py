@@ -19,7 +19,8 @@ Defined results: null text counts 0 words and is never taken; a null source is a
 source of its own, after all others; documents tie by md5 of doc_id, then doc_id
 (nulls first), size and text hash, so repeated rows are documents of their own; an
 empty table gives no rows.  Other columns pass through, also where their names are
-those of the plan's columns (the plan's then win, see ``plan_mix``).
+those of the plan's columns (the plan's then win in ``plan_mix``; ``mixed_documents``
+returns the input's).
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from delaystar.llm.tables import WORD_PATTERN
+from delaystar.llm.tables import WORD_PATTERN, fresh_name
 
 #: Weight schedules as (time, weight) knots, dealt to the sources by code point in turn.
 #: Their integrals are the weights 5, 2 and 1: the first fades out, the last fades in.
@@ -155,6 +156,20 @@ def plan_mix(
     )
 
 
+def mixed_documents(documents: DataFrame) -> DataFrame:
+    """``training_order`` of the plan of ``documents``, with all their columns, also those named like the plan's.
+
+    Such columns travel through the plan under fresh names.
+    """
+    carried, renamed = documents, {}
+    for name in documents.columns:
+        if name.lower() in PLAN_COLUMNS:
+            renamed[name] = fresh_name(carried, f"_{name}")
+            carried = carried.withColumnRenamed(name, renamed[name])
+    mixed = training_order(plan_mix(carried))
+    return mixed.select(*(F.col(f"`{renamed.get(c, c)}`").alias(c) for c in documents.columns))
+
+
 def training_order(planned: DataFrame) -> DataFrame:
     """One row per copy that the mix takes, range-sorted by training position; whole texts, the plan's columns dropped."""
     kept = [c for c in planned.columns if c not in PLAN_COLUMNS]

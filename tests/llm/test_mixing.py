@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from delaystar.llm import mixing
 from tests.llm.helpers import documents, duckdb_rows, words
 
@@ -92,6 +94,18 @@ def test_training_order_is_sorted_and_keeps_columns(spark):
     assert flat == sorted(flat)
 
 
+def test_pipeline_stage_keeps_columns_named_like_the_plan(spark):
+    docs = documents(spark, ROWS, more="size Target source_size taken positions _size")
+    docs = docs.withColumns({"size": F.col("n_chars") + 1, "Target": F.col("n_chars") + 2, "_size": F.col("n_chars") + 3})
+    mixed = corpus_pipeline.mix(spark, docs, "")
+    assert mixed.columns == docs.columns
+    rows = mixed.collect()
+    plain = documents(spark, ROWS)
+    assert [r["text"] for r in rows] == [r["text"] for r in corpus_pipeline.mix(spark, plain, "").collect()]
+    assert all((r["size"], r["Target"], r["_size"]) == tuple(r["n_chars"] + i for i in (1, 2, 3)) for r in rows)
+    assert {(r["source_size"], r["taken"], r["positions"]) for r in rows} == {(7, 7, 7)}
+
+
 def test_empty_table(spark):
     docs = documents(spark, [])
     assert mixing.mix_digest(docs).count() == 0
