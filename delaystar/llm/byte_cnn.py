@@ -19,6 +19,7 @@ scores.  Bytes are the only input.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaystar.llm.labelled import fold, labelled_texts
+from delaystar.llm.labelled import fold, labelled_samples
 from delaystar.llm.tables import map_batches
 
 CHUNK, OVERLAP = 512, 32
@@ -120,8 +121,25 @@ def _grouped(texts: list[str | None]) -> Iterator[list[bytes]]:
         yield group
 
 
+def training_chunks(text: str) -> np.ndarray:
+    """A bounded number of chunks and short pieces of a document, chosen by a generator seeded by its bytes."""
+    raw = text.encode("utf-8", "surrogatepass")
+    rng = np.random.default_rng([SEED, zlib.crc32(raw)])
+    own = chunks(raw)
+    picks = rng.choice(len(own), min(CHUNKS_PER_DOCUMENT, len(own)), replace=False)
+    crops = own[rng.integers(len(own), size=CROPS_PER_DOCUMENT)].copy()  # short pieces, so that short documents are no surprise
+    for crop in crops:
+        crop[int(CHUNK * 24 ** -rng.random()) :] = PAD
+    return np.concatenate([own[picks], crops])
+
+
 def fit(texts: list[str], labels: list[int]) -> Network:
     """Train on chunks of the given documents; deterministic for equal input in equal order."""
+    return fit_chunks([training_chunks(t) for t in texts], labels)
+
+
+def fit_chunks(blocks: list[np.ndarray], labels: list[int]) -> Network:
+    """Train on the chunks of each document."""
     rng = np.random.default_rng(SEED)
     init = lambda *shape, scale: rng.normal(0, scale, shape)
     net = Network(
@@ -132,15 +150,7 @@ def fit(texts: list[str], labels: list[int]) -> Network:
     if not len(y) or y.min() == y.max():
         net.prior = float(y.mean()) if len(y) else 1.0
         return net
-    blocks, targets = [], []
-    for t, label in zip(texts, labels, strict=True):
-        own = chunks(t.encode("utf-8", "surrogatepass"))
-        picks = rng.choice(len(own), min(CHUNKS_PER_DOCUMENT, len(own)), replace=False)
-        crops = own[rng.integers(len(own), size=CROPS_PER_DOCUMENT)].copy()  # short pieces, so that short documents are no surprise
-        for crop in crops:
-            crop[int(CHUNK * 24 ** -rng.random()) :] = PAD
-        blocks += [own[picks], crops]
-        targets += [label] * (len(picks) + len(crops))
+    targets = [label for own, label in zip(blocks, labels, strict=True) for _ in own]
     x, y = np.concatenate(blocks), np.array(targets, np.float64)
     weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
     names = ("embed", "filters", "bias", "hidden", "hidden_bias", "out", "out_bias")
@@ -186,9 +196,13 @@ def _gradients(net: Network, block: np.ndarray, y: np.ndarray, weight: np.ndarra
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Network:
-    """Network of a bounded sample of labelled documents; the held-out fold takes no part."""
-    sample = labelled_texts(documents, labels, "quality", SAMPLE_PER_CLASS, FOLDS, HELD_OUT)
-    return fit([t for t, _ in sample], [int(q) for _, q in sample])
+    """Network of a bounded sample of labelled documents, cut in tasks; the held-out fold takes no part."""
+
+    def cut(text: str) -> bytes:
+        return training_chunks(text).tobytes()
+
+    sample = labelled_samples(documents, labels, "quality", SAMPLE_PER_CLASS, FOLDS, HELD_OUT, cut)
+    return fit_chunks([np.frombuffer(c, np.int16).reshape(-1, CHUNK) for c, _ in sample], [int(q) for _, q in sample])
 
 
 def score_documents(documents: DataFrame, net: Network) -> DataFrame:

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from delaystar.llm.tables import arrow_schema, to_batch
+
 
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of doc_id as text, modulo ``folds``; a null id is fold 0."""
@@ -30,15 +36,33 @@ def class_sample(rows: DataFrame, label: str, per_class: int) -> DataFrame:
     return rows.where(chosen).limit(2 * per_class * len(sizes))
 
 
-def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int, held_out: int) -> list[tuple]:
-    """(text, label) of a bounded sample of labelled documents outside the held-out fold.
+def labelled_samples(
+    documents: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int, held_out: int, prepare: Callable[[str], bytes]
+) -> list[tuple[bytes, float]]:
+    """(prepare(text), label) of a bounded sample of labelled documents outside the held-out fold, by doc_id.
 
     The sample is drawn from the narrow label table; its bounded list of ids (at most
     ``4 * per_class`` for two classes) is the broadcast side of one pass over the texts.
+    Texts are prepared in tasks and only that is collected.  Of rows that share a
+    doc_id the text with the smallest hash counts: first in each task, then among tasks.
     """
-    trainable = labels.select("doc_id", label).where(fold(F.col("doc_id"), folds) != held_out)
-    sample = class_sample(trainable, label, per_class).dropDuplicates(["doc_id"])
-    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "text", label).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return [(r["text"], r[label]) for r in rows]
+    trainable = labels.select("doc_id", F.col(label).cast("double").alias("label")).where(fold(F.col("doc_id"), folds) != held_out)
+    sample = class_sample(trainable, "label", per_class).dropDuplicates(["doc_id"])
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    ddl = "doc_id bigint, label double, place bigint, value binary"
+    schema = arrow_schema(ddl)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[float, int, bytes]] = {}
+        for batch in batches:
+            for i, text, y in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "label")), strict=True):
+                place = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
+                if i not in best or place < best[i][1]:
+                    best[i] = (y, place, prepare(text))
+        if best:
+            ys, places, values = zip(*best.values(), strict=True)
+            yield to_batch({"doc_id": list(best), "label": ys, "place": places, "value": values}, schema)
+
+    found = texts.select("doc_id", "text", "label").mapInArrow(run, ddl)
+    rows = found.groupBy("doc_id").agg(F.min_by("value", "place").alias("value"), F.min("label").alias("label")).collect()
+    return [(bytes(r["value"]), r["label"]) for r in sorted(rows, key=lambda r: r["doc_id"])]

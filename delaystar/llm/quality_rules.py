@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaystar.llm.labelled import labelled_texts
+from delaystar.llm.labelled import labelled_samples
 from delaystar.llm.tables import fresh_name, map_batches
 
 #: FIXED VALUES of the base rules.
@@ -195,9 +195,13 @@ def _columns(nodes: list[list]) -> tuple[np.ndarray, ...]:
 
 
 def train(documents: DataFrame, labels: DataFrame) -> Forest:
-    """Trees from a bounded sample (``SAMPLE_PER_CLASS`` documents per label, fold 0 held out)."""
-    sample = labelled_texts(documents, labels, "quality", SAMPLE_PER_CLASS, FOLDS, HELD_OUT)
-    x = np.array([statistics(t)[1] for t, _ in sample], np.float64).reshape(len(sample), len(FEATURES))
+    """Trees from a bounded sample (``SAMPLE_PER_CLASS`` documents per label, fold 0 held out), their statistics taken in tasks."""
+
+    def features(text: str) -> bytes:
+        return np.array(statistics(text)[1], np.float64).tobytes()
+
+    sample = labelled_samples(documents, labels, "quality", SAMPLE_PER_CLASS, FOLDS, HELD_OUT, features)
+    x = np.frombuffer(b"".join(f for f, _ in sample), np.float64).reshape(len(sample), len(FEATURES))
     return grow(x, np.array([q for _, q in sample], np.float64))
 
 

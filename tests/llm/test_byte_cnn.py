@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 
@@ -92,3 +94,13 @@ def test_sample_is_bounded_and_keeps_out_the_held_out_fold(spark):
     assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 for r in sample)
     for q in (0, 1):
         assert 220 < sum(r["quality"] == q for r in sample) < 380
+
+
+def test_training_collects_a_bounded_number_of_chunks(spark, monkeypatch):
+    rows = [(i, f"text {i} " * 20_000) for i in range(20)] + [(7, f"{k} " * 30) for k in range(300)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(byte_cnn, "fit_chunks", lambda blocks, y: seen.append((len(blocks), len(y), max(map(len, blocks)))))
+    byte_cnn.train(documents(spark, rows), labels)
+    n = sum(zlib.crc32(str(i).encode()) % byte_cnn.FOLDS != byte_cnn.HELD_OUT for i in range(20))
+    assert seen == [(n, n, byte_cnn.CHUNKS_PER_DOCUMENT + byte_cnn.CROPS_PER_DOCUMENT)]

@@ -1,4 +1,5 @@
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -108,3 +109,14 @@ def test_no_labels_leaves_the_base_rules(spark):
     kept = q.keep_documents(docs, forest)
     assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [1]
     assert q.judge_documents(documents(spark, []), forest).count() == 0
+
+
+def test_a_repeated_labelled_id_gives_one_training_row(spark, monkeypatch):
+    rows = [(i, f"text number {i} of a few words") for i in range(40)] + [(7, f"{k} " * 30) for k in range(500)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(q, "grow", lambda x, y: seen.append((x.tolist(), y.tolist())))
+    q.train(documents(spark, rows), labels)
+    q.train(documents(spark, rows[::-1]).repartition(3), labels)
+    assert len(seen[0][1]) == sum(zlib.crc32(str(i).encode()) % q.FOLDS != q.HELD_OUT for i in range(40))
+    assert seen[0] == seen[1]
