@@ -15,7 +15,11 @@ from delaystar.llm.tables import read_table, stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and texts of no learned language; learns from the documents themselves."""
+    """Drops texts without a letter and texts of no learned language, learnt from the documents themselves.
+
+    The latter are those with a score below ``lang_kernel.MIN_SCORE``, which also costs a
+    few clean documents (figure there).
+    """
     return lang_kernel.keep_languages(docs, lang_kernel.train(docs))
 
 

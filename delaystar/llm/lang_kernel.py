@@ -41,7 +41,9 @@ LANDMARKS_PER_LANGUAGE = 32
 MAX_TRAIN_BYTES = 50_000
 RIDGE = 1e-2
 UNKNOWN = "und"
-#: Pipeline: documents below this score are not confidently any learned language.
+#: Pipeline: documents below this score are not confidently any learned language.  At sf0.1 this rejects 1 of the
+#: 2,498 held-out documents whose predicted language is right (of 104 under 200 characters; none of the longer).
+#: With one language left out of training it rejects 55 of 60 held-out texts of fr and 44 of de, but 1 of es, 0 of en.
 MIN_SCORE = 0.4
 BATCH = 256
 
