@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from delaystar.llm import bpe, byte_cnn, chat, cover_tree, fingerprints, jaccard, lang_kernel, mixing, periodic, quality_rules, urls, warc
+from delaystar.llm import bpe, byte_cnn, chat, collocations, cover_tree, fingerprints, jaccard, lang_kernel, mixing, periodic, quality_rules, urls, warc
 from delaystar.llm.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,17 +60,24 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.periodic_runs(read_table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op13_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_warc, op2_mixing, op3_bpe, op4_byte_cnn, op5_fingerprints, op6_language_id, op7_url_filter, op8_jaccard_join, op9_chat_format, op10_quality_rules,
-    op11_periodic_runs, op13_cover_tree,
+    op11_periodic_runs, op12_collocations, op13_cover_tree,
 )}
 
 QUERIES["pipeline"] = corpus_pipeline.run
 
-SQL: dict[str, str] = {"op1_warc": warc.oracle(), "op2_mixing": mixing.oracle(), "op7_url_filter": urls.oracle()}
+SQL: dict[str, str] = {
+    "op1_warc": warc.oracle(), "op2_mixing": mixing.oracle(), "op7_url_filter": urls.oracle(),
+    "op12_collocations": collocations.oracle(),
+}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
