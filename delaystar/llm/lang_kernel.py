@@ -12,7 +12,10 @@ matrix, then by the regressions.
 
 Defined results: null text, and text without a letter, is ``und`` with score 0; so
 is every text where no language could be learned; texts of any length are read
-whole; equal texts get equal results.
+whole; repeated rows, and equal texts, get equal results; a null doc_id is not learned
+from and not held out; of more than ``labelled.MAX_CLASSES`` languages the most frequent
+are learned; an empty table gives no rows; other columns, of whatever name, are dropped
+(kept by the filter).
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaystar.llm.labelled import class_sample, fold
+from delaystar.llm.labelled import class_sample, collected, fold
 from delaystar.llm.tables import fresh_name, map_batches
 
 CLASSES = 64
@@ -144,13 +147,14 @@ def fit(texts: list[str], languages: list[str]) -> KernelModel:
 
 
 def train(documents: DataFrame) -> KernelModel:
-    """Model of a bounded sample per language; the held-out fold takes no part."""
+    """Model of a bounded sample per language (one text per doc_id; ``labelled.class_sample``); the held-out fold takes no part."""
     trainable = documents.select("doc_id", "lang", "text").where(
         (fold(F.col("doc_id"), FOLDS) != HELD_OUT) & (F.octet_length("text") <= MAX_TRAIN_BYTES)
     )
-    rows = class_sample(trainable, "lang", SAMPLE_PER_LANGUAGE).collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return fit([r["text"] for r in rows], [r["lang"] for r in rows])
+    sample = class_sample(trainable, "lang", SAMPLE_PER_LANGUAGE)
+    texts = trainable.join(F.broadcast(sample), ["doc_id", "lang"]).select("doc_id", "text", F.col("lang").alias("label"))
+    rows = collected(texts, "string", str.encode)
+    return fit([text.decode() for text, _ in rows], [lang for _, lang in rows])
 
 
 SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"

@@ -12,7 +12,7 @@ Writing is a map over the rows of a partition.  A task writes each archive under
 fresh name in the shared folder and reports (path, records, bytes) as rows; only
 archives in the stored manifest are read, so files of failed or repeated tasks are
 never seen.  Archives are rolled at ``ARCHIVE_BYTES`` so that one archive is one
-bounded read task.
+bounded read task; a task fails if it wrote another number of records than it was given.
 
 Defined results: a null html is an empty payload; a null url leaves out the target
 URI; a null page_id is written and read back as null and sorts after all others;
@@ -24,6 +24,7 @@ table gives no archive and no rows; other columns of the input are dropped.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import posixpath
 import struct
 import uuid
@@ -175,26 +176,26 @@ def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
 
 
 def write_archive(out: BinaryIO, records: Iterator[bytes], limit: int = ARCHIVE_BYTES) -> tuple[int, int]:
-    """Write records until about ``limit`` compressed bytes; returns (records, bytes).
+    """Write records until about ``limit`` compressed bytes; returns (records, bytes).  The rest stays in ``records``.
 
     The first ``SAMPLE_BYTES`` of records train the dictionary of the archive.
     """
     first: list[bytes] = []
-    for record in records:
+    held = 0
+    while held < SAMPLE_BYTES and (record := next(records, None)) is not None:
         first.append(record)
-        if sum(map(len, first)) >= SAMPLE_BYTES:
-            break
+        held += len(record)
     dictionary = train_dictionary(first)
     n = size = 0
     if dictionary:
         size += out.write(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
     packer = _compressor(dictionary)
-    for source in (first, records):
-        for record in source:
-            size += out.write(packer.compress(record))
-            n += 1
-            if source is records and size >= limit:
-                return n, size
+    for record in first:
+        size += out.write(packer.compress(record))
+        n += 1
+    while size < limit and (record := next(records, None)) is not None:
+        size += out.write(packer.compress(record))
+        n += 1
     return n, size
 
 
@@ -245,31 +246,35 @@ def write_archives(marked: DataFrame, folder: str) -> DataFrame:
     """Write the rows of ``mark_revisits`` as archives under ``folder``; the manifest, not yet run."""
     schema = arrow_schema(MANIFEST_SCHEMA)
 
-    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                page_id, url, payload, digest, refers = (batch.column(k)[i].as_py() for k in range(5))
-                yield encode_record(page_id, url, payload, digest, refers)
-
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _open_folder(folder)
         store.create_dir(root, recursive=True)
-        left = records(batches)
+        seen = written = 0
+
+        def records() -> Iterator[bytes]:
+            nonlocal seen
+            for batch in batches:
+                seen += batch.num_rows
+                for i in range(batch.num_rows):
+                    page_id, url, payload, digest, refers = (batch.column(k)[i].as_py() for k in range(5))
+                    yield encode_record(page_id, url, payload, digest, refers)
+
+        left = records()
         while (head := next(left, None)) is not None:
             name = f"{uuid.uuid4().hex}.warc.zst"
             with store.open_output_stream(posixpath.join(root, name), compression=None) as out:
-                n, size = write_archive(out, _chain(head, left))
+                # chain() leaves ``left`` open when an archive ends before it does; a generator around it would close it
+                n, size = write_archive(out, itertools.chain((head,), left), ARCHIVE_BYTES)
+            written += n
             yield to_batch({"path": [f"{folder}/{name}"], "records": [n], "bytes": [size]}, schema)
+        seen += sum(batch.num_rows for batch in batches)
+        if written != seen:
+            raise ValueError(f"{written} of {seen} records were written")
 
     columns = ("page_id", "url", "payload", "payload_digest", "refers_to")
     return marked.select(*columns).mapInArrow(write, MANIFEST_SCHEMA)
 
 
-def _chain(head: bytes, rest: Iterator[bytes]) -> Iterator[bytes]:
-    yield head
-    yield from rest
-
-
 def read_archives(manifest: DataFrame) -> DataFrame:
     """Records of every archive that the manifest names, about one read task per archive.
 

@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 
 from delaystar.llm import byte_cnn
-from delaystar.llm.labelled import class_sample, fold
 from delaystar.llm.tables import read_table
 from tests.conftest import SMALL_SF
 from tests.llm.helpers import documents
@@ -86,16 +85,6 @@ def test_without_two_classes_the_score_is_the_share(spark):
     assert byte_cnn.score_documents(documents(spark, []), none).count() == 0
 
 
-def test_sample_is_bounded_and_keeps_out_the_held_out_fold(spark):
-    import zlib
-
-    rows = spark.range(20_000).selectExpr("id AS doc_id", "IF(id % 10 = 0, 0, 1) AS quality")
-    sample = class_sample(rows.where(fold(rows["doc_id"], 5) != 0), "quality", 300).collect()
-    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 for r in sample)
-    for q in (0, 1):
-        assert 220 < sum(r["quality"] == q for r in sample) < 380
-
-
 def test_training_collects_a_bounded_number_of_chunks(spark, monkeypatch):
     rows = [(i, f"text {i} " * 20_000) for i in range(20)] + [(7, f"{k} " * 30) for k in range(300)]
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id bigint, quality int, toxic int")

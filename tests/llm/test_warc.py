@@ -1,11 +1,13 @@
 import hashlib
 import io
+import random
 import struct
 
 import pytest
 import zstandard
 
 from delaystar.llm import warc
+from delaystar.session import scratch_path
 from tests.llm.helpers import duckdb_rows
 
 PAGE = "page_id bigint, url string, html string"
@@ -91,5 +93,36 @@ def test_pages_with_nulls_ties_repeats_and_clashing_columns(spark):
     assert sum(r[3] == "revisit" for r in got) == 4  # 5, 8 and null refer to 3; 11 refers to 10
 
 
+def test_an_archive_that_is_full_leaves_the_rest_to_the_next():
+    records, _ = _archive(2000)
+    left, sizes = iter(records), []
+    again = []
+    while True:
+        out = io.BytesIO()
+        n, size = warc.write_archive(out, left, 20_000)
+        if not n:
+            break
+        sizes.append(size)
+        again += list(warc.frames(io.BytesIO(out.getvalue())))
+    assert again == records
+    assert len(sizes) > 3
+
+
+def test_pages_of_one_partition_over_several_archives(spark, monkeypatch):
+    """Nothing is lost where archives roll over: thousands of pages, and 90 of one MB, in one partition each."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 64 << 10)
+    rnd = random.Random(4)
+    html = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz <>/", k=rnd.randint(90, 400))) for _ in range(3000)]
+    pages = spark.createDataFrame([(i, f"u{i}", html[i // 2 if i % 3 else i]) for i in range(3000)], PAGE).coalesce(1)
+    manifest = warc.write_archives(warc.mark_revisits(pages).coalesce(1), scratch_path(spark, "warc-test")).collect()
+    assert len(manifest) > 5 and sum(r["records"] for r in manifest) == 3000
+    got = sorted(map(tuple, warc.archive_pages(pages).collect()))
+    names, want = duckdb_rows(warc.oracle(), pages=pages.toPandas())
+    order = [names.index(c) for c in ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")]
+    assert got == sorted(tuple(r[i] for i in order) for r in want)
+    large = spark.range(90).selectExpr("id AS page_id", "'u' AS url", "repeat(md5(string(id)), 32768) AS html").coalesce(1)
+    assert sorted(r["page_id"] for r in warc.archive_pages(large).collect()) == list(range(90))
+
+
 def test_empty_table(spark):
     assert warc.archive_pages(spark.createDataFrame([], PAGE)).count() == 0
