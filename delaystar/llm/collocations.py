@@ -10,19 +10,23 @@ word caps the score of every phrase that starts with ``w`` at ``1000 * n / f(w)`
 (from ``LEAST`` on) have the highest bounds.
 
 *Rounds.*  A round expands the frontier's best words of all open languages, about ``FRONTIER`` of
-them, ties always together.  Growing is level by level: windows of m words whose first m - 1
-occur often enough, and whose last word does, are counted.  One more pass counts the parts
-that scores need and notes whether every occurrence of a candidate has the same word before
-or after it; then that longer phrase occurs as often, and no shorter check is needed for longer
-ones.  A language is settled, and leaves, once its ``TOP``-th surviving score is above the bound of
+them, ties always together.  Growing counts the pairs that start with them, then all
+longer phrases that start with a frequent one of these pairs.  Where all words of a language
+are expanded, the counts of the parts and the longer phrases around a candidate are among
+what has been counted; while some are not, one more pass counts the missing parts and
+notes whether every occurrence of a candidate has the same word before or after it (then that
+longer phrase occurs as often; phrases longer by more words need no check of their own).
+A language is settled, and leaves, once its ``TOP``-th surviving score is above the bound of
 its best word not yet expanded; equal is not enough, as ties are ordered further.
 
 *On Spark.*  A pass is a map over whole texts with counts combined per task, then summed by a
-shuffle, so a word or phrase that makes up a third of all occurrences is a few rows.  Words and
-prefixes reach the tasks as a bitmap of ``BITS`` hash bits, whose size does not grow with the data;
-it only spares work, since counts are kept by the words themselves and summed before they
-are compared, and false hits never reach ``LEAST`` or are removed by an exact join.  Scores are
-exact decimals.  The driver sees bitmaps, one frequency per round and the number of open languages.
+shuffle, so a word or phrase that makes up a third of all occurrences is a few rows.  The first
+pass sums counts by hash (``WORD_BITS``, ``PAIR_BITS``; capped at ``LEAST``, which keeps the
+comparison exact): only words and pairs whose hash reaches ``LEAST`` are counted by name.
+Words and prefixes reach the tasks as bitmaps of hash bits.  These sizes do not grow with the
+data; they only spare work, as named counts are summed exactly before they are compared, and
+false hits never reach ``LEAST`` or are removed by an exact join.  Scores are exact
+decimals.  The driver sees bitmaps, one frequency per round and the number of open languages.
 
 Defined results: null text is empty; null ``lang`` is ``und`` (together with a ``lang`` of that name);
 texts are read whole, in parts that end at piece borders where very long; repeated rows
@@ -32,13 +36,12 @@ candidates and empty tables give no rows; doc_id and other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaystar.llm.tables import LOWER, UPPER, arrow_schema, stored, to_batch
@@ -46,6 +49,8 @@ from delaystar.llm.tables import LOWER, UPPER, arrow_schema, stored, to_batch
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words expanded in a round (bounds of equal frequency stay together), and hash bits of a bitmap (8 MB).
 FRONTIER, BITS = 1_000_000, 26
+#: Hash bits of the summed counts of words and of pairs (at most a byte each in a task's result), and counts in a row of it.
+WORD_BITS, PAIR_BITS, CHUNK = 22, 24, 1 << 18
 #: Bytes of text that are cut into words together, and words or counts that a task holds before it sends them.
 BLOCK_BYTES, HELD_WORDS, HELD_COUNTS = 8 << 20, 1_000_000, 3_000_000
 NO_LANG = "und"
@@ -69,8 +74,13 @@ def fold(x: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31)) ^ (x << np.uint64(17))
 
 
+def _place(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Place of a hash in ``size`` places (a power of two)."""
+    return (hashes >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
 def within(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes >> np.uint64(64 - (len(bitmap) * 64).bit_length() + 1)
+    place = _place(hashes, len(bitmap) * 64).astype(np.uint64)
     return (bitmap[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
@@ -134,27 +144,88 @@ def _numbered(batches: Iterator[pa.RecordBatch], words: Words, limit: int) -> It
         yield lang, ids[ids >= 0]
 
 
-def word_counts(documents: DataFrame) -> DataFrame:
-    """(lang, phrase, f) of the words; the row with a null phrase has the number of all words."""
+def _added(total: np.ndarray, more: np.ndarray, most: int) -> np.ndarray:
+    """Sum of capped counts, capped again: it reaches ``most`` exactly where the full sum does."""
+    return np.minimum(total.astype(np.uint16) + more, most).astype(np.uint8)
+
+
+def hashed_counts(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of the word hashes and pair hashes that occur ``LEAST`` times or more."""
+    ddl = "pairs boolean, chunk int, sparse boolean, counts binary"
+    schema, most = arrow_schema(ddl), min(LEAST, 255)
+    sizes = {False: 1 << WORD_BITS, True: 1 << PAIR_BITS}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        totals = {k: np.zeros(n, np.uint32) for k, n in sizes.items()}
+        for lang, ids in _numbered(batches, words, BLOCK_BYTES):
+            hashes = words.hashes()
+            x = fold(np.full(len(hashes), seed(lang)), hashes)
+            own = np.bincount(ids, minlength=len(hashes))
+            own[0] = 0
+            np.add.at(totals[False], _place(x, sizes[False]), own.astype(np.uint32))
+            pairs = _windows(ids, 2)
+            pairs = pairs[(pairs > 0).all(axis=1)]
+            np.add.at(totals[True], _place(fold(x[pairs[:, 0]], hashes[pairs[:, 1]]), sizes[True]), np.uint32(1))
+            if len(words) > HELD_WORDS:
+                words.reset()
+        for kind, total in totals.items():
+            capped = np.minimum(total, most).astype(np.uint8)
+            for k in range(0, len(capped), CHUNK):
+                part = capped[k : k + CHUNK]
+                met = np.flatnonzero(part)
+                sparse = 5 * len(met) < len(part)
+                data = met.astype("<u4").tobytes() + part[met].tobytes() if sparse else part.tobytes()
+                if len(met):
+                    yield to_batch({"pairs": [kind], "chunk": [k // CHUNK], "sparse": [sparse], "counts": [data]}, schema)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            for kind, chunk, sparse, data in zip(*(batch.column(c).to_pylist() for c in ("pairs", "chunk", "sparse", "counts")), strict=True):
+                total = sums.setdefault((kind, chunk), np.zeros(min(CHUNK, sizes[kind]), np.uint8))
+                n = len(data) // 5
+                at = np.frombuffer(data, "<u4", n) if sparse else slice(None)
+                total[at] = _added(total[at], np.frombuffer(data, np.uint8, offset=4 * n if sparse else 0), most)
+        for (kind, chunk), total in sums.items():
+            bits = np.packbits(total >= most, bitorder="little").tobytes()
+            yield to_batch({"pairs": [kind], "chunk": [chunk], "sparse": [False], "counts": [bits]}, schema)
+
+    chunks = sum(-(-n // CHUNK) for n in sizes.values())
+    summed = documents.select("lang", "text").mapInArrow(count, ddl).repartition(chunks, "pairs", "chunk").mapInArrow(add, ddl)
+    out = {k: np.zeros(n // 8, np.uint8) for k, n in sizes.items()}
+    for kind, chunk, bits in zip(*(c.to_pylist() for c in summed.select("pairs", "chunk", "counts").toArrow().columns), strict=True):
+        out[kind][chunk * CHUNK // 8 : chunk * CHUNK // 8 + len(bits)] = np.frombuffer(bits, np.uint8)
+    return out[False].view(np.uint64), out[True].view(np.uint64)
+
+
+def word_counts(documents: DataFrame, likely: np.ndarray) -> DataFrame:
+    """(lang, phrase, f) of the words whose hash is among ``likely``; the row with a null phrase counts all words."""
     schema = arrow_schema(PHRASES)
+    shared = documents.sparkSession.sparkContext.broadcast(likely)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = {}
+        words, counts = Words(), {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             for lang, found in counts.items():
-                found.pop(b"", None)
-                found.pop(b"\n", None)
-                keys, values = [None, *found], [sum(found.values()), *found.values()]
-                for k in range(0, len(keys), HELD_WORDS):
-                    some = keys[k : k + HELD_WORDS]
-                    yield to_batch({"lang": [lang] * len(some), "phrase": some, "f": values[k : k + HELD_WORDS]}, schema)
+                found[0] = 0
+                chosen = within(shared.value, fold(np.full(len(found), seed(lang)), words.hashes()[: len(found)])) & (found > 0)
+                names = [None, *(words.names[i] for i in np.flatnonzero(chosen).tolist())]
+                values = [int(found.sum()), *found[chosen].tolist()]
+                for k in range(0, len(names), 200_000):
+                    some = names[k : k + 200_000]
+                    yield to_batch({"lang": [lang] * len(some), "phrase": some, "f": values[k : k + 200_000]}, schema)
             counts.clear()
 
-        for lang, tokens in blocks(batches, BLOCK_BYTES):
-            counts.setdefault(lang, Counter()).update(tokens)
-            if sum(map(len, counts.values())) > HELD_WORDS:
+        for lang, ids in _numbered(batches, words, BLOCK_BYTES):
+            own = np.bincount(ids, minlength=len(words.names))
+            before = counts.get(lang, own[:0])
+            own[: len(before)] += before
+            counts[lang] = own
+            if len(words) > HELD_WORDS:
                 yield from flush()
+                words.reset()
         yield from flush()
 
     return documents.select("lang", "text").mapInArrow(run, PHRASES).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
@@ -204,22 +275,26 @@ def _windows(ids: np.ndarray, m: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(ids, m) if len(ids) >= m else np.zeros((0, m), ids.dtype)
 
 
-def grown(documents: DataFrame, m: int, prefixes: np.ndarray, frequent: np.ndarray) -> DataFrame:
-    """(lang, phrase, f) of ``m`` words, f >= LEAST, whose first m - 1 are among ``prefixes`` and last word is frequent."""
+def grown(documents: DataFrame, lengths: tuple[int, ...], starts: np.ndarray, pairs: np.ndarray, frequent: np.ndarray) -> DataFrame:
+    """(lang, phrase, f) of phrases with f >= LEAST, of pairs or of longer phrases.
+
+    Pairs begin with a word of the bitmap ``starts`` and end with a ``frequent`` one; longer
+    phrases begin with a pair of ``starts``.  All their pairs are among ``pairs``.
+    """
     schema = arrow_schema(PHRASES)
-    shared = documents.sparkSession.sparkContext.broadcast((prefixes, frequent))
+    shared = documents.sparkSession.sparkContext.broadcast((starts, pairs, frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefixes, frequent = shared.value
+        starts, pairs, frequent = shared.value
         words, held, size = Words(), {}, 0
 
         def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
             rows, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order, starts = grouped(rows)
-            return rows[order[starts]], np.add.reduceat(counts[order], starts) if len(starts) else counts
+            order, begins = grouped(rows)
+            return rows[order[begins]], np.add.reduceat(counts[order], begins)
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for lang, parts in held.items():
+            for (lang, _), parts in held.items():
                 rows, counts = merged(parts)
                 for k in range(0, len(rows), 200_000):
                     phrases = _joined(rows[k : k + 200_000], words.names)
@@ -228,23 +303,29 @@ def grown(documents: DataFrame, m: int, prefixes: np.ndarray, frequent: np.ndarr
 
         for lang, ids in _numbered(batches, words, BLOCK_BYTES):
             hashes = words.hashes()
-            start = seed(lang)
-            ends = within(frequent, fold(np.full(len(hashes), start), hashes))  # by word; the border is not one
-            ends[0] = False
-            view = _windows(ids, m)
-            at = np.flatnonzero(ends[view[:, -1]]) if len(view) else np.zeros(0, np.int64)
-            x = np.full(len(at), start)
-            for k in range(m - 1):
-                inside = view[at, k] > 0
-                at, x = at[inside], x[inside]
-                x = fold(x, hashes[view[at, k]])
-            rows = view[at[within(prefixes, x)]]
-            order, starts = grouped(rows)
-            if len(starts):
-                held.setdefault(lang, []).append((rows[order[starts]], np.diff(np.r_[starts, len(rows)])))
-                size += len(starts)
+            first = fold(np.full(len(hashes), seed(lang)), hashes)  # by word; the border is none
+            view = _windows(ids, 2)
+            at = np.flatnonzero((view > 0).all(axis=1))
+            if lengths == (2,):
+                opens, ends = within(starts, first), within(frequent, first)
+                at = at[opens[ids[at]] & ends[ids[at + 1]]]
+            x = fold(first[ids[at]], hashes[ids[at + 1]])
+            likely = within(pairs, x)
+            at, x = at[likely], x[likely]
+            follows = np.zeros(len(ids) + LONGEST, bool)
+            follows[at] = True
+            if lengths != (2,):
+                at = at[within(starts, x)]
+            for m in range(2, max(lengths) + 1):
+                if m > 2:
+                    at = at[follows[at + m - 2]]
+                if m in lengths and len(at):
+                    rows = _windows(ids, m)[at]
+                    order, begins = grouped(rows)
+                    held.setdefault((lang, m), []).append((rows[order[begins]], np.diff(np.r_[begins, len(rows)])))
+                    size += len(begins)
             if size > HELD_COUNTS:  # what the task has met again shrinks; the rest is sent
-                held = {lang: [merged(parts)] for lang, parts in held.items()}
+                held = {key: [merged(parts)] for key, parts in held.items()}
                 size = sum(len(p[0][1]) for p in held.values())
             if size > HELD_COUNTS // 2 or len(words) > HELD_WORDS:
                 yield from flush()
@@ -296,45 +377,61 @@ def asked_counts(documents: DataFrame, asked: DataFrame) -> DataFrame:
     return counted.join(asked, ["lang", "phrase"], "left_semi")
 
 
-def expanded(documents: DataFrame, band: DataFrame, frequent: np.ndarray) -> DataFrame | None:
-    """(lang, phrase, m, a) of all candidates that start with a word of ``band``; None where there are none."""
-    found, prefixes = [], band
+def expanded(documents: DataFrame, band: DataFrame, pairs: np.ndarray, frequent: np.ndarray) -> DataFrame:
+    """(lang, phrase, m, a) of all candidates that start with a word of ``band``."""
     first = band.select("lang", F.col("phrase").alias("first"))
-    for m in range(2, LONGEST + 1):
-        longer = grown(documents, m, bitmap_of(prefixes), frequent)
-        # what only shares a bitmap place with a prefix of the band is left to its own round
-        longer = longer.withColumn("first", F.substring_index("phrase", " ", 1)).join(first, ["lang", "first"], "left_semi")
-        prefixes = stored(longer.select("lang", "phrase", F.lit(m).alias("m"), F.col("f").alias("a")), f"grown-{m}")
-        if prefixes.isEmpty():
-            break
-        found.append(prefixes)
-    out = found[0] if found else None
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
 
+    def named(found: DataFrame, name: str) -> DataFrame:
+        # what only shares a bitmap place with a start of the band is left to its own round
+        found = found.withColumn("first", F.substring_index("phrase", " ", 1)).join(first, ["lang", "first"], "left_semi")
+        return stored(found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("m"), F.col("f").alias("a")), name)
+
+    two = named(grown(documents, (2,), bitmap_of(band), pairs, frequent), "pairs")
+    if LONGEST == 2 or two.isEmpty():
+        return two
+    longer = named(grown(documents, tuple(range(3, LONGEST + 1)), bitmap_of(two), pairs, frequent), "longer")
+    return two.unionByName(longer)
+
+
+def _text(words: str, start: int | Column, many: int | Column) -> Column:
+    return F.array_join(F.slice(words, start, many), " ")
 
-def survivors(documents: DataFrame, candidates: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame:
-    """(lang, phrase, a, l, r, n, score) of the candidates that no longer one stands for."""
-    def text(from_: Callable, many: Callable) -> F.Column:
-        return F.array_join(F.slice("ws", from_, many), " ")
 
+def stood_for(longer: DataFrame) -> DataFrame:
+    """(lang, phrase, a) of what is left of each phrase without its first or its last word, with the phrase's count."""
+    inner = F.array(_text("ws", 1, F.col("m") - 1), _text("ws", 2, F.col("m") - 1))
+    return longer.where("m > 2").withColumn("ws", F.split("phrase", " ")).select("lang", F.explode(inner).alias("phrase"), "a").distinct()
+
+
+def survivors(
+    documents: DataFrame, candidates: DataFrame, counted: DataFrame, words: DataFrame, totals: DataFrame, partial: DataFrame | None
+) -> DataFrame:
+    """(lang, phrase, a, l, r, n, score) of the candidates that no longer one stands for.
+
+    ``counted`` has the candidates of all rounds.  ``partial`` names the languages with words not
+    yet expanded, for which parts and neighbours are counted in one more pass; None: no such language.
+    """
     cuts = candidates.withColumn("ws", F.split("phrase", " ")).select("*", F.explode(F.expr("sequence(1, m - 1)")).alias("k"))
-    cuts = stored(cuts.select("lang", "phrase", "m", "a", "k", text(F.lit(1), F.col("k")).alias("left"),
-                              text(F.col("k") + 1, F.col("m") - F.col("k")).alias("right")), "cuts")
-    asked = cuts.select("lang", F.col("right").alias("phrase")).where("phrase LIKE '% %'")
-    asked = asked.unionByName(candidates.where(F.col("m") < LONGEST).select("lang", "phrase")).distinct()
-    met = stored(asked_counts(documents, stored(asked, "asked")), "met")
-    parts = words.select("lang", "phrase", "f").unionByName(met.select("lang", "phrase", "f"))
+    cuts = cuts.select("lang", "phrase", "m", "a", "k", _text("ws", F.lit(1), F.col("k")).alias("left"),
+                       _text("ws", F.col("k") + 1, F.col("m") - F.col("k")).alias("right"))
+    parts, gone = counted.select("lang", "phrase", F.col("a").alias("f")), stood_for(counted)
+    if partial is not None:
+        cuts = stored(cuts, "cuts")
+        asked = cuts.select("lang", F.col("right").alias("phrase")).where("phrase LIKE '% %'")
+        asked = asked.unionByName(candidates.where(F.col("m") < LONGEST).select("lang", "phrase")).join(partial, "lang", "left_semi")
+        met = stored(asked_counts(documents, stored(asked.distinct(), "asked")), "met")
+        same = "(before_lo = before_hi AND before_lo <> '') OR (after_lo = after_hi AND after_lo <> '')"
+        parts = parts.join(partial, "lang", "left_anti").unionByName(met.select("lang", "phrase", "f"))
+        gone = gone.join(partial, "lang", "left_anti").unionByName(met.where(same).select("lang", "phrase", F.col("f").alias("a")))
+    parts = words.select("lang", "phrase", "f").unionByName(parts)
     part = lambda side, name: parts.select("lang", F.col("phrase").alias(side), F.col("f").alias(name))
     wide = "CAST({} AS DECIMAL(18,0))"
     score = f"(CAST(1000 AS DECIMAL(4,0)) * {wide.format('n')} * CAST(a AS DECIMAL(15,0))) div ({wide.format('l')} * {wide.format('r')})"
-    counted = cuts.join(part("left", "l"), ["lang", "left"]).join(part("right", "r"), ["lang", "right"]).join(totals, "lang")
-    counted = counted.withColumn("score", F.expr(score))
-    best = counted.groupBy("lang", "phrase", "m", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-    same = "(before_lo = before_hi AND before_lo <> '') OR (after_lo = after_hi AND after_lo <> '')"
-    stood_for = met.where(same).select("lang", "phrase").join(candidates.where(F.col("m") < LONGEST), ["lang", "phrase"], "left_semi")
-    return best.join(stood_for, ["lang", "phrase"], "left_anti").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
+    cut = cuts.join(part("left", "l"), ["lang", "left"]).join(part("right", "r"), ["lang", "right"]).join(totals, "lang")
+    cut = cut.withColumn("score", F.expr(score))
+    best = cut.groupBy("lang", "phrase", "m", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
+    # a phrase of the greatest length has no longer one around it, and its count is in no such row
+    return best.join(gone, ["lang", "phrase", "a"], "left_anti").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
 
 def ranked(scored: DataFrame, top: int) -> DataFrame:
@@ -352,18 +449,24 @@ def next_cutoff(todo: DataFrame) -> int | None:
 
 def collocations(documents: DataFrame, top: int = TOP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's best phrases."""
-    counts = stored(word_counts(documents).where((F.col("f") >= LEAST) | F.col("phrase").isNull()), "words")
+    likely_words, likely_pairs = hashed_counts(documents)
+    counts = stored(word_counts(documents, likely_words).where((F.col("f") >= LEAST) | F.col("phrase").isNull()), "words")
     words = counts.where("phrase IS NOT NULL")
     totals = counts.where("phrase IS NULL").select("lang", F.col("f").alias("n"))
     frequent = bitmap_of(words)
-    scored = documents.sparkSession.createDataFrame([], "lang string, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint")
+    spark = documents.sparkSession
+    scored = spark.createDataFrame([], "lang string, phrase string, a bigint, l bigint, r bigint, n bigint, score bigint")
+    counted = spark.createDataFrame([], "lang string, phrase string, m int, a bigint")
     todo = words
     while (cutoff := next_cutoff(todo)) is not None:
-        candidates = expanded(documents, todo.where(F.col("f") <= cutoff), frequent)
-        if candidates is not None:
-            scored = scored.unionByName(stored(survivors(documents, candidates, words, totals), "scored"))
-        # A language with its TOP-th score above the bound of its best word left is settled.
+        candidates = expanded(documents, todo.where(F.col("f") <= cutoff), likely_pairs, frequent)
+        counted = counted.unionByName(candidates)
         left = todo.where(F.col("f") > cutoff)
+        partial = None if left.isEmpty() else stored(left.select("lang").distinct(), "partial")
+        scored = scored.unionByName(stored(survivors(documents, candidates, counted, words, totals, partial), "scored"))
+        if partial is None:
+            break
+        # A language with its TOP-th score above the bound of its best word left is settled.
         bound = left.groupBy("lang").agg(F.min("f").alias("f")).join(totals, "lang").select("lang", F.expr("(1000 * n) div f").alias("bound"))
         last = ranked(scored, top).where(F.col("rank") == top).select("lang", "score")
         settled = bound.join(last, "lang").where("score > bound").select("lang")
