@@ -21,8 +21,9 @@ its best word not yet expanded; equal is not enough, as ties are ordered further
 
 *On Spark.*  A pass is a map over whole texts with counts combined per task, then summed by a
 shuffle, so a word or phrase that makes up a third of all occurrences is a few rows.  The first
-pass sums counts by hash (``WORD_BITS``, ``PAIR_BITS``; capped at ``LEAST``, which keeps the
-comparison exact): only words and pairs whose hash reaches ``LEAST`` are counted by name.
+pass sums counts of words, pairs and triples by hash (``HASH_BITS``; capped at ``LEAST``, which
+keeps the comparison exact): only words, pairs, and phrases of triples whose hash reaches ``LEAST``
+are counted by name.
 Words and prefixes reach the tasks as bitmaps of hash bits.  These sizes do not grow with the
 data; they only spare work, as named counts are summed exactly before they are compared, and
 false hits never reach ``LEAST`` or are removed by an exact join.  Scores are exact
@@ -49,8 +50,8 @@ from delaystar.llm.tables import LOWER, UPPER, arrow_schema, stored, to_batch
 LEAST, LONGEST, TOP = 100, 5, 2000
 #: Words expanded in a round (bounds of equal frequency stay together), and hash bits of a bitmap (8 MB).
 FRONTIER, BITS = 1_000_000, 26
-#: Hash bits of the summed counts of words and of pairs (at most a byte each in a task's result), and counts in a row of it.
-WORD_BITS, PAIR_BITS, CHUNK = 22, 24, 1 << 18
+#: Hash bits of the summed counts of words, pairs and triples (at most a byte each in a task's result), and counts in a row of it.
+HASH_BITS, CHUNK = (22, 24, 24), 1 << 18
 #: Bytes of text that are cut into words together, and words or counts that a task holds before it sends them.
 BLOCK_BYTES, HELD_WORDS, HELD_COUNTS = 8 << 20, 1_000_000, 3_000_000
 NO_LANG = "und"
@@ -149,27 +150,33 @@ def _added(total: np.ndarray, more: np.ndarray, most: int) -> np.ndarray:
     return np.minimum(total.astype(np.uint16) + more, most).astype(np.uint8)
 
 
-def hashed_counts(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Bitmaps of the word hashes and pair hashes that occur ``LEAST`` times or more."""
-    ddl = "pairs boolean, chunk int, sparse boolean, counts binary"
+def hashed_counts(documents: DataFrame) -> list[np.ndarray]:
+    """Bitmaps of the hashes of words, pairs and triples that occur ``LEAST`` times or more."""
+    ddl = "kind int, chunk int, sparse boolean, counts binary"
     schema, most = arrow_schema(ddl), min(LEAST, 255)
-    sizes = {False: 1 << WORD_BITS, True: 1 << PAIR_BITS}
+    sizes = [1 << bits for bits in HASH_BITS]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        totals = {k: np.zeros(n, np.uint32) for k, n in sizes.items()}
+        totals = [np.zeros(n, np.uint32) for n in sizes]
         for lang, ids in _numbered(batches, words, BLOCK_BYTES):
             hashes = words.hashes()
-            x = fold(np.full(len(hashes), seed(lang)), hashes)
+            first = fold(np.full(len(hashes), seed(lang)), hashes)
             own = np.bincount(ids, minlength=len(hashes))
             own[0] = 0
-            np.add.at(totals[False], _place(x, sizes[False]), own.astype(np.uint32))
-            pairs = _windows(ids, 2)
-            pairs = pairs[(pairs > 0).all(axis=1)]
-            np.add.at(totals[True], _place(fold(x[pairs[:, 0]], hashes[pairs[:, 1]]), sizes[True]), np.uint32(1))
+            np.add.at(totals[0], _place(first, sizes[0]), own.astype(np.uint32))
+            at = np.flatnonzero(ids > 0)
+            x = first[ids[at]]
+            for kind in range(1, len(sizes)):
+                inside = at + kind < len(ids)
+                at, x = at[inside], x[inside]
+                inside = ids[at + kind] > 0
+                at = at[inside]
+                x = fold(x[inside], hashes[ids[at + kind]])
+                np.add.at(totals[kind], _place(x, sizes[kind]), np.uint32(1))
             if len(words) > HELD_WORDS:
                 words.reset()
-        for kind, total in totals.items():
+        for kind, total in enumerate(totals):
             capped = np.minimum(total, most).astype(np.uint8)
             for k in range(0, len(capped), CHUNK):
                 part = capped[k : k + CHUNK]
@@ -177,26 +184,26 @@ def hashed_counts(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 sparse = 5 * len(met) < len(part)
                 data = met.astype("<u4").tobytes() + part[met].tobytes() if sparse else part.tobytes()
                 if len(met):
-                    yield to_batch({"pairs": [kind], "chunk": [k // CHUNK], "sparse": [sparse], "counts": [data]}, schema)
+                    yield to_batch({"kind": [kind], "chunk": [k // CHUNK], "sparse": [sparse], "counts": [data]}, schema)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, np.ndarray] = {}
         for batch in batches:
-            for kind, chunk, sparse, data in zip(*(batch.column(c).to_pylist() for c in ("pairs", "chunk", "sparse", "counts")), strict=True):
+            for kind, chunk, sparse, data in zip(*(batch.column(c).to_pylist() for c in ("kind", "chunk", "sparse", "counts")), strict=True):
                 total = sums.setdefault((kind, chunk), np.zeros(min(CHUNK, sizes[kind]), np.uint8))
                 n = len(data) // 5
                 at = np.frombuffer(data, "<u4", n) if sparse else slice(None)
                 total[at] = _added(total[at], np.frombuffer(data, np.uint8, offset=4 * n if sparse else 0), most)
         for (kind, chunk), total in sums.items():
             bits = np.packbits(total >= most, bitorder="little").tobytes()
-            yield to_batch({"pairs": [kind], "chunk": [chunk], "sparse": [False], "counts": [bits]}, schema)
+            yield to_batch({"kind": [kind], "chunk": [chunk], "sparse": [False], "counts": [bits]}, schema)
 
-    chunks = sum(-(-n // CHUNK) for n in sizes.values())
-    summed = documents.select("lang", "text").mapInArrow(count, ddl).repartition(chunks, "pairs", "chunk").mapInArrow(add, ddl)
-    out = {k: np.zeros(n // 8, np.uint8) for k, n in sizes.items()}
-    for kind, chunk, bits in zip(*(c.to_pylist() for c in summed.select("pairs", "chunk", "counts").toArrow().columns), strict=True):
+    chunks = sum(-(-n // CHUNK) for n in sizes)
+    summed = documents.select("lang", "text").mapInArrow(count, ddl).repartition(chunks, "kind", "chunk").mapInArrow(add, ddl)
+    out = [np.zeros(n // 8, np.uint8) for n in sizes]
+    for kind, chunk, bits in zip(*(c.to_pylist() for c in summed.select("kind", "chunk", "counts").toArrow().columns), strict=True):
         out[kind][chunk * CHUNK // 8 : chunk * CHUNK // 8 + len(bits)] = np.frombuffer(bits, np.uint8)
-    return out[False].view(np.uint64), out[True].view(np.uint64)
+    return [x.view(np.uint64) for x in out]
 
 
 def word_counts(documents: DataFrame, likely: np.ndarray) -> DataFrame:
@@ -275,17 +282,17 @@ def _windows(ids: np.ndarray, m: int) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(ids, m) if len(ids) >= m else np.zeros((0, m), ids.dtype)
 
 
-def grown(documents: DataFrame, lengths: tuple[int, ...], starts: np.ndarray, pairs: np.ndarray, frequent: np.ndarray) -> DataFrame:
+def grown(documents: DataFrame, lengths: tuple[int, ...], starts: np.ndarray, likely: np.ndarray, frequent: np.ndarray) -> DataFrame:
     """(lang, phrase, f) of phrases with f >= LEAST, of pairs or of longer phrases.
 
-    Pairs begin with a word of the bitmap ``starts`` and end with a ``frequent`` one; longer
-    phrases begin with a pair of ``starts``.  All their pairs are among ``pairs``.
+    Pairs begin with a word of the bitmap ``starts``, end with a ``frequent`` one and are among
+    ``likely``; longer phrases begin with a pair of ``starts`` and have all their triples among ``likely``.
     """
     schema = arrow_schema(PHRASES)
-    shared = documents.sparkSession.sparkContext.broadcast((starts, pairs, frequent))
+    shared = documents.sparkSession.sparkContext.broadcast((starts, likely, frequent))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        starts, pairs, frequent = shared.value
+        starts, likely, frequent = shared.value
         words, held, size = Words(), {}, 0
 
         def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -309,16 +316,21 @@ def grown(documents: DataFrame, lengths: tuple[int, ...], starts: np.ndarray, pa
             if lengths == (2,):
                 opens, ends = within(starts, first), within(frequent, first)
                 at = at[opens[ids[at]] & ends[ids[at + 1]]]
-            x = fold(first[ids[at]], hashes[ids[at + 1]])
-            likely = within(pairs, x)
-            at, x = at[likely], x[likely]
-            follows = np.zeros(len(ids) + LONGEST, bool)
-            follows[at] = True
-            if lengths != (2,):
-                at = at[within(starts, x)]
+                at = at[within(likely, fold(first[ids[at]], hashes[ids[at + 1]]))]
+                follows = None
+            else:
+                x = fold(first[ids[at]], hashes[ids[at + 1]])
+                begin = at[within(starts, x)]
+                inside = at + 2 < len(ids)
+                at, x = at[inside], x[inside]
+                inside = ids[at + 2] > 0
+                at = at[inside]
+                follows = np.zeros(len(ids) + LONGEST, bool)  # where a likely triple starts
+                follows[at[within(likely, fold(x[inside], hashes[ids[at + 2]]))]] = True
+                at = begin
             for m in range(2, max(lengths) + 1):
                 if m > 2:
-                    at = at[follows[at + m - 2]]
+                    at = at[follows[at + m - 3]]
                 if m in lengths and len(at):
                     rows = _windows(ids, m)[at]
                     order, begins = grouped(rows)
@@ -377,8 +389,8 @@ def asked_counts(documents: DataFrame, asked: DataFrame) -> DataFrame:
     return counted.join(asked, ["lang", "phrase"], "left_semi")
 
 
-def expanded(documents: DataFrame, band: DataFrame, pairs: np.ndarray, frequent: np.ndarray) -> DataFrame:
-    """(lang, phrase, m, a) of all candidates that start with a word of ``band``."""
+def expanded(documents: DataFrame, band: DataFrame, likely: list[np.ndarray], frequent: np.ndarray) -> DataFrame:
+    """(lang, phrase, m, a) of all candidates that start with a word of ``band``; ``likely``: as ``hashed_counts`` gives it."""
     first = band.select("lang", F.col("phrase").alias("first"))
 
     def named(found: DataFrame, name: str) -> DataFrame:
@@ -386,10 +398,10 @@ def expanded(documents: DataFrame, band: DataFrame, pairs: np.ndarray, frequent:
         found = found.withColumn("first", F.substring_index("phrase", " ", 1)).join(first, ["lang", "first"], "left_semi")
         return stored(found.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("m"), F.col("f").alias("a")), name)
 
-    two = named(grown(documents, (2,), bitmap_of(band), pairs, frequent), "pairs")
+    two = named(grown(documents, (2,), bitmap_of(band), likely[1], frequent), "pairs")
     if LONGEST == 2 or two.isEmpty():
         return two
-    longer = named(grown(documents, tuple(range(3, LONGEST + 1)), bitmap_of(two), pairs, frequent), "longer")
+    longer = named(grown(documents, tuple(range(3, LONGEST + 1)), bitmap_of(two), likely[2], frequent), "longer")
     return two.unionByName(longer)
 
 
@@ -449,8 +461,8 @@ def next_cutoff(todo: DataFrame) -> int | None:
 
 def collocations(documents: DataFrame, top: int = TOP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's best phrases."""
-    likely_words, likely_pairs = hashed_counts(documents)
-    counts = stored(word_counts(documents, likely_words).where((F.col("f") >= LEAST) | F.col("phrase").isNull()), "words")
+    likely = hashed_counts(documents)
+    counts = stored(word_counts(documents, likely[0]).where((F.col("f") >= LEAST) | F.col("phrase").isNull()), "words")
     words = counts.where("phrase IS NOT NULL")
     totals = counts.where("phrase IS NULL").select("lang", F.col("f").alias("n"))
     frequent = bitmap_of(words)
@@ -459,7 +471,7 @@ def collocations(documents: DataFrame, top: int = TOP) -> DataFrame:
     counted = spark.createDataFrame([], "lang string, phrase string, m int, a bigint")
     todo = words
     while (cutoff := next_cutoff(todo)) is not None:
-        candidates = expanded(documents, todo.where(F.col("f") <= cutoff), likely_pairs, frequent)
+        candidates = expanded(documents, todo.where(F.col("f") <= cutoff), likely, frequent)
         counted = counted.unionByName(candidates)
         left = todo.where(F.col("f") > cutoff)
         partial = None if left.isEmpty() else stored(left.select("lang").distinct(), "partial")

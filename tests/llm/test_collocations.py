@@ -61,8 +61,7 @@ def corpus(seed, n=150, vocabulary=60):
 
 @pytest.fixture(autouse=True)
 def small_bitmaps(monkeypatch):
-    monkeypatch.setattr(collocations, "WORD_BITS", 14)
-    monkeypatch.setattr(collocations, "PAIR_BITS", 16)
+    monkeypatch.setattr(collocations, "HASH_BITS", (14, 16, 15))
     monkeypatch.setattr(collocations, "CHUNK", 1 << 13)
 
 
@@ -83,8 +82,8 @@ def test_equal_to_counting_every_phrase(spark, monkeypatch, seed, least, top, fr
 
 def test_small_memory_and_colliding_bitmaps_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(collocations, "LEAST", 3)
-    for bits in ("BITS", "WORD_BITS", "PAIR_BITS"):
-        monkeypatch.setattr(collocations, bits, 7)  # nearly every hash hits
+    monkeypatch.setattr(collocations, "BITS", 7)  # nearly every hash hits
+    monkeypatch.setattr(collocations, "HASH_BITS", (7, 7, 7))
     monkeypatch.setattr(collocations, "HELD_WORDS", 30)
     monkeypatch.setattr(collocations, "HELD_COUNTS", 40)
     monkeypatch.setattr(collocations, "BLOCK_BYTES", 500)
@@ -134,10 +133,11 @@ def test_hashed_counts_reach_the_least_where_the_sum_does(spark, monkeypatch):
     """Of words that no task has often enough, and with counts beyond a byte."""
     monkeypatch.setattr(collocations, "LEAST", 40)
     rows = [(i, "a b " * 3 + f"u{i} " + "z " * 300 * (i == 0), "en") for i in range(14)]
-    words, pairs = collocations.hashed_counts(documents(spark, rows).repartition(14))
+    bitmaps = collocations.hashed_counts(documents(spark, rows).repartition(14))
     hashed = lambda p: _hash("en", p)
-    want = {"a": True, "b": True, "u1": False, "z": True, "a b": True, "b a": False, "z z": True, "b u1": False}
-    got = {p: bool(collocations.within(pairs if " " in p else words, hashed(p))[0]) for p in want}
+    want = {"a": True, "b": True, "u1": False, "z": True, "a b": True, "b a": False, "z z": True, "b u1": False,
+            "a b a": False, "z z z": True}
+    got = {p: bool(collocations.within(bitmaps[p.count(" ")], hashed(p))[0]) for p in want}
     assert got == want
 
 
