@@ -55,6 +55,8 @@ HASH_BITS, CHUNK = (22, 24, 24), 1 << 18
 #: Bytes of text that are cut into words together, and words or counts that a task holds before it sends them.
 BLOCK_BYTES, HELD_WORDS, HELD_COUNTS = 8 << 20, 1_000_000, 3_000_000
 NO_LANG = "und"
+#: Input splits that a counting task reads, while there are more tasks than cores: what repeats is combined over more text.
+SPLITS_PER_TASK = 4
 
 # FIXED VALUES: piece borders, and the other separator besides the space.
 BORDERS, BLANK = b".,;:!?\n\x0b\x0c\r", b"\t"
@@ -461,6 +463,9 @@ def next_cutoff(todo: DataFrame) -> int | None:
 
 def collocations(documents: DataFrame, top: int = TOP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score of each language's best phrases."""
+    splits = documents.rdd.getNumPartitions()
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    documents = documents.select("lang", "text").coalesce(max(cores, splits // SPLITS_PER_TASK))
     likely = hashed_counts(documents)
     counts = stored(word_counts(documents, likely[0]).where((F.col("f") >= LEAST) | F.col("phrase").isNull()), "words")
     words = counts.where("phrase IS NOT NULL")
