@@ -15,6 +15,7 @@ partitions are read and rewritten (dynamic partition overwrite).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -24,6 +25,7 @@ from delaystar import settings as S
 from delaystar.functions import columns as C
 from delaystar.operators import dedup, warehouse
 from delaystar.session import dimension
+from delaystar.sources import snapshots
 
 
 def overlap_extract(raw: DataFrame, as_of: dt.datetime, days: int = S.OVERLAP_DAYS) -> DataFrame:
@@ -57,31 +59,44 @@ def merge_fact(fact: DataFrame, batch_fact: DataFrame) -> DataFrame:
     return dedup.merge_by_id(fact, batch_fact, "source_observation_id")
 
 
-def merge_fact_partitions(fact_path: str, batch_fact: DataFrame, key: str = "source_observation_id") -> None:
+def merge_fact_partitions(
+    fact_path: str, batch_fact: DataFrame, key: str = "source_observation_id", located_by: str | None = None
+) -> None:
     """I4 on the stored fact: rewrite only the UTC-date partitions the merge touches.
 
     Touched partitions are the batch's dates plus every date that currently
     holds one of the batch's ids (found with a semi join on a two-column scan),
-    so a re-delivered row whose day changed leaves no stale copy behind.  They
-    are selected with a semi join on the partition column (dynamic partition
-    pruning).  The merged slice is checkpointed before the dynamic partition
-    overwrite, so the job never overwrites files it is still reading.  A touched
-    date that keeps no row is removed after the write, as an overwrite writes
-    nothing there.
+    so a re-delivered row whose day changed leaves no stale copy behind.  With
+    ``located_by`` (the scheduled departure, which an observation's id fixes) that scan opens
+    only the dates that the fact's index lists for the batch's scheduled days; the fact
+    must have been written with it.  Dates are compared null-safely.  The merged slice is
+    checkpointed before the dynamic partition overwrite, so the job never overwrites files it
+    is still reading.  A touched date that keeps no row is removed after the write, as an
+    overwrite writes nothing there.
     """
     from delaystar.session import dimension, materialize
     from delaystar.sources import sinks
 
     spark = batch_fact.sparkSession
     batch = materialize(batch_fact.withColumn("observed_date", F.to_date("observed_at")))
-    stored = spark.read.parquet(fact_path)
-    holding = stored.select(key, "observed_date").join(batch.select(key), key, "left_semi").select("observed_date")
+    stored = sinks.read_fact(spark, fact_path)
+
+    def on_dates(dates: DataFrame) -> DataFrame:
+        days = dates.select(F.col("observed_date").alias("_day"))
+        # equality keeps dynamic partition pruning; the null date, if any, is a slice of its own
+        dated = stored.join(days, F.col("observed_date") == F.col("_day"), "left_semi")
+        if not dates.where("observed_date IS NULL").isEmpty():
+            dated = dated.unionByName(stored.where("observed_date IS NULL"))
+        return dated
+
+    searched = stored if located_by is None else on_dates(dimension(sinks.dates_located(spark, fact_path, batch, located_by)))
+    holding = searched.select(key, "observed_date").join(batch.select(key), key, "left_semi").select("observed_date")
     dates = dimension(holding.unionByName(batch.select("observed_date")).distinct())
     # an empty batch touches no date: the overwrite below then writes nothing
-    target = stored.join(dates, "observed_date", "left_semi")
-    merged = materialize(dedup.merge_by_id(target, batch, key))
-    sinks.write_fact_partitioned(merged, fact_path, mode="overwrite")
-    emptied = dates.join(merged.select("observed_date").distinct(), "observed_date", "left_anti")
+    merged = materialize(dedup.merge_by_id(on_dates(dates), batch, key))
+    sinks.write_fact_partitioned(merged, fact_path, mode="overwrite", located_by=located_by)
+    left = merged.select(F.col("observed_date").alias("_day")).distinct()
+    emptied = dates.join(left, F.col("observed_date").eqNullSafe(F.col("_day")), "left_anti")
     sinks.drop_partitions(spark, fact_path, "observed_date", [r[0] for r in emptied.collect()])
 
 
@@ -111,27 +126,98 @@ def incremental_cycle(
     return CycleResult(raw, dim_date, fact, warehouse.Warehouse(dim_date, dim_route, dim_stop, fact, wh.zone))
 
 
+RAW, FACT, DIMENSIONS = "raw", "fact", ("dim_date", "dim_route", "dim_stop")
+RAW_DAY, FACT_DAY = "scheduled_date", "observed_date"
+#: Clustering of a stored day, and the time that an observation's id fixes (its key text holds it).
+RAW_ORDER, FACT_ORDER = ("observation_id",), ("route_key", "stop_key", "source_observation_id")
+LOCATED_BY = "scheduled_departure"
+
+
+def _raw_with_day(raw: DataFrame) -> DataFrame:
+    return raw.withColumn(RAW_DAY, F.to_date(LOCATED_BY))
+
+
+def _fact_with_day(fact: DataFrame) -> DataFrame:
+    return fact.withColumn(FACT_DAY, F.to_date("observed_at"))
+
+
+def warehouse_of(tables: snapshots.TableSet, zone: str = S.LOCAL_ZONE) -> warehouse.Warehouse:
+    """The star schema of a published (or proposed) set; the fact keeps its UTC date for pruning."""
+    return warehouse.Warehouse(*(tables.table(t) for t in DIMENSIONS), tables.table(FACT), zone)
+
+
+def initial_load(root: str, wh: warehouse.Warehouse, raw: DataFrame, version: str = "initial") -> snapshots.TableSet:
+    """Publish a built warehouse and its raw history as the set that cycles start from."""
+    parent = snapshots.published(raw.sparkSession, root)
+    staged = snapshots.stage(_raw_with_day(raw), root, RAW, version, by=RAW_DAY, order=RAW_ORDER)
+    for name in DIMENSIONS:
+        staged += snapshots.stage(getattr(wh, name), root, name, version)
+    staged += snapshots.stage(_fact_with_day(wh.fact), root, FACT, version, by=FACT_DAY, order=FACT_ORDER, located_by=LOCATED_BY)
+    return snapshots.publish(snapshots.empty_set(raw.sparkSession, root).with_staged(staged), parent, version)
+
+
+@dataclass(frozen=True)
+class CycleOutcome:
+    """``log``: the control table; ``tables``: the set in service after the cycle; ``proposed``: what was audited."""
+
+    log: DataFrame
+    tables: snapshots.TableSet
+    proposed: snapshots.TableSet
+    succeeded: bool
+
+
+def propose_cycle(
+    parent: snapshots.TableSet, batch: DataFrame, routes: DataFrame, stops: DataFrame, version: str, zone: str = S.LOCAL_ZONE
+) -> snapshots.TableSet:
+    """C13 up to the audit: the batch merged into ``parent`` (I3, I4, I5, C5, C6), written as staged versions.
+
+    An id's scheduled departure never changes, so the raw history is partitioned by the
+    scheduled day and only the batch's days are merged.  The fact is partitioned by the UTC
+    day of observation, which can change; the days that can hold one of the batch's ids come
+    from the manifest, those that do hold one from a two-column scan of these only.
+    """
+    unique = dimension(_raw_with_day(batch_dedup(batch)))  # used by the raw merge, the dates and the fact
+    days = snapshots.days_of(unique, RAW_DAY)
+    merged = dedup.merge_by_id(parent.table(RAW, days), unique, "observation_id") if parent.of(RAW) else unique
+    staged = snapshots.stage(merged, parent.root, RAW, version, by=RAW_DAY, order=RAW_ORDER)
+
+    dims = {"dim_route": dimension(warehouse.build_dim_route(routes)), "dim_stop": dimension(warehouse.build_dim_stop(stops))}
+    dims["dim_date"] = (extend_dim_date(parent.table("dim_date"), unique, zone) if parent.of("dim_date")
+                        else warehouse.build_dim_date(unique, zone))
+    for name, df in dims.items():
+        staged += snapshots.stage(df, parent.root, name, version)
+
+    key = "source_observation_id"
+    new = dimension(_fact_with_day(warehouse.build_fact(unique, dims["dim_route"], dims["dim_stop"], zone)))
+    touched = snapshots.days_of(new, FACT_DAY)
+    if parent.of(FACT):
+        searched = parent.table(FACT, parent.can_hold(FACT, snapshots.days_of(new, LOCATED_BY)) - touched)
+        touched |= snapshots.days_of(searched.select(key, FACT_DAY).join(new.select(key), key, "left_semi"), FACT_DAY)
+        new = dedup.merge_by_id(parent.table(FACT, touched), new, key)
+    staged += snapshots.stage(new, parent.root, FACT, version, by=FACT_DAY, order=FACT_ORDER, located_by=LOCATED_BY)
+    return parent.with_staged(staged, {FACT: touched, RAW: days})
+
+
 def run_cycle(
-    root: str, wh: warehouse.Warehouse, raw_target: DataFrame, batch: DataFrame, routes: DataFrame, stops: DataFrame,
-    cycle_id: str | None = None,
-) -> DataFrame:
-    """The cycle's tables written under ``root``, checked as written (C12) and logged (I6); returns the log.
+    root: str, batch: DataFrame, routes: DataFrame, stops: DataFrame, cycle_id: str | None = None, zone: str = S.LOCAL_ZONE
+) -> CycleOutcome:
+    """Write, audit, publish.  The batch is merged into staged versions, C12 runs on what was written, and
+    only a set that passes every check is published, all tables by one commit; then the outcome is logged (I6).
 
-    The log says success only when the written tables pass every check.
+    A failed or interrupted cycle leaves the former set in service.  Rerunning a published
+    batch proposes the digests already in place, so its commit changes no table (I7).
     """
     from delaystar.operators import quality
     from delaystar.sources import sinks
 
-    spark = raw_target.sparkSession
-    made = incremental_cycle(wh, raw_target, batch, routes, stops)
-    written = {}
-    for name, df in {"raw": made.raw, "dim_date": made.dim_date, "dim_route": made.wh.dim_route,
-                     "dim_stop": made.wh.dim_stop, "fact": made.fact}.items():
-        sinks.replace_table(df, f"{root}/{name}")
-        written[name] = sinks.read_current(spark, f"{root}/{name}")
-    stored = warehouse.Warehouse(written["dim_date"], written["dim_route"], written["dim_stop"], written["fact"], wh.zone)
-    checks = dimension(quality.warehouse_checks(spark, written["raw"], stored))
-    return sinks.log_cycle(checks, f"{root}/etl_control", cycle_id)
+    spark = batch.sparkSession
+    cycle_id = cycle_id or uuid.uuid4().hex
+    parent = snapshots.published(spark, root)
+    proposed = propose_cycle(parent, batch, routes, stops, f"{cycle_id}-{uuid.uuid4().hex[:8]}", zone)
+    checks = dimension(quality.warehouse_checks(spark, proposed.table(RAW), warehouse_of(proposed, zone)))
+    succeeded = sinks.cycle_outcome(checks, cycle_id).first()["status"] == "success"
+    tables = snapshots.publish(proposed, parent, cycle_id) if succeeded else parent
+    return CycleOutcome(sinks.log_cycle(checks, f"{root}/etl_control", cycle_id), tables, proposed, succeeded)
 
 
 def rerun_differences(first: DataFrame, second: DataFrame, key: str) -> DataFrame:

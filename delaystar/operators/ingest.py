@@ -10,7 +10,9 @@ upserts, per-collection summary) shuffle, on their keys.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaystar import settings as S
@@ -56,31 +58,42 @@ def scan_payloads(payloads: DataFrame) -> DataFrame:
 
 
 # reference list (array of objects or object keyed by id) -> map id -> object
-def with_reference_map(df: DataFrame, v: Column, path: str, name: str) -> DataFrame:
-    """Add column ``name``: map id -> reference object.
+def with_reference_map(df: DataFrame, v: Column, path: str, name: str, wanted: Column) -> DataFrame:
+    """Add column ``name``: map id -> reference object, of the ids in the array column ``wanted``.
 
     Object form: keyed by the object key.  Array form: objects with a
     non-empty ``id``; a later duplicate id wins.  No explicit object test is
     needed: a field read of a non-object is NULL, so an array item without an
     id is dropped, and a non-object value behaves like a missing reference
     (every field NULL, so the same fallbacks apply).
+
+    The references are walked once, and only the wanted ones (of which a payload has as many as kept
+    stop times) leave the row: the work is linear in the payload, and rows stay small.
     """
     items = F.filter(
-        F.transform(_vget(v, path, "array<variant>"), lambda e: F.struct(_vget(e, "$.id").alias("id"), e.alias("val"))),
-        lambda x: C.nonblank(x["id"]).isNotNull(),
+        F.transform(_vget(v, path, "array<variant>"), lambda e: F.struct(C.nonblank(_vget(e, "$.id")).alias("id"), e.alias("val"))),
+        lambda x: F.coalesce(F.array_contains(wanted, x["id"]), F.lit(False)),
     )
     df = df.withColumn(f"{name}_items", items)
     arr = F.col(f"{name}_items")
-    last = F.filter(arr, lambda x, i: ~F.exists(F.slice(arr, i + 2, F.greatest(F.size(arr) - i - 1, F.lit(1))),
-                                                  lambda y: y["id"] == x["id"]))
-    as_object = _vget(v, path, "map<string,variant>")
+    # sorted by id and place, the last of each id is the one before another id
+    df = df.withColumn(f"{name}_keys", F.array_sort(F.transform(arr, lambda x, i: F.struct(x["id"].alias("id"), i.alias("place")))))
+    keys = F.col(f"{name}_keys")
+    beside = F.zip_with(keys, F.slice(keys, 2, F.greatest(F.size(keys), F.lit(1))),
+                        lambda a, b: F.struct(a["id"].alias("id"), a["place"].alias("place"), b["id"].alias("next")))
+    df = df.withColumn(f"{name}_last", F.filter(beside, lambda x: ~x["id"].eqNullSafe(x["next"])))
+    last = F.transform(F.col(f"{name}_last"), lambda x: F.struct(x["id"].alias("id"), F.get(arr, x["place"])["val"].alias("val")))
+    as_object = F.map_filter(_vget(v, path, "map<string,variant>"), lambda k, _: F.coalesce(F.array_contains(wanted, k), F.lit(False)))
     return df.withColumn(
         name, F.coalesce(as_object, F.map_from_entries(last), F.create_map().cast("map<string,variant>"))
-    ).drop(f"{name}_items")
+    ).drop(f"{name}_items", f"{name}_keys", f"{name}_last")
 
 
 def _first_seen(arr: Column, key: str) -> Column:
-    """First occurrence per key, array order kept (``arr`` must be a column reference)."""
+    """First occurrence per key, array order kept (``arr`` must be a column reference).
+
+    Used on the kept stop times only, of which a payload has ``limit`` at most.
+    """
     return F.filter(arr, lambda x, i: ~F.exists(F.slice(arr, 1, i), lambda y: y[key] == x[key]))
 
 
@@ -117,10 +130,16 @@ def parse_departures(scanned: DataFrame, limit: int = S.PARSE_LIMIT) -> DataFram
     base = scanned.filter("accepted").select(
         "payload_id", F.col("collection_run_id").alias("collection_id"), F.col("stop_id").alias("_requested"),
         "fetched_at", "v", F.slice(usable, 1, limit).alias("_kept"))
-    for name, path in (("_stops", "$.data.references.stops"), ("_routes", "$.data.references.routes"),
-                       ("_trips", "$.data.references.trips")):
-        base = with_reference_map(base, v, path, name)
-    return base.drop("v")
+    reads = {c: i for i, c in enumerate(("dep", "pred", "stop_id", "trip_id", "route_id_st"))}
+    read = lambda e, c: _stop_time_reads(e, F.col("_requested"))[reads[c]]
+    base = base.withColumn("_stop_ids", F.transform("_kept", lambda e: read(e, "stop_id")))
+    base = base.withColumn("_trip_ids", F.transform("_kept", lambda e: read(e, "trip_id")))
+    base = with_reference_map(base, v, "$.data.references.stops", "_stops", F.col("_stop_ids"))
+    base = with_reference_map(base, v, "$.data.references.trips", "_trips", F.col("_trip_ids"))
+    base = base.withColumn("_route_ids", F.transform(
+        "_kept", lambda e: _route_id0(read(e, "route_id_st"), F.try_element_at(F.col("_trips"), read(e, "trip_id")))))
+    base = with_reference_map(base, v, "$.data.references.routes", "_routes", F.col("_route_ids"))
+    return base.drop("v", "_stop_ids", "_trip_ids", "_route_ids")
 
 
 OBSERVATION_FIELDS = (
@@ -314,55 +333,61 @@ def _string_items(v: Column, path: str) -> Column:
         lambda x: C.nonblank(x).isNotNull())
 
 
-def _station(i: Column) -> Column:
-    """Search result struct for reference id ``i`` (lookups in ``_stops``/``_routes``)."""
-    ref = F.try_element_at(F.col("_stops"), i)
-    return F.struct(
-        i.alias("key"),
-        ref.alias("ref"),
-        F.coalesce(_text(ref, "$.id"), i).alias("stop_id"),
-        C.strip(F.coalesce(_vget(ref, "$.name"), F.lit(""))).alias("name"),
-        _string_items(ref, "$.routeIds").alias("route_ids"),
-    )
+def reference_rows(parsed: DataFrame, path: str, fields: Callable[[Column], dict[str, Column]]) -> DataFrame:
+    """F23 as rows: (payload_id, key, fields) of each reference of a payload, both dialects.
+
+    References are matched by joins, so the work is linear in the payload.  The ``fields`` of an
+    item (a VARIANT) are read before it becomes a row: a VARIANT carries the key
+    names of its whole object, which would be copied to every row.  In an array the item's
+    non-empty ``id`` is its key and the last item of an id wins.
+    """
+    v = F.col("v")
+    item = lambda key, e: F.struct(key.alias("key"), F.struct(*[c.alias(n) for n, c in fields(e).items()]).alias("ref"))
+    listed = F.transform(_vget(v, path, "array<variant>"), lambda e: item(C.nonblank(_vget(e, "$.id")), e))
+    keyed = F.transform(F.map_entries(_vget(v, path, "map<string,variant>")), lambda kv: item(kv["key"], kv["value"]))
+    rows = parsed.select("payload_id", F.coalesce(listed, keyed).alias("_refs"))
+    rows = _rows(rows, "_refs", "payload_id", pos="pos", name="r").where("r.key IS NOT NULL")
+    return rows.groupBy("payload_id", "r.key").agg(F.max_by("r.ref", "pos").alias("ref")).select("payload_id", "key", "ref.*")
 
 
 def search_stations(search: DataFrame, limit: int = S.SEARCH_LIMIT) -> DataFrame:
-    """Stations of accepted search payloads; ``scan_payloads`` reports the others as error rows."""
+    """Stations of accepted search payloads; ``scan_payloads`` reports the others as error rows.
+
+    The ids of a payload (listed, or all reference ids in document order) are rows; the
+    first place of each id counts, references and route numbers are joined by
+    (payload, id), and the first ``limit`` stations with a name are kept.
+    """
     s = search.withColumn("query", C.strip("query")).filter(F.length("query") >= S.SEARCH_MIN_QUERY_CHARS)
-    s = scan_payloads(s).filter("accepted").select("payload_id", "query", "body", "v")
-    s = with_reference_map(s, F.col("v"), "$.data.references.stops", "_stops")
-    s = with_reference_map(s, F.col("v"), "$.data.references.routes", "_routes")
+    s = scan_payloads(s).filter("accepted").select("payload_id", "body", "v")
     s = s.withColumn("_listed", _string_items(F.col("v"), "$.data.entry.stopIds"))
     # fallback: every reference id in document order (json_object_keys keeps it; VARIANT sorts keys)
     refs_text = F.get_json_object("body", "$.data.references.stops")
-    s = s.withColumn("_array_ids", F.transform(
+    array_ids = F.transform(
         F.coalesce(_vget(F.col("v"), "$.data.references.stops", "array<variant>"), F.array().cast("array<variant>")),
-        lambda e: C.nonblank(_vget(e, "$.id"))))
-    doc_keys = F.when(F.substring(F.ltrim(refs_text), 1, 1) == "{", F.json_object_keys(refs_text)) \
-        .otherwise(_first_seen_text(F.col("_array_ids")))
-    s = s.withColumn("_ids", F.when(F.size("_listed") > 0, F.col("_listed"))
-                     .otherwise(F.filter(doc_keys, lambda x: x.isNotNull())))
-    s = s.withColumn("_c", F.filter(F.transform("_ids", _station),
-                                    lambda x: x["ref"].isNotNull() & (x["name"] != "")
-                                    & C.nonblank(x["stop_id"]).isNotNull()))
-    s = s.withColumn("_r", F.slice(_first_seen(F.col("_c"), "key"), 1, limit))
+        lambda e: C.nonblank(_vget(e, "$.id")))
+    doc_keys = F.when(F.substring(F.ltrim(refs_text), 1, 1) == "{", F.json_object_keys(refs_text)).otherwise(array_ids)
+    s = s.withColumn("_ids", F.when(F.size("_listed") > 0, F.col("_listed")).otherwise(doc_keys))
+    ids = _rows(s, "_ids", "payload_id", pos="pos", name="key").groupBy("payload_id", "key").agg(F.min("pos").alias("pos"))
+
+    stops = reference_rows(s, "$.data.references.stops", lambda e: {
+        "id": _text(e, "$.id"), "name": C.strip(F.coalesce(_vget(e, "$.name"), F.lit(""))),
+        "code": F.coalesce(_vget(e, "$.code"), F.lit("")), "direction": F.coalesce(_vget(e, "$.direction"), F.lit("")),
+        "lat": _vget(e, "$.lat", "double"), "lon": _vget(e, "$.lon", "double"), "route_ids": _string_items(e, "$.routeIds"),
+    })
+    found = ids.join(stops, ["payload_id", "key"]).withColumn("stop_id", F.coalesce("id", "key"))
+    found = found.where((F.col("name") != "") & C.nonblank(F.col("stop_id")).isNotNull())
+    by_place = Window.partitionBy("payload_id").orderBy("pos")
+    found = found.withColumn("position", F.row_number().over(by_place)).where(F.col("position") <= limit)
+    found = found.withColumn("position", F.col("position") - 1)
+
     # short names of the stop's routes joined with ', ', in order, blanks skipped
-    numbers = lambda r: F.array_join(F.filter(
-        F.transform(r["route_ids"],
-                    lambda rid: C.nonblank(C.strip(_vget(F.try_element_at(F.col("_routes"), rid), "$.shortName")))),
-        lambda x: x.isNotNull()), ", ")
-    s = s.withColumn("_r", F.transform("_r", lambda r: F.struct(
-        r["stop_id"].alias("stop_id"), r["name"].alias("name"),
-        F.coalesce(_vget(r["ref"], "$.code"), F.lit("")).alias("code"),
-        F.coalesce(_vget(r["ref"], "$.direction"), F.lit("")).alias("direction"),
-        _vget(r["ref"], "$.lat", "double").alias("lat"),
-        _vget(r["ref"], "$.lon", "double").alias("lon"),
-        F.array_join(r["route_ids"], ",").alias("route_ids_text"),
-        numbers(r).alias("route_number"),
-    )))
-    return _rows(s, "_r", "payload_id", pos="position", name="r").select(
-        "payload_id", "position", "r.stop_id", "r.name", "r.code", "r.direction", "r.lat", "r.lon",
-        "r.route_ids_text", "r.route_number")
+    routes = reference_rows(s, "$.data.references.routes", lambda e: {"short_name": C.nonblank(C.strip(_vget(e, "$.shortName")))})
+    wanted = found.select("payload_id", "position", F.posexplode("route_ids").alias("place", "key"))
+    named = wanted.join(routes.where("short_name IS NOT NULL"), ["payload_id", "key"]).groupBy("payload_id", "position").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "short_name"))), lambda x: x["short_name"]), ", ").alias("route_number"))
+    return found.join(named, ["payload_id", "position"], "left").select(
+        "payload_id", "position", "stop_id", "name", "code", "direction", "lat", "lon",
+        F.array_join("route_ids", ",").alias("route_ids_text"), F.coalesce("route_number", F.lit("")).alias("route_number"))
 
 
 def _first_seen_text(arr: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from delaystar import settings as S
 from delaystar.functions import columns as C
+from delaystar.operators.onepass import one_pass, stacked
 from delaystar.session import dimension
 
 
@@ -34,14 +35,17 @@ def _named(column: str, default: str) -> F.Column:
 
 # A1
 def kpi_summary(view: DataFrame) -> DataFrame:
-    agg = view.agg(
+    return _finish_kpi(view.agg(
         F.sum("delay_seconds").alias("_sum_s"),
         F.count(F.col("delay_seconds")).alias("_n_s"),
         F.max("delay_seconds").alias("_max_s"),
         F.sum("observation_count").alias("_obs"),
         F.sum("delayed_count").alias("_delayed"),
         F.sum("significant_or_severe_count").alias("_sig"),
-    )
+    ))
+
+
+def _finish_kpi(agg: DataFrame) -> DataFrame:
     return agg.select(
         F.coalesce(C.rounded_mean("_sum_s", "_n_s"), F.lit(0.0)).alias("avg_delay_minutes"),
         F.coalesce(C.rounded_mean("_max_s", F.lit(1)), F.lit(0.0)).alias("max_delay_minutes"),
@@ -63,6 +67,10 @@ def stop_delay_ranking(view: DataFrame, limit: int = S.RANKING_LIMIT) -> DataFra
             F.sum("observation_count").alias("observation_count"),
         )
     )
+    return _finish_ranking(grouped, limit)
+
+
+def _finish_ranking(grouped: DataFrame, limit: int) -> DataFrame:
     ranked = _finish_minutes(grouped).select(
         "stop_name", "headsign", "avg_delay_minutes", "significant_or_severe_count", "observation_count"
     )
@@ -77,6 +85,10 @@ def daily_delay_trend(view: DataFrame) -> DataFrame:
     g = view.groupBy("calendar_date", _named("route_number", "")).agg(
         *_minutes_aggs(), F.sum("observation_count").alias("observation_count")
     )
+    return _finish_daily(g)
+
+
+def _finish_daily(g: DataFrame) -> DataFrame:
     return _finish_minutes(g).select("calendar_date", "route_number", "avg_delay_minutes", "observation_count") \
         .orderBy("calendar_date", "route_number")
 
@@ -88,11 +100,14 @@ def hour_spine(spark: SparkSession) -> DataFrame:
 
 # A4 / J6
 def hourly_delay_trend(view: DataFrame) -> DataFrame:
-    g = _finish_minutes(
-        view.groupBy("observed_hour").agg(*_minutes_aggs(), F.sum("observation_count").alias("observation_count"))
-    )
+    g = view.groupBy("observed_hour").agg(*_minutes_aggs(), F.sum("observation_count").alias("observation_count"))
+    return _finish_hourly(g)
+
+
+def _finish_hourly(g: DataFrame) -> DataFrame:
+    g = _finish_minutes(g)
     return (
-        hour_spine(view.sparkSession)
+        hour_spine(g.sparkSession)
         .join(g, on="observed_hour", how="left")
         .select(
             "observed_hour",
@@ -115,6 +130,10 @@ def category_rank(col: str = "delay_category") -> F.Column:
 # A5 / L4
 def delay_category_breakdown(view: DataFrame) -> DataFrame:
     g = view.groupBy(_named("delay_category", S.UNKNOWN_NAME)).agg(F.sum("observation_count").alias("observation_count"))
+    return _finish_categories(g)
+
+
+def _finish_categories(g: DataFrame) -> DataFrame:
     return g.orderBy(category_rank(), F.col("delay_category"))
 
 
@@ -123,6 +142,10 @@ def time_period_delay_matrix(view: DataFrame) -> DataFrame:
     g = view.groupBy(_named("route_number", ""), _named("time_period", S.UNKNOWN_NAME)).agg(
         *_minutes_aggs(), F.sum("observation_count").alias("observation_count")
     )
+    return _finish_matrix(g)
+
+
+def _finish_matrix(g: DataFrame) -> DataFrame:
     return _finish_minutes(g).select("route_number", "time_period", "avg_delay_minutes", "observation_count") \
         .orderBy("route_number", "time_period")
 
@@ -172,13 +195,16 @@ def hourly_merge(rows: DataFrame) -> DataFrame:
     g = clamped.groupBy("observed_hour").agg(
         F.sum(F.col("_cents") * F.col("_n")).alias("_w"), F.sum("_n").alias("observation_count")
     )
-    merged = hour_spine(rows.sparkSession).join(g, on="observed_hour", how="left").select(
+    # the input is evaluated once: the merged rows (24 at most, and one without an hour) say whether there was any
+    joined = hour_spine(rows.sparkSession).join(g, on="observed_hour", how="full")
+    met = F.max(F.col("observation_count").isNotNull()).over(Window.partitionBy())
+    merged = joined.withColumn("_any", met).where("_any AND observed_hour IS NOT NULL")
+    return merged.select(
         "observed_hour",
         F.coalesce(C.rounded_mean("_w", "observation_count", divisor_seconds=100), F.lit(0.0))
         .alias("avg_delay_minutes"),
         F.coalesce("observation_count", F.lit(0)).cast("bigint").alias("observation_count"),
-    )
-    return merged.where(rows.exists()).orderBy("observed_hour")
+    ).orderBy("observed_hour")
 
 
 # Value / max(value) * 100 over the whole (small, aggregated) result
@@ -232,18 +258,36 @@ def looker_metrics(
     )
 
 
-# The six statistics of one page from one view
+# The six statistics of one page; the view is read once
 def load_statistics(view: DataFrame) -> dict[str, DataFrame]:
+    rows = view.select(
+        "calendar_date", "observed_hour", _named("stop_name", ""), C.clean_headsign("headsign").alias("headsign"),
+        _named("route_number", ""), _named("delay_category", S.UNKNOWN_NAME), _named("time_period", S.UNKNOWN_NAME),
+        F.col("delay_seconds").alias("_sum_s"), F.when(F.col("delay_seconds").isNotNull(), 1).otherwise(0).alias("_n_s"),
+        F.col("delay_seconds").alias("_max_s"), "observation_count", F.col("delayed_count").alias("_delayed"),
+        "significant_or_severe_count",
+    )
+    groupings = ((), ("stop_name", "headsign"), ("calendar_date", "route_number"), ("observed_hour",), ("delay_category",),
+                 ("route_number", "time_period"))
+    parts = one_pass(rows, groupings, ("_sum_s", "_n_s", "observation_count", "_delayed", "significant_or_severe_count"), ("_max_s",))
+    total = parts.part().agg(  # one row also where the view is empty
+        F.max("_sum_s").alias("_sum_s"), F.coalesce(F.max("_n_s"), F.lit(0)).alias("_n_s"), F.max("_max_s").alias("_max_s"),
+        F.max("observation_count").alias("_obs"), F.max("_delayed").alias("_delayed"), F.max("significant_or_severe_count").alias("_sig"))
     return {
-        "kpi_summary": kpi_summary(view),
-        "stop_delay_ranking": stop_delay_ranking(view),
-        "daily_delay_trend": daily_delay_trend(view),
-        "hourly_delay_trend": hourly_delay_trend(view),
-        "delay_category_breakdown": delay_category_breakdown(view),
-        "time_period_delay_matrix": time_period_delay_matrix(view),
+        "kpi_summary": _finish_kpi(total),
+        "stop_delay_ranking": _finish_ranking(parts.part("stop_name", "headsign"), S.RANKING_LIMIT),
+        "daily_delay_trend": _finish_daily(parts.part("calendar_date", "route_number")),
+        "hourly_delay_trend": _finish_hourly(parts.part("observed_hour")),
+        "delay_category_breakdown": _finish_categories(parts.part("delay_category").select("delay_category", "observation_count")),
+        "time_period_delay_matrix": _finish_matrix(parts.part("route_number", "time_period")),
     }
 
 
+# C8 as one table
+def page_statistics(view: DataFrame) -> DataFrame:
+    return stacked(load_statistics(view))
+
+
 # F28/F29 page KPI line of a view
 def kpi_display(view: DataFrame) -> DataFrame:
     counts = view.agg(F.sum("delayed_count").alias("_delayed"), F.sum("observation_count").alias("_obs"),

@@ -10,11 +10,12 @@ rounding of the source is replaced by half-away-from-zero (integer form).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from delaystar import settings as S
 from delaystar.functions import columns as C
+from delaystar.operators.onepass import one_pass, stacked
 from delaystar.operators.reporting import category_rank, hour_spine
 
 GROUP_KEY = ("stop_id", "stop_name", "headsign")
@@ -59,7 +60,10 @@ def _stats() -> list:
 
 # A17
 def snap_kpi(snap: DataFrame) -> DataFrame:
-    g = snap.agg(*_stats(), F.max("delay_seconds").alias("_max"))
+    return _finish_kpi(snap.agg(*_stats(), F.max("delay_seconds").alias("_max")))
+
+
+def _finish_kpi(g: DataFrame) -> DataFrame:
     return g.filter(F.col("observation_count") > 0).select(
         C.rounded_mean("_s", "observation_count").alias("avg_delay_minutes"),
         C.rounded_mean("_max", F.lit(1)).alias("max_delay_minutes"),
@@ -75,7 +79,11 @@ def _stop_groups(snap: DataFrame) -> DataFrame:
 
 # Top 10 by (avg, sig) desc; ties keep ascending group key
 def snap_stop_ranking(snap: DataFrame, limit: int = S.SNAPSHOT_RANKING_LIMIT) -> DataFrame:
-    g = _stop_groups(snap).select(
+    return _finish_ranking(_stop_groups(snap), limit)
+
+
+def _finish_ranking(groups: DataFrame, limit: int) -> DataFrame:
+    g = groups.select(
         *GROUP_KEY,
         C.rounded_mean("_s", "observation_count").alias("avg_delay_minutes"),
         F.col("_sig").alias("significant_or_severe_count"),
@@ -91,7 +99,10 @@ def snap_stop_ranking(snap: DataFrame, limit: int = S.SNAPSHOT_RANKING_LIMIT) ->
 
 # UTC calendar day (no zone conversion) x route number
 def snap_daily_trend(snap: DataFrame) -> DataFrame:
-    g = snap.groupBy("created_date", "route_number").agg(*_stats())
+    return _finish_daily(snap.groupBy("created_date", "route_number").agg(*_stats()))
+
+
+def _finish_daily(g: DataFrame) -> DataFrame:
     return g.select(
         F.col("created_date").alias("calendar_date"), "route_number",
         C.rounded_mean("_s", "observation_count").alias("avg_delay_minutes"), "observation_count",
@@ -100,15 +111,20 @@ def snap_daily_trend(snap: DataFrame) -> DataFrame:
 
 # Local hour, 24 dense rows (none when there is no observation)
 def snap_hourly_trend(snap: DataFrame) -> DataFrame:
-    g = snap.groupBy("observed_hour").agg(*_stats())
+    return _finish_hourly(snap.groupBy("observed_hour").agg(*_stats()))
+
+
+def _finish_hourly(g: DataFrame) -> DataFrame:
+    """Dense hours of the grouped rows; the groups themselves (24 at most) say whether there was an observation."""
+    met = F.max(F.col("observation_count").isNotNull()).over(Window.partitionBy())
     return (
-        hour_spine(snap.sparkSession).join(g, on="observed_hour", how="left")
+        hour_spine(g.sparkSession).join(g, on="observed_hour", how="left")
+        .withColumn("_any", met).where("_any")
         .select(
             "observed_hour",
             F.coalesce(C.rounded_mean("_s", "observation_count"), F.lit(0.0)).alias("avg_delay_minutes"),
             F.coalesce("observation_count", F.lit(0)).cast("bigint").alias("observation_count"),
         )
-        .where(snap.exists())
         .orderBy("observed_hour")
     )
 
@@ -122,7 +138,10 @@ def snap_category_breakdown(snap: DataFrame) -> DataFrame:
 
 # Route number x period of the scheduled departure
 def snap_time_period_matrix(snap: DataFrame) -> DataFrame:
-    g = snap.groupBy("route_number", "time_period").agg(*_stats())
+    return _finish_matrix(snap.groupBy("route_number", "time_period").agg(*_stats()))
+
+
+def _finish_matrix(g: DataFrame) -> DataFrame:
     return g.select(
         "route_number", "time_period",
         C.rounded_mean("_s", "observation_count").alias("avg_delay_minutes"), "observation_count",
@@ -131,7 +150,11 @@ def snap_time_period_matrix(snap: DataFrame) -> DataFrame:
 
 # A23
 def average_delay_by_stop(snap: DataFrame) -> DataFrame:
-    return _stop_groups(snap).select(
+    return _finish_average(_stop_groups(snap))
+
+
+def _finish_average(groups: DataFrame) -> DataFrame:
+    return groups.select(
         *GROUP_KEY, "observation_count",
         (F.col("_s") / F.col("observation_count")).alias("average_delay_seconds"),
     ).orderBy(*GROUP_KEY)
@@ -139,7 +162,10 @@ def average_delay_by_stop(snap: DataFrame) -> DataFrame:
 
 # Hour-truncated scheduled departure
 def delayed_ratio_by_period(snap: DataFrame) -> DataFrame:
-    g = snap.groupBy("period_start").agg(*_stats())
+    return _finish_periods(snap.groupBy("period_start").agg(*_stats()))
+
+
+def _finish_periods(g: DataFrame) -> DataFrame:
     return g.select(
         "period_start", "observation_count",
         F.col("_delayed").alias("delayed_count"),
@@ -150,7 +176,11 @@ def delayed_ratio_by_period(snap: DataFrame) -> DataFrame:
 
 # Sorted by group key, not by severity
 def most_problematic_stops(snap: DataFrame) -> DataFrame:
-    return _stop_groups(snap).select(
+    return _finish_problematic(_stop_groups(snap))
+
+
+def _finish_problematic(groups: DataFrame) -> DataFrame:
+    return groups.select(
         *GROUP_KEY, "observation_count",
         (F.col("_s") / F.col("observation_count")).alias("average_delay_seconds"),
         (F.col("_delayed") / F.col("observation_count")).alias("delayed_ratio"),
@@ -158,19 +188,37 @@ def most_problematic_stops(snap: DataFrame) -> DataFrame:
     ).orderBy(*GROUP_KEY)
 
 
-# C9
+# Nine parts, the observations are read once
 def statistics_from_observations(
     spark: SparkSession, observations: DataFrame, stops: DataFrame, zone: str = S.LOCAL_ZONE
 ) -> dict[str, DataFrame]:
-    snap = snapshot_input(observations, stops, zone)
+    return statistics_of(snapshot_input(observations, stops, zone))
+
+
+def statistics_of(snap: DataFrame) -> dict[str, DataFrame]:
+    flag = lambda c: F.when(F.col(c), 1).otherwise(0).cast("bigint")
+    rows = snap.select(
+        *GROUP_KEY, "created_date", "route_number", "observed_hour", F.col("display_category").alias("delay_category"),
+        "time_period", "period_start", F.col("delay_seconds").alias("_s"), F.col("delay_seconds").alias("_max"),
+        F.lit(1).cast("bigint").alias("observation_count"), flag("is_delayed").alias("_delayed"), flag("is_sig").alias("_sig"))
+    groupings = ((), GROUP_KEY, ("created_date", "route_number"), ("observed_hour",), ("delay_category",),
+                 ("route_number", "time_period"), ("period_start",))
+    parts = one_pass(rows, groupings, ("_s", "observation_count", "_delayed", "_sig"), ("_max",))
+    stop_groups = parts.part(*GROUP_KEY)
+    categories = parts.part("delay_category").select("delay_category", "observation_count")
     return {
-        "kpi_summary": snap_kpi(snap),
-        "stop_delay_ranking": snap_stop_ranking(snap),
-        "daily_delay_trend": snap_daily_trend(snap),
-        "hourly_delay_trend": snap_hourly_trend(snap),
-        "delay_category_breakdown": snap_category_breakdown(snap),
-        "time_period_delay_matrix": snap_time_period_matrix(snap),
-        "average_delay_by_stop": average_delay_by_stop(snap),
-        "delayed_ratio_by_period": delayed_ratio_by_period(snap),
-        "most_problematic_stops": most_problematic_stops(snap),
+        "kpi_summary": _finish_kpi(parts.part()),
+        "stop_delay_ranking": _finish_ranking(stop_groups, S.SNAPSHOT_RANKING_LIMIT),
+        "daily_delay_trend": _finish_daily(parts.part("created_date", "route_number")),
+        "hourly_delay_trend": _finish_hourly(parts.part("observed_hour")),
+        "delay_category_breakdown": categories.orderBy(category_rank(), "delay_category"),
+        "time_period_delay_matrix": _finish_matrix(parts.part("route_number", "time_period")),
+        "average_delay_by_stop": _finish_average(stop_groups),
+        "delayed_ratio_by_period": _finish_periods(parts.part("period_start")),
+        "most_problematic_stops": _finish_problematic(stop_groups),
     }
+
+
+# C9 as one table
+def snapshot_statistics(snap: DataFrame) -> DataFrame:
+    return stacked(statistics_of(snap))

@@ -227,3 +227,10 @@ def dashboard_view(wh: Warehouse, route_numbers: tuple[str, ...] | None = S.REPO
         F.when(C.is_significant_or_severe(F.col("delay_category")), 1).otherwise(0).cast("bigint")
         .alias("significant_or_severe_count"),
     )
+
+
+# The view under its name, for SQL
+def register_dashboard_view(wh: Warehouse, name: str = S.DASHBOARD_VIEW_NAME) -> str:
+    """Register the reporting view as a temporary view of the session; returns its name."""
+    dashboard_view(wh).createOrReplaceTempView(name)
+    return name

@@ -160,12 +160,19 @@ def with_prefix(body: str, extra_ctes: str = "") -> str:
 
 
 SQL: dict[str, str] = {}
+BODIES: dict[str, str] = {}
 
 
 def register(name: str, body: str, extra_ctes: str = "") -> None:
+    BODIES[name] = body.strip()
     SQL[name] = with_prefix(body, extra_ctes)
 
 
+def stacked(parts: dict[str, str]) -> str:
+    """Registered queries below each other: ``part`` names them, columns that a part lacks are null."""
+    return " UNION ALL BY NAME ".join(f"SELECT '{part}' AS part, p.* FROM ({BODIES[name]}) AS p" for part, name in parts.items())
+
+
 # ---------------------------------------------------------------- warehouse
 register("build_dim_date", "SELECT * FROM dim_date")
 register("build_dim_route", "SELECT * FROM dim_route")
@@ -532,7 +539,7 @@ QUALIFY row_number() OVER (PARTITION BY observation_id
 )
 
 MERGE = f"""tgt AS (
-  SELECT * FROM obs WHERE CAST(substr(trip_id, 3) AS BIGINT) % 3 <> 0
+  SELECT * FROM obs WHERE created_at < TIMESTAMP '2024-06-29 00:00:00'
 ),
 bat AS (
   SELECT * REPLACE (delay_seconds + 5 AS delay_seconds) FROM raw_obs
@@ -735,6 +742,42 @@ SELECT e.collection_run_id, e.payload_id, e.stop_id, s.name AS stop_name, e.erro
 FROM scanned AS e LEFT JOIN stops AS s ON s.id = e.stop_id WHERE NOT e.accepted""",
     extra_ctes=PAYLOADS,
 )
+REQUESTED = PAYLOADS + """,
+requested AS (
+  SELECT r.collection_run_id, q.stop_id, q.stop_name
+  FROM (SELECT DISTINCT collection_run_id FROM scanned) AS r,
+       (SELECT concat('S_', i) AS stop_id, concat('Stop ', i // 2) AS stop_name FROM range(20) AS t(i)
+        UNION ALL SELECT '', 'Blank') AS q
+),
+calls AS (
+  SELECT r.collection_run_id, r.stop_id, r.stop_name, s.payload_id,
+         CASE WHEN r.stop_id = '' THEN 'empty' WHEN s.accepted THEN 'success' ELSE 'failed' END AS call,
+         CASE WHEN s.payload_id IS NULL THEN 'no payload' ELSE s.error_message END AS message
+  FROM requested AS r
+  LEFT JOIN scanned AS s ON s.collection_run_id = r.collection_run_id AND s.stop_id = r.stop_id
+)"""
+register(
+    "collection_report",
+    """
+SELECT c.collection_run_id, c.stops_requested, c.api_calls_succeeded, c.api_calls_failed,
+       CAST(coalesce(g.generated, 0) AS BIGINT) AS observations_generated,
+       CAST(coalesce(g.saved, 0) AS BIGINT) AS observations_saved,
+       CAST(coalesce(g.generated, 0) - coalesce(g.saved, 0) AS BIGINT) AS duplicate_observations_skipped,
+       CASE WHEN c.api_calls_failed > 0 AND c.api_calls_succeeded > 0 THEN 'partial_success'
+            WHEN c.api_calls_failed > 0 THEN 'failed' ELSE 'success' END AS status
+FROM (SELECT collection_run_id, CAST(count(*) AS BIGINT) AS stops_requested,
+             CAST(count_if(call = 'success') AS BIGINT) AS api_calls_succeeded,
+             CAST(count_if(call = 'failed') AS BIGINT) AS api_calls_failed
+      FROM calls GROUP BY 1) AS c
+LEFT JOIN (SELECT collection AS collection_run_id, count(*) AS generated, count_if(inserted) AS saved
+           FROM flags GROUP BY 1) AS g ON g.collection_run_id = c.collection_run_id""",
+    extra_ctes=REQUESTED,
+)
+register(
+    "collection_report_errors",
+    "SELECT collection_run_id, payload_id, stop_id, stop_name, message FROM calls WHERE call = 'failed'",
+    extra_ctes=REQUESTED,
+)
 UPSERT_ROUTES = """
 SELECT id, short_name, route_type FROM (
   SELECT id, short_name, route_type, 0 AS src, NULL::TIMESTAMP AS fetched_at, '' AS payload_id FROM routes
@@ -807,6 +850,19 @@ SELECT *, CAST(observed_at AS DATE) AS observed_date FROM fact
 WHERE CAST({local('observed_at')} AS DATE) BETWEEN DATE '2024-03-30' AND DATE '2024-04-01'""",
 )
 register("stream_collect", "SELECT * FROM obs")
+register("stream_payloads", BODIES["collect_batch"], extra_ctes=PAYLOADS)
+register(
+    "stream_quarantine",
+    "SELECT payload_id, collection_run_id, stop_id, fetched_at, error_message FROM scanned WHERE NOT accepted",
+    extra_ctes=PAYLOADS,
+)
+register("stream_runs", BODIES["sink_upsert_runs"], extra_ctes=PAYLOADS)
+register(
+    "stream_overlap_counts",
+    """
+SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(count(DISTINCT duplicate_key) AS BIGINT) AS accepted,
+       CAST(count(*) - count(DISTINCT duplicate_key) AS BIGINT) AS duplicates, CAST(0 AS BIGINT) AS late FROM raw_obs""",
+)
 register(
     "merge_fact_in_place",
     "SELECT *, CAST(observed_at AS DATE) AS observed_date FROM fact_merged",
@@ -993,6 +1049,43 @@ dim_date_cycle AS (""" + EXTENDED_DATES + """
 ),
 """ + _fact_of_cycle(CHECK_CTES),
 )
+
+
+def _all_routes_known(sql: str) -> str:
+    """The same with the route that the operational table lacks."""
+    known = """dim_route_known AS (
+  SELECT * FROM dim_route UNION ALL SELECT 'R_9999', 'R_9999', '9999', 'BUS line 9999', 'BUS'
+),
+"""
+    return known + re.sub(r"\bdim_route\b", "dim_route_known", sql)
+
+
+USABLE_BATCH = MERGE.replace(
+    "AND created_at <= TIMESTAMP '2024-06-30 00:00:00'", "AND created_at <= TIMESTAMP '2024-06-30 00:00:00' AND delay_seconds + 5 >= 0")
+register(
+    "published_cycle", "SELECT *, CAST(observed_at AS DATE) AS observed_date FROM fact_merged",
+    extra_ctes=_all_routes_known(USABLE_BATCH),
+)
+register(
+    "failed_cycle_unpublished", "SELECT *, CAST(observed_at AS DATE) AS observed_date FROM fact_tgt",
+    extra_ctes=_all_routes_known(MERGE),
+)
+PAGE_PARTS = ("kpi_summary", "stop_delay_ranking", "daily_delay_trend", "hourly_delay_trend", "delay_category_breakdown",
+              "time_period_delay_matrix")
+register("page_statistics", stacked({p: p for p in PAGE_PARTS}))
+register("snapshot_statistics", stacked({
+    "kpi_summary": "snap_kpi", "stop_delay_ranking": "snap_stop_ranking", "daily_delay_trend": "snap_daily_trend",
+    "hourly_delay_trend": "snap_hourly_trend", "delay_category_breakdown": "snap_category_breakdown",
+    "time_period_delay_matrix": "snap_time_period_matrix", "average_delay_by_stop": "average_delay_by_stop",
+    "delayed_ratio_by_period": "delayed_ratio_by_period", "most_problematic_stops": "most_problematic_stops",
+}), extra_ctes=SNAP)
+register(
+    "dashboard_sql",
+    """
+SELECT route_number, delay_category, CAST(sum(observation_count) AS BIGINT) AS observation_count,
+       CAST(sum(delayed_count) AS BIGINT) AS delayed_count, max(delay_seconds) AS max_delay_seconds
+FROM v WHERE day_type = 'weekday' GROUP BY route_number, delay_category""",
+)
 register("stream_dedup_overlap", "SELECT DISTINCT duplicate_key FROM raw_obs")
 register("run_scoped_ids", f"""
 SELECT observation_id, {UUID} AS run_scoped_id

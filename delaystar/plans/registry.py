@@ -22,8 +22,8 @@ from delaystar.functions import columns as C
 from delaystar.functions import identity
 from delaystar.operators import dedup, incremental, ingest, quality, reporting, rules, snapshot, warehouse
 from delaystar.session import dimension, ensure_checkpoint_dir, scratch_path
-from delaystar.sources import extract, payloads, sinks, testdata
-from delaystar.streaming import collector
+from delaystar.sources import extract, payloads, sinks, snapshots, testdata
+from delaystar.streaming import collector, payload_stream
 
 
 class Job:
@@ -157,6 +157,22 @@ def _q_looker(j: Job) -> DataFrame:
     return reporting.looker_metrics(j.view)
 
 
+@query("page_statistics")
+def _q_page_statistics(j: Job) -> DataFrame:
+    """The six statistics from one pass over the view."""
+    return reporting.page_statistics(j.view)
+
+
+@query("dashboard_sql")
+def _q_dashboard_sql(j: Job) -> DataFrame:
+    """The view registered under its name and asked through SQL."""
+    name = warehouse.register_dashboard_view(j.wh)
+    return j.spark.sql(f"""
+        SELECT route_number, delay_category, sum(observation_count) AS observation_count, sum(delayed_count) AS delayed_count,
+               max(delay_seconds) AS max_delay_seconds
+        FROM {name} WHERE day_type = 'weekday' GROUP BY route_number, delay_category""")
+
+
 # ---------------------------------------------------------------- source audit (C11)
 def _source_tables(j: Job) -> dict[str, DataFrame]:
     return {
@@ -241,13 +257,23 @@ for _name, _fn in {
     query(_name)(lambda j, _f=_fn: _f(_snap(j)))
 
 
+@query("snapshot_statistics")
+def _q_snapshot_statistics(j: Job) -> DataFrame:
+    """The nine statistics from one pass over the observations."""
+    return snapshot.snapshot_statistics(_snap(j))
+
+
 # ---------------------------------------------------------------- dedup, sinks, merge
 AS_OF = dt.datetime(2024, 6, 30)
 
 
+#: The store's history ends inside the overlap window, so a batch both updates and inserts.
+TARGET_UNTIL = dt.datetime(2024, 6, 29)
+
+
 def _merge_target(j: Job) -> DataFrame:
-    """History kept in the store: trips whose number is not divisible by 3."""
-    return j.observations.filter(F.substring("trip_id", 3, 64).cast("bigint") % 3 != 0)
+    """The store before the cycle: what was collected before TARGET_UNTIL."""
+    return j.observations.filter(F.col("created_at") < C.ntz_literal(TARGET_UNTIL))
 
 
 def _merge_batch(j: Job) -> DataFrame:
@@ -324,13 +350,41 @@ def _q_merge_fact(j: Job) -> DataFrame:
     return _cycle(j).fact
 
 
+def _loaded(j: Job, name: str, routes: DataFrame) -> str:
+    """A published warehouse of the target history; the cycles start from it."""
+    target = _merge_target(j)
+    root = scratch_path(j.spark, name)
+    incremental.initial_load(root, warehouse.build_warehouse(target, routes, j.stops, j.zone), target)
+    return root
+
+
+def _all_routes(j: Job) -> DataFrame:
+    """The routes with the one that the operational table lacks, so that no row is lost and the audit passes."""
+    return j.routes.unionByName(j.spark.createDataFrame([("R_9999", "9999", "BUS")], j.routes.schema))
+
+
 @query("incremental_cycle")
 def _q_cycle(j: Job) -> DataFrame:
-    """The whole cycle, written, checked and logged; the unknown route makes it a failed one."""
-    target = _merge_target(j)
-    wh = warehouse.build_warehouse(target, j.routes, j.stops, j.zone)
-    log = incremental.run_cycle(scratch_path(j.spark, "cycle"), wh, target, _merge_batch(j), j.routes, j.stops)
-    return log.select("status", "fact_rows", "issue_count")
+    """The whole cycle, written, audited and logged; the unknown route makes it a failed one."""
+    root = _loaded(j, "cycle", j.routes)
+    return incremental.run_cycle(root, _merge_batch(j), j.routes, j.stops).log.select("status", "fact_rows", "issue_count")
+
+
+@query("published_cycle")
+def _q_published_cycle(j: Job) -> DataFrame:
+    """The fact that readers see after a cycle that passed its audit (a batch of usable rows, all routes known)."""
+    routes = _all_routes(j)
+    root = _loaded(j, "cycle-published", routes)
+    incremental.run_cycle(root, warehouse.usable_filter(_merge_batch(j)), routes, j.stops)
+    return snapshots.published(j.spark, root).table(incremental.FACT)
+
+
+@query("failed_cycle_unpublished")
+def _q_failed_cycle(j: Job) -> DataFrame:
+    """The fact that readers see after a cycle whose audit failed (it lost the rows of one route): as before it."""
+    root = _loaded(j, "cycle-failed", _all_routes(j))
+    incremental.run_cycle(root, _merge_batch(j), j.routes, j.stops)
+    return snapshots.published(j.spark, root).table(incremental.FACT)
 
 
 @query("rerun_idempotence")
@@ -405,6 +459,24 @@ def _q_collection_errors(j: Job) -> DataFrame:
     return ingest.collection_errors(scanned, wanted)
 
 
+def _requested(j: Job) -> DataFrame:
+    """The stops that every collection asks for, a blank id among them; not all have landed in each."""
+    asked = [(f"S_{i}", f"Stop {i // 2}") for i in range(testdata.STOP_COUNT)] + [("", "Blank")]
+    stops = F.array(*[F.struct(F.lit(i).alias("stop_id"), F.lit(n).alias("stop_name")) for i, n in asked])
+    return _scanned(j).select("collection_run_id").distinct().select("collection_run_id", F.inline(stops))
+
+
+@query("collection_report")
+def _q_collection_report(j: Job) -> DataFrame:
+    """A15 over the requested stops: landed, missing and blank ones."""
+    return ingest.collection_summary(_scanned(j), _collected(j), _collect_accepted(j), requested=_requested(j))
+
+
+@query("collection_report_errors")
+def _q_collection_report_errors(j: Job) -> DataFrame:
+    return ingest.collection_errors(_scanned(j), _requested(j))
+
+
 @query("sink_upsert_routes")
 def _q_upsert_routes(j: Job) -> DataFrame:
     return ingest.upsert_entities(j.routes, ingest.parsed_routes(_parsed(j)))
@@ -495,15 +567,51 @@ def _q_stream_overlap(j: Job) -> DataFrame:
     ).select("duplicate_key")
 
 
+@query("stream_overlap_counts")
+def _q_stream_counts(j: Job) -> DataFrame:
+    """I9 without loss: rows by outcome over the micro-batches."""
+    counts = collector.stream_overlap(j.spark, f"{_landed(j)}/*", j.raw.schema, scratch_path(j.spark, "overlap"), scratch_path(j.spark, "ckpt-overlap"))
+    return counts.agg(*[F.sum(c).alias(c) for c in ("input_rows", "accepted", "duplicates", "late")])
+
+
+def _payload_store(j: Job) -> str:
+    """Landed payload files, drained into a store that has the history so far."""
+    root, landing = scratch_path(j.spark, "payload-store"), scratch_path(j.spark, "payload-files")
+    payload_stream.land_payload_files(payloads.departure_payloads(j.raw, j.routes, j.stops), landing)
+    payload_stream.seed_store(_history(j), root)
+    payload_stream.stream_payloads(j.spark, landing, root, scratch_path(j.spark, "ckpt-payloads"))
+    return root
+
+
+@query("stream_payloads")
+def _q_stream_payloads(j: Job) -> DataFrame:
+    """The observations that the payload stream added to the store."""
+    added = payload_stream.batches(j.spark, _payload_store(j), "delay_observations").where("batch_id >= 0")
+    return added.drop("collection_id", "scheduled_date", "batch_id")
+
+
+@query("stream_quarantine")
+def _q_stream_quarantine(j: Job) -> DataFrame:
+    """What the payload stream could not use, with the reason."""
+    bad = payload_stream.read_store(j.spark, _payload_store(j), "quarantine")
+    return bad.select("payload_id", "collection_run_id", "stop_id", "fetched_at", "error_message")
+
+
+@query("stream_runs")
+def _q_stream_runs(j: Job) -> DataFrame:
+    """Runs with the number of observations that the stream inserted for each."""
+    return payload_stream.read_store(j.spark, _payload_store(j), "collection_runs")
+
+
 @query("merge_fact_in_place")
 def _q_merge_in_place(j: Job) -> DataFrame:
     """I4 on the stored, date-partitioned fact: only the batch's dates are rewritten."""
     target = _merge_target(j)
     wh = warehouse.build_warehouse(target, j.routes, j.stops, j.zone)
     path = scratch_path(j.spark, "fact-merge")
-    sinks.write_fact_partitioned(wh.fact, path)
+    sinks.write_fact_partitioned(wh.fact, path, located_by="scheduled_departure")
     batch_fact = warehouse.build_fact(incremental.batch_dedup(_merge_batch(j)), wh.dim_route, wh.dim_stop, j.zone)
-    incremental.merge_fact_partitions(path, batch_fact)
+    incremental.merge_fact_partitions(path, batch_fact, located_by="scheduled_departure")
     return sinks.read_fact(j.spark, path)
 
 

@@ -10,6 +10,9 @@ together so they can be audited in one place.
 # Local zone used for every calendar/hour attribute of an observation.
 LOCAL_ZONE = "Europe/Budapest"
 
+# Name of the reporting view.
+DASHBOARD_VIEW_NAME = "v_delay_dashboard"
+
 # Route numbers in scope of the reporting view.
 REPORT_ROUTE_NUMBERS = ("4", "6")
 

@@ -21,6 +21,7 @@ from delaystar import schemas
 from delaystar.functions import columns as C
 
 POINTER = "_CURRENT"
+LOCATED = "_located"
 
 
 class PartialBatchError(ValueError):
@@ -73,17 +74,25 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
 
 
 # Fact partitioned by UTC date, clustered by route and stop inside files
-def write_fact_partitioned(fact: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite") -> None:
+def write_fact_partitioned(fact: DataFrame, path: str, partitions: int | None = None, mode: str = "overwrite",
+                           located_by: str | None = None) -> None:
     """Range-partition on (date, route, stop, id) so every task writes few date folders
     with rows clustered by route/stop (parquet min/max skipping), and one hot
     date is split across tasks instead of landing in one.  Without an explicit
     ``partitions`` AQE sizes the write tasks from the shuffle statistics, so the
-    file count follows the data volume."""
+    file count follows the data volume.
+
+    ``located_by`` names a time that an id fixes; the pairs (its day, observed date) of
+    the rows are added to the fact's index (``LOCATED``, a hidden folder), before the fact is
+    written, so that the index never lacks a date that holds a row."""
     out = fact.withColumn("observed_date", F.to_date("observed_at")) if "observed_date" not in fact.columns else fact
     # the unique id as last key lets the range partitioner split even one hot
     # (date, route, stop) value across tasks, without losing the clustering
     keys = ("observed_date", "route_key", "stop_key", "source_observation_id")
     ranged = out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys)
+    if located_by:
+        pairs = out.select(F.to_date(located_by).alias("located_day"), "observed_date").distinct()
+        pairs.write.mode("append").parquet(f"{path.rstrip('/')}/{LOCATED}")
     (
         ranged.sortWithinPartitions(*keys)
         .write.mode(mode)
@@ -93,6 +102,16 @@ def write_fact_partitioned(fact: DataFrame, path: str, partitions: int | None =
     )
 
 
+def dates_located(spark: SparkSession, path: str, batch: DataFrame, located_by: str) -> DataFrame:
+    """observed_date of the partitions that can hold a row whose ``located_by`` is on one of the batch's days.
+
+    The index has a row per pair of days and write, and may list dates whose rows have moved.
+    """
+    index = spark.read.schema("located_day date, observed_date date").parquet(f"{path.rstrip('/')}/{LOCATED}")
+    days = batch.select(F.to_date(located_by).alias("_day")).distinct()
+    return index.join(days, F.col("located_day").eqNullSafe(F.col("_day")), "left_semi").select("observed_date").distinct()
+
+
 def drop_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
     """Remove the folders of the given partition values (dates that a merge has emptied)."""
     jvm = spark.sparkContext._jvm
@@ -148,9 +167,8 @@ CONTROL_SCHEMA = T.StructType([
 ])
 
 
-# Append the cycle's outcome; a cycle with issues is logged as failed, never success
-def log_cycle(checks: DataFrame, control_path: str, cycle_id: str | None = None) -> DataFrame:
-    """``checks`` is the one row of the warehouse checks.
+def cycle_outcome(checks: DataFrame, cycle_id: str | None = None) -> DataFrame:
+    """The control row of a cycle; ``checks`` is the one row of the warehouse checks.
 
     Every counter of Q2..Q9 counts as issues, and so do the rows by which usable raw
     rows and fact rows differ (Q1): a cycle that lost rows is not a success.
@@ -158,12 +176,16 @@ def log_cycle(checks: DataFrame, control_path: str, cycle_id: str | None = None)
     counted = [c for c in checks.columns if c not in ("usable_raw_rows", "fact_rows")]
     lost = F.abs(F.col("usable_raw_rows") - F.col("fact_rows"))
     total = sum((F.col(c) for c in counted), lost)
-    row = checks.select(total.cast("bigint").alias("issue_count"), "fact_rows").select(
+    return checks.select(total.cast("bigint").alias("issue_count"), "fact_rows").select(
         F.lit(cycle_id or uuid.uuid4().hex).alias("cycle_id"),
         F.expr("convert_timezone(current_timezone(), 'UTC', localtimestamp())").alias("refreshed_at"),
         F.when(F.col("issue_count") == 0, "success").otherwise("failed").alias("status"),
         "fact_rows",
         "issue_count",
     )
-    row.write.mode("append").parquet(control_path)
+
+
+# Append the cycle's outcome; a cycle with issues is logged as failed, never success
+def log_cycle(checks: DataFrame, control_path: str, cycle_id: str | None = None) -> DataFrame:
+    cycle_outcome(checks, cycle_id).write.mode("append").parquet(control_path)
     return checks.sparkSession.read.schema(CONTROL_SCHEMA).parquet(control_path)

@@ -151,3 +151,33 @@ def test_requested_stops_drive_the_collection_report(spark):
     assert (s.stops_requested, s.api_calls_succeeded, s.api_calls_failed, s.status) == (3, 1, 1, "partial_success")
     errors = ingest.collection_errors(scanned, requested).collect()
     assert [(e.stop_id, e.stop_name, e.message) for e in errors] == [("STOP_2", "South Gate", "no payload")]
+
+
+def _large(n, form):
+    """A payload with ``n`` references of each kind; in the array form every id comes twice, the later one counts."""
+    stops = [{"id": f"S{i}", "name": f"Stop {i}", "code": "c", "routeIds": [f"R{i}", f"R{i + 1}"]} for i in range(n)]
+    routes = [{"id": f"R{i}", "shortName": str(i), "type": "BUS"} for i in range(n)]
+    trips = [{"id": f"T{i}", "routeId": f"R{i}", "tripHeadsign": f"H{i}"} for i in range(n)]
+    old = [{"id": x["id"], "name": "old", "shortName": "old", "routeId": "old"} for x in stops]
+    refs = (lambda xs: old + xs) if form == "array" else (lambda xs: {x["id"]: x for x in xs})
+    stop_times = [{"stopId": f"S{i}", "departureTime": DEP + i, "tripId": f"T{i}"} for i in range(n - 3, n)]
+    return json.dumps({"status": "OK", "data": {"entry": {"stopTimes": stop_times},
+                                                "references": {"stops": refs(stops), "routes": refs(routes), "trips": refs(trips)}}})
+
+
+def test_payloads_with_100000_references_parse_in_linear_time(spark):
+    """Both dialects; ten times the references may take some ten times as long, not a hundred."""
+    import time
+
+    for form, sizes in (("array", (1_700, 17_000)), ("object", (3_400, 34_000))):  # six and three references each
+        took = []
+        for n in sizes:
+            body = _large(n, form)
+            started = time.time()
+            got = ingest.parsed_observations(ingest.parse_departures(_scan(spark, [body]), limit=2)).orderBy("position").collect()
+            assert [(r.route_id, r.stop_id, r.headsign) for r in got] == [(f"R{n - 3}", f"S{n - 3}", f"H{n - 3}"), (f"R{n - 2}", f"S{n - 2}", f"H{n - 2}")]
+            df = spark.createDataFrame([("q", "Stop", body)], "payload_id string, query string, body string")
+            stations = ingest.search_stations(df, limit=3).orderBy("position").collect()
+            assert [(r.stop_id, r.name, r.route_number) for r in stations] == [(f"S{i}", f"Stop {i}", f"{i}, {i + 1}") for i in range(3)]
+            took.append(time.time() - started)
+        assert took[1] < 30 * max(took[0], 0.5), took

@@ -3,6 +3,9 @@
 import datetime as dt
 
 from delaystar.operators import reporting, snapshot
+from delaystar.plans.registry import Job
+
+from .conftest import SMALL_SF
 
 
 def test_hourly_merge_weighted_mean(spark):
@@ -102,3 +105,67 @@ def test_empty_scope_gives_zero_kpi_and_dense_hours(spark):
     assert len(hours) == 24 and all(h.observation_count == 0 for h in hours)
     assert reporting.stop_delay_ranking(view).count() == 0
     assert reporting.hourly_merge(reporting.hourly_partials(view)).count() == 0  # empty in, empty out
+
+
+
+
+def test_page_statistics_equal_the_single_ones_with_one_scan(spark, monkeypatch):
+    from delaystar.operators import onepass
+    from delaystar.session import dimension, scratch_path
+
+    j = Job(spark, SMALL_SF)
+    path = scratch_path(spark, "view")
+    j.view.write.parquet(path)
+    view = spark.read.parquet(path)
+    grouped = []
+    monkeypatch.setattr(onepass, "dimension", lambda df: (grouped.append(df), dimension(df))[1])
+    parts = reporting.load_statistics(view)
+    single = {name: getattr(reporting, name)(view) for name in parts}
+    assert {n: list(map(tuple, df.collect())) for n, df in parts.items()} == {n: list(map(tuple, df.collect())) for n, df in single.items()}
+    assert len(parts) == 6 and len(grouped) == 1
+    assert grouped[0]._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    for df in parts.values():  # what is left reads the written groups only
+        assert path not in "".join(df.inputFiles())
+
+
+def test_snapshot_statistics_equal_the_single_ones_with_one_scan(spark, monkeypatch):
+    from delaystar.operators import onepass
+    from delaystar.session import dimension
+
+    j = Job(spark, SMALL_SF)
+    snap = dimension(snapshot.snapshot_input(j.raw, j.stops, j.zone))
+    grouped = []
+    monkeypatch.setattr(onepass, "dimension", lambda df: (grouped.append(df), dimension(df))[1])
+    parts = snapshot.statistics_of(snap)
+    names = {"kpi_summary": "snap_kpi", "stop_delay_ranking": "snap_stop_ranking", "daily_delay_trend": "snap_daily_trend",
+             "hourly_delay_trend": "snap_hourly_trend", "delay_category_breakdown": "snap_category_breakdown",
+             "time_period_delay_matrix": "snap_time_period_matrix"}
+    single = {n: getattr(snapshot, names.get(n, n))(snap) for n in parts}
+    assert {n: list(map(tuple, df.collect())) for n, df in parts.items()} == {n: list(map(tuple, df.collect())) for n, df in single.items()}
+    assert len(parts) == 9 and len(grouped) == 1
+    assert grouped[0]._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_one_pass_statistics_of_nothing(spark):
+    j = Job(spark, SMALL_SF)
+    parts = reporting.load_statistics(j.view.limit(0))
+    single = {name: getattr(reporting, name)(j.view.limit(0)) for name in parts}
+    assert {n: list(map(tuple, df.collect())) for n, df in parts.items()} == {n: list(map(tuple, df.collect())) for n, df in single.items()}
+    empty = snapshot.statistics_of(snapshot.snapshot_input(j.raw.limit(0), j.stops, j.zone))
+    assert all(df.count() == 0 for df in empty.values())
+
+
+def test_hourly_merge_of_a_row_without_an_hour(spark):
+    rows = spark.createDataFrame([(None, 1.0, 4)], "observed_hour int, avg_delay_minutes double, observation_count bigint")
+    assert [r.observation_count for r in reporting.hourly_merge(rows).collect()] == [4] + [0] * 23  # clamped like a negative one
+    assert reporting.hourly_merge(rows.limit(0)).count() == 0
+
+
+def test_a_statistic_through_sql_on_the_named_view(spark):
+    from delaystar.operators import warehouse
+
+    j = Job(spark, SMALL_SF)
+    name = warehouse.register_dashboard_view(j.wh)
+    assert name == "v_delay_dashboard"
+    n = spark.sql(f"SELECT sum(observation_count) AS n FROM {name}").first().n
+    assert n == reporting.kpi_summary(j.view).first().observation_count

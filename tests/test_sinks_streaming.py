@@ -48,18 +48,6 @@ def test_control_log_never_marks_a_failed_cycle_success(spark):
     assert rows["good"].issue_count == 0 and rows["rows-lost"].issue_count > 0
 
 
-def test_cycle_writes_checks_and_logs(spark):
-    from delaystar.operators import incremental
-
-    j = Job(spark, SMALL_SF)
-    raw = j.observations.filter("route_id <> 'R_9999'")
-    wh = warehouse.build_warehouse(raw, j.routes, j.stops, j.zone)
-    root = scratch_path(spark, "cycle")
-    log = incremental.run_cycle(root, wh, raw, raw.limit(50), j.routes, j.stops).collect()
-    assert [r.status for r in log] == ["success"]
-    assert sinks.read_current(spark, f"{root}/fact").count() == log[0].fact_rows
-
-
 def test_a_shared_folder_is_required_outside_local_mode():
     from types import SimpleNamespace
 
