@@ -148,12 +148,16 @@ def warehouse_of(tables: snapshots.TableSet, zone: str = S.LOCAL_ZONE) -> wareho
 
 def initial_load(root: str, wh: warehouse.Warehouse, raw: DataFrame, version: str = "initial") -> snapshots.TableSet:
     """Publish a built warehouse and its raw history as the set that cycles start from."""
+    from delaystar.operators import partition_checks
+
     parent = snapshots.published(raw.sparkSession, root)
-    staged = snapshots.stage(_raw_with_day(raw), root, RAW, version, by=RAW_DAY, order=RAW_ORDER)
+    staged = snapshots.stage(_raw_with_day(raw), root, RAW, version, by=RAW_DAY, order=RAW_ORDER, newest_of="created_at")
     for name in DIMENSIONS:
         staged += snapshots.stage(getattr(wh, name), root, name, version)
     staged += snapshots.stage(_fact_with_day(wh.fact), root, FACT, version, by=FACT_DAY, order=FACT_ORDER, located_by=LOCATED_BY)
-    return snapshots.publish(snapshots.empty_set(raw.sparkSession, root).with_staged(staged), parent, version)
+    tables = snapshots.empty_set(raw.sparkSession, root).with_staged(staged)
+    _, tables = partition_checks.stage_checks(tables, snapshots.empty_set(raw.sparkSession, root), version, wh.zone)
+    return snapshots.publish(tables, parent, version)
 
 
 @dataclass(frozen=True)
@@ -179,7 +183,7 @@ def propose_cycle(
     unique = dimension(_raw_with_day(batch_dedup(batch)))  # used by the raw merge, the dates and the fact
     days = snapshots.days_of(unique, RAW_DAY)
     merged = dedup.merge_by_id(parent.table(RAW, days), unique, "observation_id") if parent.of(RAW) else unique
-    staged = snapshots.stage(merged, parent.root, RAW, version, by=RAW_DAY, order=RAW_ORDER)
+    staged = snapshots.stage(merged, parent.root, RAW, version, by=RAW_DAY, order=RAW_ORDER, newest_of="created_at")
 
     dims = {"dim_route": dimension(warehouse.build_dim_route(routes)), "dim_stop": dimension(warehouse.build_dim_stop(stops))}
     dims["dim_date"] = (extend_dim_date(parent.table("dim_date"), unique, zone) if parent.of("dim_date")
@@ -201,20 +205,21 @@ def propose_cycle(
 def run_cycle(
     root: str, batch: DataFrame, routes: DataFrame, stops: DataFrame, cycle_id: str | None = None, zone: str = S.LOCAL_ZONE
 ) -> CycleOutcome:
-    """Write, audit, publish.  The batch is merged into staged versions, C12 runs on what was written, and
-    only a set that passes every check is published, all tables by one commit; then the outcome is logged (I6).
+    """Write, audit, publish.  The batch is merged into staged versions, C12 runs on what was written (the
+    days that the cycle touched; the others' counters are kept), and only a set that passes every
+    check is published, all tables by one commit; then the outcome is logged (I6).
 
     A failed or interrupted cycle leaves the former set in service.  Rerunning a published
     batch proposes the digests already in place, so its commit changes no table (I7).
     """
-    from delaystar.operators import quality
+    from delaystar.operators import partition_checks
     from delaystar.sources import sinks
 
     spark = batch.sparkSession
     cycle_id = cycle_id or uuid.uuid4().hex
     parent = snapshots.published(spark, root)
-    proposed = propose_cycle(parent, batch, routes, stops, f"{cycle_id}-{uuid.uuid4().hex[:8]}", zone)
-    checks = dimension(quality.warehouse_checks(spark, proposed.table(RAW), warehouse_of(proposed, zone)))
+    version = f"{cycle_id}-{uuid.uuid4().hex[:8]}"
+    checks, proposed = partition_checks.stage_checks(propose_cycle(parent, batch, routes, stops, version, zone), parent, version, zone)
     succeeded = sinks.cycle_outcome(checks, cycle_id).first()["status"] == "success"
     tables = snapshots.publish(proposed, parent, cycle_id) if succeeded else parent
     return CycleOutcome(sinks.log_cycle(checks, f"{root}/etl_control", cycle_id), tables, proposed, succeeded)

@@ -138,7 +138,7 @@ def duplicate_key_report(wh: Warehouse) -> DataFrame:
     )
 
 
-def _joined_to_dims(wh: Warehouse) -> DataFrame:
+def joined_to_dims(wh: Warehouse) -> DataFrame:
     """The fact left-joined to one row per key of the three dimensions (a repeated key counts no fact twice)."""
     d = wh.dim_date.select("date_key").distinct().withColumn("_d", F.lit(True))
     r = wh.dim_route.select("route_key").distinct().withColumn("_r", F.lit(True))
@@ -146,7 +146,7 @@ def _joined_to_dims(wh: Warehouse) -> DataFrame:
     return wh.fact.join(d, "date_key", "left").join(r, "route_key", "left").join(s, "stop_key", "left")
 
 
-def _issue_counters(zone: str) -> list[F.Column]:
+def issue_counters(zone: str) -> list[F.Column]:
     local_hour = C.local_hour("observed_at", zone)
     return [
         _count_if(F.col("source_observation_id").isNull()).alias("missing_observation_id"),
@@ -163,7 +163,7 @@ def _issue_counters(zone: str) -> list[F.Column]:
 
 # Q2..Q8 / J5: one pass over the fact left-joined to the three dimensions
 def warehouse_issue_row(wh: Warehouse, zone: str = S.LOCAL_ZONE) -> DataFrame:
-    return _joined_to_dims(wh).agg(*_issue_counters(zone))
+    return joined_to_dims(wh).agg(*issue_counters(zone))
 
 
 # Per fact row, which dimension keys resolve (left joins on the key names)
@@ -195,7 +195,7 @@ def warehouse_checks(spark: SparkSession, raw: DataFrame, wh: Warehouse) -> Data
     def dupes(df: DataFrame, key: str) -> F.Column:
         return df.groupBy(key).count().select(F.count_if(F.col("count") > 1)).scalar()
 
-    issues = _joined_to_dims(wh).agg(F.count(F.lit(1)).alias("fact_rows"), *_issue_counters(wh.zone))
+    issues = joined_to_dims(wh).agg(F.count(F.lit(1)).alias("fact_rows"), *issue_counters(wh.zone))
     return issues.select(
         usable.alias("usable_raw_rows"), "fact_rows",
         dupes(wh.fact, "source_observation_id").alias("duplicate_fact_ids"),

@@ -15,6 +15,7 @@ from delaystar import settings as S
 from delaystar.functions import columns as C
 from delaystar.operators.onepass import one_pass, stacked
 from delaystar.session import dimension
+from delaystar.sources.snapshots import TableSet, newest_rows
 
 
 def _minutes_aggs() -> list:
@@ -312,6 +313,13 @@ def recent_history(observations: DataFrame, stops: DataFrame, routes: DataFrame,
     return history_format(top, zone)
 
 
+# C10 / L2 on a stored history: the newest days first, and no day that cannot be on the page
+def latest_history(tables: TableSet, table: str, stops: DataFrame, routes: DataFrame,
+                   limit: int = S.HISTORY_LIMIT, zone: str = S.LOCAL_ZONE) -> DataFrame:
+    named = lambda rows: history_join(rows, stops, routes)
+    return history_format(newest_rows(tables, table, "created_at", limit, named, ties=("observation_id",)), zone)
+
+
 # Observations with their stop and route names (inner joins on the ids)
 def history_join(observations: DataFrame, stops: DataFrame, routes: DataFrame) -> DataFrame:
     s = stops.select(F.col("id").alias("stop_id"), F.col("name").alias("_station"))

@@ -1086,6 +1086,15 @@ SELECT route_number, delay_category, CAST(sum(observation_count) AS BIGINT) AS o
        CAST(sum(delayed_count) AS BIGINT) AS delayed_count, max(delay_seconds) AS max_delay_seconds
 FROM v WHERE day_type = 'weekday' GROUP BY route_number, delay_category""",
 )
+register(
+    "cycle_checks",
+    BODIES["warehouse_checks"],
+    extra_ctes=MERGE + """,
+dim_date_cycle AS (""" + EXTENDED_DATES + """
+),
+""" + _fact_of_cycle(CHECK_CTES),
+)
+register("latest_history", BODIES["recent_history"])
 register("stream_dedup_overlap", "SELECT DISTINCT duplicate_key FROM raw_obs")
 register("run_scoped_ids", f"""
 SELECT observation_id, {UUID} AS run_scoped_id

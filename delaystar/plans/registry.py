@@ -20,7 +20,7 @@ from delaystar import schemas
 from delaystar import settings as S
 from delaystar.functions import columns as C
 from delaystar.functions import identity
-from delaystar.operators import dedup, incremental, ingest, quality, reporting, rules, snapshot, warehouse
+from delaystar.operators import dedup, incremental, ingest, partition_checks, quality, reporting, rules, snapshot, warehouse
 from delaystar.session import dimension, ensure_checkpoint_dir, scratch_path
 from delaystar.sources import extract, payloads, sinks, snapshots, testdata
 from delaystar.streaming import collector, payload_stream
@@ -387,6 +387,25 @@ def _q_failed_cycle(j: Job) -> DataFrame:
     return snapshots.published(j.spark, root).table(incremental.FACT)
 
 
+@query("cycle_checks")
+def _q_cycle_checks(j: Job) -> DataFrame:
+    """C12 of a cycle's proposed set, from the counters kept per day."""
+    root = _loaded(j, "cycle-checks", j.routes)
+    parent = snapshots.published(j.spark, root)
+    proposed = incremental.propose_cycle(parent, _merge_batch(j), j.routes, j.stops, "cycle")
+    return partition_checks.stage_checks(proposed, parent, "cycle")[0]
+
+
+@query("latest_history")
+def _q_latest_history(j: Job) -> DataFrame:
+    """C10 on the stored history: only the days that can be on the page are opened."""
+    root = scratch_path(j.spark, "history")
+    staged = snapshots.stage(j.observations.withColumn("created_day", F.to_date("created_at")), root, "raw", "v1", by="created_day",
+                             order=("observation_id",), newest_of="created_at")
+    tables = snapshots.empty_set(j.spark, root).with_staged(staged)
+    return reporting.latest_history(tables, "raw", j.stops, j.routes, S.HISTORY_LIMIT, j.zone)
+
+
 @query("rerun_idempotence")
 def _q_rerun(j: Job) -> DataFrame:
     first = _cycle(j)

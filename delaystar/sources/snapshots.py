@@ -17,7 +17,8 @@ first line in order counts and the other writer is told.
 A manifest has one row per partition (days here), which is what the driver holds.  Its rows
 also carry the row count, an order-free digest of the rows, and ``located``: the days of a
 second time in the partition.  Where an id fixes that time, they say which partitions
-can hold an id, and a merge opens no others.
+can hold an id, and a merge opens no others.  ``newest`` is the latest time in the
+partition, so that a page of latest rows opens the partitions that can be on it.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ ENTRY_SCHEMA = T.StructType([
     T.StructField("row_count", T.LongType()),
     T.StructField("digest", T.StringType()),
     T.StructField("located", T.ArrayType(T.StringType())),
+    T.StructField("newest", T.TimestampNTZType()),
     T.StructField("table_schema", T.StringType()),
 ])
 
@@ -119,12 +121,42 @@ class TableSet:
         return {k for k in mine.keys() | theirs.keys() if mine.get(k) != theirs.get(k)}
 
 
+def newest_rows(tables: TableSet, table: str, time: str, limit: int, chosen=lambda rows: rows, ties: tuple[str, ...] = ()) -> DataFrame:
+    """The ``limit`` latest rows of ``chosen(table)`` by ``time`` (missing times last, then ``ties`` ascending).
+
+    Partitions are taken from the newest on, as many as have ``limit`` rows and twice as many
+    each time that ``chosen`` (a filter or a join) leaves too few.  Then those whose newest
+    time reaches the last row found are added, since only they can change the page, and no
+    other partition is opened.
+    """
+    order = [F.col(time).desc_nulls_last(), *[F.col(c).asc() for c in ties]]
+    own = sorted(tables.of(table).values(), key=lambda e: (e["newest"] is not None, e["newest"]) if e["newest"] else (False, 0), reverse=True)
+    taken = held = 0
+    while taken < len(own) and held < limit:
+        held += own[taken]["row_count"]
+        taken += 1
+
+    def page(n: int) -> DataFrame:
+        return chosen(tables.table(table, [e["partition"] for e in own[:n]])).orderBy(*order).limit(limit)
+
+    while taken < len(own):
+        last = page(taken).agg(F.count(F.lit(1)).alias("n"), F.min(time).alias("last"), F.count_if(F.col(time).isNull()).alias("missing")).first()
+        if last["n"] < limit or last["missing"]:
+            taken = min(len(own), 2 * taken)
+            continue
+        reach = sum(1 for e in own if e["newest"] is not None and e["newest"] >= last["last"])
+        if reach <= taken:
+            break
+        taken = reach
+    return page(taken)
+
+
 def empty_set(spark: SparkSession, root: str) -> TableSet:
     return TableSet(spark, root.rstrip("/"), 0, ())
 
 
 def stage(df: DataFrame, root: str, table: str, version: str, *, by: str | None = None,
-          order: tuple[str, ...] = (), located_by: str | None = None) -> list[Row]:
+          order: tuple[str, ...] = (), located_by: str | None = None, newest_of: str | None = None) -> list[Row]:
     """Write ``df`` as ``version`` of a table, unseen by readers; returns its entries, one per partition written.
 
     Partitioned tables are range-partitioned by ``by`` (a date) and ``order``, so that a large
@@ -140,7 +172,9 @@ def stage(df: DataFrame, root: str, table: str, version: str, *, by: str | None
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     digest = F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")).cast("string")
     located = F.array_sort(F.collect_set(day_text(located_by))) if located_by else F.any_value(F.lit(None).cast("array<string>"))
-    measures = (F.count(F.lit(1)).alias("row_count"), F.coalesce(digest, F.lit("0")).alias("digest"), located.alias("located"))
+    newest = F.max(newest_of) if newest_of else F.any_value(F.lit(None).cast("timestamp_ntz"))
+    measures = (F.count(F.lit(1)).alias("row_count"), F.coalesce(digest, F.lit("0")).alias("digest"), located.alias("located"),
+                newest.alias("newest"))
     if by:
         stats = written.groupBy(day_text(by).alias("partition")).agg(*measures)
     else:

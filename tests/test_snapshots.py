@@ -6,7 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from delaystar.operators import dedup, incremental, warehouse
+from delaystar.operators import dedup, incremental, partition_checks, quality, reporting, warehouse
 from delaystar.plans.registry import Job
 from delaystar.session import dimension, scratch_path
 from delaystar.sources import sinks, snapshots
@@ -110,7 +110,65 @@ def test_a_rerun_changes_no_partition(spark, loaded):
     assert again.succeeded and again.tables.number == first.number + 1
     assert again.tables.changed_since(first) == set()
     other = incremental.run_cycle(root, batch_of(raw, extra=7), j.routes, j.stops, "three").tables
-    assert {t for t, _ in other.changed_since(first)} == {"raw", "fact"}
+    assert {t for t, _ in other.changed_since(first)} == {"raw", "fact", "checks"}
+
+
+def test_kept_checks_equal_the_full_ones_and_read_touched_days_only(spark, loaded, monkeypatch):
+    """Three cycles over a set that has issues of many kinds."""
+    j, _, raw = loaded
+    history = raw.filter("created_at < TIMESTAMP_NTZ '2024-06-25 00:00:00'")
+    root = scratch_path(spark, "checked")
+    wh = warehouse.build_warehouse(history, j.routes, j.stops, j.zone)
+    twice = wh.fact.unionByName(wh.fact.where("route_key = 'R_3040' AND delay_seconds % 7 = 0"))  # repeated ids
+    odd = twice.withColumn("time_period", F.when(F.col("delay_seconds") % 11 == 0, "other period").otherwise(F.col("time_period")))
+    odd = odd.withColumn("stop_key", F.when(F.to_date("observed_at") == "2024-05-20", "S_new").otherwise(F.col("stop_key")))
+    odd = odd.withColumn("source_observation_id", F.when(F.col("delay_seconds") % 17 == 0, F.lit(None)).otherwise(F.col("source_observation_id")))
+    wh = dataclasses.replace(wh, fact=dimension(odd))
+    parent = incremental.initial_load(root, wh, history)
+    opened = []
+    table = snapshots.TableSet.table
+
+    def noted(self, name, partitions=None):
+        if name in ("raw", "fact") and self.number is None:
+            opened.append((name, None if partitions is None else len(set(partitions))))
+        return table(self, name, partitions)
+
+    stops = [j.stops, j.stops.unionByName(spark.createDataFrame([("S_new", "New", 1.0, 2.0)], j.stops.schema)), j.stops.where("id <> 'S_3'")]
+    for k, stop_table in enumerate(stops):
+        day = dt.datetime(2024, 6, 26 + k)
+        batch = raw.filter((F.col("created_at") >= F.lit(day - dt.timedelta(days=2)).cast("timestamp_ntz")) & (F.col("created_at") < F.lit(day).cast("timestamp_ntz")))
+        proposed = incremental.propose_cycle(parent, batch, j.routes, stop_table, f"v{k}")
+        monkeypatch.setattr(snapshots.TableSet, "table", noted)
+        checks, proposed = partition_checks.stage_checks(proposed, parent, f"v{k}")
+        monkeypatch.setattr(snapshots.TableSet, "table", table)
+        full = quality.warehouse_checks(spark, proposed.table("raw"), incremental.warehouse_of(proposed))
+        assert checks.columns == full.columns
+        got = checks.first().asDict()
+        assert got == full.first().asDict(), k
+        assert got["duplicate_fact_ids"] and got["local_time_period_mismatch"] and got["missing_observation_id"]
+        assert all(n is not None for _, n in opened)
+        if k == 0:  # the dimensions did not change: three or four days of each table are read
+            assert max(n for _, n in opened) <= 6 < 20 < len(proposed.of("fact"))
+        parent = snapshots.publish(proposed, parent, f"v{k}")
+
+
+def test_latest_rows_open_the_newest_days_only(spark, loaded, monkeypatch):
+    j, load, raw = loaded
+    tables = snapshots.published(spark, load())
+    opened = []
+    table = snapshots.TableSet.table
+    monkeypatch.setattr(snapshots.TableSet, "table", lambda self, name, p=None: (opened.append(len(p)), table(self, name, p))[1])
+    named = lambda rows: reporting.history_join(rows, j.stops, j.routes)
+    got = snapshots.newest_rows(tables, "raw", "created_at", 50, named, ties=("observation_id",))
+    history = raw.filter("created_at < TIMESTAMP_NTZ '2024-06-29 00:00:00'")
+    want = named(history).orderBy(F.col("created_at").desc_nulls_last(), "observation_id").limit(50)
+    assert [r.observation_id for r in got.collect()] == [r.observation_id for r in want.collect()]
+    assert max(opened) <= 6 < 40 < len(tables.of("raw"))
+    # a filter that leaves few rows opens more, down to all of them; ties and missing times as before
+    for condition, limit in (("stop_id = 'S_7' AND delay_seconds > 300", 5), ("stop_id = 'none'", 3), ("true", 10**6)):
+        got = snapshots.newest_rows(tables, "raw", "created_at", limit, lambda rows: rows.where(condition), ties=("observation_id",))  # noqa: B023
+        want = history.where(condition).orderBy(F.col("created_at").desc_nulls_last(), "observation_id").limit(limit)
+        assert [r.observation_id for r in got.collect()] == [r.observation_id for r in want.collect()]
 
 
 def test_the_second_of_two_writers_is_told(spark):
