@@ -1094,6 +1094,8 @@ dim_date_cycle AS (""" + EXTENDED_DATES + """
 ),
 """ + _fact_of_cycle(CHECK_CTES),
 )
+register("sink_fact_interleaved", "SELECT *, CAST(observed_at AS DATE) AS observed_date FROM fact")
+register("extract_splits", "SELECT observation_id, 1 AS splits FROM obs")
 register("latest_history", BODIES["recent_history"])
 register("stream_dedup_overlap", "SELECT DISTINCT duplicate_key FROM raw_obs")
 register("run_scoped_ids", f"""

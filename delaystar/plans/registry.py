@@ -550,6 +550,25 @@ def _q_fact_partitioned(j: Job) -> DataFrame:
     return _written_fact(j)
 
 
+@query("sink_fact_interleaved")
+def _q_fact_interleaved(j: Job) -> DataFrame:
+    """S10 clustered on route and stop alike, read back."""
+    path = scratch_path(j.spark, "fact-interleaved")
+    sinks.write_fact_interleaved(j.wh.fact, path, j.wh.dim_route, j.wh.dim_stop)
+    return sinks.read_fact(j.spark, path)
+
+
+@query("extract_splits")
+def _q_extract_splits(j: Job) -> DataFrame:
+    """S4 in planned splits: the observations read split by split, with the number of splits that hold each id."""
+    source = extract.operational_observations(j.observations)
+    source.createOrReplaceTempView("delay_observations_source")
+    histogram = j.spark.sql(extract.histogram_sql("delay_observations_source")).collect()
+    planned = extract.plan_splits([tuple(r) for r in histogram], 16)
+    held = F.array_size(F.filter(F.array(*[F.expr(p) for p in planned]), lambda x: F.coalesce(x, F.lit(False))))
+    return source.select(F.col("id").alias("observation_id"), held.alias("splits"))
+
+
 @query("fact_local_date_range")
 def _q_fact_dates(j: Job) -> DataFrame:
     """Local dates around the spring DST change, read with UTC-date partition pruning."""

@@ -3,12 +3,15 @@
 The reader is a callable ``(spark, table) -> DataFrame`` so the same projection
 runs on a JDBC source (production) and on parquet stand-ins (tests).  For JDBC,
 ``jdbc_reader`` splits the read on ``created_at`` so the extract is parallel
-instead of one input split.
+instead of one input split.  Even ranges are uneven splits where observations come in
+bursts, so ``planned_jdbc_reader`` plans its splits from the source's own histogram: an
+aggregate that the source computes, one row per hour.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +37,62 @@ def jdbc_reader(url: str, properties: dict[str, str], partition_column: str = "c
     return read
 
 
+#: How a dialect deals the rows of one hour into parts by a key column (parts, number of the part).
+SPARK_PART = "pmod(hash({key}), {parts}) = {part}"
+POSTGRES_PART = "mod(hashtext({key})::bigint + 2147483648, {parts}) = {part}"
+
+
+def histogram_sql(table: str, column: str = "created_at") -> str:
+    """Rows per hour of ``column`` (no hour: missing times); both Spark and PostgreSQL run it."""
+    return f"SELECT date_trunc('HOUR', {column}) AS hour, count(*) AS n FROM {table} GROUP BY 1"
+
+
+def plan_splits(histogram: Iterable[tuple[dt.datetime | None, int]], splits: int, column: str = "created_at", key: str = "id",
+                part: str = SPARK_PART) -> list[str]:
+    """Predicates of disjoint splits that cover every row, each near the mean of ``splits`` parts.
+
+    Consecutive hours share a split up to the mean; an hour above it is dealt into
+    parts by a hash of ``key``, as are the rows without a time, which have splits of their
+    own.  No split holds more than twice the mean, but for what a single key holds.
+    """
+    rows = [(h, n) for h, n in histogram if n]
+    mean = max(1, -(-sum(n for _, n in rows) // max(1, splits)))
+
+    def parts(condition: str, n: int) -> list[str]:
+        many = -(-n // mean)
+        return [f"{condition} AND {part.format(key=key, parts=many, part=k)}" for k in range(many)] if many > 1 else [condition]
+
+    out = [p for h, n in rows if h is None for p in parts(f"{column} IS NULL", n)]
+    held: list[dt.datetime] = []
+    size = 0
+
+    def span(first: dt.datetime, last: dt.datetime) -> str:
+        end = last + dt.timedelta(hours=1)
+        return f"{column} >= TIMESTAMP '{first:%Y-%m-%d %H:%M:%S}' AND {column} < TIMESTAMP '{end:%Y-%m-%d %H:%M:%S}'"
+
+    for hour, n in sorted((h, n) for h, n in rows if h is not None):
+        if held and size + n > mean:
+            out.append(span(held[0], held[-1]))
+            held, size = [], 0
+        if n > mean:
+            out += parts(span(hour, hour), n)
+        else:
+            held.append(hour)
+            size += n
+    return out + ([span(held[0], held[-1])] if held else [])
+
+
+def planned_jdbc_reader(url: str, properties: dict[str, str], splits: int = 64, column: str = "created_at") -> Reader:
+    """JDBC reader of observations with one task per planned split; other tables are read as they are."""
+    def read(spark: SparkSession, table: str) -> DataFrame:
+        if not table.endswith("delay_observations"):
+            return jdbc_reader(url, properties)(spark, table)
+        histogram = spark.read.jdbc(url, f"({histogram_sql(table, column)}) AS h", properties=properties)
+        planned = plan_splits([tuple(r) for r in histogram.collect()], splits, column, part=POSTGRES_PART)
+        return spark.read.jdbc(url, table, predicates=planned or ["1 = 1"], properties=properties)
+    return read
+
+
 def parquet_reader(root: str) -> Reader:
     return lambda spark, table: spark.read.parquet(f"{root.rstrip('/')}/{table}")
 
