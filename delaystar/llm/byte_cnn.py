@@ -14,7 +14,9 @@ only the maxima pass gradients back.
 Defined results: null or empty text is one chunk of padding, so it has a score; with
 labels of one class only, every score is that class's share (1 without labels); a
 text of any length is read whole, in bounded blocks of chunks; equal texts get equal
-scores.  Bytes are the only input.
+scores, repeated rows too; a null doc_id is fold 0 (held out) and never learned from; an
+empty table gives no rows; other columns, of whatever name, are dropped.  Bytes are the
+only input.
 """
 
 from __future__ import annotations

@@ -19,7 +19,9 @@ by definition, so a conversation that holds a third of all rows is one stream.
 
 Defined results: null role and null text are empty; turns sort by turn (nulls
 last), then role, then text; repeated rows are turns of their own; rows with a
-null conv_id form one conversation; other columns of the input are dropped.
+null conv_id form one conversation; a very long text is one whole segment; an empty table
+leaves the control conversation alone; other columns of the input, of whatever name,
+are dropped.
 """
 
 from __future__ import annotations
@@ -267,3 +269,26 @@ def with_control_case(spark: SparkSession, conversations: DataFrame) -> DataFram
 def format_conversations(spark: SparkSession, conversations: DataFrame) -> DataFrame:
     records = turn_records(with_control_case(spark, conversations))
     return read_back(format_turns(canonical_turns(records)))
+
+
+def oracle() -> str:
+    said = "\\### Assistant: </turn> ok"
+    speaker = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in SPEAKERS.items())
+    label = " ".join(f"WHEN '{role}' THEN '{name}'" for role, name in LABELS.items())
+    escaped = lambda c: f"replace(replace(replace({c}, '\\', '\\\\'), '{MARK}', '\\{MARK}'), '{TERMINATOR}', '\\{TERMINATOR}')"
+    return f"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS said_by, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{said}' UNION ALL SELECT -7, 1, 'assistant', '{said}'),
+turns AS (
+  SELECT conv_id, turn, text, CASE said_by {speaker} ELSE said_by END AS role FROM rows),
+segments AS (
+  SELECT *, length('{MARK} ' || CASE role {label} ELSE replace({escaped("'@' || role")}, ':', '\\:') END || ': ' || {escaped("text")}
+                   || '{TERMINATOR}') + 1 AS chars
+  FROM turns)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM segments GROUP BY conv_id"""

@@ -17,7 +17,9 @@ Defined results: null text is empty; without words there are no shingles and the
 fingerprint is the empty string, which has likeness 1 to its like and 0 to all
 others; with fewer than five words the whole sequence is the one shingle; rows sort
 by doc_id descending (nulls last), then by text hash and text, so repeated rows
-follow each other; a single row is followed by itself; other columns are dropped.
+follow each other; a single row is followed by itself; texts of any length are
+fingerprinted whole, one row at a time; an empty table gives no rows; other columns,
+of whatever name, are dropped.
 """
 
 from __future__ import annotations

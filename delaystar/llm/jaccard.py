@@ -29,7 +29,8 @@ Defined results: null text and text without words has an empty set and links wit
 nothing, so its component is its own doc_id; with fewer words than a shingle has,
 the whole sequence is the one shingle; repeated rows are copies of each other; a null
 doc_id links like others but never names a component unless its whole component has
-null ids; an empty table gives no rows; other columns are dropped.
+null ids; texts of any length are read whole, their elements sent on in bounded batches; an
+empty table gives no rows; other columns, of whatever name, are dropped (kept by the stage).
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ before its hash bucket (one row per source and bucket, pre-aggregated) plus a
 running sum within the bucket.  Only the table with a row per source meets in one
 task, for the water filling.
 
-Defined results: null text counts 0 words and is never taken; a null source is a
+Defined results: null text counts 0 words and is never taken; a very long text is one
+document, whose words may overshoot its source's target; a null source is a
 source of its own, after all others; documents tie by md5 of doc_id, then doc_id
 (nulls first), size and text hash, so repeated rows are documents of their own; an
 empty table gives no rows.  Other columns pass through, also where their names are

@@ -8,7 +8,9 @@ trees are flattened into numpy node arrays and scored level by level for a batch
 
 Defined results: null or empty text has no words, hence ``base_failed`` and not
 kept; without labels of both classes there are no trees and the base rules decide
-alone; rows are judged one by one, so repeated rows get equal results.
+alone; rows are judged one by one, so repeated rows get equal results; texts of any length
+are judged whole; a null doc_id passes through and is never learned from; an empty table
+gives no rows; other columns, of whatever name, are dropped (kept by the filter).
 """
 
 from __future__ import annotations

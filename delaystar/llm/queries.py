@@ -76,7 +76,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
 QUERIES["pipeline"] = corpus_pipeline.run
 
 SQL: dict[str, str] = {
-    "op1_warc": warc.oracle(), "op2_mixing": mixing.oracle(), "op7_url_filter": urls.oracle(),
+    "op1_warc": warc.oracle(), "op2_mixing": mixing.oracle(), "op7_url_filter": urls.oracle(), "op9_chat_format": chat.oracle(),
     "op12_collocations": collocations.oracle(),
 }
 if corpus_pipeline.ORACLE_SQL:

@@ -7,8 +7,9 @@ digit, so ``essex`` holds no ``sex``.  A URL is blocked by one strict term or by
 ``min_soft`` distinct soft terms.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path,
-fits no rule and is judged by its (possibly empty) text.  Repeated rows are judged
-each; other columns of the input are dropped.
+fits no rule and is judged by its (possibly empty) text.  A very long URL is read whole,
+once.  Repeated rows are judged each; a null page_id passes through; an empty table gives
+no rows; other columns of the input, of whatever name, are dropped.
 """
 
 from __future__ import annotations

@@ -57,10 +57,17 @@ def test_stages_keep_the_columns_and_clean_documents(spark):
 
 
 def test_odd_rows_pass_through_all_stages(spark, tmp_path):
-    rows = [(1, None, None, None), (2, "", "en", "a"), (2, "", "en", "a"), (None, "words " * 20, None, "b"), (3, "the only clean text of this table " * 2, "en", None)]
-    for name, table in (("documents", documents(spark, rows, more="kept position k")), ("labels", spark.createDataFrame([], "doc_id bigint, quality int, toxic int"))):
+    """Held against the plain loops: nulls, empty texts, repeated rows, clashing columns, no labels."""
+    said = "the word that {} gives to this and those of many others is never the same as before {}"
+    clean = [(10 + k, said.format(f"writer{k}", " ".join(f"name{k}x{i}" for i in range(8))), "en", "a" if k % 2 else None) for k in range(12)]
+    rows = [(1, None, None, None), (2, "", "en", "a"), (2, "", "en", "a"), (None, "words " * 20, None, "b"), (9, "12 34", "en", "b"), *clean]
+    for name, table in (("documents", documents(spark, rows, more="kept position k size target")),
+                        ("labels", spark.createDataFrame([], "doc_id bigint, quality int, toxic int"))):
         table.write.parquet(str(tmp_path / f"{name}.parquet"))
-    assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
+    docs = read_table(spark, str(tmp_path), "documents")
+    got = sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect()), key=repr)
+    assert got == sorted(brute(spark, docs, str(tmp_path)), key=repr)
+    assert {11, 12} < {r[0] for r in got} < set(range(10, 22))  # the mix takes less of the second source than it has
     shutil.rmtree(tmp_path / "documents.parquet")
     documents(spark, []).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
@@ -68,5 +75,5 @@ def test_odd_rows_pass_through_all_stages(spark, tmp_path):
 
 def test_queries_are_registered():
     names = __spark_entry__.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= set(names)
