@@ -17,9 +17,10 @@ task, for the water filling.
 
 Defined results: null text counts 0 words and is never taken; a very long text is one
 document, whose words may overshoot its source's target; a null source is a
-source of its own, after all others; documents tie by md5 of doc_id, then doc_id
-(nulls first), size and text hash, so repeated rows are documents of their own; an
-empty table gives no rows.  Other columns pass through, also where their names are
+source of its own, after all others; the seeded order is by md5 of doc_id and text, so
+texts that share an id, or have none, are spread over the buckets; ties go by doc_id (nulls
+first) and size, and repeated rows are documents of their own; an empty table gives no
+rows.  Other columns pass through, also where their names are
 those of the plan's columns (the plan's then win in ``plan_mix``; ``mixed_documents``
 returns the input's).
 """
@@ -107,7 +108,7 @@ def plan_mix(
     """
     kept = [c for c in (carry or documents.columns) if c.lower() not in PLAN_COLUMNS]
     own = F.struct(*(F.col(f"`{c}`") for c in kept)).alias("own")
-    key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))))
     keyed = documents.select(
         own,
         F.coalesce(F.regexp_count("text", F.lit(WORD_PATTERN)), F.lit(0)).cast("bigint").alias("size"),
@@ -115,7 +116,6 @@ def plan_mix(
         F.coalesce("source", F.lit("")).alias("source_key"),
         key.alias("order_key"),
         F.col("doc_id").alias("tie_id"),
-        F.xxhash64("text").alias("tie_text"),
         F.substring(key, 1, BUCKET_DIGITS).alias("bucket"),
     )
     buckets = keyed.groupBy("no_source", "source_key", "bucket").agg(F.sum("size").alias("bucket_size"))
@@ -128,7 +128,7 @@ def plan_mix(
     ).join(source_targets(sizes, schedules, max_repeat), ["no_source", "source_key"])
     before = (
         Window.partitionBy("no_source", "source_key", "bucket")
-        .orderBy("order_key", "tie_id", "size", "tie_text")
+        .orderBy("order_key", "tie_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = (
@@ -203,7 +203,7 @@ def oracle() -> str:
     return rf"""
 WITH sized AS (
   SELECT doc_id, source IS NULL AS no_source, coalesce(source, '') AS source_key,
-         md5(coalesce(CAST(doc_id AS VARCHAR), 'null')) AS order_key,
+         md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || coalesce(text, '')) AS order_key,
          CAST(coalesce(len(regexp_extract_all(text, '{WORD_PATTERN}')), 0) AS BIGINT) AS size
   FROM documents),
 sources AS (

@@ -110,3 +110,14 @@ def test_empty_table(spark):
     docs = documents(spark, [])
     assert mixing.mix_digest(docs).count() == 0
     assert mixing.training_order(mixing.plan_mix(docs)).count() == 0
+
+
+def test_a_hot_id_and_null_ids_are_spread_over_buckets(spark):
+    """Texts that share an id, or have none, do not meet in one window; the words taken still meet the targets."""
+    rows = [(1 if i % 3 == 0 else None if i % 3 == 1 else i, f"words of text {i} " * (1 + i % 4), None, "ab"[i % 2]) for i in range(1500)]
+    docs = documents(spark, rows)
+    planned = mixing.plan_mix(docs)
+    got = planned.groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()
+    assert all(abs(r["taken"] - r["target"]) <= 1 for r in got)
+    keys = docs.select(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text")).substr(1, mixing.BUCKET_DIGITS).alias("b"))
+    assert keys.groupBy("b").count().agg(F.max("count")).first()[0] <= 8
