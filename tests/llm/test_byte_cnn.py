@@ -34,6 +34,32 @@ def test_convolution_equals_the_sum_of_products(net):
         assert fast[:, p] == pytest.approx(np.einsum("nke,kef->nf", window, net.filters), abs=1e-3)
 
 
+def score_by_loops(net, text):
+    """The whole score of a text by loops over its chunks, positions, taps and layers."""
+    raw = list(text.encode())
+    step = byte_cnn.CHUNK - byte_cnn.OVERLAP
+    logits, at = [], 0
+    while at == 0 or at + byte_cnn.OVERLAP < len(raw):
+        chunk = raw[at : at + byte_cnn.CHUNK]
+        chunk += [byte_cnn.PAD] * (byte_cnn.CHUNK - len(chunk))
+        best = None
+        for p in range(0, byte_cnn.CHUNK - byte_cnn.WIDTH + 1, byte_cnn.STRIDE):
+            response = sum(net.embed[chunk[p + k]] @ net.filters[k] for k in range(byte_cnn.WIDTH))
+            best = response if best is None else np.maximum(best, response)
+        hidden = np.maximum(np.maximum(best + net.bias, 0) @ net.hidden + net.hidden_bias, 0)
+        logits.append(float(hidden @ net.out + net.out_bias[0]))
+        at += step
+    return 1 / (1 + np.exp(-np.clip(sum(logits) / len(logits), -30, 30)))
+
+
+def test_scores_of_whole_texts_equal_plain_loops(spark, net):
+    texts = ["", "short", "The word \u00e9 and others. " * 60, "x#*$ " * 300, "a\n" * 700 + "tail"]
+    docs = documents(spark, list(enumerate([*texts, None])))
+    got = {r["doc_id"]: r["score"] for r in byte_cnn.score_documents(docs, net).collect()}
+    for i, text in enumerate([*texts, ""]):
+        assert got[i] == pytest.approx(score_by_loops(net, text), abs=1e-3)
+
+
 def test_gradients_equal_differences():
     rng = np.random.default_rng(1)
     small = byte_cnn.fit(["clean words here " * 30, "bad&&& bad%%% " * 30] * 4, [1, 0] * 4)

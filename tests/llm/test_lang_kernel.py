@@ -41,6 +41,38 @@ def test_kernel_equals_shared_over_root(model):
             assert got[i, j] == pytest.approx(len(ga & gb) / np.sqrt(len(ga) * len(gb)), abs=1e-5)
 
 
+def gram_numbers(text):
+    """Places of a text's n-grams in the table, by plain loops over their letter classes."""
+    out, start = set(), 0
+    for n in lk.ORDERS:
+        for g in grams(text):
+            if len(g) == n:
+                out.add(start + sum(k * lk.CLASSES ** (n - 1 - i) for i, k in enumerate(g)))
+        start += lk.CLASSES**n
+    return out
+
+
+@pytest.mark.parametrize("text", ["a", "Hello, World!", "d\u00e9j\u00e0 vu  --  \u00d1andu", "ab" * 50])
+def test_presence_lists_the_same_grams(text):
+    assert set(lk.presence(text).tolist()) == gram_numbers(text)
+
+
+def test_predictions_equal_plain_loops(spark, model):
+    docs = [r for r in read_table(spark, SF, "documents").collect() if len(r["text"] or "") < 3000][:40]
+    texts = [r["text"] for r in docs] + ["of the and", "le la les"]
+    got = lk.predict_languages(documents(spark, list(enumerate(texts))), model).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        own = gram_numbers(texts[r["doc_id"]])
+        shared = [g for g in own if model.columns[g] >= 0]
+        kernel = [sum(float(model.landmarks[model.columns[g], j]) for g in shared) / np.sqrt(len(own)) for j in range(model.landmarks.shape[1])]
+        margins = [sum(k * float(w) for k, w in zip(kernel, model.weights[:-1, c], strict=True)) + float(model.weights[-1, c])
+                   for c in range(len(model.languages))]
+        best = max(range(len(margins)), key=margins.__getitem__)
+        assert r["score"] == pytest.approx(min(max((margins[best] + 1) / 2, 0), 1), abs=1e-3)
+        assert r["lang_pred"] == model.languages[best] or margins[best] - sorted(margins)[-2] < 1e-3
+
+
 def test_held_out_accuracy(spark, model):
     docs = read_table(spark, SF, "documents")
     rows = lk.predict_languages(docs, model).where("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()

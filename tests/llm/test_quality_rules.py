@@ -93,6 +93,25 @@ def test_flat_nodes_score_like_walking_the_trees(forest):
     assert forest.score(x) == pytest.approx([walk(r) for r in x])
 
 
+def features_by_loops(text):
+    """The feature vector by counting characters, words and lines one by one."""
+    n_words, word_chars, n_symbols, n_dup, n_repeat = brute(text)
+    ws = words(text)
+    lines = [x for x in text.split("\n") if words(x)]
+    n, raw = max(n_words, 1), text.encode()
+    same = 0
+    for a, b in zip(ws, ws[1:], strict=False):
+        same += a == b
+    return [np.log1p(n_words), word_chars / n, n_symbols / n, n_dup / max(len(lines), 1), n_repeat / n, same / n,
+            sum(c == "!" for c in text) / n, sum("A" <= c <= "Z" for c in text) / max(len(raw), 1), len(set(ws)) / n,
+            sum("0" <= c <= "9" for c in text) / max(len(raw), 1)]
+
+
+@pytest.mark.parametrize("text", ["", " \n ", "One two two three! 4 five\nOne\nOne\n", "\u00c9t\u00e9 A1 B2 B2 #% " * 9, "a b c d e f " * 7 + "!!\n\nx\nx"])
+def test_features_equal_plain_loops(text):
+    assert q.statistics(text)[1] == pytest.approx(features_by_loops(text))
+
+
 def test_held_out_accuracy(spark, forest):
     from delaystar.llm.labelled import fold
 
