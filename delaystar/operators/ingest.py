@@ -262,6 +262,17 @@ def collect_accepted(target: DataFrame, observations: DataFrame) -> DataFrame:
     return dedup.insert_ignore(target, observations, "duplicate_key", order)
 
 
+# What each collection asks for
+def requested_stops(scanned: DataFrame, stops: DataFrame) -> DataFrame:
+    """(collection_run_id, stop_id, stop_name): every stop of the short list ``stops`` for each collection.
+
+    ``stops`` is the list of monitored stops; it rides as one array on the collections' rows.
+    """
+    listed = stops.select(F.array_agg(F.struct("stop_id", "stop_name"))).scalar()
+    runs = scanned.select("collection_run_id").distinct()
+    return runs.withColumn("_listed", listed).select("collection_run_id", F.inline("_listed"))
+
+
 EMPTY = "empty"
 NO_PAYLOAD = "no payload"
 

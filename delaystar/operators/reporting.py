@@ -169,9 +169,12 @@ def time_period_pivot(matrix: DataFrame) -> DataFrame:
     p = matrix.groupBy("route_number").pivot("time_period", periods).agg(
         F.first("avg_delay_minutes").alias("avg"), F.first("observation_count").alias("n")
     )
-    out = [F.col("route_number")]
+    out, used = [F.col("route_number")], set()
     for name in periods:
-        short = _column_name(name)
+        short = plain = _column_name(name)
+        while short in used:  # names that differ in punctuation only
+            short = f"{plain}_{sum(u == plain or u.startswith(f'{plain}_') for u in used) + 1}"
+        used.add(short)
         out.append(F.col(f"`{name}_avg`").alias(f"{short}_avg_delay_minutes"))
         out.append(F.col(f"`{name}_n`").cast("bigint").alias(f"{short}_observation_count"))
     return p.select(*out).orderBy("route_number")

@@ -481,8 +481,7 @@ def _q_collection_errors(j: Job) -> DataFrame:
 def _requested(j: Job) -> DataFrame:
     """The stops that every collection asks for, a blank id among them; not all have landed in each."""
     asked = [(f"S_{i}", f"Stop {i // 2}") for i in range(testdata.STOP_COUNT)] + [("", "Blank")]
-    stops = F.array(*[F.struct(F.lit(i).alias("stop_id"), F.lit(n).alias("stop_name")) for i, n in asked])
-    return _scanned(j).select("collection_run_id").distinct().select("collection_run_id", F.inline(stops))
+    return ingest.requested_stops(_scanned(j), j.spark.createDataFrame(asked, "stop_id string, stop_name string"))
 
 
 @query("collection_report")

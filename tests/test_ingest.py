@@ -181,3 +181,23 @@ def test_payloads_with_100000_references_parse_in_linear_time(spark):
             assert [(r.stop_id, r.name, r.route_number) for r in stations] == [(f"S{i}", f"Stop {i}", f"{i}, {i + 1}") for i in range(3)]
             took.append(time.time() - started)
         assert took[1] < 30 * max(took[0], 0.5), took
+
+
+def test_the_monitored_stops_drive_the_report(spark):
+    """Every monitored stop is a call of each collection; one has landed, the others have no payload."""
+    from delaystar.sources import extract
+
+    stops = extract.monitored_stops(spark)
+    first = stops.first()
+    good = json.dumps(_departures("array"))
+    df = spark.createDataFrame([("a", "C1", "T", first.stop_id, None, good), ("b", "C2", "T", "elsewhere", None, good)],
+                               "payload_id string, collection_run_id string, trip_id string, stop_id string, fetched_at timestamp_ntz, body string")
+    scanned = ingest.scan_payloads(df)
+    obs = ingest.parsed_observations(ingest.parse_departures(scanned, limit=4))
+    requested = ingest.requested_stops(scanned, stops)
+    got = {r.collection_run_id: (r.stops_requested, r.api_calls_succeeded, r.api_calls_failed, r.status)
+           for r in ingest.collection_summary(scanned, obs, obs, requested=requested).collect()}
+    n = stops.count()
+    assert got == {"C1": (n, 1, n - 1, "partial_success"), "C2": (n, 0, n, "failed")}
+    errors = ingest.collection_errors(scanned, requested)
+    assert errors.where("message = 'no payload'").count() == 2 * n - 1

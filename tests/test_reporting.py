@@ -169,3 +169,12 @@ def test_a_statistic_through_sql_on_the_named_view(spark):
     assert name == "v_delay_dashboard"
     n = spark.sql(f"SELECT sum(observation_count) AS n FROM {name}").first().n
     assert n == reporting.kpi_summary(j.view).first().observation_count
+
+
+def test_pivot_columns_of_periods_that_differ_in_punctuation(spark):
+    rows = [("4", "night bus", 1.0, 2), ("4", "night-bus", 2.0, 3), ("4", "night_bus", 3.0, 4)]
+    matrix = spark.createDataFrame(rows, "route_number string, time_period string, avg_delay_minutes double, observation_count bigint")
+    out = reporting.time_period_pivot(matrix)
+    assert len(set(out.columns)) == len(out.columns)
+    row = out.first().asDict()
+    assert sorted(v for k, v in row.items() if k.startswith("night_bus") and k.endswith("_count")) == [2, 3, 4]
