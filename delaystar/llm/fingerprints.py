@@ -24,7 +24,6 @@ of whatever name, are dropped.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,8 +43,9 @@ TRIES = 12
 #: FIXED VALUES: white space between words.
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
-#: Rows that a bucket is meant to hold, root of the most doc_id bounds, and buckets that are chained in one window.
-BUCKET_ROWS, SIDE, CHAINED = 2000, 64, 256
+#: Coarse bounds of the doc_id buckets, and the rows that a bucket is meant to hold.
+COARSE, BUCKET_ROWS = 64, 2000
+_FINE = 1 << 32
 
 
 def cycle(i: int) -> tuple[int, int]:
@@ -171,52 +171,49 @@ def likeness(a: Column, b: Column) -> Column:
 def bucket_column(documents: DataFrame) -> Column:
     """A bucket number that falls along the order of the rows: doc_id descending (nulls last), then text hash.
 
-    Bounds are quantiles of doc_id, about one per ``BUCKET_ROWS`` rows (``SIDE ** 2`` at most, so the list is
-    bounded), hence buckets follow the data wherever its ids lie.  A bound that several quantiles share is an
-    id on many rows: these rows are dealt by their text's hash into as many buckets.  So are
-    rows without an id.  Rows of one id and one text have no order of their own and stay together.
+    Bounds are ``COARSE`` quantiles of doc_id; between two bounds buckets are even cells up to a quantile
+    just below the upper one, beyond which the last cell goes, so single far ids widen no cell.  A bound
+    that several quantiles share is an id on many rows: these are dealt by their text's hash.
+    So are rows without an id.  Rows of one id and one text have no order of their own and stay together.
     """
     found = documents.agg(F.count("*").alias("n"), F.count_if(F.col("doc_id").isNull()).alias("nulls"), F.min("doc_id").alias("lo")).first()
-    none = (F.lit(-1) - _dealt(F.lit(max(1, found["nulls"] // BUCKET_ROWS)))).cast("bigint")
+    none = (F.lit(-_FINE - 1) - _dealt(max(1, found["nulls"] // BUCKET_ROWS))).cast("bigint")
     if found["lo"] is None:
         return none
-    many = max(1, min(SIDE * SIDE, (found["n"] - found["nulls"]) // BUCKET_ROWS))
-    cuts = documents.agg(F.percentile_approx("doc_id", [i / many for i in range(many)], 100 * many)).first()[0]
-    cuts = [found["lo"], *cuts[1:]]
-    bounds = sorted(set(cuts))
-    side = math.isqrt(len(bounds) - 1) + 1
-    rows = [bounds[k : k + side] for k in range(0, len(bounds), side)]
-
-    def listed(values: Iterable[int | None]) -> Column:
-        return F.expr(f"array({', '.join('CAST(NULL AS BIGINT)' if v is None else f'CAST({v!r} AS BIGINT)' for v in values)})")
-
-    def reaches(bound: Column) -> Column:
-        return F.coalesce(F.col("doc_id") >= bound, F.lit(False)).cast("int")
-
+    shares = [(i + part) / COARSE for i in range(COARSE) for part in (0.0, 0.98)]
+    cuts = documents.agg(F.percentile_approx("doc_id", shares, 20_000)).first()[0]
+    lows, highs = [found["lo"], *cuts[2::2]], cuts[1::2]
+    cells = max(1, (found["n"] - found["nulls"]) // (COARSE * BUCKET_ROWS))
+    bounds = sorted(set(lows))
+    last = {low: high for low, high in zip(lows, highs, strict=True)}  # of quantiles with one bound the last
     # plain comparisons: the exchange on this number is then the same plan wherever it is used
-    row = sum((reaches(F.expr(f"CAST({r[0]!r} AS BIGINT)")) for r in rows), F.lit(-1))
-    at = row * side + sum((reaches(F.get(listed(r[k] if k < len(r) else None for r in rows), row)) for k in range(1, side)), F.lit(0))
-    repeats = [cuts.count(b) for b in bounds]
-    starts = [sum(m + 1 for m in repeats[:k]) for k in range(len(bounds))]
-    start, repeat, bound = (F.get(listed(v), at) for v in (starts, repeats, bounds))
-    # ids above the bound come first in the order, then the bound's own rows by ascending hash
-    inside = F.when(F.col("doc_id") > bound, repeat).otherwise(repeat - 1 - _dealt(repeat))
-    return F.when(F.col("doc_id").isNull(), none).otherwise(start + inside)
-
-
-def _dealt(cells: Column) -> Column:
+    at = F.expr(" + ".join(f"CAST(doc_id >= CAST({b!r} AS BIGINT) AS INT)" for b in bounds)) - 1
+    width = [max(float(last[b]) - float(b), 1.0) for b in bounds]
+    inside = (F.col("doc_id").cast("double") - F.get(_literals(map(float, bounds), "D"), at)) / F.get(_literals(width, "D"), at)
+    cell = F.least(F.greatest(F.floor(inside * cells), F.lit(0)), F.lit(cells - 1))
+    bucket = at * F.lit(_FINE).cast("bigint") + cell
+    often = [(k, b, lows.count(b)) for k, b in enumerate(bounds) if lows.count(b) > 1]
+    if often:  # below the other ids of their cell and above the cell before
+        branches = " ".join(f"WHEN CAST({b!r} AS BIGINT) THEN {m * cells}" for _, b, m in often)
+        places = " ".join(f"WHEN CAST({b!r} AS BIGINT) THEN CAST({k * _FINE - 1} AS BIGINT)" for k, b, _ in often)
+        hot = F.expr(f"CASE doc_id {places} END") - _dealt(F.expr(f"CASE doc_id {branches} END"))
+        bucket = F.coalesce(hot, bucket)
+    return F.when(F.col("doc_id").isNull(), none).otherwise(bucket)
+
+
+def _dealt(cells: Column | int) -> Column:
     """Cell of the text's hash among ``cells`` even ones, ascending."""
-    share = F.xxhash64("text") / F.lit(2.0**64) + F.lit(0.5)
-    return F.least(F.floor(share * cells), cells - 1)
+    cells = F.lit(cells) if isinstance(cells, int) else cells
+    return F.least(F.floor((F.xxhash64("text") / F.lit(2.0**64) + F.lit(0.5)) * cells), cells - 1)
 
 
 def next_bucket(buckets: DataFrame) -> DataFrame:
     """(bucket) -> (bucket, next): the next lower bucket that has rows; after the lowest, the highest.
 
     Buckets of one coarse cell follow each other in a window of that cell; only one
-    row per coarse cell of ``CHAINED`` buckets (a few dozen at most) meets in one task.
+    row per coarse cell (``COARSE`` and one at most) meets in one task.
     """
-    coarse = F.floor(F.col("bucket") / CHAINED)
+    coarse = F.floor(F.col("bucket") / _FINE)
     marked = buckets.select("bucket", coarse.alias("coarse"))
     tops = marked.groupBy("coarse").agg(F.max("bucket").alias("top"))
     order = Window.orderBy(F.desc("coarse"))
