@@ -44,7 +44,7 @@ TRIES = 12
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 #: Coarse bounds of the doc_id buckets, and the rows that a bucket is meant to hold.
-COARSE, BUCKET_ROWS = 64, 2000
+COARSE, BUCKET_ROWS = 32, 2000
 _FINE = 1 << 32
 
 
