@@ -1,13 +1,12 @@
 r"""Byte-level BPE: words found in a memory-mapped minimal transducer, other words merged exactly.
 
-Lexicon: word counts over a bounded sample of whole texts (``LEXICON_TEXTS``; partial
-counts per task), the most frequent words, their ids by exact merging, compiled into
-one minimal acyclic transducer: an
+Lexicon: the tokens of the vocabulary itself, no matter what the texts hold (none is counted
+or sampled for it), their ids by exact merging, compiled into one minimal acyclic transducer: an
 automaton whose equal suffixes are shared, whose arcs carry numbers that add up to
 the word's rank along its path, and a table of ids by rank.  It is written to the
 shared folder once; workers memory-map it (from a private unlinked copy where the
 folder is not a mounted path).  The lexicon only saves work: a word that it lacks is
-merged by the ranks, so ids never depend on its size (``LEXICON_WORDS``) or its sample.
+merged by the ranks, so ids never depend on what it holds.
 
 Encoding cuts a text at its special tokens, then into units (a word with the space
 before it, or a run of white space), looks new units up in batches through the
@@ -40,17 +39,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import public_tokenizers
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaystar.llm.tables import arrow_schema, map_batches, to_batch
 from delaystar.session import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Words in the lexicon; a bound on the driver's and the mapped file's size, not on what is encoded.
-LEXICON_WORDS = 50_000
-#: Texts, drawn at random, whose words are counted for it (expected number), and the longest word that it takes.
-LEXICON_TEXTS, LEXICON_BYTES = 20_000, 256
+#: The longest word that the lexicon takes.
+LEXICON_BYTES = 256
 #: Distinct units in each of a worker's cache generations (two for words after a space, two for other units).
 CACHE_UNITS = 200_000
 #: Units longer than this are encoded but not remembered.
@@ -479,12 +476,12 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return documents.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def build_lexicon(documents: DataFrame, name: str = TOKENIZER, size: int = LEXICON_WORDS) -> str:
-    """Compile the ``size`` most frequent words of the sample and write the packed transducer to the shared folder."""
-    share = min(1.0, LEXICON_TEXTS / max(documents.count(), 1))
-    top = word_counts(documents.select("text").sample(share, 17)).orderBy(F.desc("n"), "word").limit(size).select("word").toArrow()
-    data = pack_arrays(compile_lexicon((bytes(w) for w in top.column(0).to_pylist()), Vocabulary(name)))
-    uri = posixpath.join(scratch_path(documents.sparkSession, "lexicon"), "words.fst")
+def build_lexicon(spark: SparkSession, name: str = TOKENIZER) -> str:
+    """Compile the vocabulary's own tokens and write the packed transducer to the shared folder."""
+    vocabulary = Vocabulary(name)
+    words = (w for w in vocabulary.id_bytes.values() if len(w) <= LEXICON_BYTES)
+    data = pack_arrays(compile_lexicon(words, vocabulary))
+    uri = posixpath.join(scratch_path(spark, "lexicon"), "words.fst")
     store, path = pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
     store.create_dir(posixpath.dirname(path), recursive=True)
     with store.open_output_stream(path) as out:
@@ -504,7 +501,7 @@ def encode_documents(documents: DataFrame, lexicon_uri: str | None, name: str =
 
 def token_digests(documents: DataFrame, name: str = TOKENIZER) -> DataFrame:
     """Encode every whole text, decode the ids again, and return the digests of both."""
-    lexicon_uri = build_lexicon(documents, name)
+    lexicon_uri = build_lexicon(documents.sparkSession, name)
 
     def rows(batch: pa.RecordBatch) -> dict:
         encoder = worker_encoder(name, lexicon_uri)

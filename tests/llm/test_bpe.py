@@ -108,3 +108,14 @@ def test_merging_many_words_equals_one_by_one(monkeypatch, cells):
     got = vocabulary.merge_all(words)
     assert got == [bpe.Encoder.ids_bytes(vocabulary.merge(w)) for w in words]
     assert vocabulary.merge_all([]) == []
+
+
+def test_the_lexicon_holds_the_vocabulary_and_no_sample_of_texts(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(DataFrame, "sample", lambda *a, **k: pytest.fail("texts are sampled"))
+    docs = documents(spark, [(1, "zzqx zzqx"), (2, None)])
+    assert bpe.token_digests(docs).count() == 2
+    lexicon = bpe.Lexicon.open(bpe.build_lexicon(spark))
+    tokens = [t for t in bpe.Vocabulary(bpe.TOKENIZER).id_bytes.values() if t and len(t) <= bpe.LEXICON_BYTES]
+    assert (lexicon.ranks(tokens) >= 0).all() and lexicon.ranks([b"zzqx"]).tolist() == [-1]
