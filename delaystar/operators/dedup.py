@@ -45,7 +45,7 @@ def dedup_latest_by_id(observations: DataFrame, key: str = "observation_id") ->
 
 def insert_ignore(
     target: DataFrame, batch: DataFrame, key: str = "duplicate_key", order: Sequence[Column] | None = None,
-    key_time: str | None = "scheduled_departure",
+    key_time: str | None = "scheduled_departure", stored: bool = False,
 ) -> DataFrame:
     """Rows of ``batch`` that a unique-key insert would accept.
 
@@ -54,10 +54,11 @@ def insert_ignore(
     natural key embeds ``key_time`` (the scheduled departure), so only target rows
     inside the batch's ``key_time`` range can match: the target is filtered on
     that range (bounds are scalar subqueries, evaluated at run time), which lets
-    a store partitioned or clustered by that time skip everything else.
+    a store partitioned or clustered by that time skip everything else.  The bounds read the
+    batch besides the insert, so it is written first, unless it is ``stored`` (cheap to read again).
     """
     bounded = bool(key_time) and key_time in target.columns and key_time in batch.columns
-    if bounded:  # the bounds read the batch besides the insert: evaluate it once
+    if bounded and not stored:
         batch = dimension(batch)
     first = keep_first(batch, [key], order or arrival_order())
     known = target

@@ -64,5 +64,5 @@ def dimension(df: DataFrame) -> DataFrame:
     ``spark.sql.autoBroadcastJoinThreshold`` (and AQE) decide whether it is broadcast.
     """
     path = scratch_path(df.sparkSession, "dimension")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

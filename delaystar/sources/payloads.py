@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from delaystar.functions import columns as C
-from delaystar.sources.testdata import ROUTE_BY_ORDER_MOD5
+from delaystar.session import dimension
+from delaystar.sources.testdata import ROUTE_BY_ORDER_MOD5, TIE_COLUMNS
 
 def order_number(trip_id: str = "trip_id") -> Column:
     return F.substring(F.col(trip_id), 3, 64).cast("bigint")
@@ -48,8 +49,22 @@ def _refs_json(refs: Column, object_form: Column) -> Column:
     return F.when(object_form, F.to_json(as_map)).otherwise(F.to_json(refs))
 
 
-def _items(raw: DataFrame, routes: DataFrame, stops: DataFrame) -> DataFrame:
-    """Observation rows with their reference objects attached (small tables, broadcast by the planner)."""
+#: What a payload takes from an observation; only these columns are shuffled.
+ITEM_COLUMNS = ("collection_run_id", "trip_id", "stop_id", "route_id", "headsign", "stop_sequence", "scheduled_departure",
+                "predicted_departure", "created_at", *TIE_COLUMNS)
+
+
+def _items(raw: DataFrame, routes: DataFrame, stops: DataFrame, *columns: str) -> DataFrame:
+    """Observation rows dealt by trip, then given their reference objects.
+
+    The references are first cut to the stops and routes that occur and written, so the planner
+    knows how few they are: a few hot stops are then not joined by a shuffle against the whole
+    stop table, and the trips are shuffled before their rows grow by the references.
+    """
+    seen = dimension(raw.select("stop_id", "route_id", trip_route(order_number()).alias("trip_route_id")).distinct())
+    seen_routes = seen.select("route_id").union(seen.select("trip_route_id"))
+    stops = dimension(stops.join(seen.select(F.col("stop_id").alias("id")), "id", "left_semi"))
+    routes = dimension(routes.join(seen_routes.select(F.col("route_id").alias("id")), "id", "left_semi"))
     stop_ref = stops.select(
         F.col("id").alias("stop_id"),
         F.struct(F.col("id"), F.col("name"), F.col("lat"), F.col("lon"),
@@ -62,9 +77,9 @@ def _items(raw: DataFrame, routes: DataFrame, stops: DataFrame) -> DataFrame:
     )
     trip_route_ref = route_ref.select(F.col("route_id").alias("trip_route_id"),
                                       F.col("route_ref").alias("trip_route_ref"))
-    order = order_number()
     return (
-        raw.withColumn("trip_route_id", trip_route(order))
+        raw.select(*columns).repartition("collection_run_id", "trip_id")
+        .withColumn("trip_route_id", trip_route(order_number()))
         .join(stop_ref, "stop_id", "left")
         .join(route_ref, "route_id", "left")
         .join(trip_route_ref, "trip_route_id", "left")
@@ -97,8 +112,8 @@ def departure_payloads(raw: DataFrame, routes: DataFrame, stops: DataFrame) -> D
         F.col("route_ref").alias("route_ref"), F.col("trip_route_ref").alias("trip_route_ref"),
         trip_ref.alias("trip_ref"),
     )
-    g = _items(raw, routes, stops).groupBy("collection_run_id", "trip_id").agg(
-        F.array_sort(F.collect_list(item)).alias("items"),
+    g = _items(raw, routes, stops, *ITEM_COLUMNS).groupBy("collection_run_id", "trip_id").agg(
+        F.sort_array(F.collect_list(item)).alias("items"),
         F.max("created_at").alias("fetched_at"),
     )
     first = F.col("items")[0]
@@ -137,8 +152,9 @@ def search_payloads(raw: DataFrame, routes: DataFrame, stops: DataFrame) -> Data
         F.col("stop_id").alias("stop_id"), F.col("stop_ref").alias("stop_ref"),
         F.col("trip_route_ref").alias("route_ref"), F.col("trip_route_id").alias("trip_route_id"),
     )
-    g = _items(raw, routes, stops).groupBy("collection_run_id", "trip_id").agg(
-        F.array_sort(F.collect_list(item)).alias("items"))
+    g = _items(raw, routes, stops, "collection_run_id", "trip_id", "stop_id", "route_id", "stop_sequence",
+               *TIE_COLUMNS).groupBy("collection_run_id", "trip_id").agg(
+        F.sort_array(F.collect_list(item)).alias("items"))
     o = order_number()
     first_stop = F.col("items")[0]["stop_id"]
     object_form = o % 2 == 1
