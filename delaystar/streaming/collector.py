@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,17 +64,13 @@ def insert_ignore_batch(batch: DataFrame, store: str) -> None:
     """foreachBatch body of I8: first-wins insert of one micro-batch into the store."""
     spark = batch.sparkSession
     first = dedup.dedup_first_by_key(batch).withColumn(SCHEDULED_DATE, F.to_date("scheduled_departure"))
-    # used twice (date bounds, then the insert); a lost block is recomputed from the batch's files
-    first.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        bounds = first.agg(F.min(SCHEDULED_DATE).alias("lo"), F.max(SCHEDULED_DATE).alias("hi")).first()
-        if bounds["lo"] is None:
-            return
-        known = _store_slice(spark, store, bounds["lo"], bounds["hi"])
-        accepted = first if known is None else first.join(known, "duplicate_key", "left_anti")
-        accepted.write.mode("append").partitionBy(SCHEDULED_DATE).parquet(store)
-    finally:
-        first.unpersist()
+    # the bounds come from one column of the batch's files, so the deduplicated rows are used once
+    bounds = batch.select(F.to_date("scheduled_departure").alias("day")).agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
+    if bounds["lo"] is None:
+        return
+    known = _store_slice(spark, store, bounds["lo"], bounds["hi"])
+    accepted = first if known is None else first.join(known, "duplicate_key", "left_anti")
+    accepted.write.mode("append").partitionBy(SCHEDULED_DATE).parquet(store)
 
 
 def _landed_files(spark: SparkSession, landing_glob: str, schema: T.StructType, files_per_trigger: int | None) -> DataFrame:
