@@ -121,7 +121,7 @@ def incremental_cycle(
     dim_date = extend_dim_date(wh.dim_date, unique_batch, wh.zone)
     dim_route = dimension(warehouse.build_dim_route(routes))
     dim_stop = dimension(warehouse.build_dim_stop(stops))
-    batch_fact = warehouse.build_fact(unique_batch, dim_route, dim_stop, wh.zone)
+    batch_fact = warehouse.build_fact(unique_batch, dim_route, dim_stop, wh.zone, stored=True)
     fact = merge_fact(wh.fact, batch_fact)
     return CycleResult(raw, dim_date, fact, warehouse.Warehouse(dim_date, dim_route, dim_stop, fact, wh.zone))
 
@@ -192,7 +192,7 @@ def propose_cycle(
         staged += snapshots.stage(df, parent.root, name, version)
 
     key = "source_observation_id"
-    new = dimension(_fact_with_day(warehouse.build_fact(unique, dims["dim_route"], dims["dim_stop"], zone)))
+    new = dimension(_fact_with_day(warehouse.build_fact(unique, dims["dim_route"], dims["dim_stop"], zone, stored=True)))
     touched = snapshots.days_of(new, FACT_DAY)
     if parent.of(FACT):
         searched = parent.table(FACT, parent.can_hold(FACT, snapshots.days_of(new, LOCATED_BY)) - touched)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from delaystar import settings as S
 from delaystar.operators import quality
-from delaystar.operators.warehouse import Warehouse, usable_filter
+from delaystar.operators.warehouse import Warehouse, occurring, usable_filter
 from delaystar.sources import snapshots
 
 TABLE = "checks"
@@ -93,7 +93,8 @@ def _raw_rows(tables: snapshots.TableSet, days: Iterable[str]) -> DataFrame:
 
 
 def _fact_rows(tables: snapshots.TableSet, days: Iterable[str], zone: str) -> DataFrame:
-    wh = Warehouse(*(tables.table(n) for n in DIMENSION_KEYS), tables.table(FACT, days), zone)
+    fact = tables.table(FACT, days)
+    wh = Warehouse(*(occurring(tables.table(n), key, fact) for n, key in DIMENSION_KEYS.items()), fact, zone)
     joined = quality.joined_to_dims(wh).groupBy(snapshots.day_text("observed_date").alias("day"))
     return joined.agg(F.count(F.lit(1)).alias("fact_rows"), *quality.issue_counters(zone))
 

@@ -134,8 +134,22 @@ def fact_output(df: DataFrame) -> DataFrame:
     return df.select(*FACT_COLUMNS)
 
 
+def occurring(dim: DataFrame, key: str, rows: DataFrame, column: str | None = None) -> DataFrame:
+    """The rows of a dimension whose ``key`` occurs in ``rows`` (in ``column``), written.
+
+    A history names few of a large dimension's keys, some of them often.  Cut to these and written, the
+    dimension is small and known to be, and the planner does not shuffle the history on them.
+    """
+    used = dimension(rows.select(F.col(column or key).alias(key)).distinct())
+    return dimension(dim.join(used, key, "left_semi").select(*dim.columns))
+
+
 # C6
-def build_fact(raw: DataFrame, dim_route: DataFrame, dim_stop: DataFrame, zone: str = S.LOCAL_ZONE) -> DataFrame:
+def build_fact(raw: DataFrame, dim_route: DataFrame, dim_stop: DataFrame, zone: str = S.LOCAL_ZONE, stored: bool = False) -> DataFrame:
+    """The fact of ``raw``; where that is ``stored`` (cheap to read again), the dimensions are first cut to its keys."""
+    if stored:
+        dim_route = occurring(dim_route, "source_route_id", raw, "route_id")
+        dim_stop = occurring(dim_stop, "source_stop_id", raw, "stop_id")
     derived = fact_derive(usable_filter(raw), zone)
     return fact_output(join_fact_stop(join_fact_route(derived, dim_route), dim_stop))
 
@@ -150,8 +164,8 @@ class Warehouse:
 
 
 def build_warehouse(raw: DataFrame, routes: DataFrame, stops: DataFrame, zone: str = S.LOCAL_ZONE,
-                    fact_zone: str | None = None) -> Warehouse:
-    """Dimensions are written once; the planner broadcasts them when small.
+                    fact_zone: str | None = None, stored: bool = False) -> Warehouse:
+    """Dimensions are written once; the planner broadcasts them when small.  ``stored``: as in :func:`build_fact`.
 
     ``fact_zone`` is the clock the fact recipe reads date/hour from; it defaults
     to ``zone``.  Setting it to UTC reproduces a recipe that skipped the zone
@@ -161,7 +175,7 @@ def build_warehouse(raw: DataFrame, routes: DataFrame, stops: DataFrame, zone: s
     dim_route = dimension(build_dim_route(routes))
     dim_stop = dimension(build_dim_stop(stops))
     dim_date = dimension(build_dim_date(raw, zone))
-    fact = build_fact(raw, dim_route, dim_stop, fact_zone or zone)
+    fact = build_fact(raw, dim_route, dim_stop, fact_zone or zone, stored)
     return Warehouse(dim_date, dim_route, dim_stop, fact, zone)
 
 

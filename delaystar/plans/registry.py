@@ -271,9 +271,18 @@ AS_OF = dt.datetime(2024, 6, 30)
 TARGET_UNTIL = dt.datetime(2024, 6, 29)
 
 
+def _collected_before(j: Job, until: dt.datetime) -> DataFrame:
+    """The first observations of each key, of those collected before ``until``.
+
+    Arrival orders by ``created_at``, missing last, so the first of a key is before ``until`` if any
+    is: later rows are left out before the shuffle.
+    """
+    return dedup.dedup_first_by_key(j.raw.filter(F.col("created_at") < C.ntz_literal(until)))
+
+
 def _merge_target(j: Job) -> DataFrame:
     """The store before the cycle: what was collected before TARGET_UNTIL."""
-    return j.observations.filter(F.col("created_at") < C.ntz_literal(TARGET_UNTIL))
+    return _collected_before(j, TARGET_UNTIL)
 
 
 def _merge_batch(j: Job) -> DataFrame:
@@ -296,7 +305,7 @@ HISTORY_UNTIL = dt.datetime(2024, 5, 1)
 
 def _history(j: Job) -> DataFrame:
     """The store so far: what was collected before HISTORY_UNTIL."""
-    return j.observations.filter(F.col("created_at") < C.ntz_literal(HISTORY_UNTIL))
+    return _collected_before(j, HISTORY_UNTIL)
 
 
 def _accepted(j: Job) -> DataFrame:
@@ -335,8 +344,8 @@ def _q_merge_raw(j: Job) -> DataFrame:
 
 
 def _cycle(j: Job) -> incremental.CycleResult:
-    target = _merge_target(j)
-    wh = warehouse.build_warehouse(target, j.routes, j.stops, j.zone)
+    target = dimension(_merge_target(j))
+    wh = warehouse.build_warehouse(target, j.routes, j.stops, j.zone, stored=True)
     return incremental.incremental_cycle(wh, target, _merge_batch(j), j.routes, j.stops)
 
 
@@ -352,9 +361,9 @@ def _q_merge_fact(j: Job) -> DataFrame:
 
 def _loaded(j: Job, name: str, routes: DataFrame) -> str:
     """A published warehouse of the target history; the cycles start from it."""
-    target = _merge_target(j)
+    target = dimension(_merge_target(j))
     root = scratch_path(j.spark, name)
-    incremental.initial_load(root, warehouse.build_warehouse(target, routes, j.stops, j.zone), target)
+    incremental.initial_load(root, warehouse.build_warehouse(target, routes, j.stops, j.zone, stored=True), target)
     return root
 
 
@@ -425,12 +434,14 @@ def _parsed(j: Job) -> DataFrame:
     return ingest.parse_departures(_scanned(j), S.COLLECTOR_DEPARTURE_LIMIT)
 
 
-def _collected(j: Job) -> DataFrame:
-    return ingest.parsed_observations(_parsed(j))
+def _collect_accepted(j: Job) -> DataFrame:
+    return ingest.collect_parsed(_history(j), dimension(_parsed(j)))
 
 
-def _collect_accepted(j: Job) -> DataFrame:
-    return ingest.collect_accepted(_history(j), _collected(j))
+def _landed_payloads(j: Job) -> tuple[DataFrame, DataFrame]:
+    """(scanned, parsed) payloads from one written parse, for queries that read both."""
+    rows = dimension(ingest.parse_payloads(_scanned(j), S.COLLECTOR_DEPARTURE_LIMIT))
+    return rows.withColumnsRenamed({"collection_id": "collection_run_id", "_requested": "stop_id"}), rows.where("accepted")
 
 
 @query("scan_payloads")
@@ -466,33 +477,42 @@ def _q_collect(j: Job) -> DataFrame:
 
 @query("collection_summary")
 def _q_collection_summary(j: Job) -> DataFrame:
-    return ingest.collection_summary(_scanned(j), _collected(j), _collect_accepted(j))
+    scanned, parsed = _landed_payloads(j)
+    return ingest.collection_summary(scanned, ingest.observation_rows(parsed), ingest.collect_parsed(_history(j), parsed))
 
 
 @query("collection_errors")
 def _q_collection_errors(j: Job) -> DataFrame:
     """Every stop of the stop table is requested by name in each run that collected it."""
-    scanned = _scanned(j)
+    scanned = _stored_scan(j)
     wanted = scanned.select("collection_run_id", "stop_id").distinct().join(
         j.stops.select(F.col("id").alias("stop_id"), F.col("name").alias("stop_name")), "stop_id", "left")
     return ingest.collection_errors(scanned, wanted)
 
 
-def _requested(j: Job) -> DataFrame:
+def _stored_scan(j: Job) -> DataFrame:
+    """What a report reads of the scanned payloads, written once."""
+    return dimension(_scanned(j).select("collection_run_id", "payload_id", "stop_id", "accepted", "error_message"))
+
+
+def _requested(j: Job, scanned: DataFrame) -> DataFrame:
     """The stops that every collection asks for, a blank id among them; not all have landed in each."""
     asked = [(f"S_{i}", f"Stop {i // 2}") for i in range(testdata.STOP_COUNT)] + [("", "Blank")]
-    return ingest.requested_stops(_scanned(j), j.spark.createDataFrame(asked, "stop_id string, stop_name string"))
+    return ingest.requested_stops(scanned, j.spark.createDataFrame(asked, "stop_id string, stop_name string"))
 
 
 @query("collection_report")
 def _q_collection_report(j: Job) -> DataFrame:
     """A15 over the requested stops: landed, missing and blank ones."""
-    return ingest.collection_summary(_scanned(j), _collected(j), _collect_accepted(j), requested=_requested(j))
+    scanned, parsed = _landed_payloads(j)
+    return ingest.collection_summary(scanned, ingest.observation_rows(parsed), ingest.collect_parsed(_history(j), parsed),
+                                     requested=_requested(j, scanned))
 
 
 @query("collection_report_errors")
 def _q_collection_report_errors(j: Job) -> DataFrame:
-    return ingest.collection_errors(_scanned(j), _requested(j))
+    scanned = _stored_scan(j)
+    return ingest.collection_errors(scanned, _requested(j, scanned))
 
 
 @query("sink_upsert_routes")
@@ -511,7 +531,7 @@ def _q_upsert_runs(j: Job) -> DataFrame:
     parsed = dimension(_parsed(j).select("payload_id", "collection_id", "_requested", "fetched_at", "_kept", "_stops",
                                          "_routes", "_trips"))
     started = ingest.parsed_runs(parsed)
-    accepted = ingest.collect_accepted(_history(j), ingest.parsed_observations(parsed))
+    accepted = ingest.collect_parsed(_history(j), parsed)
     final = dedup.run_records_saved(started, accepted, run="collection_run_id")
     batch = final.select("*", F.col("started_at").alias("fetched_at"), F.col("id").alias("payload_id"),
                          F.lit(0).alias("position"))
@@ -538,9 +558,14 @@ def _q_landing(j: Job) -> DataFrame:
     return sinks.read_current(j.spark, root)
 
 
+def _stored_warehouse(j: Job) -> warehouse.Warehouse:
+    """The warehouse of the operational store, written: a range-partitioned write reads its input twice."""
+    return warehouse.build_warehouse(dimension(j.observations), j.routes, j.stops, j.zone, stored=True)
+
+
 def _written_fact(j: Job) -> DataFrame:
     path = scratch_path(j.spark, "fact")
-    sinks.write_fact_partitioned(j.wh.fact, path)
+    sinks.write_fact_partitioned(_stored_warehouse(j).fact, path)
     return sinks.read_fact(j.spark, path)
 
 
@@ -553,7 +578,8 @@ def _q_fact_partitioned(j: Job) -> DataFrame:
 def _q_fact_interleaved(j: Job) -> DataFrame:
     """S10 clustered on route and stop alike, read back."""
     path = scratch_path(j.spark, "fact-interleaved")
-    sinks.write_fact_interleaved(j.wh.fact, path, j.wh.dim_route, j.wh.dim_stop)
+    wh = _stored_warehouse(j)
+    sinks.write_fact_interleaved(wh.fact, path, wh.dim_route, wh.dim_stop, stored=True)
     return sinks.read_fact(j.spark, path)
 
 
@@ -643,11 +669,12 @@ def _q_stream_runs(j: Job) -> DataFrame:
 @query("merge_fact_in_place")
 def _q_merge_in_place(j: Job) -> DataFrame:
     """I4 on the stored, date-partitioned fact: only the batch's dates are rewritten."""
-    target = _merge_target(j)
-    wh = warehouse.build_warehouse(target, j.routes, j.stops, j.zone)
+    target = dimension(_merge_target(j))
+    wh = warehouse.build_warehouse(target, j.routes, j.stops, j.zone, stored=True)
     path = scratch_path(j.spark, "fact-merge")
     sinks.write_fact_partitioned(wh.fact, path, located_by="scheduled_departure")
-    batch_fact = warehouse.build_fact(incremental.batch_dedup(_merge_batch(j)), wh.dim_route, wh.dim_stop, j.zone)
+    batch = dimension(incremental.batch_dedup(_merge_batch(j)))
+    batch_fact = warehouse.build_fact(batch, wh.dim_route, wh.dim_stop, j.zone, stored=True)
     incremental.merge_fact_partitions(path, batch_fact, located_by="scheduled_departure")
     return sinks.read_fact(j.spark, path)
 

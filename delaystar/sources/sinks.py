@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from delaystar import schemas
 from delaystar.functions import columns as C
+from delaystar.operators.warehouse import occurring
 
 POINTER = "_CURRENT"
 LOCATED = "_located"
@@ -102,12 +103,12 @@ def write_fact_partitioned(fact: DataFrame, path: str, partitions: int | None =
     )
 
 
-def morton(fact: DataFrame, dim_route: DataFrame, dim_stop: DataFrame, name: str = "_place") -> DataFrame:
+def morton(fact: DataFrame, dim_route: DataFrame, dim_stop: DataFrame, name: str = "_place", stored: bool = False) -> DataFrame:
     """Add the interleaved bits of the route's and the stop's place among the keys of their dimensions.
 
     In the order of that number both keys stay together: rows of one stop are in few stretches,
     as are rows of one route.  Places are ranks in the (small) dimensions, scaled to 16 bits;
-    keys that a dimension lacks come last.
+    keys that a dimension lacks come last.  ``stored``: the fact is cheap to read again.
     """
     def places(dim: DataFrame, key: str, as_name: str) -> DataFrame:
         keys = dim.select(key).distinct()
@@ -120,11 +121,15 @@ def morton(fact: DataFrame, dim_route: DataFrame, dim_stop: DataFrame, name: str
             x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
         return x.cast("bigint")
 
-    placed = fact.join(places(dim_route, "route_key", "_r"), "route_key", "left").join(places(dim_stop, "stop_key", "_s"), "stop_key", "left")
+    routes, stops = places(dim_route, "route_key", "_r"), places(dim_stop, "stop_key", "_s")
+    if stored:  # ranked among all keys, then cut to the fact's
+        routes, stops = occurring(routes, "route_key", fact), occurring(stops, "stop_key", fact)
+    placed = fact.join(routes, "route_key", "left").join(stops, "stop_key", "left")
     return placed.withColumn(name, spread("_r") * 2 + spread("_s")).select(*fact.columns, name)
 
 
-def write_fact_interleaved(fact: DataFrame, path: str, dim_route: DataFrame, dim_stop: DataFrame, partitions: int | None = None) -> None:
+def write_fact_interleaved(fact: DataFrame, path: str, dim_route: DataFrame, dim_stop: DataFrame, partitions: int | None = None,
+                           stored: bool = False) -> None:
     """S10 for filters on stop as well as on route: inside a date, files are ranges of the interleaved order.
 
     File statistics of both keys are then narrow, so a filter on either skips most files of
@@ -132,7 +137,7 @@ def write_fact_interleaved(fact: DataFrame, path: str, dim_route: DataFrame, dim
     """
     out = fact.withColumn("observed_date", F.to_date("observed_at")) if "observed_date" not in fact.columns else fact
     keys = ("observed_date", "_place", "source_observation_id")
-    placed = morton(out, dim_route, dim_stop)
+    placed = morton(out, dim_route, dim_stop, stored=stored)
     ranged = placed.repartitionByRange(partitions, *keys) if partitions else placed.repartitionByRange(*keys)
     ranged.sortWithinPartitions(*keys).drop("_place").write.mode("errorifexists").partitionBy("observed_date").parquet(path)
 
