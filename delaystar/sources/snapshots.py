@@ -166,9 +166,10 @@ def stage(df: DataFrame, root: str, table: str, version: str, *, by: str | None
     path = f"{root.rstrip('/')}/{table}/version={version}"
     if by:
         keys = (by, *order)
-        df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("errorifexists").partitionBy(by).parquet(path)
+        writer = df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy(by)
     else:
-        df.write.mode("errorifexists").parquet(path)
+        writer = df.write
+    writer.mode("errorifexists").option("compression", "zstd").parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     digest = F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)")).cast("string")
     located = F.array_sort(F.collect_set(day_text(located_by))) if located_by else F.any_value(F.lit(None).cast("array<string>"))

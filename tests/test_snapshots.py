@@ -243,3 +243,15 @@ def test_an_emptied_day_leaves_the_set(spark):
     assert second.table("fact", []).count() == 0
     with pytest.raises(KeyError):
         second.table("none")
+
+
+def test_staged_versions_are_written_with_zstd(spark, tmp_path):
+    """A cycle writes the history and the fact whole, so what it stages is written as densely as a dimension."""
+    rows = spark.range(200).selectExpr("id", "date_add(date'2024-01-01', cast(id % 3 as int)) AS day")
+    staged = snapshots.stage(rows, str(tmp_path), "t", "v", by="day", order=("id",))
+    staged += snapshots.stage(rows, str(tmp_path), "whole", "v")
+    files = [str(p) for p in tmp_path.rglob("*.parquet") if p.is_file()]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+    tables = snapshots.empty_set(spark, str(tmp_path)).with_staged(staged)
+    want = sorted(map(tuple, rows.collect()))
+    assert [sorted(map(tuple, tables.table(t).select("id", "day").collect())) for t in ("t", "whole")] == [want, want]
