@@ -528,8 +528,7 @@ def _q_upsert_stops(j: Job) -> DataFrame:
 @query("sink_upsert_runs")
 def _q_upsert_runs(j: Job) -> DataFrame:
     """Runs are inserted with records_saved 0, then upserted with the inserted count (S7 + S9)."""
-    parsed = dimension(_parsed(j).select("payload_id", "collection_id", "_requested", "fetched_at", "_kept", "_stops",
-                                         "_routes", "_trips"))
+    parsed = dimension(_parsed(j).select("payload_id", "collection_id", "fetched_at", "_kept"))
     started = ingest.parsed_runs(parsed)
     accepted = ingest.collect_parsed(_history(j), parsed)
     final = dedup.run_records_saved(started, accepted, run="collection_run_id")

@@ -101,16 +101,12 @@ def departure_payloads(raw: DataFrame, routes: DataFrame, stops: DataFrame) -> D
         F.col("trip_id").alias("tripId"),
         F.col("stop_sequence").alias("stopSequence"),
     )
-    trip_ref = F.struct(
-        F.col("trip_id").alias("id"), F.col("trip_route_id").alias("routeId"),
-        F.col("headsign").alias("tripHeadsign"), trip_direction(order).alias("directionId"),
-    )
     item = F.struct(
         F.col("stop_sequence").alias("k1"), F.col("tie_1").alias("k2"), F.col("tie_2").alias("k3"),
         F.col("tie_3").alias("k4"), F.col("tie_4").alias("k5"),
         stop_time.alias("st"), F.col("stop_ref").alias("stop_ref"),
         F.col("route_ref").alias("route_ref"), F.col("trip_route_ref").alias("trip_route_ref"),
-        trip_ref.alias("trip_ref"),
+        F.col("headsign").alias("headsign"),
     )
     g = _items(raw, routes, stops, *ITEM_COLUMNS).groupBy("collection_run_id", "trip_id").agg(
         F.sort_array(F.collect_list(item)).alias("items"),
@@ -119,12 +115,13 @@ def departure_payloads(raw: DataFrame, routes: DataFrame, stops: DataFrame) -> D
     first = F.col("items")[0]
     requested = first["st"]["stopId"]
     object_form = F.substring(requested, 3, 8).cast("int") % 2 == 1
-    stop_refs = F.array_distinct(F.filter(F.transform("items", lambda x: x["stop_ref"]), lambda r: r.isNotNull()))
-    route_refs = F.array_distinct(F.filter(
-        F.concat(F.transform("items", lambda x: x["route_ref"]), F.transform("items", lambda x: x["trip_route_ref"])),
-        lambda r: r.isNotNull()))
-    trip_refs = F.array_distinct(F.transform("items", lambda x: x["trip_ref"]))
-    entry = F.struct(requested.alias("stopId"), F.transform("items", lambda x: x["st"]).alias("stopTimes"))
+    items = F.col("items")
+    stop_refs = F.array_compact(F.array_distinct(items["stop_ref"]))
+    route_refs = F.array_compact(F.array_distinct(F.concat(items["route_ref"], items["trip_route_ref"])))
+    trip_refs = F.transform(F.array_distinct(items["headsign"]), lambda h: F.struct(
+        F.col("trip_id").alias("id"), trip_route(order).alias("routeId"), h.alias("tripHeadsign"),
+        trip_direction(order).alias("directionId")))
+    entry = F.struct(requested.alias("stopId"), items["st"].alias("stopTimes"))
     o = order_number()
     status = F.when(o % 103 == 5, F.lit("ERROR")).otherwise(F.lit("OK"))
     body = F.when(o % 101 == 7, F.expr("substring(body_full, 1, length(body_full) - 2)")).otherwise(F.col("body_full"))

@@ -139,6 +139,33 @@ def test_the_body_is_parsed_once_per_row(spark):
     assert plan.count("try_parse_json(") + plan.count("parse_json(") - plan.count("try_parse_json(") <= 1
 
 
+def test_a_parse_holds_typed_fields_of_odd_items(spark):
+    """Items that are no objects, blank and repeated ids and fields of other types are read leniently; no VARIANT leaves the parse."""
+    from pyspark.sql import functions as F
+
+    body = {"status": "OK", "data": {
+        "entry": {"stopTimes": [
+            None, 7, [1], {"departureTime": "soon"}, {"departureTime": None},
+            {"departureTime": DEP, "tripId": "", "stopId": "", "predictedDepartureTime": {"at": 1}, "stopSequence": "x"},
+            {"departureTime": f"{DEP + 60}", "tripId": "T", "stopId": 9, "routeShortName": "44"},
+            {"departureTime": DEP + 120, "tripId": "T", "routeId": "R", "stopId": "STOP_1"}]},
+        "references": {
+            "stops": [{"id": 9, "name": "old"}, 3, {"id": "", "name": "blank"}, {"id": "9", "name": "Nine", "lat": "1.5", "lon": [2]}],
+            "trips": {"T": {"routeId": "", "tripHeadsign": "", "headsign": "H", "directionId": 1}, "": {"routeId": "of blank"}},
+            "routes": {"R": "no object", "of blank": {"shortName": 5, "type": ""}}}}}
+    parsed = ingest.parse_departures(_scan(spark, [json.dumps(body)]), limit=4)
+    assert "variant" not in str(parsed.dtypes)
+    obs = ingest.parsed_observations(parsed).orderBy("position")
+    assert [tuple(r) for r in obs.select("position", "trip_id", "stop_id", "route_id", "headsign", "direction_id", "stop_sequence", "delay_seconds").collect()] == [
+        (0, "", "STOP_1", "of blank", "-", "", 0, 0), (1, "T", "9", "44", "H", "1", 0, 0), (2, "T", "STOP_1", "R", "H", "1", 0, 0)]
+    routes = ingest.parsed_routes(parsed).orderBy("position").select("position", "id", "short_name", "route_type")
+    assert [tuple(r) for r in routes.collect()] == [(0, "of blank", "5", ""), (1, "44", "44", ""), (2, "R", "R", "")]
+    stops = ingest.parsed_stops(parsed).orderBy("position").select("position", "id", "name", "lat", "lon")
+    assert [tuple(r) for r in stops.collect()] == [(0, "STOP_1", "STOP_1", None, None), (1, "9", "Nine", 1.5, None)]
+    none = ingest.parsed_stops(parsed.withColumn("_stops", F.transform("_stops", lambda x: x.withField("id", F.lit(None).cast("string")))))
+    assert none.isEmpty()
+
+
 def test_requested_stops_drive_the_collection_report(spark):
     good = json.dumps(_departures("array"))
     df = spark.createDataFrame([("a", "C1", "T", "STOP_1", None, good)], "payload_id string, collection_run_id string, "
