@@ -765,9 +765,9 @@ def _q_warehouse_checks(j: Job) -> DataFrame:
 def _operational_store(j: Job) -> str:
     """Routes and stops as the collector leaves them (payload upserts), written as the store."""
     root = scratch_path(j.spark, "transit_data")
-    parsed = dimension(_parsed(j))
-    ingest.upsert_entities(j.routes, ingest.parsed_routes(parsed)).write.parquet(f"{root}/routes")
-    ingest.upsert_entities(j.stops, ingest.parsed_stops(parsed)).write.parquet(f"{root}/stops")
+    entities = dimension(ingest.parsed_entities(_parsed(j)))
+    ingest.upsert_entities(j.routes, ingest.route_rows(entities)).write.parquet(f"{root}/routes")
+    ingest.upsert_entities(j.stops, ingest.stop_rows(entities)).write.parquet(f"{root}/stops")
     return root
 
 

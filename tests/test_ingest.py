@@ -166,6 +166,23 @@ def test_a_parse_holds_typed_fields_of_odd_items(spark):
     assert none.isEmpty()
 
 
+def test_the_entities_of_a_parse_are_written_once(spark, monkeypatch):
+    """The operational store reads what one parse wrote of routes and stops, not the whole parse."""
+    from delaystar.plans import registry
+
+    from .conftest import SMALL_SF
+
+    written = []
+    keep = registry.dimension
+    monkeypatch.setattr(registry, "dimension", lambda df: written.append(df.columns) or keep(df))
+    j = registry.Job(spark, SMALL_SF)
+    root = registry._operational_store(j)
+    assert written == [["payload_id", "fetched_at", "_route_entities", "_stop_entities"]]
+    for name, target, rows in (("routes", j.routes, ingest.parsed_routes), ("stops", j.stops, ingest.parsed_stops)):
+        want = ingest.upsert_entities(target, rows(registry._parsed(j)))
+        assert sorted(map(repr, spark.read.parquet(f"{root}/{name}").collect())) == sorted(map(repr, want.collect()))
+
+
 def test_requested_stops_drive_the_collection_report(spark):
     good = json.dumps(_departures("array"))
     df = spark.createDataFrame([("a", "C1", "T", "STOP_1", None, good)], "payload_id string, collection_run_id string, "
