@@ -82,6 +82,23 @@ def merge_by_id(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return kept.select(*target.columns).unionByName(batch.select(*target.columns))
 
 
+def merge_days(target: DataFrame, batch: DataFrame, key: str, time: str) -> tuple[DataFrame, DataFrame]:
+    """:func:`merge_by_id` in two parts: the target's days of ``time`` that hold no id of the batch, as they are,
+    and the other days merged with the batch.
+
+    The days come from a semi join of hashed ids, so against a batch above the broadcast threshold only
+    hashes and the rows of the touched days are shuffled, and only these are to be written again.  Any row may lie on
+    any day, also on none.  Both inputs are read more than once and should be stored.
+    """
+    dated = target.withColumn("_day", F.to_date(time))
+    ids = [df.where(F.col(key).isNotNull()).withColumn("_id", F.xxhash64(key)) for df in (dated, batch)]  # equal hashes at most touch one more day
+    holding = ids[0].select("_id", "_day").join(ids[1].select("_id"), "_id", "left_semi")
+    days = dimension(holding.select(F.col("_day").alias("_touched")).distinct())
+    on_day = F.col("_day").eqNullSafe(F.col("_touched"))
+    kept = dated.join(days, on_day, "left_anti").select(*target.columns)
+    return kept, merge_by_id(dated.join(days, on_day, "left_semi").select(*target.columns), batch, key)
+
+
 def save_summary(batch: DataFrame, accepted: DataFrame, run: str = "collection_run_id") -> DataFrame:
     """Per batch (run) what an insert saves and skips.
 

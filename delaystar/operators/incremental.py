@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,10 +103,45 @@ def merge_fact_partitions(
 
 @dataclass(frozen=True)
 class CycleResult:
-    raw: DataFrame
+    """The tables after a cycle; ``target`` and ``raw_target`` are those before it, the batch's parts are stored.
+
+    A merge looks for the days that hold the batch's ids when its table is first asked for.
+    """
+
+    target: warehouse.Warehouse
+    raw_target: DataFrame
+    batch: DataFrame
+    batch_fact: DataFrame
     dim_date: DataFrame
-    fact: DataFrame
-    wh: warehouse.Warehouse
+    dim_route: DataFrame
+    dim_stop: DataFrame
+
+    @cached_property
+    def _raw_parts(self) -> tuple[DataFrame, DataFrame]:
+        return dedup.merge_days(self.raw_target, self.batch, "observation_id", LOCATED_BY)
+
+    @cached_property
+    def _fact_parts(self) -> tuple[DataFrame, DataFrame]:
+        return dedup.merge_days(self.target.fact, self.batch_fact, "source_observation_id", LOCATED_BY)
+
+    @cached_property
+    def raw(self) -> DataFrame:
+        kept, merged = self._raw_parts
+        return kept.unionByName(merged)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        kept, merged = self._fact_parts
+        return kept.unionByName(merged)
+
+    @property
+    def wh(self) -> warehouse.Warehouse:
+        return warehouse.Warehouse(self.dim_date, self.dim_route, self.dim_stop, self.fact, self.target.zone)
+
+    def store(self) -> tuple[DataFrame, DataFrame]:
+        """(raw, fact) with the merged days written; the others stay where the targets hold them."""
+        (raw_kept, raw), (fact_kept, fact) = self._raw_parts, self._fact_parts
+        return raw_kept.unionByName(dimension(raw)), fact_kept.unionByName(dimension(fact))
 
 
 def incremental_cycle(
@@ -117,13 +153,11 @@ def incremental_cycle(
 ) -> CycleResult:
     """C13 up to the fact: I3 -> I4 raw -> I5 -> C5 -> C6 on the batch -> I4 fact."""
     unique_batch = dimension(batch_dedup(batch))  # used by the raw merge, the dates and the fact
-    raw = merge_raw(raw_target, unique_batch)
     dim_date = extend_dim_date(wh.dim_date, unique_batch, wh.zone)
     dim_route = dimension(warehouse.build_dim_route(routes))
     dim_stop = dimension(warehouse.build_dim_stop(stops))
-    batch_fact = warehouse.build_fact(unique_batch, dim_route, dim_stop, wh.zone, stored=True)
-    fact = merge_fact(wh.fact, batch_fact)
-    return CycleResult(raw, dim_date, fact, warehouse.Warehouse(dim_date, dim_route, dim_stop, fact, wh.zone))
+    batch_fact = dimension(warehouse.build_fact(unique_batch, dim_route, dim_stop, wh.zone, stored=True))
+    return CycleResult(wh, raw_target, unique_batch, batch_fact, dim_date, dim_route, dim_stop)
 
 
 RAW, FACT, DIMENSIONS = "raw", "fact", ("dim_date", "dim_route", "dim_stop")
@@ -225,17 +259,29 @@ def run_cycle(
     return CycleOutcome(sinks.log_cycle(checks, f"{root}/etl_control", cycle_id), tables, proposed, succeeded)
 
 
+#: Groups of keys whose sums two runs are first compared by.
+KEY_GROUPS = 1024
+
+
 def rerun_differences(first: DataFrame, second: DataFrame, key: str) -> DataFrame:
-    """One row with the rows that differ between two runs and duplicate keys left."""
-    def per_key(df: DataFrame, side: str) -> DataFrame:
-        digest = F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))
-        return df.groupBy(key).agg(digest.alias(f"_{side}"), F.count(F.lit(1)).alias(f"_n_{side}"))
-
-    both = per_key(first, "a").join(per_key(second, "b"), on=key, how="full")
-    n_a, n_b = F.coalesce("_n_a", F.lit(0)), F.coalesce("_n_b", F.lit(0))
-    changed = ~F.col("_a").eqNullSafe(F.col("_b"))
-    return both.agg(
-        F.coalesce(F.sum(F.when(changed, n_a + n_b)), F.lit(0)).cast("bigint").alias("differing_rows"),
-        F.coalesce(F.sum(n_b), F.lit(0)).cast("bigint").alias("fact_rows"),
-        F.count_if(n_b > 1).cast("bigint").alias("duplicate_ids"),
-    )
+    """One row with the rows that differ between two runs and duplicate keys left.
+
+    Every row of both runs is hashed.  The hashes are summed by groups of keys first, which sends a row per task and
+    group; only the keys of groups whose sums differ are compared one by one.  Rows without a key match none.
+    """
+    group = F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(KEY_GROUPS))).alias("_group")
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        digest = F.xxhash64(*df.columns).cast("decimal(38,0)") * sign
+        return df.select(key, group, digest.cast("decimal(38,0)").alias("_digest"), F.lit(int(sign > 0)).cast("bigint").alias("_a"),
+                         F.lit(int(sign < 0)).cast("bigint").alias("_b"))
+
+    both = side(first, 1).unionByName(side(second, -1))
+    sums = [F.sum(c).alias(c) for c in ("_digest", "_a", "_b")]
+    differ = dimension(both.groupBy("_group").agg(*sums).where("_digest <> 0 OR _a <> _b OR _group IS NULL"))
+    keys = both.join(differ.select("_group"), "_group", "left_semi").groupBy(key).agg(*sums)
+    changed = keys.where("_digest <> 0 OR (_a = 0) <> (_b = 0)").unionByName(differ.where("_group IS NULL").drop("_group"), allowMissingColumns=True)
+    repeats = second.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return changed.agg(F.coalesce(F.sum(F.col("_a") + F.col("_b")), F.lit(0)).cast("bigint").alias("differing_rows")).crossJoin(
+        repeats.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("fact_rows"),
+                    F.count_if(F.col("_n") > 1).cast("bigint").alias("duplicate_ids")))

@@ -418,11 +418,10 @@ def _q_latest_history(j: Job) -> DataFrame:
 @query("rerun_idempotence")
 def _q_rerun(j: Job) -> DataFrame:
     first = _cycle(j)
-    raw, fact = dimension(first.raw), dimension(first.fact)
-    stored = warehouse.Warehouse(first.dim_date, first.wh.dim_route, first.wh.dim_stop, fact, j.zone)
+    raw, fact = first.store()
+    stored = warehouse.Warehouse(first.dim_date, first.dim_route, first.dim_stop, fact, j.zone)
     second = incremental.incremental_cycle(stored, raw, _merge_batch(j), j.routes, j.stops)
-    first = incremental.CycleResult(raw, first.dim_date, fact, stored)
-    return incremental.rerun_differences(first.fact, second.fact, "source_observation_id")
+    return incremental.rerun_differences(fact, second.fact, "source_observation_id")
 
 
 # ---------------------------------------------------------------- landed payloads (S1, C1..C3)
